@@ -1,0 +1,205 @@
+"""The session steps for users too large for one task (bots, shared accounts).
+
+Previous records: the rows of all heavy users are range-partitioned by (user,
+time), so that every chunk holds about the same number of rows however they are
+spread over time. Only the first record of a chunk needs its predecessor from
+outside, which is the last record of the user's chunk before.
+
+Session starts: the greedy rule is sequential along one (user, query), so time is
+cut into blocks. A block that begins while a session may still be open is
+summarised as a function "start of the open session -> last start in the block".
+Chaining these small functions gives what is open at the beginning of each block,
+and the blocks are then independent.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from trailmine.functions.columns import floor_div
+from trailmine.params import MAX_SPLIT_CHUNKS, MAX_SPLIT_USERS
+from trailmine.storage import materialise
+
+# Sessions of one query that fit into one block.
+_SPANS_PER_BLOCK = 64
+_EXITS = "array<struct<until_ms:bigint,exit_ms:bigint>>"
+
+
+def heavy_users(log: DataFrame, split_rows: int) -> dict[int, int]:
+    """Rows per user for the users above ``split_rows``.
+
+    At most ``MAX_SPLIT_USERS`` of them, largest first. The list only decides who
+    is split; a user beyond it has a share of the log below 1 / ``MAX_SPLIT_USERS``
+    and is handled whole.
+    """
+    counts = log.groupBy("user_id").count().filter(F.col("count") > split_rows)
+    top = counts.orderBy(F.desc("count"), "user_id").limit(MAX_SPLIT_USERS)
+    return {row["user_id"]: row["count"] for row in top.collect()}
+
+
+def with_previous(log: DataFrame, heavy: Mapping[int, int], split_rows: int) -> DataFrame:
+    """Rows of the heavy users with ``prev_query`` and ``prev_doc``."""
+    n_chunks = min(-(-sum(heavy.values()) // split_rows), MAX_SPLIT_CHUNKS)
+    # The chunk number is not a function of the row, so it is fixed by writing it down.
+    rows = materialise(
+        log.filter(F.col("user_id").isin(list(heavy)))
+        .repartitionByRange(n_chunks, "user_id", "ts_ms", "seq")
+        .withColumn("chunk", F.spark_partition_id()),
+        "heavy-users",
+    )
+    in_chunk = Window.partitionBy("user_id", "chunk").orderBy("ts_ms", "seq")
+    last = F.max_by(F.struct("query", "doc"), F.struct("ts_ms", "seq"))
+    # One row per (user, chunk): at most MAX_SPLIT_CHUNKS + MAX_SPLIT_USERS, as the
+    # chunks are ranges.
+    carried = (
+        rows.groupBy("user_id", "chunk")
+        .agg(last.alias("last"))
+        .select(
+            "user_id",
+            "chunk",
+            F.lag("last").over(Window.partitionBy("user_id").orderBy("chunk")).alias("carried"),
+        )
+    )
+
+    def previous(name: str) -> Column:
+        return F.coalesce(F.lag(name).over(in_chunk), F.col(f"carried.{name}"), F.lit(""))
+
+    return (
+        rows.join(F.broadcast(carried), ["user_id", "chunk"])
+        .withColumns({"prev_query": previous("query"), "prev_doc": previous("doc")})
+        .drop("chunk", "carried")
+    )
+
+
+def _blocks(candidates: DataFrame, expiry: int) -> DataFrame:
+    """Candidates per (user, query, block), plus the last one shortly before the block.
+
+    Of equal times only the first record can open a session. Dropping the others
+    bounds a block by its length in milliseconds, however many rows there are.
+    """
+    block_ms = _SPANS_PER_BLOCK * expiry
+    block = floor_div(F.col("ts_ms"), block_ms)
+    own = F.col("in_block") == F.col("block")
+    near_end = F.col("ts_ms") >= (F.col("in_block") + 1) * block_ms - expiry
+    records = F.array_sort(F.collect_list(F.when(own, F.struct("ts_ms", "seq"))))
+    return (
+        candidates.groupBy("user_id", "query", block.alias("in_block"), "ts_ms")
+        .agg(F.min("seq").alias("seq"))
+        .withColumn(
+            "block",
+            F.explode(
+                F.when(near_end, F.array("in_block", F.col("in_block") + 1)).otherwise(
+                    F.array("in_block")
+                )
+            ),
+        )
+        .groupBy("user_id", "query", "block")
+        .agg(records.alias("records"), F.max(F.when(~own, F.col("ts_ms"))).alias("before_ms"))
+        .filter(F.size("records") > 0)
+        .withColumn(
+            "linked",
+            F.coalesce(F.col("records")[0]["ts_ms"] - F.col("before_ms") < expiry, F.lit(False)),
+        )
+    )
+
+
+def _exits(times: np.ndarray, expiry: int, block_start: int) -> list[dict[str, int]]:
+    """Last start in a block by the time at which the session open before it expires.
+
+    An entry holds for expiry times up to ``until_ms``; past the last entry no
+    session starts in the block.
+    """
+    n = len(times)
+    follower = np.searchsorted(times, times + expiry)
+    last = times.copy()
+    for i in range(n - 1, -1, -1):
+        if follower[i] < n:
+            last[i] = last[follower[i]]
+    possible = min(int(np.searchsorted(times, block_start + expiry)) + 1, n)
+    # Of neighbours with the same exit only the latest is kept.
+    keep = np.append(last[1:possible] != last[: possible - 1], True)
+    return [
+        {"until_ms": int(t), "exit_ms": int(e)}
+        for t, e in zip(times[:possible][keep], last[:possible][keep])
+    ]
+
+
+def _exit_function(expiry: int) -> Callable[..., Column]:
+    block_ms = _SPANS_PER_BLOCK * expiry
+
+    @F.pandas_udf(_EXITS)
+    def exits(times: pd.Series, block: pd.Series) -> pd.Series:
+        return pd.Series(
+            [_exits(np.asarray(t), expiry, b * block_ms) for t, b in zip(times, block)]
+        )
+
+    return exits
+
+
+def _open_before(blocks: DataFrame, expiry: int, greedy: Callable[..., Column]) -> DataFrame:
+    """Start of the session that may be open at the beginning of each linked block."""
+    times = F.col("records")["ts_ms"]
+    heads = blocks.filter(~F.col("linked")).select(
+        "user_id",
+        "query",
+        "block",
+        F.element_at(greedy(F.col("records"), expiry), -1)["ts_ms"].alias("head_ms"),
+        F.lit(None).cast(_EXITS).alias("exits"),
+    )
+    tails = blocks.filter("linked").select(
+        "user_id",
+        "query",
+        "block",
+        F.lit(None).cast("bigint").alias("head_ms"),
+        _exit_function(expiry)(times, F.col("block")).alias("exits"),
+    )
+    # One element per block of time, so the length does not grow with the rows.
+    chain = F.array_sort(F.collect_list(F.struct("block", "head_ms", "exits")))
+    nothing = F.struct(
+        F.lit(None).cast("bigint").alias("last"),
+        F.array().cast("array<struct<block:bigint,open_ms:bigint>>").alias("entries"),
+    )
+
+    def step(acc: Column, item: Column) -> Column:
+        expires = acc["last"] + expiry
+        hit = F.filter(item["exits"], lambda e: e["until_ms"] >= expires)
+        after = F.when(F.size(hit) > 0, hit[0]["exit_ms"]).otherwise(acc["last"])
+        entry = F.struct(item["block"].alias("block"), acc["last"].alias("open_ms"))
+        return F.when(
+            item["head_ms"].isNotNull(),
+            F.struct(item["head_ms"].alias("last"), acc["entries"].alias("entries")),
+        ).otherwise(
+            F.struct(
+                after.alias("last"), F.concat(acc["entries"], F.array(entry)).alias("entries")
+            )
+        )
+
+    return (
+        heads.unionByName(tails)
+        .groupBy("user_id", "query")
+        .agg(chain.alias("chain"))
+        .select(
+            "user_id",
+            "query",
+            F.inline(F.aggregate("chain", nothing, step, lambda acc: acc["entries"])),
+        )
+    )
+
+
+def starts(candidates: DataFrame, expiry: int, greedy: Callable[..., Column]) -> DataFrame:
+    """Session starts among the candidates of the heavy users."""
+    blocks = materialise(_blocks(candidates, expiry), "heavy-blocks")
+    opened = _open_before(blocks, expiry, greedy)
+    return (
+        blocks.join(opened, ["user_id", "query", "block"], "left")
+        .select(
+            "user_id",
+            "query",
+            F.inline(greedy(F.col("records"), expiry, F.col("open_ms"))),
+        )
+    )
