@@ -7,7 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailmine.params import MIN_CLUSTERS, SIMILARITY_DIGITS
+from trailmine.operators.walk import PRODUCT_OF_MODE, entry_products, reach_matrix, renewed
+from trailmine.params import DOUBLINGS, MIN_CLUSTERS, SIMILARITY_DIGITS
 
 _CLUSTER_IDS = "query string, cluster_id int, refinement string"
 
@@ -35,19 +36,10 @@ def complete_link(similarity: np.ndarray, min_clusters: int) -> list[list[int]]:
     return clusters
 
 
-def _merge_query(refs: pd.DataFrame, sims: pd.DataFrame, min_clusters: int) -> pd.DataFrame:
-    names = np.array(sorted(refs["refinement"]), dtype=object)
-    index = pd.Index(names)
-    similarity = np.zeros((len(names), len(names)))
-    if not sims.empty:
-        values = sims["similarity"].to_numpy().round(SIMILARITY_DIGITS)
-        similarity[
-            index.get_indexer(sims["refinement"]), index.get_indexer(sims["co_refinement"])
-        ] = values
-    clusters = complete_link(similarity, min_clusters)
+def _cluster_rows(query: str, names: pd.Index, clusters: list[list[int]]) -> pd.DataFrame:
     return pd.DataFrame(
         {
-            "query": refs["query"].iloc[0],
+            "query": query,
             "cluster_id": np.repeat(np.arange(len(clusters)), [len(c) for c in clusters]),
             "refinement": names[[i for cluster in clusters for i in cluster]],
         }
@@ -61,10 +53,6 @@ def singleton_clusters(refs: DataFrame) -> DataFrame:
     return refs.select("query", number.alias("cluster_id"), "refinement")
 
 
-def query_sizes(refs: DataFrame) -> DataFrame:
-    return refs.groupBy("query").agg(F.count("*").alias("n_refs"))
-
-
 def cluster_refinements(
     similarity: DataFrame, refs: DataFrame, min_clusters: int = MIN_CLUSTERS
 ) -> DataFrame:
@@ -79,15 +67,48 @@ def cluster_refinements(
     )
     small = sized.filter(F.col("n_refs") <= min_clusters)
     large = sized.filter(F.col("n_refs") > min_clusters).drop("n_refs")
+    # Every refinement also comes as a pair with itself, so that none is missing.
+    itself = large.select(
+        "query", "refinement", F.col("refinement").alias("co_refinement"), F.lit(0.0).alias("similarity")
+    )
+    pairs = similarity.join(large.select("query").distinct(), "query", "left_semi")
 
-    def merge(ref_rows: pd.DataFrame, sim_rows: pd.DataFrame) -> pd.DataFrame:
-        if ref_rows.empty:
-            return pd.DataFrame({"query": [], "cluster_id": [], "refinement": []})
-        return _merge_query(ref_rows, sim_rows, min_clusters)
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        names = pd.Index(sorted(set(pdf["refinement"])), dtype=object)
+        link = np.zeros((len(names), len(names)))
+        rows, columns = names.get_indexer(pdf["refinement"]), names.get_indexer(pdf["co_refinement"])
+        link[rows, columns] = pdf["similarity"].to_numpy().round(SIMILARITY_DIGITS)
+        return _cluster_rows(pdf["query"].iloc[0], names, complete_link(link, min_clusters))
 
-    merged = (
-        large.groupBy("query")
-        .cogroup(similarity.groupBy("query"))
-        .applyInPandas(merge, _CLUSTER_IDS)
-    )
+    merged = pairs.unionByName(itself).groupBy("query").applyInPandas(merge, _CLUSTER_IDS)
     return singleton_clusters(small).unionByName(merged)
+
+
+def walk_and_cluster(
+    to_refs: DataFrame,
+    to_docs: DataFrame,
+    min_clusters: int = MIN_CLUSTERS,
+    doublings: int = DOUBLINGS,
+    mode: str = "max_product",
+) -> DataFrame:
+    """Random walk, similarity and merging of each query in one group.
+
+    For queries whose document steps fit one task. It saves shuffling the vectors
+    and the similarities, and gives the same clusters as the single operators.
+    """
+
+    def cluster(steps: pd.DataFrame, clicks: pd.DataFrame) -> pd.DataFrame:
+        names, reach = reach_matrix(steps, doublings)
+        largest, total = entry_products(names, reach, clicks)
+        norm = np.sqrt(np.diag(total))
+        norms = np.outer(norm, norm)
+        product = {"largest": largest, "total": total}[PRODUCT_OF_MODE[mode]]
+        link = np.divide(product, norms, out=np.zeros_like(norms), where=norms > 0)
+        clusters = complete_link(link.round(SIMILARITY_DIGITS), min_clusters)
+        return _cluster_rows(steps["query"].iloc[0], names, clusters)
+
+    return (
+        to_refs.groupBy("query")
+        .cogroup(renewed(to_docs).groupBy("query"))
+        .applyInPandas(cluster, _CLUSTER_IDS)
+    )

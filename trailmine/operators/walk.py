@@ -16,10 +16,9 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailmine import schemas
 from trailmine.operators.cooccurrence import symmetric_co_occ
 from trailmine.params import DOC_ROWS_PER_TASK, DOUBLINGS, EPSILON
 
@@ -27,6 +26,8 @@ from trailmine.params import DOC_ROWS_PER_TASK, DOUBLINGS, EPSILON
 TOPIC = ""
 _REACH = "query string, refinement string, via string, weight double"
 _PRODUCTS = "query string, refinement string, co_refinement string, largest double, total double"
+# Which entry product a similarity mode divides by the norms.
+PRODUCT_OF_MODE = {"max_product": "largest", "cosine": "total"}
 # Document columns multiplied at a time inside a task.
 _COLUMN_BATCH = 4096
 
@@ -43,62 +44,128 @@ def row_normalise(df: DataFrame, row_keys: Sequence[str], value: str) -> DataFra
     return df.join(sums, keys).withColumn("p", p.cast("double")).drop("row_sum")
 
 
-def transition_table(
-    co_occ: DataFrame, doc_counts: DataFrame, epsilon: float = EPSILON
-) -> DataFrame:
-    """Step probabilities ``query, src, dst, kind, p``; kind is ``ref``, ``doc`` or ``topic``.
+def reference_rows(co_occ: DataFrame, doc_counts: DataFrame) -> DataFrame:
+    """One row per refinement that takes part in the walk.
 
-    Refinements are those with a co-occurrence; documents of others are left out.
-    The absorbing states have no rows.
+    Columns: ``query, refinement, pair_sum, doc_sum`` (null without clicks),
+    ``n_refs`` and ``query_docs`` (refinements and document rows of the query). A
+    query takes part if it has a co-occurrence and a click; of its refinements
+    those with a co-occurrence.
     """
-    pairs = symmetric_co_occ(co_occ).select(
-        "query", F.col("refinement").alias("src"), F.col("co_refinement").alias("dst"), "count"
+    pairs = co_occ.select(
+        "query",
+        F.explode(F.array("refinement", "co_refinement")).alias("refinement"),
+        F.col("count").alias("pair"),
+        F.lit(None).cast("bigint").alias("doc"),
     )
     docs = doc_counts.select(
-        "query", F.col("refinement").alias("src"), F.col("doc").alias("dst"), "count"
+        "query",
+        "refinement",
+        F.lit(None).cast("bigint").alias("pair"),
+        F.col("count").alias("doc"),
     )
-    pair_sums = pairs.groupBy("query", "src").agg(F.sum("count").alias("pair_sum"))
-    doc_sums = docs.groupBy("query", "src").agg(F.sum("count").alias("doc_sum"))
-    sizes = pair_sums.groupBy("query").agg(F.count("*").alias("n_refs"))
-
-    topic = 1 / F.col("n_refs")
-    clicked = F.coalesce(F.col("doc_sum") > 0, F.lit(False))
-    scale = (1 - epsilon) + F.when(clicked, F.lit(epsilon)).otherwise(F.lit(0.0)) + topic
-    rows = (
-        pair_sums.join(doc_sums, ["query", "src"], "left")
-        .join(sizes, "query")
-        .withColumn("scale", scale)
+    of_query = Window.partitionBy("query")
+    in_walk = F.col("pair_sum").isNotNull()
+    return (
+        pairs.unionByName(docs)
+        .groupBy("query", "refinement")
+        .agg(
+            F.sum("pair").alias("pair_sum"),
+            F.sum("doc").alias("doc_sum"),
+            F.count("doc").alias("docs"),
+        )
+        .withColumns(
+            {
+                "n_refs": F.count("pair_sum").over(of_query),
+                "query_docs": F.sum(F.when(in_walk, F.col("docs")).otherwise(0)).over(of_query),
+                "query_clicks": F.count("doc_sum").over(of_query),
+            }
+        )
+        .filter(in_walk & (F.col("query_clicks") > 0))
+        .drop("docs", "query_clicks")
     )
 
-    def steps(df: DataFrame, kind: str, weight: F.Column) -> DataFrame:
-        return df.select(
-            "query", "src", "dst", F.lit(kind).alias("kind"), (weight / F.col("scale")).alias("p")
+
+def _scale(epsilon: float) -> Column:
+    """Sum of the weights of a refinement before they are scaled to one."""
+    clicked = F.when(F.col("doc_sum").isNotNull(), F.lit(epsilon)).otherwise(F.lit(0.0))
+    return (1 - epsilon) + clicked + 1 / F.col("n_refs")
+
+
+def ref_steps(co_occ: DataFrame, rows: DataFrame, epsilon: float = EPSILON) -> DataFrame:
+    """Steps between refinements, ``query, src, dst, p``, of the refinements in ``rows``."""
+    weight = (1 - epsilon) * (F.col("count") / F.col("pair_sum"))
+    return (
+        symmetric_co_occ(co_occ)
+        .join(rows, ["query", "refinement"])
+        .select(
+            "query",
+            F.col("refinement").alias("src"),
+            F.col("co_refinement").alias("dst"),
+            (weight / _scale(epsilon)).alias("p"),
         )
+    )
+
 
-    to_refs = steps(
-        pairs.join(rows, ["query", "src"]),
-        "ref",
-        (1 - epsilon) * (F.col("count") / F.col("pair_sum")),
+def doc_steps(doc_counts: DataFrame, rows: DataFrame, epsilon: float = EPSILON) -> DataFrame:
+    """Steps to documents, ``query, src, dst, p``, of the refinements in ``rows``."""
+    weight = epsilon * (F.col("count") / F.col("doc_sum"))
+    return doc_counts.join(rows, ["query", "refinement"]).select(
+        "query",
+        F.col("refinement").alias("src"),
+        F.col("doc").alias("dst"),
+        (weight / _scale(epsilon)).alias("p"),
     )
-    to_docs = steps(
-        docs.join(rows.filter(clicked), ["query", "src"]),
-        "doc",
-        epsilon * (F.col("count") / F.col("doc_sum")),
+
+
+def transition_table(
+    co_occ: DataFrame, doc_counts: DataFrame, epsilon: float = EPSILON
+) -> DataFrame:
+    """Step probabilities ``query, src, dst, kind, p``; kind is ``ref``, ``doc`` or ``topic``.
+
+    The absorbing states have no rows.
+    """
+    rows = reference_rows(co_occ, doc_counts)
+    to_topic = rows.select(
+        "query",
+        F.col("refinement").alias("src"),
+        F.lit(TOPIC).alias("dst"),
+        (1 / F.col("n_refs") / _scale(epsilon)).alias("p"),
     )
-    to_topic = steps(rows.withColumn("dst", F.lit(TOPIC)), "topic", topic)
-    return to_refs.unionByName(to_docs).unionByName(to_topic)
+    steps = {
+        "ref": ref_steps(co_occ, rows, epsilon),
+        "doc": doc_steps(doc_counts, rows, epsilon),
+        "topic": to_topic,
+    }
+    parts = [
+        df.select("query", "src", "dst", F.lit(kind).alias("kind"), "p")
+        for kind, df in steps.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def steps_of(transitions: DataFrame, kind: str) -> DataFrame:
+    return transitions.filter(F.col("kind") == kind).select("query", "src", "dst", "p")
 
 
-def _reach_matrix(steps: np.ndarray, doublings: int) -> np.ndarray:
-    """Sum of the first 2**doublings powers of ``steps``, starting with the identity."""
-    reach = np.eye(len(steps))
+def renewed(df: DataFrame) -> DataFrame:
+    """``df`` with columns of their own, so that it can meet a frame of the same origin."""
+    return df.toDF(*df.columns)
+
+
+def reach_matrix(steps: pd.DataFrame, doublings: int) -> tuple[pd.Index, np.ndarray]:
+    """Refinement names and the sum of the first 2**doublings powers of the step matrix."""
+    names = pd.Index(sorted(set(steps["src"]) | set(steps["dst"])), dtype=object)
+    power = np.zeros((len(names), len(names)))
+    power[names.get_indexer(steps["src"]), names.get_indexer(steps["dst"])] = steps["p"]
+    reach = np.eye(len(names))
     for _ in range(doublings):
-        reach = reach + steps @ reach
-        steps = steps @ steps
-    return reach
+        reach = reach + power @ reach
+        power = power @ power
+    return names, reach
 
 
-def reach_weights(transitions: DataFrame, doublings: int = DOUBLINGS) -> DataFrame:
+def reach_weights(steps: DataFrame, doublings: int = DOUBLINGS) -> DataFrame:
     """How often a walk from ``refinement`` leaves for a document from ``via``.
 
     That is the sum over walks of fewer than 2**doublings refinement steps, the
@@ -106,11 +173,7 @@ def reach_weights(transitions: DataFrame, doublings: int = DOUBLINGS) -> DataFra
     """
 
     def reach(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = np.array(sorted(set(pdf["src"]) | set(pdf["dst"])), dtype=object)
-        index = pd.Index(names)
-        steps = np.zeros((len(names), len(names)))
-        steps[index.get_indexer(pdf["src"]), index.get_indexer(pdf["dst"])] = pdf["p"]
-        weights = _reach_matrix(steps, doublings)
+        names, weights = reach_matrix(pdf, doublings)
         i, j = np.nonzero(weights)
         return pd.DataFrame(
             {
@@ -121,8 +184,7 @@ def reach_weights(transitions: DataFrame, doublings: int = DOUBLINGS) -> DataFra
             }
         )
 
-    refs = transitions.filter(F.col("kind") == "ref").select("query", "src", "dst", "p")
-    return refs.groupBy("query").applyInPandas(reach, _REACH)
+    return steps.groupBy("query").applyInPandas(reach, _REACH)
 
 
 def absorption_vectors(transitions: DataFrame, doublings: int = DOUBLINGS) -> DataFrame:
@@ -130,11 +192,11 @@ def absorption_vectors(transitions: DataFrame, doublings: int = DOUBLINGS) -> Da
 
     A refinement without a path to a document has no rows.
     """
-    docs = transitions.filter(F.col("kind") == "doc").select(
+    docs = steps_of(transitions, "doc").select(
         "query", F.col("src").alias("via"), F.col("dst").alias("doc"), "p"
     )
     return (
-        reach_weights(transitions, doublings)
+        reach_weights(steps_of(transitions, "ref"), doublings)
         .join(docs, ["query", "via"])
         .groupBy("query", "refinement", "doc")
         .agg(F.sum(F.col("weight") * F.col("p")).alias("p"))
@@ -148,7 +210,7 @@ def ref_similarity(vectors: DataFrame, mode: str = "max_product") -> DataFrame:
     norms, ``cosine`` the sum of the products over it. Pairs without a common
     document are absent. The smaller refinement comes first.
     """
-    join_products = {"max_product": F.max, "cosine": F.sum}[mode]
+    combine = {"largest": F.max, "total": F.sum}[PRODUCT_OF_MODE[mode]]
     norms = vectors.groupBy("query", "refinement").agg(
         F.sqrt(F.sum(F.col("p") * F.col("p"))).alias("norm")
     )
@@ -169,7 +231,7 @@ def ref_similarity(vectors: DataFrame, mode: str = "max_product") -> DataFrame:
             F.col("a.refinement").alias("refinement"),
             F.col("b.refinement").alias("co_refinement"),
         )
-        .agg(join_products(F.col("a.p") * F.col("b.p")).alias("product"))
+        .agg(combine(F.col("a.p") * F.col("b.p")).alias("product"))
     )
     co_norms = norms.select(
         "query", F.col("refinement").alias("co_refinement"), F.col("norm").alias("co_norm")
@@ -186,17 +248,24 @@ def ref_similarity(vectors: DataFrame, mode: str = "max_product") -> DataFrame:
     )
 
 
-def _vector_products(
-    names: np.ndarray, reach: np.ndarray, ref: np.ndarray, doc: np.ndarray, p: np.ndarray
+def entry_products(
+    names: pd.Index, reach: np.ndarray, clicks: pd.DataFrame
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Largest and summed entry products of all refinement pairs over some documents."""
+    """Largest and summed products of the vector entries of all refinement pairs.
+
+    ``clicks`` are the document steps that count; the vectors are formed for a
+    batch of documents at a time.
+    """
     n = len(names)
     largest, total = np.zeros((n, n)), np.zeros((n, n))
-    for low in range(0, int(doc.max()) + 1, _COLUMN_BATCH):
+    ref = names.get_indexer(clicks["src"])
+    doc, docs = pd.factorize(clicks["dst"])
+    p = clicks["p"].to_numpy()
+    for low in range(0, len(docs), _COLUMN_BATCH):
         part = (doc >= low) & (doc < low + _COLUMN_BATCH)
-        clicks = np.zeros((n, _COLUMN_BATCH if low else min(_COLUMN_BATCH, int(doc.max()) + 1)))
-        clicks[ref[part], doc[part] - low] = p[part]
-        vectors = reach @ clicks
+        steps = np.zeros((n, min(_COLUMN_BATCH, len(docs) - low)))
+        steps[ref[part], doc[part] - low] = p[part]
+        vectors = reach @ steps
         total += vectors @ vectors.T
         for i in range(n):
             largest[i] = np.maximum(largest[i], (vectors * vectors[i]).max(axis=1))
@@ -204,7 +273,8 @@ def _vector_products(
 
 
 def vector_products(
-    transitions: DataFrame,
+    to_refs: DataFrame,
+    to_docs: DataFrame,
     doublings: int = DOUBLINGS,
     doc_rows_per_task: int = DOC_ROWS_PER_TASK,
 ) -> DataFrame:
@@ -216,47 +286,20 @@ def vector_products(
     products of the parts are combined. A query with very many documents gets
     proportionally many parts.
     """
-    docs = transitions.filter(F.col("kind") == "doc").select("query", "src", "dst", "p")
-    parts = docs.groupBy("query").agg(
-        F.call_function("div", F.count("*"), F.lit(doc_rows_per_task)).alias("last_part")
-    )
-    doc_parts = docs.join(parts, "query").select(
-        "query",
-        F.pmod(F.xxhash64("dst"), F.col("last_part") + 1).alias("part"),
-        "src",
-        "dst",
-        "p",
-    )
-    reach_parts = (
-        reach_weights(transitions, doublings)
-        .join(parts, "query")
-        .select(
-            "query",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), "last_part")).alias("part"),
-            "refinement",
-            "via",
-            "weight",
-        )
-    )
-
-    def products(reach: pd.DataFrame, clicks: pd.DataFrame) -> pd.DataFrame:
-        if reach.empty or clicks.empty:
-            return pd.DataFrame({n: [] for n in ("query", "refinement", "co_refinement", "largest", "total")})
-        names = np.array(sorted(set(reach["refinement"])), dtype=object)
-        index = pd.Index(names)
-        weights = np.zeros((len(names), len(names)))
-        weights[index.get_indexer(reach["refinement"]), index.get_indexer(reach["via"])] = reach["weight"]
-        largest, total = _vector_products(
-            names,
-            weights,
-            index.get_indexer(clicks["src"]),
-            pd.factorize(clicks["dst"])[0],
-            clicks["p"].to_numpy(),
-        )
+    last_part = F.call_function("div", F.count("*"), F.lit(doc_rows_per_task))
+    parts = to_docs.groupBy("query").agg(last_part.alias("last_part"))
+    doc_part = F.pmod(F.xxhash64("dst"), F.col("last_part") + 1)
+    every_part = F.explode(F.sequence(F.lit(0).cast("bigint"), "last_part"))
+    dealt = renewed(to_docs.join(parts, "query").withColumn("part", doc_part))
+    copied = to_refs.join(parts, "query").withColumn("part", every_part)
+
+    def products(steps: pd.DataFrame, clicks: pd.DataFrame) -> pd.DataFrame:
+        names, reach = reach_matrix(steps, doublings)
+        largest, total = entry_products(names, reach, clicks)
         i, j = np.nonzero(np.triu(total))
         return pd.DataFrame(
             {
-                "query": reach["query"].iloc[0],
+                "query": np.repeat(steps["query"].to_numpy()[:1], len(i)),
                 "refinement": names[i],
                 "co_refinement": names[j],
                 "largest": largest[i, j],
@@ -264,10 +307,9 @@ def vector_products(
             }
         )
 
-    keys = ["query", "part"]
     return (
-        reach_parts.groupBy(*keys)
-        .cogroup(doc_parts.groupBy(*keys))
+        copied.groupBy("query", "part")
+        .cogroup(dealt.groupBy("query", "part"))
         .applyInPandas(products, _PRODUCTS)
         .groupBy("query", "refinement", "co_refinement")
         .agg(F.max("largest").alias("largest"), F.sum("total").alias("total"))
@@ -276,7 +318,7 @@ def vector_products(
 
 def similarity_from_products(products: DataFrame, mode: str = "max_product") -> DataFrame:
     """The result of :func:`ref_similarity` from entry products."""
-    value = {"max_product": "largest", "cosine": "total"}[mode]
+    value = PRODUCT_OF_MODE[mode]
     itself = F.col("refinement") == F.col("co_refinement")
     norms = products.filter(itself).select(
         "query", F.col("refinement").alias("name"), F.sqrt("total").alias("norm")
@@ -293,5 +335,4 @@ def similarity_from_products(products: DataFrame, mode: str = "max_product") ->
             "co_refinement",
             (F.col(value) / (F.col("a") * F.col("b"))).alias("similarity"),
         )
-        .to(schemas.SIMILARITY)
     )

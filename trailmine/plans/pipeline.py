@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 
 from trailmine.operators.clustering import (
     cluster_refinements,
-    query_sizes,
     singleton_clusters,
+    walk_and_cluster,
 )
 from trailmine.operators.cooccurrence import (
     attach_ref_counts,
     co_occurrences,
-    common_queries,
     filter_by_top_refs,
-    symmetric_co_occ,
 )
 from trailmine.operators.counts import (
     count_co_occurrences,
@@ -29,7 +27,13 @@ from trailmine.operators.counts import (
     top_refinements,
 )
 from trailmine.operators.sessions import build_sessions
-from trailmine.operators.walk import similarity_from_products, transition_table, vector_products
+from trailmine.operators.walk import (
+    doc_steps,
+    ref_steps,
+    reference_rows,
+    similarity_from_products,
+    vector_products,
+)
 from trailmine.params import (
     DOC_ROWS_PER_TASK,
     DOUBLINGS,
@@ -84,32 +88,43 @@ def docs_of(sessions: DataFrame, top: DataFrame, settings: Settings) -> DataFram
     return top_docs(count_docs(rows), settings.docs_per_ref)
 
 
-def _cluster_ids(co_occ: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
-    """Clusters of the queries that have both co-occurrences and clicks.
+def cluster_ids(sessions: DataFrame, top: DataFrame, settings: Settings) -> DataFrame:
+    """``query, cluster_id, refinement`` of written-down sessions and top refinements.
 
-    Queries of at most ``min_clusters`` refinements merge nothing. Only the others
-    go through the random walk.
+    Queries of at most ``min_clusters`` refinements merge nothing, so only the
+    others go through the random walk. Their documents are handled in one group
+    per query, or in parts if there are very many.
     """
-    refs = (
-        symmetric_co_occ(co_occ)
-        .select("query", "refinement")
-        .distinct()
-        .join(docs.select("query").distinct(), "query", "left_semi")
-    )
-    sizes = query_sizes(refs)
-    large = sizes.filter(F.col("n_refs") > settings.min_clusters).select("query")
-    large_co, large_docs = common_queries(co_occ.join(large, "query", "left_semi"), docs)
-    transitions = transition_table(large_co, large_docs, settings.epsilon)
-    products = vector_products(transitions, settings.doublings, settings.doc_rows_per_task)
-    similarity = similarity_from_products(products, settings.mode)
-    return cluster_refinements(similarity, refs, settings.min_clusters)
-
-
-def cluster_ids(sessions: DataFrame, top: DataFrame, settings: Settings) -> DataFrame:
-    """``query, cluster_id, refinement`` of written-down sessions and top refinements."""
     co_occ = materialise(co_occ_of(sessions, top), "co-occ")
     docs = materialise(docs_of(sessions, top, settings), "doc-counts")
-    return _cluster_ids(co_occ, docs, settings)
+    rows = materialise(reference_rows(co_occ, docs), "walk-refs")
+
+    large = F.col("n_refs") > settings.min_clusters
+    in_parts = F.col("query_docs") > settings.doc_rows_per_task
+    whole = rows.filter(large & ~in_parts)
+    clusters = singleton_clusters(rows.filter(~large)).unionByName(
+        walk_and_cluster(
+            ref_steps(co_occ, whole, settings.epsilon),
+            doc_steps(docs, whole, settings.epsilon),
+            settings.min_clusters,
+            settings.doublings,
+            settings.mode,
+        )
+    )
+    parts = rows.filter(large & in_parts)
+    if parts.isEmpty():
+        return clusters
+    products = vector_products(
+        ref_steps(co_occ, parts, settings.epsilon),
+        doc_steps(docs, parts, settings.epsilon),
+        settings.doublings,
+        settings.doc_rows_per_task,
+    )
+    # The norms and the pairs are both taken from the products.
+    similarity = similarity_from_products(
+        materialise(products, "products"), settings.mode
+    )
+    return clusters.unionByName(cluster_refinements(similarity, parts, settings.min_clusters))
 
 
 def cluster_pipeline(log: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "TIMESTAMP": T.TimestampType(),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """Schema from ``name TYPE`` pairs; needs no running session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 LOG = _schema("user_id BIGINT, ts TIMESTAMP, ts_ms BIGINT, seq BIGINT, query STRING, doc STRING")
