@@ -67,12 +67,12 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.sessions_of(_log(spark, sf_dir), SETTINGS)
+    return sessions.build_sessions(_log(spark, sf_dir), SPAN_S)
 
 
-def _session_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions for queries that use them more than once."""
-    return materialise(_sessions(spark, sf_dir), "sessions")
+def _marked_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session rows for queries that use them more than once."""
+    return materialise(pipeline.sessions_of(_log(spark, sf_dir), SETTINGS), "sessions")
 
 
 def _ref_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +80,7 @@ def _ref_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _count_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = _session_table(spark, sf_dir)
+    rows = _marked_table(spark, sf_dir)
     top = materialise(pipeline.top_of(rows, SETTINGS), "top-refs")
     co_occ = pipeline.co_occ_of(rows, top)
     return materialise(co_occ, "co-occ"), materialise(
@@ -190,13 +190,18 @@ def q_distinct_session_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.distinct_session_refs(_sessions(spark, sf_dir))
 
 
+def q_first_session_refs_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _log(spark, sf_dir)
+    return counts.first_session_refs(sessions.mark_sessions(log, SPAN_S, split_rows=SPLIT_ROWS))
+
+
 def q_top_refinements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.top_refinements(_ref_counts(spark, sf_dir), TOP_REFS)
 
 
 def _rows_and_top(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = _session_table(spark, sf_dir)
-    refs = counts.count_refinements(counts.distinct_session_refs(rows))
+    rows = _marked_table(spark, sf_dir)
+    refs = counts.count_refinements(counts.first_session_refs(rows))
     return rows, counts.top_refinements(refs, TOP_REFS)
 
 
@@ -408,6 +413,7 @@ def queries() -> dict[str, Query]:
         "sessions_strict": q_sessions_strict,
         "sessions_split": q_sessions_split,
         "distinct_session_refs": q_distinct_session_refs,
+        "first_session_refs_split": q_first_session_refs_split,
         "refinement_counts": _ref_counts,
         "top_refinements": q_top_refinements,
         "top_ref_session_rows": q_top_ref_session_rows,

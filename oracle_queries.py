@@ -25,7 +25,10 @@ BOT = 71845
 
 
 def _with(ctes: dict[str, str], select: str) -> str:
-    body = ",\n".join(f"{name} AS ({sql})" for name, sql in ctes.items())
+    # Named in the recursive steps, a table must not be computed again for each of them.
+    body = ",\n".join(
+        f"{name} AS {'' if '(' in name else 'MATERIALIZED '}({sql})" for name, sql in ctes.items()
+    )
     return f"WITH RECURSIVE {body}\n{select}"
 
 
@@ -339,6 +342,7 @@ def all_queries() -> dict[str, str]:
         ),
         "sessions_split": _with(_sessions(), sessions),
         "distinct_session_refs": _with(_counts(), "SELECT * FROM single"),
+        "first_session_refs_split": _with(_counts(), "SELECT * FROM single"),
         "refinement_counts": _with(_counts(), "SELECT * FROM ref_counts"),
         "top_refinements": _with(_counts(TOP_REFS), "SELECT * FROM top_refs"),
         "top_ref_session_rows": _with(_counts(TOP_REFS), "SELECT * FROM top_single"),

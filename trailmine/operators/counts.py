@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from trailmine.params import MIN_FIELD_COUNT, TOP_DOCS, TOP_REFINEMENTS
 
+_SESSION_REF = ["session_id", "query", "refinement"]
+
 
 def _sum_counts(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.sum("count").cast("bigint").alias("count"))
@@ -23,9 +25,13 @@ def _top(counts: DataFrame, k: int, group: list[str], item: str) -> DataFrame:
 
 
 def distinct_session_refs(sessions: DataFrame) -> DataFrame:
-    """One row per refinement of a session."""
-    keys = ["session_id", "query", "refinement"]
-    return sessions.select(*keys, "count").dropDuplicates(keys)
+    """One row per refinement of a session, counting once."""
+    return sessions.select(*_SESSION_REF).distinct().withColumn("count", F.lit(1))
+
+
+def first_session_refs(marked: DataFrame) -> DataFrame:
+    """The same from the rows of ``mark_sessions``, without a shuffle."""
+    return marked.filter("is_first").select(*_SESSION_REF, "count")
 
 
 def count_refinements(session_refs: DataFrame) -> DataFrame:

@@ -22,7 +22,11 @@ RECORD = "struct<ts_ms:bigint,seq:bigint>"
 
 
 class _Trails(NamedTuple):
-    """Log rows with ``prev_query`` and ``prev_doc``; ``split`` is None without heavy users."""
+    """Log rows with what came before them; ``split`` is None without heavy users.
+
+    ``prev_query`` and ``prev_doc`` are of the user's previous record, ``same_ms``
+    and ``same_seq`` the place of the user's previous record with the same query.
+    """
 
     whole: DataFrame
     split: DataFrame | None
@@ -43,12 +47,15 @@ def expiry_ms(span_s: int) -> int:
 def _trails(log: DataFrame, split_rows: int) -> _Trails:
     log = log.select("user_id", "ts", "ts_ms", "seq", "query", "doc")
     heavy = split_users.heavy_users(log, split_rows)
-    order = Window.partitionBy("user_id").orderBy("ts_ms", "seq")
+    of_user = Window.partitionBy("user_id").orderBy("ts_ms", "seq")
+    of_query = Window.partitionBy("user_id", "query").orderBy("ts_ms", "seq")
     rest = log.filter(~F.col("user_id").isin(list(heavy))) if heavy else log
     whole = rest.withColumns(
         {
-            "prev_query": F.lag("query", 1, "").over(order),
-            "prev_doc": F.lag("doc", 1, "").over(order),
+            "prev_query": F.lag("query", 1, "").over(of_user),
+            "prev_doc": F.lag("doc", 1, "").over(of_user),
+            "same_ms": F.lag("ts_ms").over(of_query),
+            "same_seq": F.lag("seq").over(of_query),
         }
     )
     split = split_users.with_previous(log, heavy, split_rows) if heavy else None
@@ -112,7 +119,7 @@ def _starts(trails: _Trails, span_s: int, seed_queries: Sequence[str] | None) ->
 
 def collapse_repeats(log: DataFrame, split_rows: int = SPLIT_USER_ROWS) -> DataFrame:
     """Drop a record that has the query and document of the user's previous record."""
-    return _without_repeats(_trails(log, split_rows).all_rows()).drop("prev_query", "prev_doc")
+    return _without_repeats(_trails(log, split_rows).all_rows()).select(*log.columns)
 
 
 def session_starts(
@@ -146,6 +153,8 @@ def _attach_refinements(rows: DataFrame, starts: DataFrame, span_s: int) -> Data
         "seq",
         F.col("query").alias("refinement"),
         "doc",
+        "same_ms",
+        "same_seq",
     )
     openings = starts.select(
         "user_id",
@@ -154,9 +163,15 @@ def _attach_refinements(rows: DataFrame, starts: DataFrame, span_s: int) -> Data
         F.col("seq").alias("start_seq"),
         "query",
     )
-    later = (F.col("ts_ms") > F.col("start_ms")) | (
-        (F.col("ts_ms") == F.col("start_ms")) & (F.col("seq") > F.col("start_seq"))
-    )
+
+    def after_start(ms: str, seq: str) -> Column:
+        return (F.col(ms) > F.col("start_ms")) | (
+            (F.col(ms) == F.col("start_ms")) & (F.col(seq) > F.col("start_seq"))
+        )
+
+    later = after_start("ts_ms", "seq")
+    # The refinement is new to the session if its previous record is not inside.
+    is_first = F.col("same_ms").isNull() | ~after_start("same_ms", "same_seq")
     inside = F.col("ts_ms") - F.col("start_ms") < expiry
     other_query = F.col("refinement") != F.col("query")
     return (
@@ -170,6 +185,7 @@ def _attach_refinements(rows: DataFrame, starts: DataFrame, span_s: int) -> Data
             "refinement",
             "doc",
             F.lit(1).alias("count"),
+            is_first.alias("is_first"),
         )
     )
 
@@ -185,19 +201,34 @@ def drop_single_unclicked(sessions: DataFrame) -> DataFrame:
     return sessions.join(invalid, "session_id", "left_anti")
 
 
-def build_sessions(
+def mark_sessions(
     log: DataFrame,
     span_s: int = SESSION_SPAN_S,
     seed_queries: Sequence[str] | None = None,
     strict: bool = False,
     split_rows: int = SPLIT_USER_ROWS,
 ) -> DataFrame:
-    """Session rows: each later record with another query inside the span of a start.
+    """The rows of :func:`build_sessions` with ``is_first``.
 
-    A session needs at least one refinement. ``strict`` also drops sessions of a
-    single refinement without a document.
+    It marks the first row of each refinement in its session, which makes the
+    distinct refinements of all sessions a filter instead of a shuffle.
     """
     trails = _trails(log, split_rows)
     rows = _without_repeats(trails.all_rows())
     sessions = _attach_refinements(rows, _starts(trails, span_s, seed_queries), span_s)
     return drop_single_unclicked(sessions) if strict else sessions
+
+
+def build_sessions(
+    log: DataFrame,
+    span_s: int = SESSION_SPAN_S,
+    seed_queries: Sequence[str] | None = None,
+    strict: bool = False,
+    split_rows: int = SPLIT_USER_ROWS,
+) -> DataFrame:
+    """Session rows: each later record with another query inside the span of a start.
+
+    A session needs at least one refinement. ``strict`` also drops sessions of a
+    single refinement without a document.
+    """
+    return mark_sessions(log, span_s, seed_queries, strict, split_rows).drop("is_first")

@@ -26,7 +26,7 @@ from trailmine.params import MAX_SPLIT_CHUNKS, MAX_SPLIT_USERS
 from trailmine.storage import materialise
 
 # Sessions of one query that fit into one block.
-_SPANS_PER_BLOCK = 64
+_SPANS_PER_BLOCK = 32
 _EXITS = "array<struct<until_ms:bigint,exit_ms:bigint>>"
 
 
@@ -43,7 +43,7 @@ def heavy_users(log: DataFrame, split_rows: int) -> dict[int, int]:
 
 
 def with_previous(log: DataFrame, heavy: Mapping[int, int], split_rows: int) -> DataFrame:
-    """Rows of the heavy users with ``prev_query`` and ``prev_doc``."""
+    """Rows of the heavy users with their previous record and previous record of the same query."""
     n_chunks = min(-(-sum(heavy.values()) // split_rows), MAX_SPLIT_CHUNKS)
     # The chunk number is not a function of the row, so it is fixed by writing it down.
     rows = materialise(
@@ -52,27 +52,45 @@ def with_previous(log: DataFrame, heavy: Mapping[int, int], split_rows: int) ->
         .withColumn("chunk", F.spark_partition_id()),
         "heavy-users",
     )
-    in_chunk = Window.partitionBy("user_id", "chunk").orderBy("ts_ms", "seq")
-    last = F.max_by(F.struct("query", "doc"), F.struct("ts_ms", "seq"))
+    in_time = [F.col("ts_ms"), F.col("seq")]
+    in_chunk = Window.partitionBy("user_id", "chunk").orderBy(*in_time)
+    of_query = Window.partitionBy("user_id", "chunk", "query").orderBy(*in_time)
+    place = F.struct("ts_ms", "seq")
+
     # One row per (user, chunk): at most MAX_SPLIT_CHUNKS + MAX_SPLIT_USERS, as the
     # chunks are ranges.
+    last = F.max_by(F.struct("query", "doc"), place)
+    before = F.lag("last").over(Window.partitionBy("user_id").orderBy("chunk"))
     carried = (
         rows.groupBy("user_id", "chunk")
         .agg(last.alias("last"))
-        .select(
-            "user_id",
-            "chunk",
-            F.lag("last").over(Window.partitionBy("user_id").orderBy("chunk")).alias("carried"),
-        )
+        .select("user_id", "chunk", before.alias("carried"))
+    )
+    # One row per (user, query, chunk), so at most MAX_SPLIT_CHUNKS per window.
+    before = F.lag("last").over(Window.partitionBy("user_id", "query").orderBy("chunk"))
+    same = (
+        rows.groupBy("user_id", "query", "chunk")
+        .agg(F.max(place).alias("last"))
+        .select("user_id", "query", "chunk", before.alias("same"))
+        .filter(F.col("same").isNotNull())
     )
-
-    def previous(name: str) -> Column:
-        return F.coalesce(F.lag(name).over(in_chunk), F.col(f"carried.{name}"), F.lit(""))
-
     return (
-        rows.join(F.broadcast(carried), ["user_id", "chunk"])
-        .withColumns({"prev_query": previous("query"), "prev_doc": previous("doc")})
-        .drop("chunk", "carried")
+        rows.withColumns(
+            {
+                "in_query": F.lag("query").over(in_chunk),
+                "in_doc": F.lag("doc").over(in_chunk),
+                "in_place": F.lag(place).over(of_query),
+            }
+        )
+        .join(F.broadcast(carried), ["user_id", "chunk"])
+        .join(same, ["user_id", "query", "chunk"], "left")
+        .select(
+            *log.columns,
+            F.coalesce("in_query", "carried.query", F.lit("")).alias("prev_query"),
+            F.coalesce("in_doc", "carried.doc", F.lit("")).alias("prev_doc"),
+            F.coalesce("in_place.ts_ms", "same.ts_ms").alias("same_ms"),
+            F.coalesce("in_place.seq", "same.seq").alias("same_seq"),
+        )
     )
 
 

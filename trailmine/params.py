@@ -19,7 +19,7 @@ SUGGESTION_LIMIT = 1000
 
 # A user with more log rows than this is handled in time-ordered chunks of about
 # this many rows instead of as one window partition.
-SPLIT_USER_ROWS = 2_000_000
+SPLIT_USER_ROWS = 500_000
 # Bounds on what the split path keeps on the driver or broadcasts.
 MAX_SPLIT_USERS = 10_000
 MAX_SPLIT_CHUNKS = 20_000

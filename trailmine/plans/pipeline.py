@@ -22,11 +22,11 @@ from trailmine.operators.counts import (
     count_co_occurrences,
     count_docs,
     count_refinements,
-    distinct_session_refs,
+    first_session_refs,
     top_docs,
     top_refinements,
 )
-from trailmine.operators.sessions import build_sessions
+from trailmine.operators.sessions import mark_sessions
 from trailmine.operators.walk import (
     doc_steps,
     ref_steps,
@@ -64,27 +64,28 @@ class Settings:
 
 
 def sessions_of(log: DataFrame, settings: Settings) -> DataFrame:
-    return build_sessions(
+    """Marked session rows."""
+    return mark_sessions(
         log, settings.span_s, settings.seed_queries, settings.strict, settings.split_rows
     )
 
 
-def top_of(sessions: DataFrame, settings: Settings) -> DataFrame:
-    counts = count_refinements(distinct_session_refs(sessions))
+def top_of(marked: DataFrame, settings: Settings) -> DataFrame:
+    """Top refinements of marked session rows."""
+    counts = count_refinements(first_session_refs(marked))
     return top_refinements(counts, settings.refs_per_query)
 
 
-def co_occ_of(sessions: DataFrame, top: DataFrame) -> DataFrame:
+def co_occ_of(marked: DataFrame, top: DataFrame) -> DataFrame:
     """Co-occurrence counts of the top refinements."""
-    # Filtering before the pairs are built bounds the pairs of a session. The sets
-    # built there drop repeated refinements, so the rows need not be distinct.
-    rows = filter_by_top_refs(sessions.select("session_id", "query", "refinement"), top)
+    # Filtering before the pairs are built bounds the pairs of a session.
+    rows = filter_by_top_refs(first_session_refs(marked), top)
     return count_co_occurrences(co_occurrences(rows))
 
 
-def docs_of(sessions: DataFrame, top: DataFrame, settings: Settings) -> DataFrame:
+def docs_of(marked: DataFrame, top: DataFrame, settings: Settings) -> DataFrame:
     """Click counts of the top refinements."""
-    rows = filter_by_top_refs(sessions.select("query", "refinement", "doc", "count"), top, True)
+    rows = filter_by_top_refs(marked.select("query", "refinement", "doc", "count"), top, True)
     return top_docs(count_docs(rows), settings.docs_per_ref)
 
 
@@ -145,11 +146,11 @@ def run_level(log: DataFrame, level: str = "", settings: Settings = Settings())
     if level == "test":
         return log.select("user_id")
     if level == "sessionConstruction":
-        return sessions_of(log, settings)
+        return sessions_of(log, settings).drop("is_first")
     if level == "singleSessions":
-        return distinct_session_refs(sessions_of(log, settings))
+        return first_session_refs(sessions_of(log, settings))
     if level == "countRef":
-        return count_refinements(distinct_session_refs(sessions_of(log, settings)))
+        return count_refinements(first_session_refs(sessions_of(log, settings)))
     if level == "topCountRef":
         return top_of(sessions_of(log, settings), settings)
     if level == "cluster":
