@@ -63,14 +63,14 @@ def _trails(log: DataFrame, split_rows: int) -> _Trails:
 
 
 def _without_repeats(trail: DataFrame) -> DataFrame:
-    repeat = (F.col("query") == F.col("prev_query")) & (F.col("doc") == F.col("prev_doc"))
-    return trail.filter(~repeat)
+    previous = F.struct(F.col("prev_query").alias("query"), F.col("prev_doc").alias("doc"))
+    return trail.filter(F.struct("query", "doc") != previous)
 
 
 def _candidates(trail: DataFrame, seed_queries: Sequence[str] | None) -> DataFrame:
     """Records that open a session unless one of their query is open already."""
-    # A repeat never has another query. Dropping repeats here too keeps this branch
-    # equal to the one with all rows, so Spark shuffles the log by user only once.
+    # A repeat never has another query. Dropping repeats here too makes this branch read
+    # the same columns as the one with all rows, so both share one shuffle of the log.
     rows = _without_repeats(trail).filter(F.col("query") != F.col("prev_query"))
     if seed_queries is not None:
         rows = rows.filter(F.col("query").isin(list(seed_queries)))

@@ -79,7 +79,8 @@ def with_previous(log: DataFrame, heavy: Mapping[int, int], split_rows: int) ->
             {
                 "in_query": F.lag("query").over(in_chunk),
                 "in_doc": F.lag("doc").over(in_chunk),
-                "in_place": F.lag(place).over(of_query),
+                "in_ms": F.lag("ts_ms").over(of_query),
+                "in_seq": F.lag("seq").over(of_query),
             }
         )
         .join(F.broadcast(carried), ["user_id", "chunk"])
@@ -88,8 +89,8 @@ def with_previous(log: DataFrame, heavy: Mapping[int, int], split_rows: int) ->
             *log.columns,
             F.coalesce("in_query", "carried.query", F.lit("")).alias("prev_query"),
             F.coalesce("in_doc", "carried.doc", F.lit("")).alias("prev_doc"),
-            F.coalesce("in_place.ts_ms", "same.ts_ms").alias("same_ms"),
-            F.coalesce("in_place.seq", "same.seq").alias("same_seq"),
+            F.coalesce("in_ms", "same.ts_ms").alias("same_ms"),
+            F.coalesce("in_seq", "same.seq").alias("same_seq"),
         )
     )
 
