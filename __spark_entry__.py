@@ -50,7 +50,7 @@ from trailmine.sources import (  # noqa: E402
     rejected_rows,
     split_log_fields,
 )
-from trailmine.storage import materialise, scratch_path  # noqa: E402
+from trailmine.storage import materialise, materialise_together, scratch_path  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,10 +82,10 @@ def _ref_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _count_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = _marked_table(spark, sf_dir)
     top = materialise(pipeline.top_of(rows, SETTINGS), "top-refs")
-    co_occ = pipeline.co_occ_of(rows, top)
-    return materialise(co_occ, "co-occ"), materialise(
-        pipeline.docs_of(rows, top, SETTINGS), "doc-counts"
+    co_occ, docs = materialise_together(
+        {"co-occ": pipeline.co_occ_of(rows, top), "doc-counts": pipeline.docs_of(rows, top, SETTINGS)}
     )
+    return co_occ, docs
 
 
 def _transitions(spark: SparkSession, sf_dir: str) -> DataFrame:

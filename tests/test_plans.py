@@ -11,7 +11,9 @@ from trailmine import schemas
 from trailmine.operators.cooccurrence import co_occurrences
 from trailmine.operators.counts import count_refinements, first_session_refs, top_refinements
 from trailmine.operators.sessions import build_sessions, mark_sessions
+from trailmine.operators.walk import steps_of, transition_table, vector_products
 from trailmine.plans.adapters import events_as_log
+from trailmine.plans.pipeline import Settings, co_occ_of, docs_of, top_of
 from trailmine.storage import materialise
 
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
@@ -81,6 +83,28 @@ def test_pairs_are_built_without_a_self_join(spark):
     assert "Join" not in plan and plan.count("- Exchange ") == 1
 
 
+def test_clicks_are_counted_before_the_join(log, with_conf):
+    """A very frequent (query, refinement) is combined on the map side, not in the join task."""
+    with_conf(NO_BROADCAST)
+    marked = materialise(mark_sessions(log, 86_400), "marked")
+    settings = Settings(span_s=86_400)
+    plan = final_plan(docs_of(marked, top_of(marked, settings), settings))
+    assert re.search(r"hashpartitioning\(query#\d+, refinement#\d+, doc#\d+, \d+\)", plan)
+    assert "partial_sum" in plan and "LeftSemi" in plan
+
+
+def test_document_parts_of_a_query_go_to_several_tasks(spark, log, with_conf):
+    with_conf(NO_BROADCAST)
+    marked = materialise(mark_sessions(log, 86_400), "marked")
+    settings = Settings(span_s=86_400)
+    top = top_of(marked, settings)
+    co_occ, docs = co_occ_of(marked, top), docs_of(marked, top, settings)
+    steps = materialise(transition_table(co_occ, docs), "steps")
+    products = vector_products(steps_of(steps, "ref"), steps_of(steps, "doc"), doc_rows_per_task=5)
+    plan = final_plan(products)
+    assert len(re.findall(r"- Exchange hashpartitioning\(query#\d+, part#\d+L, \d+\)", plan)) == 2
+
+
 def test_schemas(spark, log):
     assert log.columns == schemas.LOG.fieldNames()
     assert build_sessions(log).columns == schemas.SESSIONS.fieldNames()

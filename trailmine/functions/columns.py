@@ -34,7 +34,16 @@ def tab_line(*columns: Column) -> Column:
 
 def tab_fields(line: Column) -> Column:
     """Fields of a TAB separated line, without the empty ones at its end."""
-    return F.split(F.regexp_replace(line, r"\t+$", ""), "\t", -1)
+    return F.split(F.rtrim(line, F.lit("\t")), "\t", -1)
+
+
+def once(value: Column) -> Column:
+    """``value`` as a generated column.
+
+    Spark copies the expression of a plain column into every filter and projection
+    above it; a generated one is computed once per row.
+    """
+    return F.explode(F.array(value))
 
 
 def field(fields: Column, index: int) -> Column:

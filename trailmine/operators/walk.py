@@ -290,8 +290,11 @@ def vector_products(
     parts = to_docs.groupBy("query").agg(last_part.alias("last_part"))
     doc_part = F.pmod(F.xxhash64("dst"), F.col("last_part") + 1)
     every_part = F.explode(F.sequence(F.lit(0).cast("bigint"), "last_part"))
-    dealt = renewed(to_docs.join(parts, "query").withColumn("part", doc_part))
-    copied = to_refs.join(parts, "query").withColumn("part", every_part)
+    # The joins are on the query alone. Without the explicit repartitioning Spark would
+    # leave all parts of a query in one task.
+    keys = ["query", "part"]
+    dealt = renewed(to_docs.join(parts, "query").withColumn("part", doc_part)).repartition(*keys)
+    copied = to_refs.join(parts, "query").withColumn("part", every_part).repartition(*keys)
 
     def products(steps: pd.DataFrame, clicks: pd.DataFrame) -> pd.DataFrame:
         names, reach = reach_matrix(steps, doublings)
@@ -308,8 +311,8 @@ def vector_products(
         )
 
     return (
-        copied.groupBy("query", "part")
-        .cogroup(dealt.groupBy("query", "part"))
+        copied.groupBy(*keys)
+        .cogroup(dealt.groupBy(*keys))
         .applyInPandas(products, _PRODUCTS)
         .groupBy("query", "refinement", "co_refinement")
         .agg(F.max("largest").alias("largest"), F.sum("total").alias("total"))

@@ -43,7 +43,7 @@ from trailmine.params import (
     SPLIT_USER_ROWS,
     TOP_REFINEMENTS,
 )
-from trailmine.storage import materialise
+from trailmine.storage import materialise, materialise_together
 
 
 @dataclass(frozen=True)
@@ -85,8 +85,10 @@ def co_occ_of(marked: DataFrame, top: DataFrame) -> DataFrame:
 
 def docs_of(marked: DataFrame, top: DataFrame, settings: Settings) -> DataFrame:
     """Click counts of the top refinements."""
-    rows = filter_by_top_refs(marked.select("query", "refinement", "doc", "count"), top, True)
-    return top_docs(count_docs(rows), settings.docs_per_ref)
+    # Counted first: after a join on (query, refinement) Spark would count without a
+    # further shuffle, and a very frequent pair would pass through one task row by row.
+    clicks = marked.filter(F.col("doc") != "").select("query", "refinement", "doc", "count")
+    return filter_by_top_refs(top_docs(count_docs(clicks), settings.docs_per_ref), top)
 
 
 def cluster_ids(sessions: DataFrame, top: DataFrame, settings: Settings) -> DataFrame:
@@ -96,8 +98,9 @@ def cluster_ids(sessions: DataFrame, top: DataFrame, settings: Settings) -> Data
     others go through the random walk. Their documents are handled in one group
     per query, or in parts if there are very many.
     """
-    co_occ = materialise(co_occ_of(sessions, top), "co-occ")
-    docs = materialise(docs_of(sessions, top, settings), "doc-counts")
+    co_occ, docs = materialise_together(
+        {"co-occ": co_occ_of(sessions, top), "doc-counts": docs_of(sessions, top, settings)}
+    )
     rows = materialise(reference_rows(co_occ, docs), "walk-refs")
 
     large = F.col("n_refs") > settings.min_clusters
@@ -122,9 +125,7 @@ def cluster_ids(sessions: DataFrame, top: DataFrame, settings: Settings) -> Data
         settings.doc_rows_per_task,
     )
     # The norms and the pairs are both taken from the products.
-    similarity = similarity_from_products(
-        materialise(products, "products"), settings.mode
-    )
+    similarity = similarity_from_products(materialise(products, "products"), settings.mode)
     return clusters.unionByName(cluster_refinements(similarity, parts, settings.min_clusters))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmine.functions.columns import epoch_ms, field, parse_time, tab_fields
+from trailmine.functions.columns import epoch_ms, field, once, parse_time, tab_fields
 from trailmine.params import BOT_USERS, EMPTY_QUERY
 
 _URL_FIELD = 4
@@ -19,15 +19,17 @@ def _typed(lines: DataFrame) -> DataFrame:
     """All lines with their typed fields; a field that is missing or malformed is null."""
     f = F.col("fields")
     user = field(f, 0)
+    clicked = F.when(F.size(f) == _FULL_LINE, field(f, _URL_FIELD)).otherwise(F.lit(""))
+    typed = F.struct(
+        F.when(user.rlike(_INTEGER), user.try_cast("bigint")).alias("user_id"),
+        field(f, 1).alias("query"),
+        parse_time(field(f, 2)).alias("ts"),
+        clicked.alias("doc"),
+    )
     return (
-        lines.withColumn("fields", tab_fields(F.col("value")))
-        .withColumn("user_id", F.when(user.rlike(_INTEGER), user.try_cast("bigint")))
-        .withColumn("query", field(f, 1))
-        .withColumn("ts", parse_time(field(f, 2)))
-        .withColumn(
-            "doc",
-            F.when(F.size(f) == _FULL_LINE, field(f, _URL_FIELD)).otherwise(F.lit("")),
-        )
+        lines.select("*", once(tab_fields(F.col("value"))).alias("fields"))
+        .select(*lines.columns, once(typed).alias("typed"))
+        .select(*lines.columns, "typed.*")
     )
 
 
@@ -81,7 +83,7 @@ def split_log_fields(lines: DataFrame) -> DataFrame:
     f = F.col("fields")
     names = ("user_id", "query", "time", "rank", "url")
     return (
-        lines.select(tab_fields(F.col("value")).alias("fields"))
+        lines.select(once(tab_fields(F.col("value"))).alias("fields"))
         .filter(field(f, 1) != EMPTY_QUERY)
         .select(*[field(f, i).alias(name) for i, name in enumerate(names)])
     )

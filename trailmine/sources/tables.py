@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmine.functions.columns import field, tab_fields
+from trailmine.functions.columns import field, once, tab_fields
 
 
 def read_sessions(spark: SparkSession, path: str) -> DataFrame:
@@ -14,7 +14,7 @@ def read_sessions(spark: SparkSession, path: str) -> DataFrame:
     Every row counts once, whatever its fifth field says.
     """
     f = F.col("fields")
-    return spark.read.text(path).select(tab_fields(F.col("value")).alias("fields")).select(
+    return spark.read.text(path).select(once(tab_fields(F.col("value"))).alias("fields")).select(
         field(f, 0).alias("session_id"),
         F.substring_index(field(f, 0), "_", 1).try_cast("bigint").alias("user_id"),
         field(f, 1).alias("query"),
@@ -28,7 +28,7 @@ def read_clusters(spark: SparkSession, path: str) -> DataFrame:
     """Cluster rows from the ``*.txt`` files of a folder; a malformed number stops the job."""
     f = F.col("fields")
     lines = spark.read.text(path, pathGlobFilter="*.txt")
-    return lines.select(tab_fields(F.col("value")).alias("fields")).select(
+    return lines.select(once(tab_fields(F.col("value"))).alias("fields")).select(
         field(f, 0).alias("query"),
         field(f, 1).cast("int").alias("cluster_id"),
         field(f, 2).alias("refinement"),

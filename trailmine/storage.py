@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +39,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise_together(frames: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """:func:`materialise` for independent frames, as jobs side by side."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(materialise, frames.values(), frames))
