@@ -19,21 +19,23 @@ def complete_link(similarity: np.ndarray, min_clusters: int) -> list[list[int]]:
     Clusters are as similar as their least similar members. Of equal pairs the one
     latest in the list is merged; the cluster keeps the later place.
     """
+    n = len(similarity)
     link = np.tril(np.maximum(similarity, similarity.T), -1)
-    clusters = [[i] for i in range(len(link))]
-    while len(clusters) > min_clusters:
+    clusters = [[i] for i in range(n)]
+    for _ in range(n - min_clusters):
         # Searched from the end, so that the latest of equal pairs comes first.
         backwards = int(np.argmax(link[::-1, ::-1]))
-        n = len(clusters)
         high, low = n - 1 - backwards // n, n - 1 - backwards % n
         if not link[high, low] > 0:
             break
-        full = link + link.T
-        full[high] = full[:, high] = np.minimum(full[high], full[low])
+        merged = np.minimum(link[high] + link[:, high], link[low] + link[:, low])
+        merged[[high, low]] = 0
+        link[low] = link[:, low] = 0
+        link[high, :high] = merged[:high]
+        link[high + 1 :, high] = merged[high + 1 :]
         clusters[high] += clusters[low]
-        del clusters[low]
-        link = np.tril(np.delete(np.delete(full, low, 0), low, 1), -1)
-    return clusters
+        clusters[low] = []
+    return [cluster for cluster in clusters if cluster]
 
 
 def _cluster_rows(query: str, names: pd.Index, clusters: list[list[int]]) -> pd.DataFrame:

@@ -253,8 +253,9 @@ def entry_products(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Largest and summed products of the vector entries of all refinement pairs.
 
-    ``clicks`` are the document steps that count; the vectors are formed for a
-    batch of documents at a time.
+    Only the pairs above the diagonal and on it are filled. ``clicks`` are the
+    document steps that count; the vectors are formed for a batch of documents at
+    a time.
     """
     n = len(names)
     largest, total = np.zeros((n, n)), np.zeros((n, n))
@@ -266,9 +267,10 @@ def entry_products(
         steps = np.zeros((n, min(_COLUMN_BATCH, len(docs) - low)))
         steps[ref[part], doc[part] - low] = p[part]
         vectors = reach @ steps
-        total += vectors @ vectors.T
+        total += np.triu(vectors @ vectors.T)
         for i in range(n):
-            largest[i] = np.maximum(largest[i], (vectors * vectors[i]).max(axis=1))
+            products = (vectors[i:] * vectors[i]).max(axis=1)
+            largest[i, i:] = np.maximum(largest[i, i:], products)
     return largest, total
 
 
@@ -299,7 +301,7 @@ def vector_products(
     def products(steps: pd.DataFrame, clicks: pd.DataFrame) -> pd.DataFrame:
         names, reach = reach_matrix(steps, doublings)
         largest, total = entry_products(names, reach, clicks)
-        i, j = np.nonzero(np.triu(total))
+        i, j = np.nonzero(total)
         return pd.DataFrame(
             {
                 "query": np.repeat(steps["query"].to_numpy()[:1], len(i)),
