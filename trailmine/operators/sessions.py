@@ -49,7 +49,7 @@ def _trails(log: DataFrame, split_rows: int) -> _Trails:
     heavy = split_users.heavy_users(log, split_rows)
     of_user = Window.partitionBy("user_id").orderBy("ts_ms", "seq")
     of_query = Window.partitionBy("user_id", "query").orderBy("ts_ms", "seq")
-    rest = log.filter(~F.col("user_id").isin(list(heavy))) if heavy else log
+    rest = heavy.without(log) if heavy else log
     whole = rest.withColumns(
         {
             "prev_query": F.lag("query", 1, "").over(of_user),

@@ -14,7 +14,8 @@ and the blocks are then independent.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -30,24 +31,38 @@ _SPANS_PER_BLOCK = 32
 _EXITS = "array<struct<until_ms:bigint,exit_ms:bigint>>"
 
 
-def heavy_users(log: DataFrame, split_rows: int) -> dict[int, int]:
-    """Rows per user for the users above ``split_rows``.
+class Heavy(NamedTuple):
+    users: DataFrame
+    rows: int
 
-    At most ``MAX_SPLIT_USERS`` of them, largest first. The list only decides who
-    is split; a user beyond it has a share of the log below 1 / ``MAX_SPLIT_USERS``
-    and is handled whole.
+    def without(self, log: DataFrame) -> DataFrame:
+        return log.join(F.broadcast(self.users), "user_id", "left_anti")
+
+    def only(self, log: DataFrame) -> DataFrame:
+        return log.join(F.broadcast(self.users), "user_id", "left_semi")
+
+
+def heavy_users(log: DataFrame, split_rows: int) -> Heavy | None:
+    """The users above ``split_rows`` and the number of their rows; None if there are none.
+
+    At most ``MAX_SPLIT_USERS`` of them, largest first, so the list may be broadcast.
+    It only decides who is split: a user beyond it has a share of the log below
+    1 / ``MAX_SPLIT_USERS`` and is handled whole.
     """
     counts = log.groupBy("user_id").count().filter(F.col("count") > split_rows)
-    top = counts.orderBy(F.desc("count"), "user_id").limit(MAX_SPLIT_USERS)
-    return {row["user_id"]: row["count"] for row in top.collect()}
+    top = counts.orderBy(F.desc("count"), "user_id").limit(MAX_SPLIT_USERS).collect()
+    if not top:
+        return None
+    users = log.sparkSession.createDataFrame([(row["user_id"],) for row in top], "user_id bigint")
+    return Heavy(users, sum(row["count"] for row in top))
 
 
-def with_previous(log: DataFrame, heavy: Mapping[int, int], split_rows: int) -> DataFrame:
+def with_previous(log: DataFrame, heavy: Heavy, split_rows: int) -> DataFrame:
     """Rows of the heavy users with their previous record and previous record of the same query."""
-    n_chunks = min(-(-sum(heavy.values()) // split_rows), MAX_SPLIT_CHUNKS)
+    n_chunks = min(-(-heavy.rows // split_rows), MAX_SPLIT_CHUNKS)
     # The chunk number is not a function of the row, so it is fixed by writing it down.
     rows = materialise(
-        log.filter(F.col("user_id").isin(list(heavy)))
+        heavy.only(log)
         .repartitionByRange(n_chunks, "user_id", "ts_ms", "seq")
         .withColumn("chunk", F.spark_partition_id()),
         "heavy-users",
@@ -57,8 +72,7 @@ def with_previous(log: DataFrame, heavy: Mapping[int, int], split_rows: int) ->
     of_query = Window.partitionBy("user_id", "chunk", "query").orderBy(*in_time)
     place = F.struct("ts_ms", "seq")
 
-    # One row per (user, chunk): at most MAX_SPLIT_CHUNKS + MAX_SPLIT_USERS, as the
-    # chunks are ranges.
+    # One row per (user, chunk), and no user has more than MAX_SPLIT_CHUNKS.
     last = F.max_by(F.struct("query", "doc"), place)
     before = F.lag("last").over(Window.partitionBy("user_id").orderBy("chunk"))
     carried = (
@@ -83,7 +97,7 @@ def with_previous(log: DataFrame, heavy: Mapping[int, int], split_rows: int) ->
                 "in_seq": F.lag("seq").over(of_query),
             }
         )
-        .join(F.broadcast(carried), ["user_id", "chunk"])
+        .join(carried, ["user_id", "chunk"])
         .join(same, ["user_id", "query", "chunk"], "left")
         .select(
             *log.columns,

@@ -20,8 +20,9 @@ SUGGESTION_LIMIT = 1000
 # A user with more log rows than this is handled in time-ordered chunks of about
 # this many rows instead of as one window partition.
 SPLIT_USER_ROWS = 500_000
-# Bounds on what the split path keeps on the driver or broadcasts.
-MAX_SPLIT_USERS = 10_000
+# The split path keeps a list of at most this many users, largest first, and cuts
+# their rows into at most this many chunks. Both only bound bookkeeping.
+MAX_SPLIT_USERS = 50_000
 MAX_SPLIT_CHUNKS = 20_000
 # Document rows of one query handled by one clustering task.
 DOC_ROWS_PER_TASK = 50_000
