@@ -254,24 +254,38 @@ def entry_products(
     """Largest and summed products of the vector entries of all refinement pairs.
 
     Only the pairs above the diagonal and on it are filled. ``clicks`` are the
-    document steps that count; the vectors are formed for a batch of documents at
-    a time.
+    document steps that count. Documents clicked for one refinement only, usually
+    nearly all, differ by a factor: the largest step and the sum of the squared
+    steps stand for all of them. The others are handled in batches.
     """
     n = len(names)
-    largest, total = np.zeros((n, n)), np.zeros((n, n))
     ref = names.get_indexer(clicks["src"])
-    doc, docs = pd.factorize(clicks["dst"])
+    doc = pd.factorize(clicks["dst"])[0]
     p = clicks["p"].to_numpy()
+    alone = np.bincount(doc)[doc] == 1
+
+    squares = np.bincount(ref[alone], weights=p[alone] ** 2, minlength=n)
+    strongest = np.zeros(n)
+    np.maximum.at(strongest, ref[alone], p[alone])
+    total = (reach * squares) @ reach.T
+    largest = np.zeros((n, n))
+
+    def add_largest(vectors: np.ndarray) -> None:
+        for i in range(n):
+            products = (vectors[i:] * vectors[i]).max(axis=1, initial=0)
+            largest[i, i:] = np.maximum(largest[i, i:], products)
+
+    add_largest((reach * strongest)[:, strongest > 0])
+    doc, docs = pd.factorize(doc[~alone])
+    ref, p = ref[~alone], p[~alone]
     for low in range(0, len(docs), _COLUMN_BATCH):
         part = (doc >= low) & (doc < low + _COLUMN_BATCH)
         steps = np.zeros((n, min(_COLUMN_BATCH, len(docs) - low)))
         steps[ref[part], doc[part] - low] = p[part]
         vectors = reach @ steps
-        total += np.triu(vectors @ vectors.T)
-        for i in range(n):
-            products = (vectors[i:] * vectors[i]).max(axis=1)
-            largest[i, i:] = np.maximum(largest[i, i:], products)
-    return largest, total
+        total += vectors @ vectors.T
+        add_largest(vectors)
+    return largest, np.triu(total)
 
 
 def vector_products(
