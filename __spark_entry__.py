@@ -79,9 +79,13 @@ def _ref_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_refinements(counts.distinct_session_refs(_sessions(spark, sf_dir)))
 
 
-def _count_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _marked_and_top(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = _marked_table(spark, sf_dir)
-    top = materialise(pipeline.top_of(rows, SETTINGS), "top-refs")
+    return rows, materialise(pipeline.top_of(rows, SETTINGS), "top-refs")
+
+
+def _count_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows, top = _marked_and_top(spark, sf_dir)
     co_occ, docs = materialise_together(
         {"co-occ": pipeline.co_occ_of(rows, top), "doc-counts": pipeline.docs_of(rows, top, SETTINGS)}
     )
@@ -89,9 +93,15 @@ def _count_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 
 def _transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps for queries that use them more than once."""
     return materialise(walk.transition_table(*_count_tables(spark, sf_dir)), "transitions")
 
 
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors for queries that use them more than once."""
+    return materialise(walk.absorption_vectors(_transitions(spark, sf_dir)), "vectors")
+
+
 def _rounded(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.round(column, 9))
 
@@ -222,11 +232,11 @@ def q_co_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_co_occurrence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _count_tables(spark, sf_dir)[0]
+    return pipeline.co_occ_of(*_marked_and_top(spark, sf_dir))
 
 
 def q_symmetric_co_occ(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cooccurrence.symmetric_co_occ(_count_tables(spark, sf_dir)[0])
+    return cooccurrence.symmetric_co_occ(q_co_occurrence_counts(spark, sf_dir))
 
 
 def q_doc_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,7 +272,7 @@ def q_row_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_transition_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_transitions(spark, sf_dir), "p")
+    return _rounded(walk.transition_table(*_count_tables(spark, sf_dir)), "p")
 
 
 def q_absorption_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,13 +280,11 @@ def q_absorption_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ref_similarity_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = walk.absorption_vectors(_transitions(spark, sf_dir))
-    return _rounded(walk.ref_similarity(vectors, "max_product"), "similarity")
+    return _rounded(walk.ref_similarity(_vectors(spark, sf_dir), "max_product"), "similarity")
 
 
 def q_ref_similarity_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = walk.absorption_vectors(_transitions(spark, sf_dir))
-    return _rounded(walk.ref_similarity(vectors, "cosine"), "similarity")
+    return _rounded(walk.ref_similarity(_vectors(spark, sf_dir), "cosine"), "similarity")
 
 
 def _fused_similarity(mode: str) -> Query:
@@ -284,7 +292,8 @@ def _fused_similarity(mode: str) -> Query:
         steps = _transitions(spark, sf_dir)
         to_refs, to_docs = walk.steps_of(steps, "ref"), walk.steps_of(steps, "doc")
         products = walk.vector_products(to_refs, to_docs, doc_rows_per_task=DOC_ROWS_PER_TASK)
-        return _rounded(walk.similarity_from_products(products, mode), "similarity")
+        table = materialise(products, "products")
+        return _rounded(walk.similarity_from_products(table, mode), "similarity")
 
     return run
 
@@ -292,7 +301,8 @@ def _fused_similarity(mode: str) -> Query:
 def q_cluster_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clustering from the operators one by one."""
     transitions = _transitions(spark, sf_dir)
-    similarity = walk.ref_similarity(walk.absorption_vectors(transitions))
+    vectors = materialise(walk.absorption_vectors(transitions), "vectors")
+    similarity = walk.ref_similarity(vectors)
     refs = transitions.filter(F.col("kind") == "topic").select(
         "query", F.col("src").alias("refinement")
     )

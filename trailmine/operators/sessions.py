@@ -14,7 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailmine.functions.columns import floor_div
+from trailmine.functions.columns import floor_div, whole_seconds_between
 from trailmine.operators import split_users
 from trailmine.params import SESSION_SPAN_S, SPLIT_USER_ROWS
 
@@ -172,7 +172,7 @@ def _attach_refinements(rows: DataFrame, starts: DataFrame, span_s: int) -> Data
     later = after_start("ts_ms", "seq")
     # The refinement is new to the session if its previous record is not inside.
     is_first = F.col("same_ms").isNull() | ~after_start("same_ms", "same_seq")
-    inside = F.col("ts_ms") - F.col("start_ms") < expiry
+    inside = whole_seconds_between(F.col("start_ms"), F.col("ts_ms")) <= span_s
     other_query = F.col("refinement") != F.col("query")
     return (
         records.join(openings, ["user_id", "slot"])
