@@ -149,10 +149,11 @@ def _exits(times: np.ndarray, expiry: int, block_start: int) -> list[dict[str, i
     """
     n = len(times)
     follower = np.searchsorted(times, times + expiry)
-    last = times.copy()
-    for i in range(n - 1, -1, -1):
-        if follower[i] < n:
-            last[i] = last[follower[i]]
+    # Last start of the chain that begins at each record, by doubling the steps.
+    end = np.where(follower < n, follower, np.arange(n))
+    while (end != end[end]).any():
+        end = end[end]
+    last = times[end]
     possible = min(int(np.searchsorted(times, block_start + expiry)) + 1, n)
     # Of neighbours with the same exit only the latest is kept.
     keep = np.append(last[1:possible] != last[: possible - 1], True)
