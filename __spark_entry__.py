@@ -52,6 +52,15 @@ from trailmine.sources import (  # noqa: E402
 )
 from trailmine.storage import materialise, materialise_together, scratch_path  # noqa: E402
 
+try:
+    from trailmine.llm import queries as llm_queries
+except ImportError:  # the library works without the corpus operators
+    llm_queries = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SETTINGS = pipeline.Settings(span_s=SPAN_S)
@@ -404,6 +413,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    found = _own_queries()
+    if llm_queries:
+        found |= llm_queries.queries()
+    if llm_queries and corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
+    return found
+
+
+def _own_queries() -> dict[str, Query]:
     return {
         "parse_log_lines": q_parse_log_lines,
         "rejected_rows": q_rejected_rows,
@@ -470,4 +488,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.all_queries()
+    found = oracle_queries.all_queries()
+    if llm_queries:
+        found |= llm_queries.oracle_sql()
+    if llm_queries and corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
