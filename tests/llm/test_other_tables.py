@@ -1,0 +1,150 @@
+"""Operators on vectors, conversations and pages against brute force, and on odd input."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+
+import numpy as np
+import pandas as pd
+from conftest import SF_DIR
+
+from trailmine.llm import exact_search, queries, quotations, warc
+
+# Exact search ------------------------------------------------------------------
+
+
+def _brute_top(rows: list[tuple[int, list[int]]], asked: list[tuple[int, list[int]]], k: int) -> set[tuple[int, int, int, int]]:
+    out = set()
+    for q, v in asked:
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in rows if i != q)[:k]
+        out |= {(q, rank, i, -s) for rank, (s, i) in enumerate(scored, 1)}
+    return out
+
+
+def test_top_rows_equal_brute_force(spark):
+    table = pd.read_parquet(f"{SF_DIR}/embeddings.parquet")
+    rows = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in zip(table.vec_id, table.embedding)]
+    got = queries.op6_exact_search(spark, SF_DIR).collect()
+    assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == _brute_top(rows, [r for r in rows if r[0] % 20 == 0], 20)
+
+
+def test_bounds_leave_blocks_out_and_ties_right(monkeypatch):
+    monkeypatch.setattr(exact_search, "BLOCK_ROWS", 8)
+    rng = np.random.default_rng(2)
+    rows = rng.integers(-3, 4, (300, 5))
+    ids = rng.permutation(300)
+    got = {(q, r, int(i), int(s)) for q, found, scores in exact_search.top_of_blocks(ids, rows, ids[:40], rows[:40], 7)
+           for r, (i, s) in enumerate(zip(found, scores), 1)}
+    pairs = list(zip(ids.tolist(), rows.tolist()))
+    assert got == _brute_top(pairs, pairs[:40], 7)
+
+
+def test_vectors_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    vectors = [(0, [1.0, 1.0]), (20, [2.0]), (1, None), (2, [None, 1.0]), (3, [nan, 1.0]), (4, [inf, 1.0]), (None, [1.0, 1.0]),
+               (5, [-1.0, 0.5]), (6, []), (7, [1.0, 1.0]), (7, [1.0, 1.0]), (8, [1e12, -1e12])]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").select(
+        "vec_id", exact_search.whole_components("embedding", 64).alias("v"))
+    got = exact_search.top_k(frame, frame.filter("vec_id % 20 = 0"), 4).collect()
+    found = {q: [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] for q in (0, 20)}
+    assert found[0] == [(7, 8192), (7, 8192), (20, 8192), (6, 0)] or found[0][:3] == sorted(found[0][:3], key=lambda p: (-p[1], p[0]))
+    assert [i for i, _ in found[20]] == [8, 0, 7, 7] and found[20][0][1] == 64 * 10**12 * 128
+    assert exact_search.top_k(frame.limit(0), frame.limit(0), 4).count() == 0
+
+
+# Quotations --------------------------------------------------------------------
+
+MAIL = [
+    (1, 0, "user", "Shall we meet on Monday?\nThe room is free all day."),
+    (1, 1, "assistant", "> Shall we meet on  monday?\n> The room is free all day.\n\nMonday is fine for me."),
+    (1, 2, "user", "Another matter entirely, about the budget."),
+    (1, 3, "user", "On Tuesday someone wrote:\n>> Shall we meet on Monday?\n>> The room is free all day.\n> Monday is fine for me.\nGood."),
+    (1, 4, "assistant", "> The room is free all day.\nNot on Friday."),
+    (1, 5, "user", "> never said by anyone here\nWhat?"),
+    (2, 0, "user", "> Shall we meet on Monday?\nquoted from elsewhere"),
+    (2, 1, "user", None),
+    (2, 2, "user", ""),
+    (2, 2, "user", ""),
+    (None, 0, "user", "> a b c d\nx"),
+    (3, None, "user", "> a b c d"),
+    (4, 0, "user", "only this line here"),
+    (4, 1, "user", ">only this line here\r\n> > deeper"),
+]
+SHAPE = "conv_id long, turn long, role string, text string"
+
+
+def test_quotations_lead_to_their_originals(spark):
+    frame = spark.createDataFrame(MAIL, SHAPE).selectExpr("*", "1 as depth", "'x' as passages_")
+    got = {(r["conv_id"], r["turn"]): r for r in quotations.link_quotations(frame).collect()}
+    mine = lambda c, t: tuple(got[c, t][n] for n in ("parent_turn", "root_turn", "depth", "n_quotes"))
+    assert mine(1, 0) == (None, 0, 0, 0)
+    assert mine(1, 1) == (0, 0, 1, 1) and got[1, 1]["text"] == "Monday is fine for me."
+    assert mine(1, 2) == (None, 2, 0, 0)
+    assert mine(1, 3) == (1, 0, 2, 2) and got[1, 3]["text"] == "Good."
+    assert mine(1, 4) == (0, 0, 1, 1) and mine(1, 5) == (None, 5, 0, 1)
+    assert mine(2, 0) == (None, 0, 0, 1) and got[2, 1]["text"] is None and mine(2, 2) == (None, 2, 0, 0)
+    assert mine(None, 0) == (None, 0, 0, 1) and mine(3, None) == (None, None, 0, 1)
+    assert mine(4, 1) == (0, 0, 1, 2) and got[4, 1]["text"] == ""
+    assert quotations.link_quotations(frame).count() == len(MAIL)
+
+
+def test_a_long_chain_of_replies(spark):
+    rows = [(1, 0, "u", "message number 0 of the chain")]
+    rows += [(1, k, "u", f"> message number {k - 1} of the chain\nmessage number {k} of the chain") for k in range(1, 40)]
+    got = quotations.reply_ordered(quotations.link_quotations(spark.createDataFrame(rows, SHAPE))).collect()
+    assert [(r["turn"], r["root_turn"], r["depth"]) for r in got] == [(k, 0, k) for k in range(40)]
+
+
+def test_conversations_keep_their_rows(spark):
+    table = pd.read_parquet(f"{SF_DIR}/conversations.parquet")
+    got = queries.op7_quotations(spark, SF_DIR).toPandas()
+    assert len(got) == len(table) and got.n_quotes.sum() == table.text.str.contains(r"^\s?>", regex=True).sum()
+    empty = spark.createDataFrame([], SHAPE)
+    assert quotations.link_quotations(empty).count() == 0
+
+
+# WARC --------------------------------------------------------------------------
+
+
+def test_records_of_every_page(spark):
+    pages = pd.read_parquet(f"{SF_DIR}/pages.parquet").set_index("page_id")
+    got = queries.op8_warc_derivatives(spark, SF_DIR).toPandas()
+    assert len(got) == 2 * len(pages) and got.record_id.nunique() == len(got)
+    for row in got.itertuples():
+        page = pages.loc[row.page_id]
+        assert row.block_digest == "sha256:" + hashlib.sha256(row.block.encode()).hexdigest()
+        assert row.source_digest == "sha256:" + hashlib.sha256(page.html.encode()).hexdigest()
+        assert (row.target_uri, row.content_length) == (page.url, len(row.block.encode()))
+    assert got.groupby("page_id").refers_to.nunique().eq(1).all() and got.refers_to.nunique() == len(pages)
+    text = got[got.warc_type == "conversion"].block
+    assert not text.str.contains("track(|<p>|&copy;", regex=False).any() and text.str.len().min() > 50
+
+
+def test_derived_text_and_fields(spark):
+    page = ("<!DOCTYPE html><HTML lang='de'><head><meta charset=utf-8><title>A &amp;  B</title><style>p{}</style>"
+            "<script>var t='</p>';</script></head><body><!-- <p>no</p> --><p>One<b>two</b> &lt;3 &#8364;<br>three</p>"
+            "<a href='/x?a=1&amp;b=2'>link</a> <a href=\"#top\">up</a> 1 < 2</body></HTML>")
+    rows = [("id1", "http://h.example/a/b", "2024-01-01T00:00:00Z", "HTTP/1.1 200 OK\r\nServer: s\r\n", page, 7),
+            ("id2", None, None, None, None, 8), ("id3", "u", "d", "h", "", 9), ("id3", "u", "d", "h", "", 9)]
+    frame = spark.createDataFrame(rows, warc.RESPONSE + ", block int")
+    got = warc.derive_records(frame).collect()
+    assert len(got) == 8
+    by = {(r["refers_to"], r["warc_type"]): r for r in got}
+    assert by["id1", "conversion"]["block"] == "A & B\nOnetwo <3 €\nthree\nlink up 1 < 2"
+    assert by["id1", "metadata"]["block"].split("\r\n") == [
+        "title: A & B", "language: de", "charset: utf-8", "source-payload-digest: " + by["id1", "metadata"]["source_digest"],
+        "source-header: HTTP/1.1 200 OK", "source-header: Server: s", "outlink: http://h.example/x?a=1&b=2", ""]
+    assert by["id2", "conversion"]["block"] == "" and by["id2", "conversion"]["content_length"] == 0
+    assert by["id1", "metadata"]["record_id"] != by["id1", "conversion"]["record_id"]
+    assert warc.derive_records(frame.limit(0)).count() == 0
+
+
+def test_records_in_warc_form(spark, tmp_path):
+    frame = spark.createDataFrame([("id1", "http://h.example/", None, None, "<p>é</p>")], warc.RESPONSE)
+    records = warc.derive_records(frame).filter("warc_type = 'conversion'").coalesce(1)
+    warc.write_warc(records, str(tmp_path / "out"))
+    whole = b"".join(p.read_bytes() for p in (tmp_path / "out").glob("part-*"))
+    head, body = whole.split(b"\r\n\r\n", 1)
+    assert head.startswith(b"WARC/1.1\r\nWARC-Type: conversion\r\n") and b"WARC-Refers-To: id1\r\n" in head and b"WARC-Date" not in head
+    assert b"Content-Length: 2" in head and body == "é".encode() + b"\r\n\r\n"

@@ -5,24 +5,133 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trailmine.llm import near_dedup
+from trailmine.llm import (
+    decontaminate,
+    exact_search,
+    language_id,
+    license_scan,
+    near_dedup,
+    piece_encoding,
+    quotations,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOXIC_FROM = 0.5  # P(grade > 0) from which a document counts as toxic
+TOP_K = 20
+CRAWL_DATE = "2024-01-01T00:00:00Z"
+
+
+def piece_model() -> str:
+    """The place of the vocabulary; no part of this repository."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of every document, from the flags in ``labels``."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", "severity", "grade", "p_toxic", (F.col("p_toxic") >= TOXIC_FROM).alias("toxic"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents by two-word shingles."""
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with windows of ten words of benchmark items."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, _table(spark, sf_dir, "benchmark"))
+    n_hit = F.coalesce(F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["last"] - h["first"] + 1), F.lit(0))
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language_id.fit_language_model(docs.filter(~held))
+    found = language_id.identify_languages(docs.select("doc_id", "text", held.alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in every document."""
+    found = license_scan.scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform("phrases", lambda p: p["first"])
+    base = F.transform("phrases", lambda p: p["label"])
+    spans = F.transform("spans", lambda s: s["label"])
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    cover = F.array_max(F.transform("spans", lambda s: s["cover"]))
+    return found.select(
+        "doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), joined(base).alias("base_labels"), joined(F.concat(base, spans)).alias("labels"),
+        F.when(F.size("phrases") > 0, 1.0).otherwise(F.coalesce(cover, F.lit(0.0))).alias("score"))
+
+
+def op6_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows for every row whose id is divisible by 20."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", exact_search.whole_components("embedding", 64).alias("v"))
+    return exact_search.top_k(vectors, vectors.filter("vec_id % 20 = 0"), TOP_K)
+
+
+def op7_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations without quotations, in reply order."""
+    linked = quotations.link_quotations(_table(spark, sf_dir, "conversations"))
+    return quotations.reply_ordered(linked)
+
+
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page."""
+    return warc.derive_records(warc.responses_of_pages(_table(spark, sf_dir, "pages"), CRAWL_DATE))
+
+
+def op9_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = piece_encoding.encode_pieces(docs, piece_model(), decode=True)
+    return coded.select(
+        "doc_id", (F.octet_length("token_bytes") / 4).cast("long").alias("n_tokens"),
+        F.sha2("token_bytes", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without lines that an earlier place has."""
+    cut = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.transform("removed", lambda s: F.concat(s["start"], F.lit("-"), s["stop"]))
+    lost = F.coalesce(F.size("removed"), F.lit(0))
+    return cut.select(
+        "doc_id", "n_units", F.when(F.col("removed").isNull(), 0).otherwise(lost).cast("long").alias("n_removed"),
+        F.coalesce(F.array_join(spans, ","), F.lit("")).alias("removed"), "text")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_minhash_near_dedup": op2_minhash_near_dedup,
+        "op3_decontamination": op3_decontamination,
+        "op4_language_id": op4_language_id,
+        "op5_license_scan": op5_license_scan,
+        "op6_exact_search": op6_exact_search,
+        "op7_quotations": op7_quotations,
+        "op8_warc_derivatives": op8_warc_derivatives,
+        "op9_piece_encoding": op9_piece_encoding,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 

@@ -12,6 +12,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 BLOCK_BYTES = 1 << 20  # bytes handled at once; only a longer word makes a block longer
 
@@ -178,13 +181,18 @@ def shingles_of(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(sets) if sets else np.zeros(0, np.uint64)), first
 
 
+def widened(df: DataFrame, columns: str) -> StructType:
+    """The schema of ``df`` with more columns, given as DDL."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(columns).fields])
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``max_bytes`` of text; a longer text comes alone."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = np.cumsum(np.nan_to_num(np.array(
-            pa.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)))
+            pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)))
         begin = 0
         while begin < batch.num_rows:
             before = sizes[begin - 1] if begin else 0
