@@ -15,6 +15,7 @@ from trailmine.llm import (
     near_dedup,
     piece_encoding,
     quotations,
+    sql,
     substring_dedup,
     toxicity,
     warc,
@@ -136,4 +137,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.QUERIES)
