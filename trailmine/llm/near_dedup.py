@@ -330,3 +330,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stand for their group, with all their columns.
+
+    Of rows of equal doc_id and text one stays. Rows of null doc_id stay or go together.
+    """
+    kept = near_duplicates(docs, width, percent).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    rows = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["__kept"]), "left_semi")
+    return rows.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
