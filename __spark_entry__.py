@@ -18,6 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import oracle_queries  # noqa: E402
 from oracle_queries import (  # noqa: E402
     DOC_ROWS_PER_TASK,
+    FEW_CLUSTERS,
     MANY_CLUSTERS,
     REPEAT_BUCKETS,
     SEEDS,
@@ -63,6 +64,7 @@ except ImportError:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+LOG_FILES = 5
 SETTINGS = pipeline.Settings(span_s=SPAN_S)
 SINGLETONS = pipeline.Settings(span_s=SPAN_S, min_clusters=MANY_CLUSTERS)
 
@@ -123,6 +125,14 @@ def q_parse_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_log_lines(lines, seq="seq").drop("ts")
 
 
+def q_sessions_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session starts of a log of several text files; many records have equal seconds."""
+    path = scratch_path(spark, "log-files")
+    lines = events_as_lines(_events(spark, sf_dir))
+    lines.repartitionByRange(LOG_FILES, "seq").sortWithinPartitions("seq").select("value").write.text(path)
+    return sessions.session_starts(read_query_log(spark, path), SPAN_S)
+
+
 def q_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected_lines(events_as_lines(_events(spark, sf_dir))).select("value")
 
@@ -336,6 +346,16 @@ def q_clusters_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.cluster_pipeline(_log(spark, sf_dir), settings)
 
 
+def q_clusters_uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters where the counts of co-occurrences differ by up to six orders of magnitude."""
+    co_occ, docs = _count_tables(spark, sf_dir)
+    digit = lambda c: F.substring(c, -1, 1).cast("int")
+    power = F.pow(F.lit(10), (digit("refinement") + digit("co_refinement")) % 7)
+    uneven = materialise(co_occ.withColumn("count", (F.col("count") * power).cast("bigint")), "uneven")
+    settings = pipeline.Settings(span_s=SPAN_S, min_clusters=FEW_CLUSTERS)
+    return pipeline.clusters_of_counts(uneven, docs, settings)
+
+
 # Suggestions -----------------------------------------------------------------------
 
 
@@ -407,9 +427,18 @@ def q_roundtrip_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_suggestions(spark, path)
 
 
-def entry(spark: SparkSession) -> DataFrame:
+def q_suggestions_in_two_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A suggestion table to which a second run adds its rows."""
+    path = scratch_path(spark, "suggestions")
+    clusters = materialise(q_clusters_singletons(spark, sf_dir), "clusters")
+    write_suggestions(clusters.filter("cluster_id % 2 = 0"), path)
+    write_suggestions(clusters.filter("cluster_id % 2 = 1"), path, mode="append")
+    return read_suggestions(spark, path)
+
+
+def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
     """The whole chain: log, sessions, refinements, random walk, clusters with counts."""
-    return q_clusters(spark, "/root/testdata/sf0.001")
+    return q_clusters(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
@@ -431,6 +460,7 @@ def _own_queries() -> dict[str, Query]:
         "field_counts_user": q_field_counts_user,
         "field_counts_url": q_field_counts_url,
         "field_count_report": q_field_count_report,
+        "sessions_of_files": q_sessions_of_files,
         "collapse_repeats": q_collapse_repeats,
         "collapse_repeats_split": q_collapse_repeats_split,
         "session_starts": q_session_starts,
@@ -467,6 +497,7 @@ def _own_queries() -> dict[str, Query]:
         "clusters": q_clusters,
         "clusters_in_parts": q_clusters_in_parts,
         "clusters_cosine": q_clusters_cosine,
+        "clusters_uneven": q_clusters_uneven,
         "suggestion_rows": q_suggestion_rows,
         "suggestions": q_suggestions,
         "suggestion_headlines": q_suggestion_headlines,
@@ -484,6 +515,7 @@ def _own_queries() -> dict[str, Query]:
         "roundtrip_clusters": q_roundtrip_clusters,
         "roundtrip_parquet": q_roundtrip_parquet,
         "roundtrip_suggestions": q_roundtrip_suggestions,
+        "suggestions_in_two_steps": q_suggestions_in_two_steps,
     }
 
 

@@ -11,6 +11,7 @@ TOP_REFS = 12
 TOP_DOCS = 3
 USER_MIN_COUNT = 50
 MANY_CLUSTERS = 80
+FEW_CLUSTERS = 5
 SUGGESTIONS = 15
 DOC_ROWS_PER_TASK = 60
 
@@ -224,7 +225,8 @@ def _clusters(
     """Complete-link merging: a cluster is named by the index of its latest member."""
     return _similarity(mode, docs_k) | {
         "pair_sim": """
-            SELECT s.query, a.idx AS low, b.idx AS high, round(s.similarity, 12) AS similarity
+            SELECT s.query, a.idx AS low, b.idx AS high, CASE WHEN s.similarity > 0 THEN round(s.similarity / pow(10, floor(log10(s.similarity))), 11)
+                        * pow(10, floor(log10(s.similarity))) ELSE 0 END AS similarity
             FROM sims s
             JOIN refs a ON a.query = s.query AND a.refinement = s.refinement
             JOIN refs b ON b.query = s.query AND b.refinement = s.co_refinement""",
@@ -277,6 +279,24 @@ def _singletons() -> dict[str, str]:
     }
 
 
+def _uneven() -> dict[str, str]:
+    power = "pow(10, (right(refinement, 1)::INTEGER + right(co_refinement, 1)::INTEGER) % 7)"
+    return _clusters(min_clusters=FEW_CLUSTERS) | {
+        "co_occ": f"""
+            SELECT query, refinement, co_refinement, CAST(sum(count) * {power} AS BIGINT) AS count
+            FROM pairs GROUP BY query, refinement, co_refinement""",
+    }
+
+
+def _file_sessions() -> dict[str, str]:
+    numbered = "SELECT seq, row_number() OVER (ORDER BY seq) - 1 AS place FROM lines"
+    log = f"""
+        SELECT user_id, ts_ms, place AS seq, query, doc
+        FROM parsed JOIN ({numbered}) USING (seq)"""
+    rest = {name: sql for name, sql in _sessions().items() if name not in ("keyed", "log")}
+    return _lines() | {"log": log} | rest
+
+
 def _suggestions() -> dict[str, str]:
     return _clusters() | {
         "ranked": f"""
@@ -330,6 +350,7 @@ def all_queries() -> dict[str, str]:
         "field_count_report": _with(
             _lines(), f"SELECT line AS value FROM ({counted('fields', 'f[2]', 0, not_empty)})"
         ),
+        "sessions_of_files": _with(_file_sessions(), starts),
         "collapse_repeats": _with(_trail(REPEAT_BUCKETS), trail),
         "collapse_repeats_split": _with(_trail(REPEAT_BUCKETS), trail),
         "session_starts": _with(_sessions(), starts),
@@ -379,6 +400,7 @@ def all_queries() -> dict[str, str]:
         "clusters_singletons": _with(_singletons(), f"SELECT {cluster_columns} FROM clusters"),
         "clusters": _with(_clusters(), f"SELECT {cluster_columns} FROM clusters"),
         "clusters_in_parts": _with(_clusters(), f"SELECT {cluster_columns} FROM clusters"),
+        "clusters_uneven": _with(_uneven(), "SELECT query, cluster_id, refinement FROM cluster_ids"),
         "clusters_cosine": _with(
             _clusters("sum", TOP_DOCS), f"SELECT {cluster_columns} FROM clusters"
         ),
@@ -428,4 +450,5 @@ def all_queries() -> dict[str, str]:
         "roundtrip_clusters": _with(_singletons(), f"SELECT {cluster_columns} FROM clusters"),
         "roundtrip_parquet": _with(_counts(), "SELECT * FROM top_refs"),
         "roundtrip_suggestions": _with(_singletons(), f"SELECT {cluster_columns} FROM clusters"),
+        "suggestions_in_two_steps": _with(_singletons(), f"SELECT {cluster_columns} FROM clusters"),
     }

@@ -3,12 +3,14 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 import twin
 from conftest import tuples
 
 from trailmine import schemas
-from trailmine.operators.clustering import cluster_refinements, complete_link
+from trailmine.operators.clustering import cluster_refinements, complete_link, significant
+from trailmine.operators.walk import entry_products, reach_matrix
 
 
 def random_similarity(seed, n, levels):
@@ -25,13 +27,38 @@ def test_merging_equals_the_search(seed):
     # Few levels give many ties.
     similarity = random_similarity(seed, 14, 3 + 30 * (seed % 2))
     for least in (1, 3, 8, 14, 20):
-        assert complete_link(similarity, least) == twin.merge_by_search(similarity, least)
+        clusters = complete_link(similarity, least)
+        assert twin.is_complete_link(similarity, clusters, least)
+        assert [max(c) for c in clusters] == sorted(max(c) for c in clusters)
 
 
 def test_nothing_similar_stays_apart():
     assert complete_link(np.zeros((5, 5)), 1) == [[i] for i in range(5)]
 
 
+@pytest.mark.parametrize("least_count", [1, 1e-5, 1e-6, 1e-12])
+def test_weak_links_still_merge(least_count):
+    # A chain of 30 refinements whose counts fall from 1 to the least.
+    n = 30
+    counts = np.geomspace(1, least_count, n)
+    steps = pd.DataFrame([{"src": f"r{i:02}", "dst": f"r{j:02}", "p": 0.5 * counts[max(i, j)]}
+                          for i in range(n) for j in (i - 1, i + 1) if 0 <= j < n])
+    names, reach = reach_matrix(steps, 5)
+    clicks = pd.DataFrame({"src": names, "dst": [f"d{i}" for i in range(n)], "p": 0.3 * counts})
+    largest, total = entry_products(names, reach, clicks)
+    norm = np.sqrt(np.diag(total))
+    link = significant(largest / np.outer(norm, norm))
+    assert (link > 0).sum() == (largest > 0).sum()
+    assert len(complete_link(link, 5)) == 5
+
+
+def test_significant_digits():
+    values = np.array([0.0, 1e-300, 3e-20, 0.1 + 0.2, 1.0, 12345.678901234567])
+    got = significant(values)
+    assert got[0] == 0 and (got[1:] > 0).all() and np.allclose(got, values, rtol=1e-11, atol=0)
+    assert significant(np.array([0.1 + 0.2])) == significant(np.array([0.3]))
+
+
 def test_clusters_of_several_queries(spark):
     refs = [("q", r) for r in "abcd"] + [("p", r) for r in "xy"]
     pairs = [

@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SF_DIR
+from conftest import SF_DIR, tuples
+from pyspark.sql import functions as F
 
 from trailmine import schemas
 from trailmine.operators.cooccurrence import co_occurrences
@@ -43,22 +44,18 @@ def test_the_log_is_shuffled_by_user_once(log, with_conf):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_a_hot_slot_is_split(make_log, with_conf):
-    """One user and slot with most of the rows: the join divides it."""
-    with_conf(
-        NO_BROADCAST
-        | {
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false",
-            "spark.sql.shuffle.partitions": "8",
-        }
-    )
-    hot = [(1, i, f"q{i % 40}", f"d{i}") for i in range(3000)]
-    others = [(u, u * 7_000 + i * 100_000, f"q{i}", "") for u in range(2, 60) for i in range(5)]
-    plan = final_plan(build_sessions(make_log(hot + others).repartition(8)))
-    assert "skew=true" in plan
+def test_a_hot_slot_is_split(make_log):
+    """One user with 3,000 queries in a slot, at default thresholds: no task has a quarter of the pairs."""
+    hot = [(1, 601_000_000 + i, f"q{i}", "") for i in range(3000)]
+    marked = mark_sessions(make_log(hot).repartition(4))
+    task = marked.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    assert task[1] == 3000 * 2999 // 2 and task[0] < task[1] / 4
+
+
+def test_hot_slots_change_no_row(make_log):
+    records = [(u, i * 7_000, f"q{i % 5}", "d" if i % 3 else "") for u in (1, 2) for i in range(200)]
+    log = make_log(records)
+    assert tuples(mark_sessions(log, pairs_per_task=50)) == tuples(mark_sessions(log))
 
 
 def test_only_needed_columns_of_the_events_are_read(spark):

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 import twin
 from conftest import tuples
+from pyspark.sql import functions as F
 
 from trailmine.operators.counts import distinct_session_refs, first_session_refs
 from trailmine.operators.sessions import (
@@ -130,6 +132,20 @@ def test_many_records_at_one_time(make_log):
         assert starts == [("a", 5_000, 0), ("b", 5_000, 1), ("c", 5_000, 2)]
 
 
+def test_many_starts_of_one_pair_take_linear_time(spark):
+    def seconds(n):
+        ms = F.col("id") * 700_000
+        rows = spark.range(2 * n).select(
+            F.lit(1).cast("long").alias("user_id"), F.lit(None).cast("timestamp").alias("ts"), ms.alias("ts_ms"),
+            F.col("id").alias("seq"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("query"), F.lit("").alias("doc"))
+        begin = time.perf_counter()
+        assert session_starts(rows, split_rows=10**9).count() == 2 * n
+        return time.perf_counter() - begin
+
+    seconds(1000)
+    assert seconds(40_000) < 6
+
+
 def test_first_rows_equal_the_distinct_refinements(make_log):
     marked = mark_sessions(make_log(random_log(11)))
     assert tuples(first_session_refs(marked)) == tuples(distinct_session_refs(marked))

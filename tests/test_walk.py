@@ -86,9 +86,7 @@ def test_vectors_equal_the_squared_matrix(spark, queries):
     got = {(r.query, r.refinement, r.doc): r.p for r in vectors.collect()}
     expected = {}
     for query, (co, clicks) in queries.items():
-        refs, docs, matrix = twin.full_matrix_vectors(co, clicks, 0.6, 4)
-        for i, j in zip(*np.nonzero(matrix)):
-            expected[query, refs[i], docs[j]] = matrix[i, j]
+        expected |= {(query, *key): p for key, p in twin.absorption_by_paths(co, clicks, 0.6, 16).items()}
     assert got == pytest.approx(expected, abs=1e-12)
 
 
@@ -98,7 +96,9 @@ def test_similarity_forms_agree(spark, queries, mode):
     single = ref_similarity(absorption_vectors(transition_table(co, docs)), mode)
     expected = {tuple(r)[:3]: r.similarity for r in single.collect()}
     for query, (pairs, clicks) in queries.items():
-        refs, _, v = twin.full_matrix_vectors(pairs, clicks, 0.6, 4)
+        entries = twin.absorption_by_paths(pairs, clicks, 0.6, 16)
+        refs, names = sorted({r for pair in pairs for r in pair}), sorted({d for _, d in entries})
+        v = np.array([[entries.get((r, d), 0.0) for d in names] for r in refs])
         for i, a in enumerate(refs):
             for j in range(i + 1, len(refs)):
                 product = v[i] * v[j]

@@ -7,12 +7,18 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailmine.operators.walk import PRODUCT_OF_MODE, entry_products, reach_matrix, renewed
-from trailmine.params import DOUBLINGS, MIN_CLUSTERS, SIMILARITY_DIGITS
+from trailmine.operators.walk import check_size
+from trailmine.params import MIN_CLUSTERS, SIMILARITY_DIGITS
 
 _CLUSTER_IDS = "query string, cluster_id int, refinement string"
 
 
+def significant(values: np.ndarray, digits: int = SIMILARITY_DIGITS) -> np.ndarray:
+    """Values to a number of significant digits; however small, a positive one stays positive."""
+    unit = np.power(10.0, np.floor(np.log10(values, out=np.zeros_like(values), where=values > 0)))
+    return np.round(values / unit, digits - 1) * unit
+
+
 def complete_link(similarity: np.ndarray, min_clusters: int) -> list[list[int]]:
     """Merge the two most similar clusters until ``min_clusters`` are left or none are similar.
 
@@ -77,40 +83,11 @@ def cluster_refinements(
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         names = pd.Index(sorted(set(pdf["refinement"])), dtype=object)
+        check_size(len(names))
         link = np.zeros((len(names), len(names)))
         rows, columns = names.get_indexer(pdf["refinement"]), names.get_indexer(pdf["co_refinement"])
-        link[rows, columns] = pdf["similarity"].to_numpy().round(SIMILARITY_DIGITS)
+        link[rows, columns] = significant(pdf["similarity"].to_numpy())
         return _cluster_rows(pdf["query"].iloc[0], names, complete_link(link, min_clusters))
 
     merged = pairs.unionByName(itself).groupBy("query").applyInPandas(merge, _CLUSTER_IDS)
     return singleton_clusters(small).unionByName(merged)
-
-
-def walk_and_cluster(
-    to_refs: DataFrame,
-    to_docs: DataFrame,
-    min_clusters: int = MIN_CLUSTERS,
-    doublings: int = DOUBLINGS,
-    mode: str = "max_product",
-) -> DataFrame:
-    """Random walk, similarity and merging of each query in one group.
-
-    For queries whose document steps fit one task. It saves shuffling the vectors
-    and the similarities, and gives the same clusters as the single operators.
-    """
-
-    def cluster(steps: pd.DataFrame, clicks: pd.DataFrame) -> pd.DataFrame:
-        names, reach = reach_matrix(steps, doublings)
-        largest, total = entry_products(names, reach, clicks)
-        norm = np.sqrt(np.diag(total))
-        norms = np.outer(norm, norm)
-        product = {"largest": largest, "total": total}[PRODUCT_OF_MODE[mode]]
-        link = np.divide(product, norms, out=np.zeros_like(norms), where=norms > 0)
-        clusters = complete_link(link.round(SIMILARITY_DIGITS), min_clusters)
-        return _cluster_rows(steps["query"].iloc[0], names, clusters)
-
-    return (
-        to_refs.groupBy("query")
-        .cogroup(renewed(to_docs).groupBy("query"))
-        .applyInPandas(cluster, _CLUSTER_IDS)
-    )

@@ -8,17 +8,21 @@ same result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmine.functions.columns import floor_div, whole_seconds_between
 from trailmine.operators import split_users
-from trailmine.params import SESSION_SPAN_S, SPLIT_USER_ROWS
+from trailmine.params import PAIRS_PER_TASK, SESSION_SPAN_S, SPLIT_USER_ROWS
+from trailmine.schemas import STARTS
+from trailmine.storage import materialise
 
-RECORD = "struct<ts_ms:bigint,seq:bigint>"
+RUN_KEYS = ("user_id", "query", "block")
 
 
 class _Trails(NamedTuple):
@@ -30,6 +34,7 @@ class _Trails(NamedTuple):
 
     whole: DataFrame
     split: DataFrame | None
+    chunks: int = 0
 
     def all_rows(self) -> DataFrame:
         return self.whole if self.split is None else self.whole.unionByName(self.split)
@@ -58,8 +63,10 @@ def _trails(log: DataFrame, split_rows: int) -> _Trails:
             "same_seq": F.lag("seq").over(of_query),
         }
     )
-    split = split_users.with_previous(log, heavy, split_rows) if heavy else None
-    return _Trails(whole, split)
+    if not heavy:
+        return _Trails(whole, None)
+    chunks = -(-heavy.rows // split_rows)
+    return _Trails(whole, split_users.with_previous(log, heavy, chunks), chunks)
 
 
 def _without_repeats(trail: DataFrame) -> DataFrame:
@@ -77,43 +84,70 @@ def _candidates(trail: DataFrame, seed_queries: Sequence[str] | None) -> DataFra
     return rows.select("user_id", "query", "ts_ms", "seq")
 
 
-def greedy_starts(records: Column, expiry: int, open_since: Column | None = None) -> Column:
-    """Records (sorted by time) that open a session: the first, then each first one past the expiry.
+def _greedy(times: np.ndarray, expiry: int, last: int | None) -> tuple[list[int], int | None]:
+    """Places of the records (in time order) that open a session, and the last start.
 
-    ``open_since`` is the start of a session that is open before the first record.
+    ``last`` is the start of a session that is open before the first record.
     """
-    first = F.lit(None).cast("bigint") if open_since is None else open_since
+    places, at = [], 0 if last is None else int(np.searchsorted(times, last + expiry))
+    while at < len(times):
+        places.append(at)
+        last = int(times[at])
+        at = int(np.searchsorted(times, last + expiry))
+    return places, last
 
-    def step(acc: Column, record: Column) -> Column:
-        opens = acc["last"].isNull() | (record["ts_ms"] - acc["last"] >= expiry)
-        return F.when(
-            opens,
-            F.struct(
-                record["ts_ms"].alias("last"),
-                F.concat(acc["starts"], F.array(record)).alias("starts"),
-            ),
-        ).otherwise(acc)
 
-    nothing = F.struct(first.alias("last"), F.array().cast(f"array<{RECORD}>").alias("starts"))
-    return F.aggregate(records, nothing, step, lambda acc: acc["starts"])
+def _start_finder(expiry: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Keeps the starts of rows sorted by user, query, time and sequence, run after run.
 
+    Only the last start of the current (user, query) is remembered between batches. A
+    column ``open_ms``, constant in a run, tells of a session open before it.
+    """
 
-def _whole_user_starts(candidates: DataFrame, expiry: int) -> DataFrame:
-    # The input is clustered by user, so the grouping needs no further shuffle.
-    records = F.array_sort(F.collect_list(F.struct("ts_ms", "seq")))
-    return (
-        candidates.groupBy("user_id", "query")
-        .agg(records.alias("records"))
-        .select("user_id", "query", F.inline(greedy_starts(F.col("records"), expiry)))
-    )
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, last = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = [c for c in RUN_KEYS if c in batch.schema.names]
+            changed = np.zeros(batch.num_rows, bool)
+            for name in names:
+                # Numbers for the values; null is a value of its own.
+                code = np.asarray(batch.column(name).dictionary_encode(null_encoding="encode").indices)
+                changed[1:] |= code[1:] != code[:-1]
+            borders = [0, *np.flatnonzero(changed).tolist(), batch.num_rows]
+            times = np.asarray(batch.column("ts_ms"))
+            kept: list[int] = []
+            for low, high in zip(borders, borders[1:]):
+                own = tuple(batch.column(name)[low].as_py() for name in names)
+                if own != key:
+                    key, last = own, None
+                    if "open_ms" in batch.schema.names:
+                        last = batch.column("open_ms")[low].as_py()
+                places, last = _greedy(times[low:high], expiry, last)
+                kept.extend(low + p for p in places)
+            yield batch.select(STARTS.names).take(pa.array(kept, pa.int64()))
+
+    return find
+
+
+def starts_of_runs(rows: DataFrame, expiry: int) -> DataFrame:
+    """Session starts of rows whose (user, query[, block]) lie in one partition each.
+
+    Linear in the rows, however many one pair has; nothing is collected.
+    """
+    keys = [c for c in RUN_KEYS if c in rows.columns]
+    ordered = rows.sortWithinPartitions(*keys, "ts_ms", "seq")
+    return ordered.mapInArrow(_start_finder(expiry), STARTS)
 
 
 def _starts(trails: _Trails, span_s: int, seed_queries: Sequence[str] | None) -> DataFrame:
     expiry = expiry_ms(span_s)
-    starts = _whole_user_starts(_candidates(trails.whole, seed_queries), expiry)
+    # The input is clustered by user, so the runs need no further shuffle.
+    starts = starts_of_runs(_candidates(trails.whole, seed_queries), expiry)
     if trails.split is None:
         return starts
-    heavy = split_users.starts(_candidates(trails.split, seed_queries), expiry, greedy_starts)
+    heavy = split_users.starts(_candidates(trails.split, seed_queries), expiry, trails.chunks, starts_of_runs)
     return starts.unionByName(heavy)
 
 
@@ -137,12 +171,28 @@ def session_starts(
     return _starts(_trails(log, split_rows), span_s, seed_queries)
 
 
-def _attach_refinements(rows: DataFrame, starts: DataFrame, span_s: int) -> DataFrame:
+def _hot_slots(log: DataFrame, span_s: int, pairs_per_task: int) -> DataFrame | None:
+    """``user_id, slot, parts`` of the slots that may make more pairs than one task should.
+
+    A slot has at most as many starts as records, so the square of its records bounds
+    its pairs. None if there are no such slots.
+    """
+    slot = floor_div(F.col("ts_ms"), expiry_ms(span_s)).alias("slot")
+    pairs = F.col("count").cast("double") * F.col("count")
+    counts = log.groupBy("user_id", slot).count().filter(pairs > pairs_per_task)
+    parts = F.least(F.ceil(pairs / pairs_per_task), F.col("count"))
+    hot = materialise(counts.select("user_id", "slot", parts.alias("parts")), "hot-slots")
+    return None if hot.isEmpty() else hot
+
+
+def _attach_refinements(
+    rows: DataFrame, starts: DataFrame, span_s: int, hot: DataFrame | None
+) -> DataFrame:
     """Join starts to the later records of the user inside the span.
 
     The span covers at most two slots of its own length, so an equi-join on
-    (user, slot) finds all partners. Adaptive execution splits a slot that is
-    much larger than the others.
+    (user, slot) finds all partners. The starts of a ``hot`` slot are dealt to parts by
+    hash, and its records copied to all parts.
     """
     expiry = expiry_ms(span_s)
     slot = floor_div(F.col("ts_ms"), expiry)
@@ -163,6 +213,20 @@ def _attach_refinements(rows: DataFrame, starts: DataFrame, span_s: int) -> Data
         F.col("seq").alias("start_seq"),
         "query",
     )
+    keys = ["user_id", "slot"]
+    if hot is None:
+        pairs = records.join(openings, keys)
+    else:
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+        own = F.pmod(F.xxhash64("start_seq", "query"), F.col("parts"))
+        # By number, as these few bytes would otherwise be joined to one task again.
+        n = max(1, hot.agg(F.sum("parts")).first()[0])
+        dealt = [
+            df.join(hot, keys).withColumn("part", part).drop("parts").repartition(n, *keys, "part")
+            for df, part in ((records, every), (openings, own))
+        ]
+        cold = records.join(hot, keys, "left_anti").join(openings, keys).withColumn("part", F.lit(0).cast("bigint"))
+        pairs = cold.unionByName(dealt[0].join(dealt[1], [*keys, "part"]))
 
     def after_start(ms: str, seq: str) -> Column:
         return (F.col(ms) > F.col("start_ms")) | (
@@ -175,8 +239,7 @@ def _attach_refinements(rows: DataFrame, starts: DataFrame, span_s: int) -> Data
     inside = whole_seconds_between(F.col("start_ms"), F.col("ts_ms")) <= span_s
     other_query = F.col("refinement") != F.col("query")
     return (
-        records.join(openings, ["user_id", "slot"])
-        .filter(later & inside & other_query)
+        pairs.filter(later & inside & other_query)
         .select(
             # The record that opens a session is unique in its user, so it names the session.
             F.concat_ws("_", "user_id", "start_seq").alias("session_id"),
@@ -207,15 +270,20 @@ def mark_sessions(
     seed_queries: Sequence[str] | None = None,
     strict: bool = False,
     split_rows: int = SPLIT_USER_ROWS,
+    pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """The rows of :func:`build_sessions` with ``is_first``.
 
     It marks the first row of each refinement in its session, which makes the
     distinct refinements of all sessions a filter instead of a shuffle.
     """
+    # Stated here, as the join does not tell the branch of the starts, and both branches
+    # must be equal to share one shuffle of the log.
+    log = log.filter(F.col("user_id").isNotNull())
     trails = _trails(log, split_rows)
     rows = _without_repeats(trails.all_rows())
-    sessions = _attach_refinements(rows, _starts(trails, span_s, seed_queries), span_s)
+    hot = _hot_slots(log, span_s, pairs_per_task)
+    sessions = _attach_refinements(rows, _starts(trails, span_s, seed_queries), span_s, hot)
     return drop_single_unclicked(sessions) if strict else sessions
 
 

@@ -5,11 +5,11 @@ time), so that every chunk holds about the same number of rows however they are
 spread over time. Only the first record of a chunk needs its predecessor from
 outside, which is the last record of the user's chunk before.
 
-Session starts: the greedy rule is sequential along one (user, query), so time is
-cut into blocks. A block that begins while a session may still be open is
-summarised as a function "start of the open session -> last start in the block".
-Chaining these small functions gives what is open at the beginning of each block,
-and the blocks are then independent.
+Session starts: the greedy rule is sequential along one (user, query). Their records
+are range-partitioned by (user, query, time) into even blocks, and most pairs lie in
+one. For a pair of several blocks each block is summarised as a function "start of the
+session open before -> last start in the block". Chaining these small functions gives
+what is open at the beginning of each block, and the blocks are then independent.
 """
 
 from __future__ import annotations
@@ -18,17 +18,14 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailmine.functions.columns import floor_div
-from trailmine.params import MAX_SPLIT_CHUNKS, MAX_SPLIT_USERS
 from trailmine.storage import materialise
 
-# Sessions of one query that fit into one block.
-_SPANS_PER_BLOCK = 32
-_EXITS = "array<struct<until_ms:bigint,exit_ms:bigint>>"
+_EXITS = "user_id bigint, query string, block int, head_ms bigint, until_ms array<bigint>, exit_ms array<bigint>"
+_OPENED = "user_id bigint, query string, block int, open_ms bigint"
 
 
 class Heavy(NamedTuple):
@@ -36,30 +33,25 @@ class Heavy(NamedTuple):
     rows: int
 
     def without(self, log: DataFrame) -> DataFrame:
-        return log.join(F.broadcast(self.users), "user_id", "left_anti")
+        return log.join(self.users, "user_id", "left_anti")
 
     def only(self, log: DataFrame) -> DataFrame:
-        return log.join(F.broadcast(self.users), "user_id", "left_semi")
+        return log.join(self.users, "user_id", "left_semi")
 
 
 def heavy_users(log: DataFrame, split_rows: int) -> Heavy | None:
     """The users above ``split_rows`` and the number of their rows; None if there are none.
 
-    At most ``MAX_SPLIT_USERS`` of them, largest first, so the list may be broadcast.
-    It only decides who is split: a user beyond it has a share of the log below
-    1 / ``MAX_SPLIT_USERS`` and is handled whole.
+    They stay a table; only their number of rows comes to the driver.
     """
     counts = log.groupBy("user_id").count().filter(F.col("count") > split_rows)
-    top = counts.orderBy(F.desc("count"), "user_id").limit(MAX_SPLIT_USERS).collect()
-    if not top:
-        return None
-    users = log.sparkSession.createDataFrame([(row["user_id"],) for row in top], "user_id bigint")
-    return Heavy(users, sum(row["count"] for row in top))
+    users = materialise(counts, "heavy-user-ids")
+    rows = users.agg(F.sum("count")).first()[0]
+    return Heavy(users.select("user_id"), rows) if rows else None
 
 
-def with_previous(log: DataFrame, heavy: Heavy, split_rows: int) -> DataFrame:
+def with_previous(log: DataFrame, heavy: Heavy, n_chunks: int) -> DataFrame:
     """Rows of the heavy users with their previous record and previous record of the same query."""
-    n_chunks = min(-(-heavy.rows // split_rows), MAX_SPLIT_CHUNKS)
     # The chunk number is not a function of the row, so it is fixed by writing it down.
     rows = materialise(
         heavy.only(log)
@@ -72,7 +64,7 @@ def with_previous(log: DataFrame, heavy: Heavy, split_rows: int) -> DataFrame:
     of_query = Window.partitionBy("user_id", "chunk", "query").orderBy(*in_time)
     place = F.struct("ts_ms", "seq")
 
-    # One row per (user, chunk), and no user has more than MAX_SPLIT_CHUNKS.
+    # One row per (user, chunk): a window holds a user's rows divided by split_rows.
     last = F.max_by(F.struct("query", "doc"), place)
     before = F.lag("last").over(Window.partitionBy("user_id").orderBy("chunk"))
     carried = (
@@ -80,7 +72,7 @@ def with_previous(log: DataFrame, heavy: Heavy, split_rows: int) -> DataFrame:
         .agg(last.alias("last"))
         .select("user_id", "chunk", before.alias("carried"))
     )
-    # One row per (user, query, chunk), so at most MAX_SPLIT_CHUNKS per window.
+    # One row per (user, query, chunk), so no more than chunks per window.
     before = F.lag("last").over(Window.partitionBy("user_id", "query").orderBy("chunk"))
     same = (
         rows.groupBy("user_id", "query", "chunk")
@@ -109,43 +101,12 @@ def with_previous(log: DataFrame, heavy: Heavy, split_rows: int) -> DataFrame:
     )
 
 
-def _blocks(candidates: DataFrame, expiry: int) -> DataFrame:
-    """Candidates per (user, query, block), plus the last one shortly before the block.
+def exit_function(times: np.ndarray, expiry: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """What the times of a block make of a session that is open before it.
 
-    Of equal times only the first record can open a session. Dropping the others
-    bounds a block by its length in milliseconds, however many rows there are.
-    """
-    block_ms = _SPANS_PER_BLOCK * expiry
-    block = floor_div(F.col("ts_ms"), block_ms)
-    own = F.col("in_block") == F.col("block")
-    near_end = F.col("ts_ms") >= (F.col("in_block") + 1) * block_ms - expiry
-    records = F.array_sort(F.collect_list(F.when(own, F.struct("ts_ms", "seq"))))
-    return (
-        candidates.groupBy("user_id", "query", block.alias("in_block"), "ts_ms")
-        .agg(F.min("seq").alias("seq"))
-        .withColumn(
-            "block",
-            F.explode(
-                F.when(near_end, F.array("in_block", F.col("in_block") + 1)).otherwise(
-                    F.array("in_block")
-                )
-            ),
-        )
-        .groupBy("user_id", "query", "block")
-        .agg(records.alias("records"), F.max(F.when(~own, F.col("ts_ms"))).alias("before_ms"))
-        .filter(F.size("records") > 0)
-        .withColumn(
-            "linked",
-            F.coalesce(F.col("records")[0]["ts_ms"] - F.col("before_ms") < expiry, F.lit(False)),
-        )
-    )
-
-
-def _exits(times: np.ndarray, expiry: int, block_start: int) -> list[dict[str, int]]:
-    """Last start in a block by the time at which the session open before it expires.
-
-    An entry holds for expiry times up to ``until_ms``; past the last entry no
-    session starts in the block.
+    Returns the last start if none is open, and the last start by the time at which the
+    open session expires: entry i holds for times up to ``until[i]``. Past the last
+    entry the block opens no session.
     """
     n = len(times)
     follower = np.searchsorted(times, times + expiry)
@@ -154,86 +115,64 @@ def _exits(times: np.ndarray, expiry: int, block_start: int) -> list[dict[str, i
     while (end != end[end]).any():
         end = end[end]
     last = times[end]
-    possible = min(int(np.searchsorted(times, block_start + expiry)) + 1, n)
+    # What is open before began before the first record.
+    possible = min(int(np.searchsorted(times, times[0] + expiry, "right")) + 1, n)
     # Of neighbours with the same exit only the latest is kept.
     keep = np.append(last[1:possible] != last[: possible - 1], True)
-    return [
-        {"until_ms": int(t), "exit_ms": int(e)}
-        for t, e in zip(times[:possible][keep], last[:possible][keep])
-    ]
-
-
-def _exit_function(expiry: int) -> Callable[..., Column]:
-    block_ms = _SPANS_PER_BLOCK * expiry
-
-    @F.pandas_udf(_EXITS)
-    def exits(times: pd.Series, block: pd.Series) -> pd.Series:
-        return pd.Series(
-            [_exits(np.asarray(t), expiry, b * block_ms) for t, b in zip(times, block)]
-        )
-
-    return exits
-
-
-def _open_before(blocks: DataFrame, expiry: int, greedy: Callable[..., Column]) -> DataFrame:
-    """Start of the session that may be open at the beginning of each linked block."""
-    times = F.col("records")["ts_ms"]
-    heads = blocks.filter(~F.col("linked")).select(
-        "user_id",
-        "query",
-        "block",
-        F.element_at(greedy(F.col("records"), expiry), -1)["ts_ms"].alias("head_ms"),
-        F.lit(None).cast(_EXITS).alias("exits"),
-    )
-    tails = blocks.filter("linked").select(
-        "user_id",
-        "query",
-        "block",
-        F.lit(None).cast("bigint").alias("head_ms"),
-        _exit_function(expiry)(times, F.col("block")).alias("exits"),
+    return int(last[0]), times[:possible][keep], last[:possible][keep]
+
+
+def _summaries(expiry: int) -> Callable[[tuple, pa.Table], pa.Table]:
+    def summarise(key: tuple, rows: pa.Table) -> pa.Table:
+        times = np.sort(np.asarray(rows.column("ts_ms").combine_chunks()))
+        head, until, exits = exit_function(times, expiry)
+        own = [x.as_py() for x in key]
+        return pa.table({
+            "user_id": pa.array([own[0]], pa.int64()), "query": pa.array([own[1]], pa.string()),
+            "block": pa.array([own[2]], pa.int32()), "head_ms": pa.array([head], pa.int64()),
+            "until_ms": pa.array([until.tolist()], pa.list_(pa.int64())),
+            "exit_ms": pa.array([exits.tolist()], pa.list_(pa.int64())),
+        })
+
+    return summarise
+
+
+def _chain(expiry: int) -> Callable[[tuple, pa.Table], pa.Table]:
+    def chain(key: tuple, rows: pa.Table) -> pa.Table:
+        """One row per block of the pair, at most as many as there are blocks."""
+        rows = rows.sort_by("block")
+        last, opened = None, []
+        for head, until, exits in zip(*(rows.column(c).to_pylist() for c in ("head_ms", "until_ms", "exit_ms"))):
+            opened.append(last)
+            place = None if last is None else int(np.searchsorted(until, last + expiry))
+            if place is None:
+                last = head
+            elif place < len(until):
+                last = exits[place]
+        return rows.select(["user_id", "query", "block"]).append_column("open_ms", pa.array(opened, pa.int64()))
+
+    return chain
+
+
+def starts(
+    candidates: DataFrame, expiry: int, n_blocks: int, starts_of_runs: Callable[[DataFrame, int], DataFrame]
+) -> DataFrame:
+    """Session starts among the candidates of the heavy users."""
+    # The block number is not a function of the row, so it is fixed by writing it down.
+    placed = materialise(
+        candidates.repartitionByRange(n_blocks, "user_id", "query", "ts_ms", "seq")
+        .withColumn("block", F.spark_partition_id()),
+        "heavy-starts",
     )
-    # One element per block of time, so the length does not grow with the rows.
-    chain = F.array_sort(F.collect_list(F.struct("block", "head_ms", "exits")))
-    nothing = F.struct(
-        F.lit(None).cast("bigint").alias("last"),
-        F.array().cast("array<struct<block:bigint,open_ms:bigint>>").alias("entries"),
+    pair = ["user_id", "query"]
+    # At most one pair crosses each border between blocks.
+    crossing = (
+        placed.groupBy(*pair).agg(F.min("block").alias("low"), F.max("block").alias("high")).filter("low < high")
     )
-
-    def step(acc: Column, item: Column) -> Column:
-        expires = acc["last"] + expiry
-        hit = F.filter(item["exits"], lambda e: e["until_ms"] >= expires)
-        after = F.when(F.size(hit) > 0, hit[0]["exit_ms"]).otherwise(acc["last"])
-        entry = F.struct(item["block"].alias("block"), acc["last"].alias("open_ms"))
-        return F.when(
-            item["head_ms"].isNotNull(),
-            F.struct(item["head_ms"].alias("last"), acc["entries"].alias("entries")),
-        ).otherwise(
-            F.struct(
-                after.alias("last"), F.concat(acc["entries"], F.array(entry)).alias("entries")
-            )
-        )
-
-    return (
-        heads.unionByName(tails)
-        .groupBy("user_id", "query")
-        .agg(chain.alias("chain"))
-        .select(
-            "user_id",
-            "query",
-            F.inline(F.aggregate("chain", nothing, step, lambda acc: acc["entries"])),
-        )
-    )
-
-
-def starts(candidates: DataFrame, expiry: int, greedy: Callable[..., Column]) -> DataFrame:
-    """Session starts among the candidates of the heavy users."""
-    blocks = materialise(_blocks(candidates, expiry), "heavy-blocks")
-    opened = _open_before(blocks, expiry, greedy)
-    return (
-        blocks.join(opened, ["user_id", "query", "block"], "left")
-        .select(
-            "user_id",
-            "query",
-            F.inline(greedy(F.col("records"), expiry, F.col("open_ms"))),
-        )
+    summaries = (
+        placed.join(crossing.select(*pair), pair, "left_semi")
+        .groupBy(*pair, "block").applyInArrow(_summaries(expiry), _EXITS)
     )
+    opened = summaries.groupBy(*pair).applyInArrow(_chain(expiry), _OPENED)
+    told = placed.join(opened, [*pair, "block"], "left").repartition("user_id", "query", "block")
+    return starts_of_runs(told, expiry)

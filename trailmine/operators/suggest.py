@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from trailmine.params import SUGGESTION_LIMIT
 
+# Everything up to the blank, at both ends.
+CONTROL_OR_BLANK = r"^[\x00-\x20]+|[\x00-\x20]+$"
+
 
 def suggest(clusters: DataFrame, requests: DataFrame, limit: int = SUGGESTION_LIMIT) -> DataFrame:
     """The ``limit`` best cluster rows of each requested query, with their ``rank`` from 1.
 
-    Rows are ranked by count, then cluster id, then name. Requests are trimmed;
-    asking twice gives one answer.
+    Rows are ranked by count, then cluster id, then name. Blanks and control characters
+    at the ends of requests are cut off; asking twice gives one answer.
     """
-    wanted = requests.select(F.trim("query").alias("query")).distinct()
+    wanted = requests.select(F.regexp_replace("query", CONTROL_OR_BLANK, "").alias("query")).distinct()
     order = Window.partitionBy("query").orderBy(F.desc("ref_count"), "cluster_id", "refinement")
     return (
         clusters.join(wanted, "query", "left_semi")

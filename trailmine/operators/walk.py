@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmine.operators.cooccurrence import symmetric_co_occ
-from trailmine.params import DOC_ROWS_PER_TASK, DOUBLINGS, EPSILON
+from trailmine.params import DOC_ROWS_PER_TASK, DOUBLINGS, EPSILON, MAX_REFINEMENTS
+from trailmine.storage import materialise
 
 # Destination name of the topic change.
 TOPIC = ""
@@ -125,7 +126,7 @@ def transition_table(
 
     The absorbing states have no rows.
     """
-    rows = reference_rows(co_occ, doc_counts)
+    rows = materialise(reference_rows(co_occ, doc_counts), "walk-refs")
     to_topic = rows.select(
         "query",
         F.col("refinement").alias("src"),
@@ -153,9 +154,16 @@ def renewed(df: DataFrame) -> DataFrame:
     return df.toDF(*df.columns)
 
 
+def check_size(n: int) -> None:
+    """Refuse a query of more refinements than one group handles as a full matrix."""
+    if n > MAX_REFINEMENTS:
+        raise ValueError(f"{n} refinements of a query; at most {MAX_REFINEMENTS} are handled, see refs_per_query")
+
+
 def reach_matrix(steps: pd.DataFrame, doublings: int) -> tuple[pd.Index, np.ndarray]:
     """Refinement names and the sum of the first 2**doublings powers of the step matrix."""
     names = pd.Index(sorted(set(steps["src"]) | set(steps["dst"])), dtype=object)
+    check_size(len(names))
     power = np.zeros((len(names), len(names)))
     power[names.get_indexer(steps["src"]), names.get_indexer(steps["dst"])] = steps["p"]
     reach = np.eye(len(names))
@@ -303,7 +311,7 @@ def vector_products(
     proportionally many parts.
     """
     last_part = F.call_function("div", F.count("*"), F.lit(doc_rows_per_task))
-    parts = to_docs.groupBy("query").agg(last_part.alias("last_part"))
+    parts = materialise(to_docs.groupBy("query").agg(last_part.alias("last_part")), "walk-parts")
     doc_part = F.pmod(F.xxhash64("dst"), F.col("last_part") + 1)
     every_part = F.explode(F.sequence(F.lit(0).cast("bigint"), "last_part"))
     # The joins are on the query alone. Without the explicit repartitioning Spark would

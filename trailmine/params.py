@@ -20,11 +20,11 @@ SUGGESTION_LIMIT = 1000
 # A user with more log rows than this is handled in time-ordered chunks of about
 # this many rows instead of as one window partition.
 SPLIT_USER_ROWS = 500_000
-# The split path keeps a list of at most this many users, largest first, and cuts
-# their rows into at most this many chunks. Both only bound bookkeeping.
-MAX_SPLIT_USERS = 50_000
-MAX_SPLIT_CHUNKS = 20_000
+# Pairs of a record and a session start that one task makes for one user and slot.
+PAIRS_PER_TASK = 500_000
+# Refinements of one query that are handled as a full matrix; more are refused.
+MAX_REFINEMENTS = 2000
 # Document rows of one query handled by one clustering task.
 DOC_ROWS_PER_TASK = 50_000
-# Similarities that agree to this many digits count as equal.
+# Similarities that agree to this many significant digits count as equal.
 SIMILARITY_DIGITS = 12

@@ -8,11 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmine.operators.clustering import (
-    cluster_refinements,
-    singleton_clusters,
-    walk_and_cluster,
-)
+from trailmine.operators.clustering import cluster_refinements, singleton_clusters
 from trailmine.operators.cooccurrence import (
     attach_ref_counts,
     co_occurrences,
@@ -92,41 +88,34 @@ def docs_of(marked: DataFrame, top: DataFrame, settings: Settings) -> DataFrame:
 
 
 def cluster_ids(sessions: DataFrame, top: DataFrame, settings: Settings) -> DataFrame:
-    """``query, cluster_id, refinement`` of written-down sessions and top refinements.
-
-    Queries of at most ``min_clusters`` refinements merge nothing, so only the
-    others go through the random walk. Their documents are handled in one group
-    per query, or in parts if there are very many.
-    """
+    """``query, cluster_id, refinement`` of written-down sessions and top refinements."""
     co_occ, docs = materialise_together(
         {"co-occ": co_occ_of(sessions, top), "doc-counts": docs_of(sessions, top, settings)}
     )
+    return clusters_of_counts(co_occ, docs, settings)
+
+
+def clusters_of_counts(co_occ: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """``query, cluster_id, refinement`` of written-down count tables.
+
+    Queries of at most ``min_clusters`` refinements merge nothing, so only the
+    others go through the random walk. Their documents are dealt to tasks in parts of
+    ``doc_rows_per_task`` rows, one part for most queries.
+    """
     rows = materialise(reference_rows(co_occ, docs), "walk-refs")
 
-    large = F.col("n_refs") > settings.min_clusters
-    in_parts = F.col("query_docs") > settings.doc_rows_per_task
-    whole = rows.filter(large & ~in_parts)
-    clusters = singleton_clusters(rows.filter(~large)).unionByName(
-        walk_and_cluster(
-            ref_steps(co_occ, whole, settings.epsilon),
-            doc_steps(docs, whole, settings.epsilon),
-            settings.min_clusters,
-            settings.doublings,
-            settings.mode,
-        )
-    )
-    parts = rows.filter(large & in_parts)
-    if parts.isEmpty():
-        return clusters
+    large = rows.filter(F.col("n_refs") > settings.min_clusters)
+    small = rows.filter(F.col("n_refs") <= settings.min_clusters)
     products = vector_products(
-        ref_steps(co_occ, parts, settings.epsilon),
-        doc_steps(docs, parts, settings.epsilon),
+        ref_steps(co_occ, large, settings.epsilon),
+        doc_steps(docs, large, settings.epsilon),
         settings.doublings,
         settings.doc_rows_per_task,
     )
     # The norms and the pairs are both taken from the products.
     similarity = similarity_from_products(materialise(products, "products"), settings.mode)
-    return clusters.unionByName(cluster_refinements(similarity, parts, settings.min_clusters))
+    merged = cluster_refinements(similarity, large, settings.min_clusters)
+    return singleton_clusters(small).unionByName(merged)
 
 
 def cluster_pipeline(log: DataFrame, settings: Settings = Settings()) -> DataFrame:

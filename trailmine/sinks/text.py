@@ -27,8 +27,13 @@ LEVEL_LAYOUT = {
     "countRef": "ref_count",
     "topCountRef": "ref_count",
     "cluster": "cluster",
+    "": "cluster",
 }
 
+# Columns that a frame may lack: the documents of single sessions are written empty, the
+# counts of plain clusters left off.
+OPTIONAL = {"session": {"doc"}, "cluster": {"ref_count"}}
+
 # Literal prefixes of the refinement count layout.
 _PREFIX = {"query": "q: ", "refinement": "r: "}
 
@@ -44,11 +49,14 @@ def _layout_field(layout: str, name: str, present: bool) -> Column:
 def level_lines(df: DataFrame, layout: str) -> DataFrame:
     """One ``value`` line per row.
 
-    A trailing column that ``df`` lacks (the counts of plain clusters) is left
-    off; an inner one (the documents of single sessions) is written empty.
+    Of the columns in ``OPTIONAL`` a trailing one that ``df`` lacks is left off, an inner
+    one written empty; any other must be there.
     """
     names = list(LAYOUTS[layout])
-    while names[-1] not in df.columns:
+    lacking = set(names) - set(df.columns) - OPTIONAL.get(layout, set())
+    if lacking:
+        raise ValueError(f"the layout {layout} needs the columns {sorted(lacking)}")
+    if names[-1] not in df.columns:
         names.pop()
     return df.select(
         tab_line(*[_layout_field(layout, n, n in df.columns) for n in names]).alias("value")
@@ -56,9 +64,14 @@ def level_lines(df: DataFrame, layout: str) -> DataFrame:
 
 
 def write_level(df: DataFrame, level: str, path: str, fmt: str = "parquet") -> None:
-    """Write a level (or a layout by its own name) as parquet or, with ``fmt='text'``, TAB lines."""
+    """Write a level (or a layout by its own name) as parquet or, with ``fmt='text'``, TAB lines.
+
+    The empty name stands for the whole pipeline; an unknown one is refused.
+    """
+    if level not in LAYOUTS and level not in LEVEL_LAYOUT:
+        raise ValueError(f"no level or layout {level!r}; known: {sorted([*LAYOUTS, *LEVEL_LAYOUT])}")
     if fmt == "text":
-        layout = level if level in LAYOUTS else LEVEL_LAYOUT.get(level, "cluster")
+        layout = level if level in LAYOUTS else LEVEL_LAYOUT[level]
         level_lines(df, layout).write.text(path)
     else:
         df.write.format(fmt).save(path)
@@ -69,10 +82,10 @@ def write_field_counts(counts: DataFrame, path: str) -> None:
     counts.select(F.col("line").alias("value")).write.text(path)
 
 
-def write_suggestions(df: DataFrame, path: str) -> None:
-    """Replace the suggestion table at ``path``.
+def write_suggestions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Replace the suggestion table at ``path``, or add to it with ``mode="append"``.
 
-    Rows are clustered and sorted by query, so that a lookup reads few row
-    groups. A query has at most one row per refinement kept by the pipeline.
+    Every file of one writing holds a range of queries, sorted, so that a lookup reads
+    one of them by its statistics.
     """
-    df.repartition("query").sortWithinPartitions("query").write.mode("overwrite").parquet(path)
+    df.repartitionByRange("query").sortWithinPartitions("query").write.mode(mode).parquet(path)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trailmine.functions.columns import epoch_ms, field, once, parse_time, tab_fields
 from trailmine.params import BOT_USERS, EMPTY_QUERY
+from trailmine.storage import materialise
 
 _URL_FIELD = 4
 _FULL_LINE = 5
@@ -43,8 +44,8 @@ def parse_log_lines(
     """Log rows from a ``value`` column of lines.
 
     Empty queries (``-``), bot users and malformed lines are left out. ``seq``
-    names a column that orders the lines; without it the position in the files is
-    used, which is stable as long as the files do not change.
+    names a column that orders the lines; without it their place in the frame is used.
+    :func:`read_query_log` orders the lines of files.
     """
     position = F.col(seq).cast("bigint") if seq else F.monotonically_increasing_id()
     return (
@@ -69,8 +70,33 @@ def rejected_lines(lines: DataFrame, bot_users: Sequence[int] = BOT_USERS) -> Da
 
 
 def read_query_log(spark: SparkSession, path: str, bot_users: Sequence[int] = BOT_USERS) -> DataFrame:
-    """Log rows of text files; times are read in the session time zone."""
-    return parse_log_lines(spark.read.text(path), bot_users)
+    """Log rows of text files; times are read in the session time zone.
+
+    The text is read and parsed once, and the rows are written to the shared folder.
+    ``seq`` numbers all lines by the name of their file and their place in it, however
+    the files are cut into splits.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    typed = _typed(lines)
+    kept = (F.col("query") != EMPTY_QUERY) & F.col("user_id").isNotNull() & ~_is_bot(bot_users) & F.col("ts").isNotNull()
+    # Lines that are left out keep their place, so they are written too, without content.
+    row = F.when(kept, F.struct("user_id", "ts", epoch_ms(F.col("ts")).alias("ts_ms"), "query", "doc"))
+    rows = materialise(typed.select("file", "block", "place", row.alias("row")), "log-rows")
+    of_split = rows.groupBy("file", "block").agg(F.min("place").alias("first"), F.count("*").alias("lines"))
+    # One row per split of the files.
+    before = F.sum("lines").over(Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = materialise(of_split.withColumn("offset", F.coalesce(before, F.lit(0))), "log-splits")
+    seq = F.col("offset") + F.col("place") - F.col("first")
+    return (
+        rows.filter(F.col("row").isNotNull())
+        .join(offsets, ["file", "block"])
+        .select("row.user_id", "row.ts", "row.ts_ms", seq.alias("seq"), "row.query", "row.doc")
+    )
 
 
 def rejected_rows(spark: SparkSession, path: str, bot_users: Sequence[int] = BOT_USERS) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +25,30 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_SCOPES: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are removed at the end.
+
+    Write results before the scope is left: frames that read its tables no longer work
+    afterwards. One job at a time may use scopes in a driver.
+    """
+    path = f"{scratch_root(spark)}/scope-{uuid.uuid4().hex}"
+    _SCOPES.append(path)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(path)
+        hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below :func:`scratch_root`."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the innermost scope, or else below :func:`scratch_root`."""
+    root = _SCOPES[-1] if _SCOPES else scratch_root(spark)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
