@@ -35,16 +35,19 @@ from pyspark.sql import functions as F
 
 from trailmine.llm.components import connected_components
 from trailmine.llm.runs import binary_rows, fixed_binary, ragged, runs
-from trailmine.llm.text import BLANK_SEPARATED, combine, mix, shingles_of, slices, words_of
+from trailmine.llm.text import BLANK_SEPARATED, mix, shingles_of, slices, unmix, words_of
 from trailmine.storage import materialise
 
 SYMBOLS, CHUNK, ERRORS = 64, 4, 1
 CHUNKS = SYMBOLS // CHUNK
+#: Symbols of a chunk that stand in each of its keys, also as bits.
+KEPT = list(combinations(range(CHUNK), CHUNK - ERRORS))
+MASKS = np.array([sum(1 << k for k in kept) for kept in KEPT])
 #: Signature distance up to which every pair is found.
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 LONG_SYMBOLS = 192
 KEY_BLOCK = 1024  # classes of a key compared in one task with as many others
-SET_BLOCK = 1 << 17  # shingles of one block of whole sets
+SET_BLOCK, SET_ROWS = 1 << 18, 2048  # shingles and sets of one block of whole sets
 
 _RNG = np.random.Generator(np.random.PCG64(771))
 _FLIPS = _RNG.integers(0, 1 << 63, LONG_SYMBOLS, dtype=np.uint64)
@@ -105,8 +108,8 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cls = np.asarray(batch.column("cls"))
         for chunk in range(CHUNKS):
             symbols = short[:, chunk * CHUNK : (chunk + 1) * CHUNK]
-            for kept in combinations(range(CHUNK), CHUNK - ERRORS):
-                key = np.full(len(cls), chunk * 16 + sum(1 << k for k in kept), np.uint64)
+            for kept, mask in zip(KEPT, MASKS):
+                key = np.full(len(cls), chunk * 16 + mask, np.uint64)
                 for k in kept:
                     key = (key << np.uint64(16)) | symbols[:, k]
                 yield pa.RecordBatch.from_arrays(
@@ -172,12 +175,27 @@ def _pairs_within(short, long, n, comp, percent: int) -> tuple[np.ndarray, np.nd
     return pairs[0], pairs[1]
 
 
+def _first_shared(short_a: np.ndarray, short_b: np.ndarray) -> np.ndarray:
+    """The label of the first key that each pair shares."""
+    same = (short_a == short_b).reshape(len(short_a), CHUNKS, CHUNK)
+    chunk = (same.sum(2) >= CHUNK - ERRORS).argmax(1)
+    own = same[np.arange(len(same)), chunk]
+    fits = np.stack([own[:, list(kept)].all(1) for kept in KEPT], 1)
+    return chunk * 16 + MASKS[fits.argmax(1)]
+
+
 def _block_filter(percent: int):
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, ["key", "left", "right"]):
             comp, cls, block, n = (np.asarray(run.column(c)) for c in ("component", "cls", "block", "n"))
-            a, b = _pairs_within(fixed_binary(run.column("short"), "uint16", SYMBOLS),
-                                 fixed_binary(run.column("long"), "uint8", LONG_SYMBOLS), n, comp, percent)
+            if (comp == comp[0]).all():
+                continue
+            short = fixed_binary(run.column("short"), "uint16", SYMBOLS)
+            a, b = _pairs_within(short, fixed_binary(run.column("long"), "uint8", LONG_SYMBOLS), n, comp, percent)
+            # A pair goes on from the first of its keys only.
+            label = unmix(np.array([run.column("key")[0].as_py()], np.int64).view(np.uint64)) >> np.uint64(16 * len(KEPT[0]))
+            first = _first_shared(short[a], short[b]) == int(label[0])
+            a, b = a[first], b[first]
             if len(a):
                 low, high = np.minimum(block[a], block[b]), np.maximum(block[a], block[b])
                 rows = np.unique(np.concatenate([np.stack([low, high, cls[a]]), np.stack([low, high, cls[b]])], axis=1), axis=1)
@@ -301,7 +319,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
     # Classes under one pivot lie in the same blocks, as many as their sets need.
     grouped = placed.groupBy("cls", "component").agg(F.min("pivot").alias("hub")).join(signed, "cls")
-    weight = grouped.groupBy("hub").agg(F.ceil(F.sum("n") / SET_BLOCK).alias("blocks"))
+    weight = grouped.groupBy("hub").agg(F.ceil(F.greatest(F.sum("n") / SET_BLOCK, F.count("*") / SET_ROWS)).alias("blocks"))
     grouped = materialise(
         grouped.join(weight, "hub")
         .withColumn("block", F.xxhash64("hub", F.pmod(F.xxhash64("cls"), "blocks"))).drop("hub", "blocks"), "grouped")

@@ -42,6 +42,14 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
+def unmix(values: np.ndarray) -> np.ndarray:
+    """The values that :func:`mix` was given."""
+    back = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
+    values = (values ^ (values >> np.uint64(32))) * back
+    values = (values ^ (values >> np.uint64(32))) * back
+    return values ^ (values >> np.uint64(32))
+
+
 def combine(parts: list[np.ndarray]) -> np.ndarray:
     """Hash of a sequence of hashes."""
     state = mix(parts[0] + np.uint64(len(parts)))
