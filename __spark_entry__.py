@@ -22,6 +22,7 @@ from oracle_queries import (  # noqa: E402
     MANY_CLUSTERS,
     REPEAT_BUCKETS,
     SEEDS,
+    SKEWED_SPAN_S,
     SPAN_S,
     SPLIT_ROWS,
     SUGGESTIONS,
@@ -204,6 +205,13 @@ def q_sessions_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.build_sessions(_log(spark, sf_dir), SPAN_S, seed_queries=SEEDS)
 
 
+def q_sessions_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One user holds a third of the log."""
+    log = _log(spark, sf_dir)
+    user = F.when(F.col("seq") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("user_id"))
+    return sessions.build_sessions(log.withColumn("user_id", user), SKEWED_SPAN_S)
+
+
 def q_sessions_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.build_sessions(_log(spark, sf_dir), SPAN_S, strict=True)
 
@@ -306,11 +314,11 @@ def q_ref_similarity_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(walk.ref_similarity(_vectors(spark, sf_dir), "cosine"), "similarity")
 
 
-def _fused_similarity(mode: str) -> Query:
+def _fused_similarity(mode: str, doc_rows_per_task: int = walk.DOC_ROWS_PER_TASK) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         steps = _transitions(spark, sf_dir)
         to_refs, to_docs = walk.steps_of(steps, "ref"), walk.steps_of(steps, "doc")
-        products = walk.vector_products(to_refs, to_docs, doc_rows_per_task=DOC_ROWS_PER_TASK)
+        products = walk.vector_products(to_refs, to_docs, doc_rows_per_task=doc_rows_per_task)
         table = materialise(products, "products")
         return _rounded(walk.similarity_from_products(table, mode), "similarity")
 
@@ -468,6 +476,7 @@ def _own_queries() -> dict[str, Query]:
         "sessions": _sessions,
         "sessions_default_span": q_sessions_default_span,
         "sessions_seeded": q_sessions_seeded,
+        "sessions_skewed": q_sessions_skewed,
         "sessions_strict": q_sessions_strict,
         "sessions_split": q_sessions_split,
         "distinct_session_refs": q_distinct_session_refs,
@@ -491,7 +500,7 @@ def _own_queries() -> dict[str, Query]:
         "ref_similarity_max": q_ref_similarity_max,
         "ref_similarity_cosine": q_ref_similarity_cosine,
         "fused_similarity_max": _fused_similarity("max_product"),
-        "fused_similarity_cosine": _fused_similarity("cosine"),
+        "fused_similarity_cosine": _fused_similarity("cosine", DOC_ROWS_PER_TASK),
         "cluster_ids": q_cluster_ids,
         "clusters_singletons": q_clusters_singletons,
         "clusters": q_clusters,

@@ -11,6 +11,7 @@ TOP_REFS = 12
 TOP_DOCS = 3
 USER_MIN_COUNT = 50
 MANY_CLUSTERS = 80
+SKEWED_SPAN_S = 3_600
 FEW_CLUSTERS = 5
 SUGGESTIONS = 15
 DOC_ROWS_PER_TASK = 60
@@ -297,6 +298,13 @@ def _file_sessions() -> dict[str, str]:
     return _lines() | {"log": log} | rest
 
 
+def _skewed() -> dict[str, str]:
+    ctes = _sessions(SKEWED_SPAN_S)
+    skewed = "SELECT CASE WHEN seq % 3 = 0 THEN 1 ELSE user_id END AS user_id, ts_ms, seq, query, doc FROM log"
+    named = {name: sql.replace("FROM log WINDOW", "FROM skewed WINDOW") for name, sql in ctes.items()}
+    return {"keyed": named.pop("keyed"), "log": named.pop("log"), "skewed": skewed} | named
+
+
 def _suggestions() -> dict[str, str]:
     return _clusters() | {
         "ranked": f"""
@@ -358,6 +366,7 @@ def all_queries() -> dict[str, str]:
         "sessions": _with(_sessions(), sessions),
         "sessions_default_span": _with(_sessions(DEFAULT_SPAN_S), sessions),
         "sessions_seeded": _with(_sessions(seeds=SEEDS), sessions),
+        "sessions_skewed": _with(_skewed(), sessions),
         "sessions_strict": _with(
             _sessions(), f"SELECT * FROM sessions WHERE session_id NOT IN ({invalid})"
         ),
