@@ -6,9 +6,10 @@ from conftest import SF_DIR, tuples
 from trailmine import storage
 from trailmine.operators.counts import distinct_session_refs
 from trailmine.plans.adapters import events_as_log
-from trailmine.plans.pipeline import Settings, cluster_pipeline, run_level
+from trailmine.plans.pipeline import Settings, cluster_pipeline, co_occ_of, docs_of, run_level, sessions_of, top_of
 from trailmine.sinks import level_lines, write_level
 from trailmine.sources import read_clusters, read_sessions
+from trailmine.storage import materialise
 
 DAY = 86_400
 WORKED = [
@@ -109,3 +110,21 @@ def test_layouts(spark):
 def test_scratch_folder_is_the_one_the_session_names(spark):
     assert storage.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert storage.scratch_path(spark, "x") != storage.scratch_path(spark, "x")
+
+
+def test_sizes_of_a_session_of_twenty_refinements(make_log):
+    """Derived by counting: k refinements follow the k-th query from the end."""
+    for users in (1, 2):
+        log = make_log([(u, i * 1000, f"t{i:02}", "d" if i == 20 else "") for u in range(users) for i in range(21)])
+        marked = materialise(sessions_of(log, Settings()), "marked")
+        top = materialise(top_of(marked, Settings()), "top")
+        assert marked.count() == 210 * users and top.count() == 210
+        assert {r["count"] for r in top.collect()} == {users}
+        co_occ = co_occ_of(marked, top)
+        assert co_occ.count() == 1330 and docs_of(marked, top, Settings()).count() == 20
+        clusters = cluster_pipeline(log, Settings())
+        assert clusters.count() == 209 and clusters.select("query").distinct().count() == 19
+        assert {r["ref_count"] for r in clusters.collect()} == {users}
+        few = cluster_pipeline(log, Settings(min_clusters=3))
+        assert few.groupBy("query").agg({"cluster_id": "max"}).filter("`max(cluster_id)` > 2").count() == 0
+        assert few.count() == 209
