@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trailmine.llm.sending import send
 from trailmine.llm.text import ALPHANUMERIC, Words, slices, words_of
 
 WIDTH = 10
@@ -112,7 +113,7 @@ def build_patterns(items: list[tuple[str, str]], width: int) -> tuple[list[Patte
 
 def _search(tables):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns, spelled = tables.value
+        patterns, spelled = tables()
         for batch in slices(batches, "text"):
             words = words_of(batch.column("text"), ALPHANUMERIC)
             n = batch.num_rows
@@ -176,6 +177,6 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH
         F.expr("cast(array() as array<string>)").alias("items"))
     for block in range(blocks):
         own = [(r["item"], r["text"]) for r in items.filter(F.col("block") == block).select("item", "text").collect()]
-        tables = spark.sparkContext.broadcast(build_patterns(own, width))
+        tables = send(spark, build_patterns(own, width))
         out = out.mapInArrow(_search(tables), out.schema)
     return out

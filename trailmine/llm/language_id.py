@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trailmine.llm.sending import send
 from trailmine.llm.text import Words, mix, slices, widened, words_of
 from trailmine.storage import materialise
 
@@ -206,14 +207,15 @@ def fit_language_model(
 def identify_languages(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1); columns of these names are replaced."""
     docs = docs.drop("lang_pred", "score")
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = send(docs.sparkSession, model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent()
         for batch in slices(batches, "text", 4 << 20):
-            if sent.value is None:
+            if own is None:
                 names, scores = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             else:
-                names, scores = sent.value.predict(batch.column("text"))
+                names, scores = own.predict(batch.column("text"))
             yield batch.append_column("lang_pred", pa.array(names, pa.string())).append_column("score", pa.array(scores))
 
     return docs.mapInArrow(predict, widened(docs, "lang_pred string, score double"))

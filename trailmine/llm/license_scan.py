@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from trailmine.llm.sending import send
 from trailmine.llm.text import ALPHANUMERIC, slices, widened, words_of
 
 # Phrases and their labels.
@@ -175,7 +176,7 @@ def _best_chain(runs: list[tuple[int, int, int]], max_gap: int) -> tuple[int, in
 
 def _scan(automaton, min_run: int, max_gap: int, min_cover: float):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto: LicenseAutomaton = automaton.value
+        auto: LicenseAutomaton = automaton()
         n_phrases = len(auto.phrases)
         for batch in slices(batches, "text"):
             words = words_of(batch.column("text"), ALPHANUMERIC)
@@ -227,6 +228,6 @@ def scan_licenses(
     is covered enough; words count from 0.
     """
     docs = docs.drop(*REPORT)
-    automaton = docs.sparkSession.sparkContext.broadcast(LicenseAutomaton(phrases, templates))
+    automaton = send(docs.sparkSession, LicenseAutomaton(phrases, templates))
     schema = widened(docs, ", ".join(f"{name} {kind}" for name, kind in REPORT.items()))
     return docs.mapInArrow(_scan(automaton, min_run, max_gap, min_cover), schema)

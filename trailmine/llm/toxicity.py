@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trailmine.llm.sending import send
 from trailmine.llm.text import ALPHANUMERIC, slices, widened, words_of
 from trailmine.storage import materialise
 
@@ -179,11 +180,12 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
     Columns of these names are replaced.
     """
     docs = docs.drop("severity", "grade", "p_toxic")
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = send(docs.sparkSession, model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent()
         for batch in slices(batches, "text"):
-            own, n = sent.value, batch.num_rows
+            n = batch.num_rows
             above = np.zeros((n, 1))
             if own is not None:
                 text, feature, times = _features(words_of(batch.column("text"), ALPHANUMERIC), own.words)
