@@ -12,6 +12,8 @@ def _stars(links: DataFrame, both_ways: bool) -> DataFrame:
     """Link every larger neighbour (or every smaller one) of a node to the smallest of its neighbourhood."""
     ways = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))) if both_ways else links
     least = ways.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
+    # Written down, so that the join of a node of many links can be split.
+    least = materialise(least, "least")
     if both_ways:
         joined = ways.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     else:

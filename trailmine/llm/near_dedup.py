@@ -15,9 +15,10 @@ No step makes all pairs of a group:
 * classes that share a key are first compared with the smallest one of that key only, and
   the links found are joined to components;
 * keys whose classes now lie in one component are done. For the others, signatures of
-  different components are compared inside tasks, a large key in blocks, and only the
-  classes of pairs within both distances go on, dealt to bounded pairs of blocks, where
-  their whole sets are compared. Rows leaving a task are links of a spanning forest.
+  different components are compared inside tasks, a large key in blocks, of which those of
+  the pivot's component are not compared with each other. Only the classes of pairs within
+  both distances go on, dealt to bounded pairs of blocks, where their whole sets are
+  compared. Rows leaving a task are links of a spanning forest.
 
 Null, empty and blank texts have no shingles and are linked with nothing. A document of
 fewer words than a shingle has its whole sequence as its one shingle.
@@ -298,8 +299,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("short").alias("short"), F.first("long").alias("long")), "classes")
 
     keys = classes.select("cls", "short").mapInArrow(_keys, "key long, cls long")
-    shared = keys.groupBy("key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("last"), F.count("*").alias("members"))
-    members = materialise(keys.join(shared.filter("pivot < last").drop("last"), "key"), "members")
+    shared = keys.groupBy("key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("last"))
+    # Written down, here and below, so that the join of a frequent key can be split.
+    shared = materialise(shared.filter("pivot < last").drop("last"), "shared-keys")
+    members = materialise(keys.join(shared, "key"), "members")
 
     signed = classes.select("cls", "n", "short", "long")
     side = lambda s: signed.select(*(F.col(c).alias(s if c == "cls" else f"{c}_{s}") for c in signed.columns))
@@ -316,18 +319,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     placed = members.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     placed = materialise(placed, "placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
+    mixed = placed.groupBy("key").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.min_by("component", "cls").alias("main"))
+    mixed = materialise(mixed.filter("x < y").select("key", "main"), "mixed-keys")
     # Classes under one pivot lie in the same blocks, as many as their sets need.
-    grouped = placed.groupBy("cls", "component").agg(F.min("pivot").alias("hub")).join(signed, "cls")
+    hubs = placed.groupBy("cls", "component").agg(F.min("pivot").alias("hub"))
+    grouped = materialise(hubs.join(signed, "cls"), "hubs")
     weight = grouped.groupBy("hub").agg(F.ceil(F.greatest(F.sum("n") / SET_BLOCK, F.count("*") / SET_ROWS)).alias("blocks"))
+    weight = materialise(weight, "hub-weights")
     grouped = materialise(
         grouped.join(weight, "hub")
         .withColumn("block", F.xxhash64("hub", F.pmod(F.xxhash64("cls"), "blocks"))).drop("hub", "blocks"), "grouped")
-    dealt = (placed.select("key", "cls", "members").join(mixed, "key")
-             .withColumn("parts", F.ceil(F.col("members") / KEY_BLOCK))
-             .withColumn("own", F.pmod(F.xxhash64("cls", F.lit(7)), "parts"))
-             .withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
-             .select("key", "cls", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"))
+    # The pivot's component, often nearly all of a key, needs no comparison inside: its
+    # blocks meet those of the other classes, and these meet each other.
+    sided = placed.select("key", "cls", "component").join(mixed, "key")
+    inner = F.col("component") == F.col("main")
+    parts = sided.groupBy("key").agg(
+        F.ceil(F.count_if(inner) / KEY_BLOCK).alias("main_parts"), F.ceil(F.count_if(~inner) / KEY_BLOCK).alias("other_parts"))
+    parts = materialise(parts, "key-parts")
+    dealt = (sided.join(parts, "key")
+             .withColumn("own", F.pmod(F.xxhash64("cls", F.lit(7)), F.when(inner, F.col("main_parts")).otherwise(F.col("other_parts"))))
+             .withColumn("run", F.explode(F.when(inner, F.expr("transform(sequence(0L, other_parts - 1), o -> struct(own as left, o as right))"))
+                         .otherwise(F.expr("""concat(
+                             transform(sequence(0L, main_parts - 1), m -> struct(m as left, own as right)),
+                             transform(filter(sequence(0L, other_parts - 1), o -> o <> own),
+                                       o -> struct(-1 - least(o, own) as left, greatest(o, own) as right)))"""))))
+             .select("key", "cls", "run.left", "run.right")
              .join(grouped, "cls")
              .repartition("key", "left", "right").sortWithinPartitions("key", "left", "right"))
     blocks = dealt.mapInArrow(_block_filter(percent), "low long, high long, cls long").distinct()
