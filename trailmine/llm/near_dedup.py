@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from trailmine.llm.components import connected_components
 from trailmine.llm.runs import binary_rows, fixed_binary, ragged, runs
 from trailmine.llm.text import BLANK_SEPARATED, mix, shingles_of, slices, unmix, words_of
-from trailmine.storage import materialise
+from trailmine.storage import materialise, scratch_path, scratch_scope
 
 SYMBOLS, CHUNK, ERRORS = 64, 4, 1
 CHUNKS = SYMBOLS // CHUNK
@@ -281,18 +281,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return made.dropDuplicates(["cls"])
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs``.
-
-    Needs the columns ``doc_id`` and ``text``; others are ignored. Documents are linked if
-    ``100 * |A and B| >= percent * |A or B|`` for their sets of ``width``-word shingles.
-    ``component_id`` is the smallest doc_id reachable by links. Rows without shingles, and
-    a null doc_id without partners, stand for themselves. Repeated rows are one class; of
-    rows with equal doc_id all are kept or none.
-    """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profiles = materialise(
-        docs.mapInArrow(_profiler(width), "doc_id long, n long, cls long, digest long, short binary, long binary"), "profiles")
+def _class_components(docs: DataFrame, profiles: DataFrame, width: int, percent: int) -> DataFrame:
+    """``cls, digest, rep, top``: the smallest class reachable from each class, and its first document."""
     full = profiles.filter("n > 0")
     classes = materialise(
         full.groupBy("cls", "digest").agg(
@@ -357,7 +347,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
              .join(found.withColumnRenamed("node", "cls"), "cls", "left")
              .withColumn("component", F.coalesce("component", "cls"))
              .join(joined, "component", "left").withColumn("top", F.coalesce("top", "component")))
-    final = materialise(final.select("cls", "digest", "rep", "top"), "final")
+    return final.select("cls", "digest", "rep", "top")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs``.
+
+    Needs the columns ``doc_id`` and ``text``; others are ignored. Documents are linked if
+    ``100 * |A and B| >= percent * |A or B|`` for their sets of ``width``-word shingles.
+    ``component_id`` is the smallest doc_id reachable by links. Rows without shingles, and
+    a null doc_id without partners, stand for themselves. Repeated rows are one class; of
+    rows with equal doc_id all are kept or none.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    profiles = materialise(
+        docs.mapInArrow(_profiler(width), "doc_id long, n long, cls long, digest long, short binary, long binary"), "profiles")
+    path = scratch_path(docs.sparkSession, "class-components")
+    with scratch_scope(docs.sparkSession):
+        final = _class_components(docs, profiles, width, percent)
+        final.write.parquet(path)
+    final = docs.sparkSession.read.schema(final.schema).parquet(path)
     names = final.groupBy("top").agg(F.min("rep").alias("component_id"))
     per_class = final.join(names, "top").select("cls", "digest", "component_id")
     rows = profiles.select("doc_id", "n", "cls", "digest").join(per_class, ["cls", "digest"], "left")
@@ -370,8 +379,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stand for their group, with all their columns.
 
-    Of rows of equal doc_id and text one stays. Rows of null doc_id stay or go together.
+    Of rows of equal doc_id and text one stays; rows of null doc_id stay or go together.
     """
-    kept = near_duplicates(docs, width, percent).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["__kept"]), "left_semi")
+    found = near_duplicates(docs, width, percent)
+    ids = materialise(found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "kept-ids")
+    gone = ids.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone"))
+    rows = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["__gone"]), "left_anti")
+    if ids.filter("rows > 1").isEmpty():
+        return rows
     return rows.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
