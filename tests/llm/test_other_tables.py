@@ -75,7 +75,7 @@ SHAPE = "conv_id long, turn long, role string, text string"
 
 
 def test_quotations_lead_to_their_originals(spark):
-    frame = spark.createDataFrame(MAIL, SHAPE).selectExpr("*", "1 as depth", "'x' as passages_")
+    frame = spark.createDataFrame(MAIL, SHAPE).selectExpr("*", "1 as depth", "'x' as passages", "'y' as own")
     got = {(r["conv_id"], r["turn"]): r for r in quotations.link_quotations(frame).collect()}
     mine = lambda c, t: tuple(got[c, t][n] for n in ("parent_turn", "root_turn", "depth", "n_quotes"))
     assert mine(1, 0) == (None, 0, 0, 0)
@@ -86,6 +86,7 @@ def test_quotations_lead_to_their_originals(spark):
     assert mine(2, 0) == (None, 0, 0, 1) and got[2, 1]["text"] is None and mine(2, 2) == (None, 2, 0, 0)
     assert mine(None, 0) == (None, 0, 0, 1) and mine(3, None) == (None, None, 0, 1)
     assert mine(4, 1) == (0, 0, 1, 2) and got[4, 1]["text"] == ""
+    assert {(r["passages"], r["own"]) for r in got.values()} == {("x", "y")} and len(got) == len(MAIL) - 1
     assert quotations.link_quotations(frame).count() == len(MAIL)
 
 
