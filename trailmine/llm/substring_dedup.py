@@ -96,7 +96,8 @@ def remove_repeats(docs: DataFrame, unit: str = "line", min_words: int = MIN_WOR
     units = materialise(hashed.mapInArrow(_digests(unit, min_words), UNITS), "units")
     place = F.struct("doc_id", "text_hash", "start")
     counted = units.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    repeated = counted.filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last")
+    # Written down, so that the join of a frequent line can be split.
+    repeated = materialise(counted.filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last"), "repeated-units")
     later = units.join(repeated, "digest").filter(~place.eqNullSafe(F.col("first")))
     removed = later.groupBy(F.col("doc_id").alias("__of"), F.col("text_hash").alias("__text")).agg(
         F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("removed"))
