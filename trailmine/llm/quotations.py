@@ -24,10 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trailmine.functions.columns import once
 from trailmine.storage import materialise
 
 MIN_LINE_WORDS = 3  # of a single line that may link
 _SIGNS = r"^((?:[ \t]?>)+)"
+_MARKED = r"(^|[\r\n])[ \t]?>"
 _ATTRIBUTION = r"^[ \t]*(On|Am|Le|El)\b.*(wrote|schrieb|écrit|escribió)[ \t]*:[ \t]*$"
 
 
@@ -44,30 +46,30 @@ def _digest(text: Column) -> Column:
 
 
 def parse_quotations(messages: DataFrame) -> DataFrame:
-    """``messages`` with ``passages``, an array of ``(level, text)``, and ``own``, the text without quotations.
+    """``messages`` with ``__passages``, an array of ``(level, text)``, and ``__own``, the text without quotations.
 
     A line of attribution ("On ... wrote:") directly before a quotation goes with it.
     """
     lines = F.split(F.regexp_replace("text", "\r\n?", "\n"), "\n", -1)
-    parsed = messages.withColumn("__lines", F.transform(lines, lambda x: F.struct(
-        _level(x).alias("level"), F.regexp_replace(x, _SIGNS + "[ ]?", "").alias("text"), x.rlike(_ATTRIBUTION).alias("said"))))
+    parsed = messages.withColumn("__lines", once(F.transform(lines, lambda x: F.struct(
+        _level(x).alias("level"), F.regexp_replace(x, _SIGNS + "[ ]?", "").alias("text"), x.rlike(_ATTRIBUTION).alias("said")))))
     # Attribution lines take the level of the quotation they stand before.
     parsed = parsed.withColumn("__lines", F.expr("""
         transform(__lines, (x, i) -> named_struct(
             'level', x.level, 'text', x.text,
             'said', x.said and x.level = 0 and coalesce(get(__lines, i + 1).level, 0) > 0))"""))
-    parsed = parsed.withColumn("__lines", F.expr("filter(__lines, x -> not x.said)"))
+    parsed = parsed.withColumn("__lines", once(F.expr("filter(__lines, x -> not x.said)")))
     parsed = parsed.withColumn("__starts", F.expr("""
         filter(transform(__lines, (x, i) -> if(i = 0 or x.level <> get(__lines, i - 1).level, i, -1)), i -> i >= 0)"""))
-    parsed = parsed.withColumn("passages", F.expr("""
+    parsed = parsed.withColumn("__passages", once(F.expr("""
         transform(__starts, (b, k) -> named_struct(
             'level', get(__lines, b).level,
-            'text', array_join(transform(slice(__lines, b + 1, coalesce(get(__starts, k + 1), size(__lines)) - b), x -> x.text), '\n')))"""))
-    own = F.expr("array_join(transform(filter(passages, p -> p.level = 0), p -> p.text), '\n')")
+            'text', array_join(transform(slice(__lines, b + 1, coalesce(get(__starts, k + 1), size(__lines)) - b), x -> x.text), '\n')))""")))
+    own = F.expr("array_join(transform(filter(__passages, p -> p.level = 0), p -> p.text), '\n')")
     # Line ends at both ends, and more than one empty line, were left by quotations.
     tidy = F.regexp_replace(F.regexp_replace(own, "\n{3,}", "\n\n"), "^\n+|\n+$", "")
-    own = F.when(F.expr("exists(passages, p -> p.level > 0)"), tidy).otherwise(F.col("text"))
-    return parsed.withColumn("own", own).drop("__lines", "__starts")
+    own = F.when(F.expr("exists(__passages, p -> p.level > 0)"), tidy).otherwise(F.col("text"))
+    return parsed.withColumn("__own", own).drop("__lines", "__starts")
 
 
 def _units(passages: Column) -> Column:
@@ -86,15 +88,16 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     ``n_quotes`` counts quoted passages. Columns of the added names are replaced.
     """
     messages = messages.drop("parent_turn", "root_turn", "depth", "n_quotes")
-    parsed = parse_quotations(messages.select("conv_id", "turn", "text"))
-    quoting = parsed.filter(F.expr("exists(passages, p -> p.level > 0)"))
-    quoted = quoting.filter("conv_id is not null and turn is not null").select(
-        "conv_id", "turn", F.explode(_units(F.expr("filter(passages, p -> p.level = 1)"))).alias("u"))
+    bare = messages.select("conv_id", "turn", "text")
+    marked = F.coalesce(F.col("text").rlike(_MARKED), F.lit(False))
+    quoting = parse_quotations(bare.filter(marked)).filter("conv_id is not null and turn is not null")
+    quoted = quoting.select(
+        "conv_id", "turn", F.explode(_units(F.expr("filter(__passages, p -> p.level = 1)"))).alias("u"))
     quoted = quoted.select("conv_id", "turn", "u.rank", _digest(F.col("u.text")).alias("digest")).distinct()
-    said = F.concat(_units(F.expr("filter(passages, p -> p.level = 0)")),
-                    F.array(F.struct(F.lit(1).alias("rank"), F.lit(0).alias("level"), F.col("own").alias("text"))))
+    said = F.concat(_units(F.expr("filter(__passages, p -> p.level = 0)")),
+                    F.array(F.struct(F.lit(1).alias("rank"), F.lit(0).alias("level"), F.col("__own").alias("text"))))
     wanted = quoted.select("conv_id").distinct()
-    original = parsed.join(wanted, "conv_id", "left_semi").filter("turn is not null and text is not null").select(
+    original = parse_quotations(bare.filter("turn is not null and text is not null").join(wanted, "conv_id", "left_semi")).select(
         "conv_id", "turn", F.explode(said).alias("u"))
     original = original.groupBy("conv_id", _digest(F.col("u.text")).alias("digest")).agg(F.min("turn").alias("said_at"))
     links = quoted.join(original, ["conv_id", "digest"]).filter("said_at < turn")
@@ -104,12 +107,18 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     back = _roots(links)
     tables = links.join(back, ["conv_id", "turn"]).select(
         F.col("conv_id").alias("__conv"), F.col("turn").alias("__turn"), "parent_turn", "root_turn", "depth")
-    whole = parse_quotations(messages)
+    whole = parse_quotations(messages.filter(marked))
     joined = whole.join(tables, (whole["conv_id"] == tables["__conv"]) & (whole["turn"] == tables["__turn"]), "left")
-    return joined.select(
-        *(F.col("own").alias("text") if c == "text" else F.col(c) for c in messages.columns),
+    found = joined.select(
+        *(F.col("__own").alias("text") if c == "text" else F.col(c) for c in messages.columns),
         "parent_turn", F.coalesce("root_turn", "turn").alias("root_turn"), F.coalesce("depth", F.lit(0)).alias("depth"),
-        F.coalesce(F.expr("size(filter(passages, p -> p.level > 0))"), F.lit(0)).alias("n_quotes"))
+        F.coalesce(F.expr("size(filter(__passages, p -> p.level > 0))"), F.lit(0)).alias("n_quotes"))
+    # Messages without a quotation are left as they are.
+    turn = F.col("turn")
+    plain = messages.filter(~marked).select(
+        "*", F.lit(None).cast(messages.schema["turn"].dataType).alias("parent_turn"), turn.alias("root_turn"),
+        F.lit(0).alias("depth"), F.lit(0).alias("n_quotes"))
+    return plain.unionByName(found)
 
 
 def _roots(links: DataFrame) -> DataFrame:
