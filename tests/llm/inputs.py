@@ -1,13 +1,10 @@
-from __future__ import annotations
+"""Inputs of the tests; the fixtures are imported where they are used."""
 
-import sys
-from pathlib import Path
+from __future__ import annotations
 
 import pandas as pd
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
 SF_DIR = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string"
 

@@ -10,7 +10,7 @@ import corpus_pipeline
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import DOCS
+from inputs import DOCS
 
 from trailmine.llm import piece_encoding, queries, text, toxicity
 

@@ -9,9 +9,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
-from conftest import DOCS, ODD_TEXTS, SF_DIR
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from inputs import DOCS, ODD_TEXTS, SF_DIR, documents, no_docs, odd_docs  # noqa: F401
 
 from trailmine.llm import (
     decontaminate,

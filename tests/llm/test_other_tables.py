@@ -7,7 +7,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from conftest import SF_DIR
+from inputs import SF_DIR
 
 from trailmine.llm import exact_search, queries, quotations, warc
 
