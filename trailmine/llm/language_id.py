@@ -211,7 +211,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel | None) -> DataFram
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent()
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             if own is None:
                 names, scores = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             else:

@@ -38,7 +38,7 @@ from sentencepiece import sentencepiece_model_pb2
 from trailmine.llm.text import slices, widened
 
 BLANK = "▁"
-KEPT_CHUNKS = 600_000  # encoded chunks a worker keeps
+KEPT_CHUNKS = 300_000  # encoded chunks a worker keeps
 CHECKED = 16  # one of so many new chunks is compared with the library
 ROW_LENGTH = 32  # characters of the longest chunk merged as a row
 _NONE = np.int32(1 << 30)

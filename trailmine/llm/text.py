@@ -194,7 +194,7 @@ def widened(df: DataFrame, columns: str) -> StructType:
     return StructType([*df.schema.fields, *StructType.fromDDL(columns).fields])
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``max_bytes`` of text; a longer text comes alone."""
     for batch in batches:
         if not batch.num_rows:
