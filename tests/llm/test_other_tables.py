@@ -90,6 +90,22 @@ def test_quotations_lead_to_their_originals(spark):
     assert quotations.link_quotations(frame).count() == len(MAIL)
 
 
+def test_deeper_quotations_lead_on_where_the_first_level_does_not(spark):
+    rows = [
+        (1, 0, "u", "The budget is ready for review.\nPlease read it today."),
+        (1, 1, "u", "Thanks, that was quick work."),
+        (1, 2, "u", ">> The budget is ready for review.\n>> Please read it today.\nAt last."),
+        (1, 3, "u", "> Thanks, that was very quick.\n> > Please read it today.\nIndeed."),
+        (1, 4, "u", "> > At last.\n> Unheard of in here.\n>>> Thanks, that was quick work.\nHm."),
+        (1, 5, "u", "> Thanks, that was quick work.\n> And more of it.\n>> At last.\nYes."),
+        (1, 6, "u", ">> never said by anyone\nNo."),
+    ]
+    got = {r["turn"]: r for r in quotations.link_quotations(spark.createDataFrame(rows, SHAPE)).collect()}
+    assert [got[k]["parent_turn"] for k in range(7)] == [None, None, 0, 0, 2, 1, None]
+    assert [(got[k]["root_turn"], got[k]["depth"]) for k in (4, 5, 6)] == [(0, 2), (1, 1), (6, 0)]
+    assert [got[k]["n_quotes"] for k in range(7)] == [0, 0, 1, 2, 3, 2, 1]
+
+
 def test_a_long_chain_of_replies(spark):
     rows = [(1, 0, "u", "message number 0 of the chain")]
     rows += [(1, k, "u", f"> message number {k - 1} of the chain\nmessage number {k} of the chain") for k in range(1, 40)]

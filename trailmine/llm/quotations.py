@@ -5,8 +5,9 @@ of one level are a passage. Passages are normalised (lower case, single blanks)
 by a SHA-256 digest. The original of a passage is the earliest message of the conversation
 that has it as unquoted text, as a whole passage, a paragraph line or its whole text.
 
-A message replies to the original of its first-level quotations; of several the latest
-one counts, and only earlier messages do. Whole passages count before single lines.
+A message replies to the original of its quotations of the lowest level that has one; of
+several the latest one counts, and only earlier messages do. Whole passages count before
+single lines.
 Following replies back gives the root of a thread and the depth of a message. Ordered by
 conversation, root and turn, every message comes after the one it replies to.
 
@@ -92,8 +93,8 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     marked = F.coalesce(F.col("text").rlike(_MARKED), F.lit(False))
     quoting = parse_quotations(bare.filter(marked)).filter("conv_id is not null and turn is not null")
     quoted = quoting.select(
-        "conv_id", "turn", F.explode(_units(F.expr("filter(__passages, p -> p.level = 1)"))).alias("u"))
-    quoted = quoted.select("conv_id", "turn", "u.rank", _digest(F.col("u.text")).alias("digest")).distinct()
+        "conv_id", "turn", F.explode(_units(F.expr("filter(__passages, p -> p.level > 0)"))).alias("u"))
+    quoted = quoted.select("conv_id", "turn", "u.level", "u.rank", _digest(F.col("u.text")).alias("digest")).distinct()
     said = F.concat(_units(F.expr("filter(__passages, p -> p.level = 0)")),
                     F.array(F.struct(F.lit(1).alias("rank"), F.lit(0).alias("level"), F.col("__own").alias("text"))))
     wanted = quoted.select("conv_id").distinct()
@@ -101,8 +102,8 @@ def link_quotations(messages: DataFrame) -> DataFrame:
         "conv_id", "turn", F.explode(said).alias("u"))
     original = original.groupBy("conv_id", _digest(F.col("u.text")).alias("digest")).agg(F.min("turn").alias("said_at"))
     links = quoted.join(original, ["conv_id", "digest"]).filter("said_at < turn")
-    # Whole passages before lines, then the latest original.
-    links = links.groupBy("conv_id", "turn").agg(F.max(F.struct(-F.col("rank"), "said_at")).alias("best"))
+    # Lower levels before deeper ones, whole passages before lines, then the latest original.
+    links = links.groupBy("conv_id", "turn").agg(F.max(F.struct(-F.col("level"), -F.col("rank"), "said_at")).alias("best"))
     links = materialise(links.select("conv_id", "turn", F.col("best.said_at").alias("parent_turn")), "quote-links")
     back = _roots(links)
     tables = links.join(back, ["conv_id", "turn"]).select(
