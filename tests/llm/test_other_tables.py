@@ -106,6 +106,22 @@ def test_deeper_quotations_lead_on_where_the_first_level_does_not(spark):
     assert [got[k]["n_quotes"] for k in range(7)] == [0, 0, 1, 2, 3, 2, 1]
 
 
+def test_short_lines_and_paragraphs_are_originals(spark):
+    rows = [
+        (1, 0, "u", "Hello\nSounds good\nSee you"),
+        (1, 1, "u", "> Sounds good\nFine."),
+        (1, 2, "u", "First of all, thank you.\n\nThe plan has three parts,\nand each takes a week.\n \nSo\nlong"),
+        (1, 3, "u", "> The plan has three parts, and\n> each takes a week.\nGood plan."),
+        (1, 4, "u", "> So\n> long\nBye."),
+        (1, 5, "u", "> The plan has three\n> parts, and each takes a week.\n>\n> Not said\nReally?"),
+        (1, 6, "u", "> Hello\n> Not said\nA short line out of a longer passage tells too little."),
+        (1, 7, "u", "> fine.\n> The plan has three parts,\n>\n> So  long\nOf lines the long one counts."),
+    ]
+    got = {r["turn"]: r for r in quotations.link_quotations(spark.createDataFrame(rows, SHAPE)).collect()}
+    assert [got[k]["parent_turn"] for k in range(8)] == [None, 0, None, 2, 2, 2, None, 2]
+    assert [(got[k]["root_turn"], got[k]["depth"]) for k in (1, 3, 6)] == [(0, 1), (2, 1), (6, 0)]
+
+
 def test_a_long_chain_of_replies(spark):
     rows = [(1, 0, "u", "message number 0 of the chain")]
     rows += [(1, k, "u", f"> message number {k - 1} of the chain\nmessage number {k} of the chain") for k in range(1, 40)]

@@ -3,11 +3,13 @@
 A line that begins with ``>`` signs is a quotation of as many levels. Neighbouring lines
 of one level are a passage. Passages are normalised (lower case, single blanks) and known
 by a SHA-256 digest. The original of a passage is the earliest message of the conversation
-that has it as unquoted text, as a whole passage, a paragraph line or its whole text.
+that has it as unquoted text: as a whole passage, a paragraph between empty lines, a line or
+its whole text. Where a longer quoted passage has no original as a whole, its paragraphs and
+then its lines count, of which a single line needs ``MIN_LINE_WORDS`` words.
 
 A message replies to the original of its quotations of the lowest level that has one; of
 several the latest one counts, and only earlier messages do. Whole passages count before
-single lines.
+paragraphs, and these before single lines.
 Following replies back gives the root of a thread and the depth of a message. Ordered by
 conversation, root and turn, every message comes after the one it replies to.
 
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from trailmine.functions.columns import once
 from trailmine.storage import materialise
 
-MIN_LINE_WORDS = 3  # of a single line that may link
+MIN_LINE_WORDS = 3  # of a line cut out of a longer quoted passage
 _SIGNS = r"^((?:[ \t]?>)+)"
 _MARKED = r"(^|[\r\n])[ \t]?>"
 _ATTRIBUTION = r"^[ \t]*(On|Am|Le|El)\b.*(wrote|schrieb|écrit|escribió)[ \t]*:[ \t]*$"
@@ -73,13 +75,16 @@ def parse_quotations(messages: DataFrame) -> DataFrame:
     return parsed.withColumn("__own", own).drop("__lines", "__starts")
 
 
-def _units(passages: Column) -> Column:
-    """Passages (rank 1) and their lines of some words (rank 2)."""
+def _units(passages: Column, least: int = 1) -> Column:
+    """Passages (rank 1), their paragraphs (rank 2) and their lines (rank 3), single lines from ``least`` words."""
     whole = F.transform(passages, lambda p: F.struct(F.lit(1).alias("rank"), p["level"].alias("level"), p["text"].alias("text")))
-    lines = F.flatten(F.transform(passages, lambda p: F.transform(
-        F.split(p["text"], "\n", -1), lambda x: F.struct(F.lit(2).alias("rank"), p["level"].alias("level"), x.alias("text")))))
-    lines = F.filter(lines, lambda u: F.size(F.split(_normal(u["text"]), " ", -1)) >= MIN_LINE_WORDS)
-    return F.filter(F.concat(whole, lines), lambda u: _normal(u["text"]) != "")
+    cut = lambda rank, border: F.flatten(F.transform(passages, lambda p: F.transform(
+        F.split(p["text"], border, -1), lambda x: F.struct(F.lit(rank).alias("rank"), p["level"].alias("level"), x.alias("text")))))
+    parts = F.concat(cut(2, "\n[ \t\f]*\n"), cut(3, "\n"))
+    if least > 1:
+        several = lambda u: F.trim(u["text"], F.lit(" \t\n\f")).contains("\n")
+        parts = F.filter(parts, lambda u: several(u) | (F.size(F.split(_normal(u["text"]), " ", -1)) >= least))
+    return F.filter(F.concat(whole, parts), lambda u: _normal(u["text"]) != "")
 
 
 def link_quotations(messages: DataFrame) -> DataFrame:
@@ -93,7 +98,7 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     marked = F.coalesce(F.col("text").rlike(_MARKED), F.lit(False))
     quoting = parse_quotations(bare.filter(marked)).filter("conv_id is not null and turn is not null")
     quoted = quoting.select(
-        "conv_id", "turn", F.explode(_units(F.expr("filter(__passages, p -> p.level > 0)"))).alias("u"))
+        "conv_id", "turn", F.explode(_units(F.expr("filter(__passages, p -> p.level > 0)"), MIN_LINE_WORDS)).alias("u"))
     quoted = quoted.select("conv_id", "turn", "u.level", "u.rank", _digest(F.col("u.text")).alias("digest")).distinct()
     said = F.concat(_units(F.expr("filter(__passages, p -> p.level = 0)")),
                     F.array(F.struct(F.lit(1).alias("rank"), F.lit(0).alias("level"), F.col("__own").alias("text"))))
@@ -102,7 +107,7 @@ def link_quotations(messages: DataFrame) -> DataFrame:
         "conv_id", "turn", F.explode(said).alias("u"))
     original = original.groupBy("conv_id", _digest(F.col("u.text")).alias("digest")).agg(F.min("turn").alias("said_at"))
     links = quoted.join(original, ["conv_id", "digest"]).filter("said_at < turn")
-    # Lower levels before deeper ones, whole passages before lines, then the latest original.
+    # Lower levels before deeper ones, larger units before smaller ones, then the latest original.
     links = links.groupBy("conv_id", "turn").agg(F.max(F.struct(-F.col("level"), -F.col("rank"), "said_at")).alias("best"))
     links = materialise(links.select("conv_id", "turn", F.col("best.said_at").alias("parent_turn")), "quote-links")
     back = _roots(links)
