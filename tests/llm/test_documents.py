@@ -173,6 +173,45 @@ def test_templates_with_changed_words(spark):
     assert [p["label"] for p in got[5]["phrases"]] == ["apache-2"] and [s["label"] for s in got[5]["spans"]] == ["apache-2"]
 
 
+def test_every_copy_of_a_licence_has_a_span(spark):
+    mit, mpl = license_scan.TEMPLATES["mit"], license_scan.TEMPLATES["mpl-2"].split()
+    first, second = [*mpl[:12], "x", *mpl[13:]], [*mpl[:4], "y", *mpl[5:]]
+    docs = [(1, f"{mit} {mit}"), (2, f"a {mit} b " + "c " * 100 + f"{mit}\n{mit}"), (3, " ".join(first + second)),
+            (4, " ".join(mpl[:8] + ["x"] + mpl[8:])), (5, " ".join(mpl[:8]) + " z " * 30 + " ".join(mpl[8:]))]
+    got = {r["doc_id"]: r["spans"] for r in license_scan.scan_licenses(spark.createDataFrame(docs, DOCS)).collect()}
+    n, m = len(mit.split()), len(mpl)
+    assert [(s["label"], s["first"], s["last"], s["cover"]) for s in got[1]] == [("mit", 0, n - 1, 1.0), ("mit", n, 2 * n - 1, 1.0)]
+    assert [(s["first"], s["last"]) for s in got[2]] == [(1, n), (n + 102, 2 * n + 101), (2 * n + 102, 3 * n + 101)]
+    assert [(s["label"], s["first"] < m, s["last"] < m) for s in got[3]] == [("mpl-2", True, True), ("mpl-2", False, False)]
+    assert [(s["first"], s["last"], s["cover"]) for s in got[4]] == [(0, m, 1.0)] and got[5] == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 5), st.integers(0, 7)), min_size=1, max_size=6), st.integers(0, 4))
+def test_chains_cover_most(runs, gap):
+    """Against all chains of all subsets of runs."""
+    runs = sorted(set(runs))
+    single: dict[tuple[int, int], int] = {}
+
+    def grow(begin, last, last_place, covered, rest):
+        single[begin, last] = max(single.get((begin, last), 0), covered)
+        for k, (first, length, place) in enumerate(rest):
+            if last < first + length - 1 and first - last - 1 <= gap and last_place < place + length - 1:
+                fresh = min(length, place + length - 1 - last_place, first + length - 1 - last)
+                grow(begin, first + length - 1, place + length - 1, covered + fresh, rest[k + 1 :])
+
+    for k, (first, length, place) in enumerate(runs):
+        grow(first, first + length - 1, place + length - 1, length, runs[k + 1 :])
+    enough = sorted((b, e, c) for (b, e), c in single.items() if c >= 0.5 * 12)
+
+    def most(after):
+        return max([(0, 0, 0)] + [(c + t, n - 1, w - (e - b + 1)) for b, e, c in enough if b > after for t, n, w in [most(e)]])
+
+    got = license_scan._chains(runs, gap, 12, 0.5)
+    assert all(x[2] < y[1] for x, y in zip(got, got[1:])) and all(c >= 6 for c, _, _ in got)
+    assert (sum(c for c, _, _ in got), -len(got), -sum(e - b + 1 for _, b, e in got)) == most(-1)
+
+
 def test_licences_of_odd_texts(odd_docs, no_docs):
     got = license_scan.scan_licenses(odd_docs)
     assert got.count() == len(ODD_TEXTS) and got.filter("size(phrases) + size(spans) > 0").count() == 0

@@ -5,8 +5,10 @@ gives for every place the longest run of words that ends there and stands in a t
 (matching statistics). A *phrase* occurs where its state is the current one or a suffix
 of it, and the run is long enough; every occurrence counts. For *templates* the maximal
 runs of ``min_run`` words or more are chained: runs of one template, in the order of both
-texts and at most ``max_gap`` words apart, cover a part of it. A template of which the
-best chain covers ``min_cover`` gives its label.
+texts and at most ``max_gap`` words apart, cover a part of it. Every chain that covers
+``min_cover`` of a template gives its label. Chains of one template do not overlap; they are
+chosen so that together they cover most words, by the fewest and then the tightest chains,
+so each copy of a licence has its own.
 
 Only word pairs that stand in a template can be part of a run of two or more, so the
 automaton is stepped over stretches of such pairs alone; this changes no result.
@@ -16,6 +18,7 @@ Null and empty texts have no words, no labels and score 0.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -153,25 +156,50 @@ class LicenseAutomaton:
             yield state, length
 
 
-def _best_chain(runs: list[tuple[int, int, int]], max_gap: int) -> tuple[int, int, int]:
-    """Covered words, first and last word of the chain that covers most.
+def _chains(runs: list[tuple[int, int, int]], max_gap: int, size: int, min_cover: float) -> list[tuple[int, int, int]]:
+    """Covered words, first and last word of chains that do not overlap and together cover most.
 
-    ``runs`` are ``(first word, length, place in the template)`` in order.
+    ``runs`` are ``(first word, length, place in the template)`` in order. Of equal covers
+    the fewest and then the tightest chains are taken.
     """
-    best, chains = (0, 0, 0), []
-    begin, longest = 0, max(length for _, length, _ in runs)
-    for first, length, place in runs:
-        while begin < len(chains) and chains[begin][1] < first - max_gap - longest:
-            begin += 1
-        covered, start = length, first
-        for chain_start, last, last_place, so_far in chains[begin:]:
-            if last < first + length - 1 and first - last - 1 <= max_gap and last_place < place + length - 1:
-                fresh = min(length, place + length - 1 - last_place, first + length - 1 - last)
-                if so_far + fresh > covered:
-                    covered, start = so_far + fresh, chain_start
-        chains.append((start, first + length - 1, place + length - 1, covered))
-        best = max(best, (covered, -start, first + length - 1))
-    return best[0], -best[1], best[2]
+    begins = [first for first, _, _ in runs]
+    longest = max(length for _, length, _ in runs)
+    # From each run to the end: covered words, chains and words inside them (both negative), and the first chain taken.
+    best: list[tuple[int, int, int]] = [(0, 0, 0)] * (len(runs) + 1)
+    taken: list[tuple[int, int, int, int] | None] = [None] * (len(runs) + 1)
+    for at in range(len(runs) - 1, -1, -1):
+        best[at], taken[at] = best[at + 1], taken[at + 1]
+        start, length, place = runs[at]
+        if size - place < min_cover * size:
+            continue  # no chain from here covers enough
+        chains, begin, furthest = [(start + length - 1, place + length - 1, length)], 0, start + length - 1
+        for k in range(at, len(runs)):
+            first, length, place = runs[k]
+            if first - furthest - 1 > max_gap:
+                break
+            if k == at:
+                covered = length
+            else:
+                covered = 0
+                while begin < len(chains) and chains[begin][0] < first - max_gap - longest:
+                    begin += 1
+                for last, last_place, so_far in chains[begin:]:
+                    if last < first + length - 1 and first - last - 1 <= max_gap and last_place < place + length - 1:
+                        covered = max(covered, so_far + min(length, place + length - 1 - last_place, first + length - 1 - last))
+                if not covered:
+                    continue
+                chains.append((first + length - 1, place + length - 1, covered))
+                furthest = max(furthest, first + length - 1)
+            if covered >= min_cover * size:
+                then = bisect_right(begins, first + length - 1)
+                total = best[then][0] + covered, best[then][1] - 1, best[then][2] - (first + length - start)
+                if total > best[at]:
+                    best[at], taken[at] = total, (covered, start, first + length - 1, then)
+    found, chain = [], taken[0]
+    while chain:
+        found.append(chain[:3])
+        chain = taken[chain[3]]
+    return found
 
 
 def _scan(automaton, min_run: int, max_gap: int, min_cover: float):
@@ -203,8 +231,7 @@ def _scan(automaton, min_run: int, max_gap: int, min_cover: float):
                 spans.append([])
                 for number, parts in sorted(own.items()):
                     template, label = auto.templates[number - n_phrases]
-                    covered, first, last = _best_chain(sorted(parts), max_gap)
-                    if covered >= min_cover * len(template):
+                    for covered, first, last in _chains(sorted(parts), max_gap, len(template), min_cover):
                         spans[-1].append({"label": label, "first": first, "last": last, "cover": min(1.0, covered / len(template))})
             struct = pa.struct([("label", pa.string()), ("first", pa.int64()), ("last", pa.int64())])
             batch = batch.append_column("n_words", pa.array(words.counts))
@@ -224,8 +251,8 @@ def scan_licenses(
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``phrases`` and ``spans``; columns of these names are replaced.
 
-    ``phrases`` are all places of phrases, ``spans`` the best chain of each template that
-    is covered enough; words count from 0.
+    ``phrases`` are all places of phrases, ``spans`` all chains that cover enough of their
+    template; words count from 0.
     """
     docs = docs.drop(*REPORT)
     automaton = send(docs.sparkSession, LicenseAutomaton(phrases, templates))
