@@ -146,6 +146,18 @@ def test_phrases_equal_brute_force(spark, documents):
             assert (row.first_word, row.last_word) == (places[0][0], places[-1][0])
 
 
+@pytest.mark.parametrize("templates", [{}, license_scan.TEMPLATES])
+def test_phrases_of_one_word(spark, templates):
+    phrases = {"gplv3": "gpl", "license": "any", "mit license": "mit", "a b": "ab"}
+    docs = [(1, "GPLv3"), (2, "gplv3 gplv3, x"), (3, "x the MIT license gplv3"), (4, "mit"), (5, "license"), (6, "b"), (7, "a license b gplv3 a b"), (8, None)]
+    for used in (phrases, {"gplv3": "gpl"}):
+        got = license_scan.scan_licenses(spark.createDataFrame(docs, DOCS).coalesce(1), used, templates).collect()
+        assert len(got) == len(docs)
+        for r in got:
+            assert [(p["first"], p["label"]) for p in r["phrases"]] == brute.phrase_places(r["text"], used), r
+    assert license_scan.scan_licenses(spark.createDataFrame(docs, DOCS), {}, {}).filter("size(phrases) > 0").count() == 0
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from("abcd"), max_size=12), st.lists(st.lists(st.sampled_from("abc"), min_size=2, max_size=6), min_size=1, max_size=4))
 def test_matching_statistics(words, templates):

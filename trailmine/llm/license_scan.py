@@ -11,7 +11,8 @@ chosen so that together they cover most words, by the fewest and then the tighte
 so each copy of a licence has its own.
 
 Only word pairs that stand in a template can be part of a run of two or more, so the
-automaton is stepped over stretches of such pairs alone; this changes no result.
+automaton is stepped over stretches of such pairs, and over phrases of one word outside
+them; this changes no result for ``min_run`` of two or more.
 
 Null and empty texts have no words, no labels and score 0.
 """
@@ -97,10 +98,12 @@ class LicenseAutomaton:
         for s in reversed(order):
             self.states[s].phrases = [*self.states[self.states[s].link].phrases, *owner.get(s, [])]
         pairs = sorted(pairs)
-        self.vocabulary = np.unique(np.array([w for p in pairs for w in p], np.uint64))
-        at = np.searchsorted(self.vocabulary, np.array(pairs, np.uint64))
+        single = np.array([words[0] for words, _ in self.phrases if len(words) == 1], np.uint64)
+        self.vocabulary = np.unique(np.append(np.array([w for p in pairs for w in p], np.uint64), single))
+        at = np.searchsorted(self.vocabulary, np.array(pairs, np.uint64).reshape(-1, 2))
         self.pairs = np.zeros((len(self.vocabulary), len(self.vocabulary)), bool)
         self.pairs[at[:, 0], at[:, 1]] = True
+        self.single = np.isin(self.vocabulary, single)
 
     def _add(self, last: int, word: int) -> int:
         states = self.states
@@ -133,7 +136,7 @@ class LicenseAutomaton:
         return twin
 
     def stretches(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and last word of stretches of known pairs inside one text."""
+        """First and last word of stretches of known pairs inside one text, then of phrases of one word outside them."""
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
         known = self.vocabulary[at] == hashes
         pair = known[:-1] & known[1:]
@@ -142,7 +145,11 @@ class LicenseAutomaton:
         inner = inner[(inner > 0) & (inner < len(hashes))]
         pair[inner - 1] = False
         edge = np.diff(np.concatenate([[0], pair.view(np.int8), [0]]))
-        return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        alone = known & self.single[at]
+        alone[:-1] &= ~pair
+        alone[1:] &= ~pair
+        alone = np.flatnonzero(alone)
+        return np.append(np.flatnonzero(edge == 1), alone), np.append(np.flatnonzero(edge == -1), alone)
 
     def follow(self, words: list[int]) -> Iterator[tuple[int, int]]:
         """State and length of the longest run ending at each word."""
@@ -210,7 +217,7 @@ def _scan(automaton, min_run: int, max_gap: int, min_cover: float):
             words = words_of(batch.column("text"), ALPHANUMERIC)
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             runs: list[dict[int, list]] = [{} for _ in range(batch.num_rows)]
-            if len(words.hashes) > 1:
+            if len(words.hashes) and len(auto.vocabulary):
                 begins, ends = auto.stretches(words.hashes, words.first)
                 rows = np.searchsorted(words.first, begins, "right") - 1
                 for begin, end, row in zip(begins.tolist(), ends.tolist(), rows.tolist()):
