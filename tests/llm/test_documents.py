@@ -255,6 +255,25 @@ def test_any_text_has_the_librarys_pieces(encoder, t):
     assert np.frombuffer(packed, "<u4").tolist() == encoder.library.encode(t)
 
 
+def test_every_new_chunk_is_compared(monkeypatch, encoder):
+    monkeypatch.setattr(encoder, "kept", {})
+    monkeypatch.setattr(encoder, "_heap_ids", lambda chunk: b"\1\0\0\0")
+    long = [f"▁{'word' * 10}{k}" for k in range(20)]
+    for chunk in ["\n", *long]:
+        with pytest.raises(ValueError):
+            encoder.keep({chunk})
+
+
+def test_the_compared_text_is_not_the_shortest(monkeypatch, encoder):
+    compared = []
+    monkeypatch.setattr(piece_encoding, "encoder_of", lambda model: encoder)
+    monkeypatch.setattr(encoder, "compare", lambda t, packed: compared.append(t))
+    model = type("Sent", (), {"value": b""})
+    batches = [pa.RecordBatch.from_pydict({"text": [f"a{k}", f"one longer text {k}", None, ""]}) for k in range(30)]
+    assert len(list(piece_encoding._encode(model, True, True, False)(iter(batches)))) == len(compared) == 30
+    assert {len(t) < 5 for t in compared} == {True, False}
+
+
 def test_pieces_of_odd_texts(odd_docs, no_docs):
     model = queries.piece_model()
     got = piece_encoding.decode_pieces(piece_encoding.encode_pieces(odd_docs, model), model).collect()

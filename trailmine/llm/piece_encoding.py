@@ -10,8 +10,8 @@ piece become bytes.
 
 Many chunks of one length are merged at once, as rows of a matrix: each step takes the best
 entry of every row's agenda. Long chunks and those with characters without a piece have an
-agenda of their own, a heap. Chunks recur, so each worker keeps those it has encoded, up to a number of entries. A part
-of the new chunks, chosen by their hash, and one whole text of every Arrow batch are
+agenda of their own, a heap. Chunks recur, so each worker keeps those it has encoded, up to a number of entries. Every
+new chunk, and one whole text of every slice of an Arrow batch, chosen by its hash, are
 compared with the sentencepiece library; a difference raises an error. Decoding is the
 library's.
 
@@ -39,7 +39,6 @@ from trailmine.llm.text import slices, widened
 
 BLANK = "▁"
 KEPT_CHUNKS = 300_000  # encoded chunks a worker keeps
-CHECKED = 16  # one of so many new chunks is compared with the library
 ROW_LENGTH = 32  # characters of the longest chunk merged as a row
 _NONE = np.int32(1 << 30)
 _NORMAL, _USER, _BYTE = 1, 4, 6
@@ -62,6 +61,7 @@ class PieceEncoder:
         self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == _NORMAL}
         self.scores = {p.piece: p.score for p in proto.pieces if p.type == _NORMAL}
         self.bytes = {int(p.piece[1:-1], 16): i for i, p in enumerate(proto.pieces) if p.type == _BYTE}
+        self.border = ""  # a character at which chunks end, if there is one
         self.cut = self._chunks(proto)
         self.kept: dict[str, bytes] = {}
         self._tables()
@@ -138,16 +138,16 @@ class PieceEncoder:
                 own = [c for c, w in zip(own, whole.tolist()) if not w]
             for chunk in own:
                 self.kept[chunk] = self._heap_ids(chunk)
-        for chunk in chunks:
-            if zlib.crc32(chunk.encode()) % CHECKED == 0:
-                self.compare_chunk(chunk)
+        self.compare_chunks(list(chunks))
 
     def _chunks(self, proto) -> Callable[[str], list[str]]:
         long = [p for p in self.ids if len(p) > 1]
         joined = set("".join(long))
         if any(BLANK in p.lstrip(BLANK) for p in long):
             return lambda text: [text]
-        alone = "".join(re.escape(c) for c in "\n\t\r" if c not in joined)
+        apart = [c for c in "\n\t\r" if c not in joined]
+        self.border = "".join(apart[:1])
+        alone = "".join(re.escape(c) for c in apart)
         inner = f"[^{BLANK}{alone}]+"
         return re.compile(f"{BLANK}+(?:{inner})?|{inner}" + (f"|[{alone}]" if alone else "")).findall
 
@@ -194,12 +194,14 @@ class PieceEncoder:
                 ids.append(known)
         return np.array(ids, "<u4").tobytes()
 
-    def compare_chunk(self, chunk: str) -> None:
-        """Behind a line end the library adds no blank of its own."""
-        front = len(self.library.encode("\n"))
-        told = self.library.encode("\n" + chunk.replace(BLANK, " "))[front:]
-        if "\n" not in chunk and told != np.frombuffer(self.kept[chunk], "<u4").tolist():
-            raise ValueError(f"pieces of {chunk!r} differ from the library's")
+    def compare_chunks(self, chunks: list[str]) -> None:
+        """Behind a border the library adds no blank of its own; without borders every chunk begins with that blank."""
+        border = self.border
+        front = len(self.library.encode(border))
+        texts = [(border + c if border else c[1:]).replace(BLANK, " ") for c in chunks]
+        for chunk, told in zip(chunks, self.library.encode(texts, num_threads=1)):
+            if np.array(told[front:], "<u4").tobytes() != self.kept[chunk]:
+                raise ValueError(f"pieces of {chunk!r} differ from the library's")
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of texts, without begin and end."""
@@ -237,8 +239,8 @@ def _encode(model, add_begin: bool, add_end: bool, decode: bool):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             packed_texts = encoder.encode_all(texts)
             if any(texts):
-                shortest = min((i for i, t in enumerate(texts) if t), key=lambda i: len(texts[i]))
-                encoder.compare(texts[shortest], packed_texts[shortest])
+                chosen = min((i for i, t in enumerate(texts) if t), key=lambda i: zlib.crc32(texts[i].encode()))
+                encoder.compare(texts[chosen], packed_texts[chosen])
             for packed in packed_texts:
                 packed = (encoder.begin if add_begin else b"") + packed + (encoder.end if add_end else b"")
                 tokens.append(packed)
