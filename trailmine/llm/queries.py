@@ -13,6 +13,7 @@ from trailmine.llm import (
     language_id,
     license_scan,
     near_dedup,
+    periodic_runs,
     piece_encoding,
     quotations,
     sql,
@@ -121,6 +122,36 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_join(spans, ","), F.lit("")).alias("removed"), "text")
 
 
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """``docs`` of which about one in ten repeats a stretch of its words up to its end.
+
+    The crc32 of the doc_id names these, and where the stretch begins and how long it is. A
+    null doc_id names none; texts without words stay as they are.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")
+    docs = docs.withColumns({"__g": F.floor(h / 10), "__w": F.when(h % 10 == 0, words)})
+    docs = docs.withColumn("__a", F.expr("__g % size(__w)"))
+    docs = docs.withColumn("__p", F.expr("1 + (size(__w) - __a) div (3 + __g % 8)"))
+    tail = F.expr("transform(__w, (w, i) -> if(i < __a, w, __w[int(__a + (i - __a) % __p)]))")
+    planted = F.when(F.size("__w") > 0, F.array_join(tail, " ")).otherwise(F.col("text"))
+    return docs.withColumn("text", planted).drop("__g", "__w", "__a", "__p")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, some of them planted."""
+    docs = with_periodic_tails(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.find_runs(docs)
+    best = F.array_max(F.expr("transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period))"))
+    found = found.withColumn("best", best)
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -133,6 +164,7 @@ def queries() -> dict[str, Query]:
         "op8_warc_derivatives": op8_warc_derivatives,
         "op9_piece_encoding": op9_piece_encoding,
         "op10_substring_dedup": op10_substring_dedup,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 

@@ -130,9 +130,13 @@ def _cuts(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> list[int
     return [*cuts, end] if cuts[-1] < end else cuts
 
 
-def words_of(texts: pa.Array, inside: np.ndarray = BLANK_SEPARATED) -> Words:
-    """Words of a string column. ``inside`` tells for each byte whether words hold it."""
+def words_of(texts: pa.Array, inside: np.ndarray = BLANK_SEPARATED, lower: bool = True) -> Words:
+    """Words of a string column. ``inside`` tells for each byte whether words hold it.
+
+    Without ``lower`` the hashes tell upper from lower case.
+    """
     data, offsets = flat_bytes(texts)
+    byte_values = _LOWERED_VALUES if lower else _BYTE_VALUES
     begins, stops, hashes = [], [], []
     cuts = _cuts(data, offsets, inside)
     for low, high in zip(cuts, cuts[1:]):
@@ -149,7 +153,7 @@ def words_of(texts: pa.Array, inside: np.ndarray = BLANK_SEPARATED) -> Words:
         s, e = np.flatnonzero(begin), np.flatnonzero(stop) + 1
         _POWERS.need(len(block))
         sums = np.zeros(len(block) + 1, np.uint64)
-        np.cumsum(_LOWERED_VALUES[block] * _POWERS.up[: len(block)], out=sums[1:])
+        np.cumsum(byte_values[block] * _POWERS.up[: len(block)], out=sums[1:])
         begins.append(s + low)
         stops.append(e + low)
         hashes.append(mix((sums[e] - sums[s]) * _POWERS.down[s]))
