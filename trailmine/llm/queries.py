@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,10 @@ from trailmine.llm import (
     sql,
     substring_dedup,
     toxicity,
+    vector_codes,
     warc,
 )
+from trailmine.storage import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,6 +125,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_join(spans, ","), F.lit("")).alias("removed"), "text")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and errors of every vector."""
+    coded = vector_codes.encode_vectors(_table(spark, sf_dir, "embeddings"))
+    rows = materialise(coded.rows, "coded-vectors")
+    total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), F.lit(vector_codes.GREATEST)).cast("long")
+    labels = rows.groupBy(F.col("label").alias("of")).agg(total.alias("label_error"))
+    numbers = ",".join(str(x) for x in coded.codebooks.entries.ravel().tolist())
+    digest = hashlib.sha256(numbers.encode()).hexdigest()
+    return rows.join(labels, F.col("label").eqNullSafe(F.col("of")), "left").select(
+        "vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
 def with_periodic_tails(docs: DataFrame) -> DataFrame:
     """``docs`` of which about one in ten repeats a stretch of its words up to its end.
 
@@ -164,6 +179,7 @@ def queries() -> dict[str, Query]:
         "op8_warc_derivatives": op8_warc_derivatives,
         "op9_piece_encoding": op9_piece_encoding,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_vector_codes": op11_vector_codes,
         "op13_periodic_runs": op13_periodic_runs,
     }
 

@@ -88,10 +88,35 @@ SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
 FROM r GROUP BY doc_id
 UNION ALL SELECT doc_id, 0, 0, '', NULL FROM documents WHERE text IS NULL"""
 
+_ASSIGN = """
+e{r} AS MATERIALIZED (SELECT id, c.part, min(d * 256 + c.entry) AS best FROM (
+    SELECT v.id, v.part, c.entry, sum((v.x - c.x) * (v.x - c.x))::HUGEINT AS d FROM v JOIN c{r} c USING (part, pos) GROUP BY ALL) c GROUP BY ALL)"""
+_MOVE = """
+c{n} AS MATERIALIZED (SELECT c.part, c.entry, c.pos, CASE WHEN s.n IS NULL THEN c.x ELSE ((s.t - ((s.t % s.n) + s.n) % s.n) // s.n)::BIGINT END AS x
+    FROM c{r} c LEFT JOIN (SELECT v.part, (e.best % 256)::BIGINT AS entry, v.pos, sum(v.x) AS t, count(*) AS n
+                           FROM v JOIN e{r} e USING (id, part) GROUP BY ALL) s USING (part, entry, pos))"""
+OP11 = (
+    """
+WITH k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS id, * FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT id, (i - 1) // (w // 4) AS part, (i - 1) % (w // 4) AS pos, floor(1024 * x::DOUBLE)::BIGINT AS x
+    FROM (SELECT id, len(embedding) AS w, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM k)),
+c0 AS MATERIALIZED (SELECT part, id AS entry, pos, x FROM v WHERE id < 256),"""
+    + ",".join(_ASSIGN.format(r=r) + "," + _MOVE.format(r=r, n=r + 1) for r in range(4))
+    + ","
+    + _ASSIGN.format(r=4)
+    + """,
+o AS (SELECT id, string_agg(printf('%02x', (best % 256)::INTEGER), '' ORDER BY part) AS code, sum(best // 256)::BIGINT AS error FROM e4 GROUP BY id),
+b AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM c4)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM o JOIN k USING (id), b"""
+)
+
 QUERIES = {
     "op2_minhash_near_dedup": OP2,
     "op3_decontamination": OP3,
     "op6_exact_search": OP6,
     "op7_quotations": OP7,
     "op10_substring_dedup": OP10,
+    "op11_vector_codes": OP11,
 }
