@@ -41,23 +41,16 @@ from trailmine.llm.text import widened
 from trailmine.storage import materialise
 
 ENTRIES, PARTS, ROUNDS, FACTOR = 256, 4, 4, 1024
-SPLITS, LEAF = 12, 8  # split points of a node; entries that make no node of their own
+SPLITS, LEAF = 16, 24  # split points of a node; entries that make no node of their own
+SLACK = 1e-15  # relative, some four times what roots and differences are rounded by
 ROWS = 1 << 12  # vectors handled at once
 GREATEST = (1 << 63) - 1
 
 
-def _down(x: np.ndarray) -> np.ndarray:
-    return np.nextafter(np.nextafter(x, -np.inf), -np.inf)
-
-
-def _up(x: np.ndarray) -> np.ndarray:
-    return np.nextafter(np.nextafter(x, np.inf), np.inf)
-
-
 def _roots(squares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bounds below and above the roots of whole numbers."""
     root = np.sqrt(squares.astype(np.float64))
-    return np.maximum(_down(root), 0), _up(root)
+    return root * (1 - SLACK), root * (1 + SLACK)
 
 
 def exact_kind(*matrices: np.ndarray) -> type:
@@ -69,8 +62,7 @@ def exact_kind(*matrices: np.ndarray) -> type:
 
 def squared(rows: np.ndarray, entries: np.ndarray) -> np.ndarray:
     """Squared distances of all rows to all entries, exact in the type of both."""
-    own, other = (rows * rows).sum(1), (entries * entries).sum(1)
-    return own[:, None] + other[None, :] - 2 * (rows @ entries.T)
+    return (rows * rows).sum(1)[:, None] + (entries * entries).sum(1)[None, :] - 2 * (rows @ entries.T)
 
 
 @dataclass
@@ -83,9 +75,13 @@ class _Node:
 
 @dataclass
 class Nearest:
+    """Rows and the best entry of each so far."""
+
+    rows: np.ndarray
     index: np.ndarray
     distance: np.ndarray
-    looked_at: int  # distances computed
+    reach: np.ndarray  # no less than the root of the distance
+    looked_at: int = 0  # distances computed
 
 
 class Gnat:
@@ -93,11 +89,12 @@ class Gnat:
 
     def __init__(self, entries: np.ndarray) -> None:
         self.entries = entries
+        self.twice, self.squares = -2 * entries.T, (entries * entries).sum(1)
         self.root = self._build(np.arange(len(entries)))
 
     def _build(self, members: np.ndarray) -> _Node | np.ndarray | None:
         if len(members) <= LEAF:
-            return members if len(members) else None
+            return members if len(members) else None  # in ascending order
         # Split points far from each other: each is the entry farthest from those before.
         own = self.entries[members]
         splits = [0]
@@ -121,42 +118,45 @@ class Gnat:
 
     def nearest(self, rows: np.ndarray) -> Nearest:
         """The nearest entry of each row, of equally near ones that of the lowest index."""
-        best = Nearest(np.full(len(rows), -1), np.full(len(rows), np.inf, rows.dtype), 0)
-        self._search(self.root, rows, np.arange(len(rows)), best)
+        n = len(rows)
+        best = Nearest(rows, np.full(n, len(self.entries)), np.full(n, np.inf, rows.dtype), np.full(n, np.inf))
+        self._search(self.root, (rows * rows).sum(1), np.arange(n), best)
         return best
 
-    def _offer(self, rows: np.ndarray, who: np.ndarray, members: np.ndarray, best: Nearest) -> np.ndarray:
-        """Compare entries in ascending order; gives the distances to the last one."""
-        order = np.sort(members)
-        table = squared(rows[who], self.entries[order])
+    def _offer(self, squares: np.ndarray, who: np.ndarray, members: np.ndarray, best: Nearest) -> np.ndarray:
+        """Compare entries; gives the distances to the first one."""
+        table = best.rows[who] @ self.twice[:, members]
+        table += self.squares[members]
+        table += squares[who][:, None]
         best.looked_at += table.size
         place = np.argmin(table, axis=1)
-        distance, index = table[np.arange(len(who)), place], order[place]
-        better = (distance < best.distance[who]) | ((distance == best.distance[who]) & (index < best.index[who]))
-        best.distance[who[better]], best.index[who[better]] = distance[better], index[better]
-        return table[:, -1]
-
-    def _search(self, node: _Node | np.ndarray | None, rows: np.ndarray, who: np.ndarray, best: Nearest) -> None:
+        distance, index = table[np.arange(len(who)), place], members[place]
+        old = best.distance[who]
+        better = (distance < old) | ((distance == old) & (index < best.index[who]))
+        if better.any():
+            changed = who[better]
+            best.distance[changed], best.index[changed] = distance[better], index[better]
+            best.reach[changed] = _roots(distance[better])[1]
+        return table[:, 0]
+
+    def _search(self, node: _Node | np.ndarray | None, squares: np.ndarray, who: np.ndarray, best: Nearest) -> None:
         if node is None or not len(who):
             return
         if isinstance(node, np.ndarray):
-            self._offer(rows, who, node, best)
+            self._offer(squares, who, node, best)
             return
         # How far each child is from each query at least, by the split points asked so far.
         gap = np.zeros((len(who), len(node.splits)))
         for k in range(len(node.splits)):
-            asked = np.flatnonzero(gap[:, k] <= self._reach(who, best))
+            asked = np.flatnonzero(gap[:, k] <= best.reach[who])
             if not len(asked):
                 continue
-            near, far = _roots(self._offer(rows, who[asked], node.splits[k : k + 1], best))
-            outside = np.maximum(_down(node.low[k] - far[:, None]), _down(near[:, None] - node.high[k]))
+            near, far = (x[:, None] for x in _roots(self._offer(squares, who[asked], node.splits[k : k + 1], best)))
+            outside = np.maximum(node.low[k] - far, near - node.high[k])
+            outside -= SLACK * (far + node.high[k])
             gap[asked] = np.maximum(gap[asked], outside)
         for k, child in enumerate(node.children):
-            self._search(child, rows, who[gap[:, k] <= self._reach(who, best)], best)
-
-    @staticmethod
-    def _reach(who: np.ndarray, best: Nearest) -> np.ndarray:
-        return _roots(best.distance[who])[1]
+            self._search(child, squares, who[gap[:, k] <= best.reach[who]], best)
 
 
 @dataclass
