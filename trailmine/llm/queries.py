@@ -19,6 +19,7 @@ from trailmine.llm import (
     quotations,
     sql,
     substring_dedup,
+    suffix_dedup,
     toxicity,
     vector_codes,
     warc,
@@ -137,6 +138,15 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without 50-byte strings that a document of a smaller id has."""
+    cut = suffix_dedup.remove_repeated_bytes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return cut.select(
+        "doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def with_periodic_tails(docs: DataFrame) -> DataFrame:
     """``docs`` of which about one in ten repeats a stretch of its words up to its end.
 
@@ -180,6 +190,7 @@ def queries() -> dict[str, Query]:
         "op9_piece_encoding": op9_piece_encoding,
         "op10_substring_dedup": op10_substring_dedup,
         "op11_vector_codes": op11_vector_codes,
+        "op12_suffix_dedup": op12_suffix_dedup,
         "op13_periodic_runs": op13_periodic_runs,
     }
 

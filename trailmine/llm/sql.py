@@ -112,6 +112,21 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 FROM o JOIN k USING (id), b"""
 )
 
+OP12 = """
+WITH d AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS MATERIALIZED (SELECT id, doc_id, k, md5_number(substr(h, 2 * k + 1, 100)) AS win
+     FROM (SELECT *, unnest(range(0, len(h) // 2 - 49)) AS k FROM d)),
+f AS (SELECT win, min(doc_id) AS first FROM w GROUP BY win),
+g AS (SELECT id, k, lag(k) OVER (PARTITION BY id ORDER BY k) AS before FROM w JOIN f USING (win) WHERE first < doc_id),
+n AS (SELECT *, sum(CASE WHEN before IS NULL OR k > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY k) AS span FROM g),
+s AS (SELECT id, span, min(k) AS start, max(k) + 50 AS stop FROM n GROUP BY id, span),
+p AS (SELECT id, span, start, stop, coalesce(lag(stop) OVER (PARTITION BY id ORDER BY span), 0) AS before FROM s),
+r AS (SELECT id, count(*) AS n_spans, sum(stop - start)::BIGINT AS n_removed, max(stop) AS tail,
+             string_agg(substr(h, 2 * before + 1, 2 * (start - before)), '' ORDER BY span) AS kept FROM p JOIN d USING (id) GROUP BY id)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN r USING (id)"""
+
 QUERIES = {
     "op2_minhash_near_dedup": OP2,
     "op3_decontamination": OP3,
@@ -119,4 +134,5 @@ QUERIES = {
     "op7_quotations": OP7,
     "op10_substring_dedup": OP10,
     "op11_vector_codes": OP11,
+    "op12_suffix_dedup": OP12,
 }
