@@ -114,7 +114,7 @@ def test_windows_that_share_a_name(monkeypatch):
     words = suffix_arrays.words_at(raw, 70)
     windows, docs = [np.array([0]), np.array([50, 100])], [np.array([3]), np.array([1, 4])]
     assert [x.tolist() for x in suffix_dedup.merged_least(words, windows, docs, 50)] == [[3], [1, 3]]
-    monkeypatch.setattr(suffix_dedup, "combine", lambda parts: np.zeros_like(parts[0]))
+    monkeypatch.setattr(suffix_dedup, "_names", lambda words, windows, width: np.zeros(len(windows), np.uint64))
     assert [x.tolist() for x in suffix_dedup.merged_least(words, windows, docs, 50)] == [[3], [1, 3]]
 
 

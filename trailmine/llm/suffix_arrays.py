@@ -15,11 +15,7 @@ def words_at(data: np.ndarray, extra: int = 0) -> np.ndarray:
     n = len(data) + extra
     padded = np.zeros(n + WORD, np.uint8)
     padded[: len(data)] = data
-    out = np.zeros(n, np.uint64)
-    for k in range(WORD):
-        out <<= np.uint64(8)
-        out |= padded[k : k + n]
-    return out
+    return np.ndarray((n,), ">u8", padded, 0, (1,)).astype(np.uint64)
 
 
 def suffix_array(words: np.ndarray) -> np.ndarray:
@@ -31,7 +27,7 @@ def suffix_array(words: np.ndarray) -> np.ndarray:
     """
     n = len(words)
     order = np.argsort(words)
-    group = np.zeros(n, np.int64)  # of each place
+    group = np.zeros(n, np.int64 if n >= 1 << 30 else np.int32)  # of each place
     slots, keys = np.arange(n), words[order]
     span = WORD
     while True:
@@ -45,9 +41,10 @@ def suffix_array(words: np.ndarray) -> np.ndarray:
             return order
         places = order[slots]
         ahead = places + span
-        # Behind the end, the shorter rest comes first.
-        rank = np.where(ahead < n, group[np.minimum(ahead, n - 1)] + span + 1, span + n - ahead)
-        keys = group[places] * (n + span + 1) + rank
+        rank = group.take(ahead, mode="clip") + (span + 1)
+        behind = np.flatnonzero(ahead >= n)
+        rank[behind] = span + n - ahead[behind]  # behind the end, the shorter rest comes first
+        keys = group.take(places).astype(np.int64) * (n + span + 1) + rank
         sort = np.argsort(keys)
         order[slots] = places[sort]
         keys = keys[sort]

@@ -10,10 +10,10 @@ Documents are dealt to shards of bounded size by hash, so the text is shuffled o
    Buckets of keys tell each shard which of its keys other shards have too. Windows of other
    keys repeat inside the shard at most.
 2. Each shard builds the suffix array (Larsson-Sadakane) of its stretches with keys that
-   occur in several documents, and the common prefixes of neighbours (Kasai). Windows that agree
-   in ``width`` bytes lie side by side; all but those of the smallest doc_id go. What remains
-   and has a key of other shards is sent to the bucket of its key: one document at most for
-   each window, however many copies the shard holds.
+   several of its documents have, and the common prefixes of neighbours (Kasai). Windows that
+   agree in ``width`` bytes lie side by side; all but those of the smallest doc_id go. What
+   remains and has a key of other shards is sent to the bucket of its key: one document at
+   most for each window, however many copies the shard holds.
 3. Shards are merged bucket by bucket: windows are named by a hash, the sorted names of all
    shards are merged, and each shard finds its windows there by binary search. Equal names are
    compared byte by byte. Again all but those of the smallest doc_id go. Of very many shards,
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmine.llm.suffix_arrays import WORD, common_prefixes, suffix_array, words_at
-from trailmine.llm.text import combine, flat_bytes, mix, widened
+from trailmine.llm.text import flat_bytes, mix, widened
 from trailmine.storage import materialise
 
 WIDTH, GRAM = 50, 16
@@ -165,6 +165,11 @@ def _changes(values: np.ndarray) -> np.ndarray:
     return np.append(True, values[1:] != values[:-1]) if len(values) else np.zeros(0, bool)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[_changes(values)]
+
+
 def _split_key(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket and name inside the bucket. Different keys that meet cost time only."""
     return (keys % np.uint64(buckets)).astype(np.int64), (keys >> np.uint64(32)).astype("<u4")
@@ -183,7 +188,7 @@ def _tell_keys(width: int, buckets: int) -> Callable:
         for piece in _pieces(_ordered(shard), width):
             keys = window_keys(words_at(piece.data, width + WORD), len(piece.data), width)[piece.windows(width)]
             bucket, name = _split_key(keys[_changes(keys)], buckets)
-            joined = np.unique(_joined_key(bucket, name))
+            joined = _distinct(_joined_key(bucket, name))
             bucket = joined >> np.uint64(32)
             begins = np.flatnonzero(_changes(bucket))
             for a, b in zip(begins, np.append(begins[1:], len(bucket))):
@@ -199,7 +204,7 @@ def _share_keys(told: pa.Table) -> pa.Table:
     """Step 1, for a bucket: the keys that several pieces have, for each shard that has some."""
     keys = [np.cumsum(_unpacked(k, "<u4")[0], dtype="<u4") for k in told.column("keys").to_pylist()]
     every = np.sort(np.concatenate(keys))
-    shared = np.unique(every[1:][every[1:] == every[:-1]])
+    shared = _distinct(every[1:][every[1:] == every[:-1]])
     own = [k[_member(k, shared)] for k in keys]
     some = [i for i, k in enumerate(own) if len(k)]
     packed = pa.array([_packed(_steps(own[i])) for i in some], pa.binary())
@@ -228,7 +233,7 @@ def _sort_shard(width: int, buckets: int) -> Callable:
         doc_ids = np.asarray(shard.column("__doc").combine_chunks())
         common = [_joined_key(np.full(1, b), np.cumsum(_unpacked(k, "<u4")[0], dtype="<u4"))
                   for b, k in zip(told.column("bucket").to_pylist(), told.column("keys").to_pylist())]
-        common = np.unique(np.concatenate(common)) if common else np.zeros(0, np.uint64)
+        common = _distinct(np.concatenate(common)) if common else np.zeros(0, np.uint64)
         for piece in _pieces(shard, width):
             _sort_piece(piece, doc_ids, number, common, width, buckets, out)
         return _sent_table(out)
@@ -241,55 +246,60 @@ def _sort_piece(piece: _Piece, doc_ids: np.ndarray, number: int, common: np.ndar
     keys = window_keys(words_at(piece.data, width + WORD), n, width)
     window = piece.windows(width)
     owner = np.repeat(np.arange(len(piece.owner)), np.diff(piece.first))
-    # Neighbours of one key and document count once.
-    runs = np.flatnonzero(window & (_changes(keys) | _changes(owner) | ~np.append(False, window[:-1])))
-    inside = _shared_inside(keys[runs], doc_ids[piece.owner[owner[runs]]])
-    bucket, name = _split_key(keys[runs], buckets)
-    abroad = np.zeros(len(runs), np.int8)
-    abroad[_member(keys[runs], inside)] = 1
-    abroad[_member(_joined_key(bucket, name), common)] = 2
-    # 0: the window occurs here only, 1: perhaps elsewhere in the piece, 2: or in other pieces
-    state = np.zeros(n, np.int8)
-    length = np.diff(np.append(runs, n))
-    state[:] = np.where(window, np.concatenate([np.zeros(runs[0] if len(runs) else n, np.int8), np.repeat(abroad, length)]), 0)
-    begins, ends = stretches(state > 0, _changes(owner))
-    if not len(begins):
+    border = _changes(owner)
+    # Neighbouring windows of one key and document are looked up once.
+    runs = np.flatnonzero(window & (_changes(keys) | border))
+    if not len(runs):
         return
-    # The stretches, end to end: their windows are at ``place`` here and at ``at`` in the piece.
-    sizes = ends - begins + width - 1
-    first = np.cumsum(sizes) - sizes
-    at = np.arange(int(sizes.sum())) + np.repeat(begins - first, sizes)
-    data = piece.data[at]
-    windows = np.repeat(begins, sizes) + sizes.repeat(sizes) - width >= at
-    words = words_at(data, width + WORD)
-    order = suffix_array(words[: len(data)])
-    new = common_prefixes(words, order, width) < width
-    doc = np.where(windows, doc_ids[piece.owner[owner[at]]], np.iinfo(np.int64).max)
-    least = np.minimum.reduceat(doc[order], np.flatnonzero(np.append(True, new[1:])))
-    gone = np.zeros(len(data), bool)
-    gone[order] = doc[order] > least[np.cumsum(np.append(False, new[1:]))]
-    gone &= windows
-    own = np.repeat(np.arange(len(begins)), sizes)
-    a, b = stretches(gone, _changes(own))
+    length = np.diff(np.append(runs, n))
+    bucket, name = _split_key(keys[runs], buckets)
+
+    def everywhere(of_runs: np.ndarray) -> np.ndarray:
+        return np.append(np.zeros(runs[0], bool), np.repeat(of_runs, length)) & window
+
+    inside = everywhere(_member(keys[runs], _shared_inside(keys[runs], doc_ids[piece.owner[owner[runs]]])))
+    abroad = everywhere(_member(_joined_key(bucket, name), common))
+    gone = _gone_inside(piece.data, doc_ids[piece.owner], owner, *stretches(inside, border), width)
+
+    def place_of(begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        of = owner[begins]
+        return piece.owner[of], begins - piece.first[of] + piece.base[of]
+
+    a, b = stretches(gone, border)
     if len(a):
-        of = owner[at[a]]
-        start = at[a] - piece.first[of] + piece.base[of]
-        _sent(out, number, -1, b"", _packed_spans(piece.owner[of], start, start + b - a + width - 1))
-    left = windows & ~gone & (state[at] == 2)
-    a, b = stretches(left, _changes(own) | _changes(keys[at]))
-    bucket = _split_key(keys[at[a]], buckets)[0]
+        of, start = place_of(a)
+        _sent(out, number, -1, b"", _packed_spans(of, start, start + b - a + width - 1))
+    a, b = stretches(abroad & ~gone, border | _changes(keys))
+    bucket = _split_key(keys[a], buckets)[0]
     sort = np.argsort(bucket, kind="stable")
     a, b, bucket = a[sort], b[sort], bucket[sort]
-    raw = data.tobytes()
-    of = owner[at[a]]
-    start = at[a] - piece.first[of] + piece.base[of]
+    raw = piece.data.tobytes()
     borders = np.append(np.flatnonzero(_changes(bucket)), len(bucket))
     for low, high in zip(borders, borders[1:]):
         texts = b"".join([raw[i : j + width - 1] for i, j in zip(a[low:high].tolist(), b[low:high].tolist())])
-        part = slice(low, high)
-        ids = piece.owner[of[part]]
+        of, start = place_of(a[low:high])
         _sent(out, number, int(bucket[low]), _packed(np.frombuffer(texts, np.uint8)),
-              _pack_contexts(doc_ids[ids], ids, start[part], (b - a)[part]))
+              _pack_contexts(doc_ids[of], of, start, (b - a)[low:high]))
+
+
+def _gone_inside(data: np.ndarray, doc_ids: np.ndarray, owner: np.ndarray, begins: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
+    """Of the windows that begin in the given stretches, those that a smaller doc_id has too."""
+    out = np.zeros(len(data), bool)
+    if not len(begins):
+        return out
+    # The stretches end to end, each with the rest of its last window.
+    sizes = ends - begins + width - 1
+    first = np.cumsum(sizes) - sizes
+    at = np.arange(int(sizes.sum())) + np.repeat(begins - first, sizes)
+    window = np.repeat(ends, sizes) > at
+    words = words_at(data[at], width + WORD)
+    order = suffix_array(words[: len(at)])
+    new = np.append(True, common_prefixes(words, order, width)[1:] < width)
+    doc = np.where(window, doc_ids[owner[at]], np.iinfo(np.int64).max)[order]
+    least = np.minimum.reduceat(doc, np.flatnonzero(new))
+    gone = order[doc > least[np.cumsum(new) - 1]]
+    out[at[gone[window[gone]]]] = True
+    return out
 
 
 def _pack_contexts(doc_ids: np.ndarray, owner: np.ndarray, start: np.ndarray, count: np.ndarray) -> bytes:
@@ -303,6 +313,16 @@ def _same_bytes(words: np.ndarray, x: np.ndarray, y: np.ndarray, width: int) ->
     return same
 
 
+def _names(words: np.ndarray, windows: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the window at each place."""
+    out = np.zeros(len(windows), np.uint64)
+    for k in _word_places(width):
+        out ^= words[windows + k]
+        out *= np.uint64(0xA24BAED4963EE407)
+        out ^= out >> np.uint64(32)
+    return mix(out)
+
+
 def _word_places(width: int) -> list[int]:
     return [*range(0, width - WORD, WORD), width - WORD]
 
@@ -313,11 +333,16 @@ def merged_least(words: np.ndarray, windows: list[np.ndarray], docs: list[np.nda
     ``windows`` are places in ``words``. The names of each shard are sorted and merged; each
     shard finds its windows in the merged list by binary search.
     """
-    names = [combine([words[w + k] for k in _word_places(width)]) for w in windows]
-    merged = np.unique(np.concatenate([np.unique(x) for x in names]))
+    names = [_names(words, w, width) for w in windows]
+    orders = [np.argsort(x) for x in names]
+    lists = [x[o] for x, o in zip(names, orders)]
+    merged = np.sort(np.concatenate(lists), kind="stable")  # merges the lists
+    merged = merged[_changes(merged)]
     least = np.full(len(merged), np.iinfo(np.int64).max)
     member = np.zeros(len(merged), np.int64)
-    found = [np.searchsorted(merged, x) for x in names]
+    found = [np.empty_like(o) for o in orders]
+    for own, order, x in zip(found, orders, lists):
+        own[order] = np.searchsorted(merged, x)
     for w, d, f in zip(windows, docs, found):
         np.minimum.at(least, f, d)
         member[f] = w
