@@ -29,8 +29,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return near_dedup.drop_near_duplicates(docs, width=5, percent=80)
 
 
-def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier document has; ``n_chars`` follows the text."""
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without sentences and lines that an earlier document has; ``n_chars`` follows the text."""
     cut = substring_dedup.remove_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
@@ -52,7 +52,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("near_dedup", drop_near_copies),
-    ("substring_dedup", cut_repeated_lines),
+    ("substring_dedup", cut_repeats),
     ("decontamination", drop_contaminated),
     ("piece_encoding", encode),
 ]

@@ -74,8 +74,22 @@ def held_out(doc_id: int) -> bool:
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
 
 
-def without_repeats(docs: list[tuple[int, str | None]], min_words: int) -> dict[int, str | None]:
-    """Texts without lines that an earlier place has; ids are distinct."""
+def units(text: str) -> list[str]:
+    """Pieces that end behind a line end or behind the blanks that follow a sentence."""
+    out, piece = [], ""
+    for k, c in enumerate(text):
+        piece += c
+        behind = text[k + 1 : k + 2]
+        blanks = piece[len(piece.rstrip(" \t")) :]
+        ended = piece.rstrip(" \t")[-1:] in (".", "!", "?") and blanks
+        if c == "\n" or (ended and behind not in (" ", "\t")):
+            out.append(piece)
+            piece = ""
+    return out + [piece] * (piece != "")
+
+
+def without_repeats(docs: list[tuple[int, str | None]]) -> dict[int, str | None]:
+    """Texts without units that an earlier place has; ids are distinct."""
     seen: set[str] = set()
     out = {}
     for i, text in sorted(docs):
@@ -83,13 +97,11 @@ def without_repeats(docs: list[tuple[int, str | None]], min_words: int) -> dict[
             out[i] = None
             continue
         kept = []
-        for line in text.split("\n"):
-            words = line.lower().split()
-            normal = " ".join(words)
-            if len(words) >= min_words and normal in seen:
+        for unit in units(text):
+            normal = " ".join(unit.lower().split())
+            if normal and normal in seen:
                 continue
-            if len(words) >= min_words:
-                seen.add(normal)
-            kept.append(line)
-        out[i] = "\n".join(kept)
+            seen.add(normal)
+            kept.append(unit)
+        out[i] = "".join(kept)
     return out

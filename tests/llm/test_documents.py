@@ -287,22 +287,69 @@ def test_pieces_of_odd_texts(odd_docs, no_docs):
 
 def test_repeats_equal_brute_force(spark, documents):
     got = queries.op10_substring_dedup(spark, SF_DIR).toPandas().set_index("doc_id")
-    want = brute.without_repeats(list(zip(documents.doc_id, documents.text)), substring_dedup.MIN_WORDS)
+    want = brute.without_repeats(list(zip(documents.doc_id, documents.text)))
     assert got.text.to_dict() == want and (got.n_removed > 0).any()
     for i, t in zip(documents.doc_id, documents.text):
         spans = [tuple(map(int, s.split("-"))) for s in got.removed[i].split(",") if s]
-        assert len(spans) == got.n_removed[i] and all("\n" not in t[a:b] for a, b in spans)
+        assert len(spans) == got.n_removed[i] and got.n_units[i] == len(brute.units(t))
+        runs, end = [], None
+        for a, b in spans:
+            assert t[a:b] in brute.units(t)
+            runs = [*runs[:-1], runs[-1] + len(t[a:b].split())] if a == end else [*runs, len(t[a:b].split())]
+            end = b
+        assert got.longest_removed[i] == max(runs, default=0) and got.n_passages[i] == sum(n >= 25 for n in runs)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aB.!? \t\n\r\u00a0", max_size=40))
+def test_units_hold_every_character(t):
+    spans = list(substring_dedup.units_of(t))
+    assert [t[a:b] for a, b in spans] == brute.units(t) and "".join(brute.units(t)) == t
+
+
+def _prose(rng, n: int) -> list[str]:
+    words = [f"w{rng.integers(0, 3000)}" for _ in range(n)]
+    for k in range(int(rng.integers(4, 12)), n, int(rng.integers(6, 14))):
+        words[k] += rng.choice([".", "!", ".\n", "?"])
+    return words
+
+
+def test_planted_passages_go(spark):
+    """Passages of over 50 words, some inside lines, some in short lines, among other words."""
+    rng = np.random.default_rng(11)
+    passages = [" ".join(_prose(rng, int(rng.integers(60, 120)))) for _ in range(10)]
+    passages += ["\n".join(f"verse {k} {rng.integers(0, 9999)}" for k in range(25)) + "\n" for _ in range(3)]
+    docs, planted = [], {}
+    for i in range(200):
+        words = _prose(rng, 80)
+        if i % 4 == 0:
+            planted[i] = passages[(i // 4) % len(passages)]
+            words.insert(int(rng.integers(0, 80)), planted[i])
+        docs.append((i, " ".join(words)))
+    got = {r["doc_id"]: r for r in substring_dedup.remove_repeats(spark.createDataFrame(docs, DOCS)).collect()}
+    later = [i for k, i in enumerate(planted) if k >= len(passages)]
+    for i in later:
+        size = len(planted[i].split())
+        assert got[i]["longest_removed"] >= size - 30 and got[i]["n_passages"] == 1, i
+    clean = [i for i in got if i not in planted]
+    assert all(got[i]["n_passages"] == 0 and got[i]["text"] == dict(docs)[i] for i in clean)
 
 
 def test_paragraphs_and_ties(spark):
     docs = [(2, "a b c d e\n\nshort\n\n\nA  b C d e"), (1, "x y z u v w\n\na b c d e"), (3, "a b c d e"), (3, "a b c d e"), (4, None), (None, "a b c d e")]
     got = substring_dedup.remove_repeats(spark.createDataFrame(docs, DOCS), "paragraph").collect()
     kept = sorted((str(r["doc_id"]), r["text"]) for r in got)
-    assert kept == [("1", "x y z u v w"), ("2", "short"), ("3", ""), ("3", ""), ("4", None), ("None", "a b c d e")]
+    assert kept == [("1", "x y z u v w\n\n"), ("2", "short\n\n\n"), ("3", ""), ("3", ""), ("4", None), ("None", "a b c d e")]
+
+
+def test_short_units_and_a_floor(spark):
+    docs = spark.createDataFrame([(1, "Yes. No way at all. Yes."), (2, "no way\nNo way at all.")], DOCS)
+    kept = lambda n: [r["text"] for r in substring_dedup.remove_repeats(docs, min_words=n).orderBy("doc_id").collect()]
+    assert kept(1) == ["Yes. No way at all. ", "no way\n"] and kept(2) == ["Yes. No way at all. Yes.", "no way\n"]
 
 
-def test_repeats_of_odd_texts(odd_docs, no_docs):
-    got = substring_dedup.remove_repeats(odd_docs).collect()
+def test_repeats_of_odd_texts(spark, odd_docs, no_docs):
+    got = substring_dedup.remove_repeats(odd_docs.withColumn("n_passages", odd_docs.hits)).collect()
     assert len(got) == len(ODD_TEXTS)
     assert {r["doc_id"]: r["text"] for r in got}[11] == "word " * 30_000
     assert substring_dedup.remove_repeats(no_docs).count() == 0

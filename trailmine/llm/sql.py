@@ -78,15 +78,21 @@ SELECT o.conv_id, o.turn, o.role, o.own AS text, parent_turn, coalesce(root_turn
 FROM o LEFT JOIN links USING (conv_id, turn) LEFT JOIN roots USING (conv_id, turn)"""
 
 _PLAIN = "trim(regexp_replace(lower(line), '\\s+', ' ', 'g'), ' ')"
+_MARK = "chr(57344)"  # of the private use area; behind each unit
 OP10 = f"""
-WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents),
-p AS (SELECT *, {_PLAIN} AS plain, coalesce(sum(len(line) + 1) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM l),
-r AS (SELECT *, len(string_split(plain, ' ')) >= 5 AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, k) > 1 AS gone FROM p)
-SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
+WITH u AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?][ \\t]+|\\n)', '\\1' || {_MARK}, 'g'), {_MARK}) AS us FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, unnest(us) AS line, generate_subscripts(us, 1) AS k FROM u),
+p AS (SELECT *, {_PLAIN} AS plain, coalesce(sum(len(line)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+      FROM l WHERE line <> ''),
+r AS (SELECT *, plain <> '' AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, k) > 1 AS gone, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS off FROM p),
+g AS (SELECT *, k - off - row_number() OVER (PARTITION BY doc_id, gone ORDER BY k) AS run FROM r),
+w AS (SELECT doc_id, run, sum(CASE WHEN plain = '' THEN 0 ELSE len(string_split(plain, ' ')) END)::BIGINT AS words FROM g WHERE gone GROUP BY doc_id, run),
+m AS (SELECT doc_id, max(words) AS longest, count(*) FILTER (words >= 25) AS passages FROM w GROUP BY doc_id)
+SELECT doc_id, count(line) AS n_units, count(line) FILTER (gone) AS n_removed,
+       coalesce(any_value(longest), 0) AS longest_removed, coalesce(any_value(passages), 0) AS n_passages,
        coalesce(string_agg(start || '-' || (start + len(line)), ',' ORDER BY k) FILTER (gone), '') AS removed,
-       coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '') AS text
-FROM r GROUP BY doc_id
-UNION ALL SELECT doc_id, 0, 0, '', NULL FROM documents WHERE text IS NULL"""
+       CASE WHEN any_value(text) IS NOT NULL THEN coalesce(string_agg(line, '' ORDER BY k) FILTER (NOT gone), '') END AS text
+FROM documents LEFT JOIN g USING (doc_id) LEFT JOIN m USING (doc_id) GROUP BY doc_id"""
 
 _ASSIGN = """
 e{r} AS MATERIALIZED (SELECT id, c.part, min(d * 256 + c.entry) AS best FROM (

@@ -1,15 +1,20 @@
-"""Repeated lines or paragraphs, found by digests of whole units over all documents.
-
-A text is cut at line ends (or at empty lines for paragraphs). A unit is normalised by
-lower case and single blanks, and known by a 128-bit digest of that. For each digest that
-occurs more than once, the occurrence of the smallest ``(doc_id, text hash, start)`` stays
-and all others go. The digests are counted with a combined aggregate, so that a line of
-half of all documents is a sum and not a group; only digests that repeat are joined back.
-
-Units of fewer than ``min_words`` words always stay. Null and empty texts stay as they
-are. A null doc_id ranks before all others. Rows of equal doc_id and text are one
-document: all of them keep or lose the same units. A text of which all units go becomes
-empty; its row stays.
+"""Repeated sentences, lines or paragraphs, found by digests of whole units over all documents.
+
+A text is cut into units that follow each other without a gap: behind line ends, and inside a
+line behind the blanks that follow ``.``, ``!`` or ``?`` (``unit="line"`` cuts behind line ends
+only, ``"paragraph"`` behind empty lines). No word is outside a unit, so a passage that begins
+or ends inside a line is found up to its first and last sentence.
+
+A unit is normalised by lower case and single blanks, and known by a 128-bit digest of that.
+For each digest that occurs more than once, the occurrence of the smallest
+``(doc_id, text hash, start)`` stays and all others go, with the border behind them. The digests
+are counted with a combined aggregate, so that a line of half of all documents is a sum and not
+a group; only digests that repeat are joined back.
+
+Units without words always stay, as do those of fewer than ``min_words`` words; by default one
+word is enough. Null and empty texts stay as they are. A null doc_id ranks before all others.
+Rows of equal doc_id and text are one document: all of them keep or lose the same units. A text
+of which all units go becomes empty; its row stays.
 """
 
 from __future__ import annotations
@@ -25,18 +30,24 @@ from pyspark.sql import functions as F
 from trailmine.llm.text import slices, widened
 from trailmine.storage import materialise
 
-MIN_WORDS = 5
-_BORDERS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*")}
+MIN_WORDS = 1
+PASSAGE_WORDS = 25  # a removed stretch of so many words counts as a passage
+_BORDERS = {
+    "sentence": re.compile(r"(?<=[.!?])[ \t]+|\n"),
+    "line": re.compile(r"\n"),
+    "paragraph": re.compile(r"\n[ \t\r]*\n\s*"),
+}
 UNITS = "doc_id long, text_hash long, start int, stop int, digest binary"
 
 
-def units_of(text: str, unit: str = "line") -> Iterator[tuple[int, int]]:
-    """Start and end of each unit, in characters."""
+def units_of(text: str, unit: str = "sentence") -> Iterator[tuple[int, int]]:
+    """Start and end of each unit, in characters; the border behind a unit is part of it."""
     begin = 0
     for border in _BORDERS[unit].finditer(text):
-        yield begin, border.start()
+        yield begin, border.end()
         begin = border.end()
-    yield begin, len(text)
+    if begin < len(text):
+        yield begin, len(text)
 
 
 def _digests(unit: str, min_words: int):
@@ -60,36 +71,50 @@ def _digests(unit: str, min_words: int):
     return digests
 
 
-def _without(text: str, units: list[tuple[int, int]], lost: set[int]) -> str:
-    """The text without the units that begin at ``lost``; a unit goes with the border behind it."""
-    kept = [k for k, (start, _) in enumerate(units) if start not in lost]
-    ends = [units[k + 1][0] for k in kept[:-1]] + [units[k][1] for k in kept[-1:]]
-    return "".join(text[units[k][0] : end] for k, end in zip(kept, ends))
+def _joined(spans: list[dict]) -> list[tuple[int, int]]:
+    """Spans in order, those that touch as one."""
+    out: list[tuple[int, int]] = []
+    for span in spans:
+        if out and out[-1][1] == span["start"]:
+            out[-1] = (out[-1][0], span["stop"])
+        else:
+            out.append((span["start"], span["stop"]))
+    return out
 
 
 def _cut(unit: str):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            texts, totals = [], []
+            texts, totals, longest, passages = [], [], [], []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("removed").to_pylist()):
-                units = list(units_of(text, unit)) if text is not None else []
-                texts.append(_without(text, units, {s["start"] for s in spans}) if spans else text)
-                totals.append(len(units))
+                totals.append(0 if text is None else sum(1 for _ in units_of(text, unit)))
+                lost = _joined(spans or [])
+                words = [len(text[a:b].split()) for a, b in lost]
+                longest.append(max(words, default=0))
+                passages.append(sum(n >= PASSAGE_WORDS for n in words))
+                if lost:
+                    text = "".join(text[a:b] for a, b in zip([0, *(b for _, b in lost)], [*(a for a, _ in lost), len(text)]))
+                texts.append(text)
             place = batch.schema.get_field_index("text")
             batch = batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
-            yield batch.append_column("n_units", pa.array(totals, pa.int64()))
+            for name, column in (("n_units", totals), ("longest_removed", longest), ("n_passages", passages)):
+                batch = batch.append_column(name, pa.array(column, pa.int64()))
+            yield batch
 
     return cut
 
 
-def remove_repeats(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated units cut out of ``text``, plus what was cut.
 
     Needs ``doc_id`` and ``text``; all columns stay. Adds ``removed``, an array of
-    ``(start, stop)`` in characters of the original text and in order, and ``n_units``,
-    the number of all units of the original text. Columns of these names are replaced.
+    ``(start, stop)`` in characters of the original text and in order, ``n_units``, the
+    number of all units of the original text, ``longest_removed``, the words of the longest
+    stretch of neighbouring units that went, and ``n_passages``, the number of such stretches
+    of ``PASSAGE_WORDS`` words or more, which tells a passage from a stray line. Columns of
+    these names are replaced.
     """
-    docs = docs.drop("n_units", "removed")
+    docs = docs.drop("n_units", "removed", "longest_removed", "n_passages")
     names = docs.columns
     own = docs.select("*", F.col("doc_id").cast("long").alias("__doc"), F.xxhash64("text").alias("__hash"))
     hashed = own.select(F.col("__doc").alias("doc_id"), F.col("__hash").alias("text_hash"), "text")
@@ -103,4 +128,4 @@ def remove_repeats(docs: DataFrame, unit: str = "line", min_words: int = MIN_WOR
         F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("removed"))
     joined = own.join(removed, own["__doc"].eqNullSafe(removed["__of"]) & (own["__hash"] == removed["__text"]), "left")
     joined = joined.select(*names, "removed")
-    return joined.mapInArrow(_cut(unit), widened(joined, "n_units long"))
+    return joined.mapInArrow(_cut(unit), widened(joined, "n_units long, longest_removed long, n_passages long"))
