@@ -74,34 +74,51 @@ def held_out(doc_id: int) -> bool:
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
 
 
-def units(text: str) -> list[str]:
-    """Pieces that end behind a line end or behind the blanks that follow a sentence."""
-    out, piece = [], ""
-    for k, c in enumerate(text):
-        piece += c
-        behind = text[k + 1 : k + 2]
-        blanks = piece[len(piece.rstrip(" \t")) :]
-        ended = piece.rstrip(" \t")[-1:] in (".", "!", "?") and blanks
-        if c == "\n" or (ended and behind not in (" ", "\t")):
-            out.append(piece)
-            piece = ""
-    return out + [piece] * (piece != "")
-
-
-def without_repeats(docs: list[tuple[int, str | None]]) -> dict[int, str | None]:
-    """Texts without units that an earlier place has; ids are distinct."""
-    seen: set[str] = set()
-    out = {}
-    for i, text in sorted(docs):
-        if text is None:
-            out[i] = None
-            continue
-        kept = []
-        for unit in units(text):
-            normal = " ".join(unit.lower().split())
-            if normal and normal in seen:
-                continue
-            seen.add(normal)
-            kept.append(unit)
-        out[i] = "".join(kept)
+def pieces(text: str) -> list[list[str]]:
+    """Lines, each cut behind the blanks that follow a sentence (but those before a line end)."""
+    out = []
+    for line in re.findall(r"[^\n]*\n|[^\n]+", text):
+        own, piece = [], ""
+        for k, c in enumerate(line):
+            piece += c
+            blanks = piece[len(piece.rstrip(" \t")) :]
+            if blanks and piece.rstrip(" \t")[-1:] in (".", "!", "?") and line[k + 1 : k + 2] not in ("", " ", "\t", "\n"):
+                own.append(piece)
+                piece = ""
+        out.append(own + [piece] * (piece != ""))
     return out
+
+
+def without_repeats(docs: list[tuple[int, str | None]], need: int = 5) -> dict[int, list[tuple[str, bool]]]:
+    """The pieces of each text, and which an earlier place has; ids are distinct.
+
+    A piece goes if its line, or a stretch of ``need`` words that begins or ends with it in
+    its line, stands at an earlier place.
+    """
+    first: dict[str, tuple[int, int, int]] = {}
+
+    def stretches(own: list[str], k: int):
+        words = [p.lower().split() for p in own]
+        yield 0, len(own)
+        if words[k]:
+            yield from ((k, j) for j in range(k + 1, len(own) + 1) if sum(map(len, words[k:j])) >= need and not sum(map(len, words[k : j - 1])) >= need)
+            yield from ((j, k + 1) for j in range(k + 1) if sum(map(len, words[j : k + 1])) >= need and not sum(map(len, words[j + 1 : k + 1])) >= need)
+
+    parsed = {i: pieces(t or "") for i, t in sorted(docs)}
+    for step in ("find", "cut"):
+        out = {}
+        for i, lines in parsed.items():
+            out[i] = []
+            for at, own in enumerate(lines):
+                for k, piece in enumerate(own):
+                    gone = False
+                    for a, b in stretches(own, k):
+                        key = " ".join(" ".join(own[a:b]).lower().split())
+                        if key:
+                            gone |= first.setdefault(key, (i, at, a)) < (i, at, a)
+                    out[i].append((piece, gone))
+    return out
+
+
+def kept_text(pieces: list[tuple[str, bool]]) -> str:
+    return "".join(p for p, gone in pieces if not gone)

@@ -36,7 +36,7 @@ def test_pipeline_equals_brute_force(spark):
     assert len(want) < len(table)
     label = brute.near_components(list(want.items()), 5, 80)
     want = {i: t for i, t in want.items() if label[i] == i}
-    want = brute.without_repeats(list(want.items()))
+    want = {i: brute.kept_text(p) for i, p in brute.without_repeats(list(want.items())).items()}
     bench = pd.read_parquet(f"{SF_DIR}/benchmark.parquet")
     items = [(str(i), t) for i, t in zip(bench.item_id, bench.text)]
     windows = {tuple(w[k : k + 10]) for _, t in items for w in [brute.alnum_words(t)] for k in range(max(1, len(w) - 9))}

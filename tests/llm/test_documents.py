@@ -285,26 +285,49 @@ def test_pieces_of_odd_texts(odd_docs, no_docs):
 # Repeated lines ----------------------------------------------------------------
 
 
+def _stretches_of(pieces: list[tuple[str, bool]]) -> list[tuple[int, int, int]]:
+    """Begin, end and words of the stretches that go."""
+    out, at = [], 0
+    for piece, gone in pieces:
+        if gone and out and out[-1][1] == at:
+            out[-1] = (out[-1][0], at + len(piece), out[-1][2] + len(piece.split()))
+        elif gone:
+            out.append((at, at + len(piece), len(piece.split())))
+        at += len(piece)
+    return out
+
+
 def test_repeats_equal_brute_force(spark, documents):
     got = queries.op10_substring_dedup(spark, SF_DIR).toPandas().set_index("doc_id")
     want = brute.without_repeats(list(zip(documents.doc_id, documents.text)))
-    assert got.text.to_dict() == want and (got.n_removed > 0).any()
-    for i, t in zip(documents.doc_id, documents.text):
-        spans = [tuple(map(int, s.split("-"))) for s in got.removed[i].split(",") if s]
-        assert len(spans) == got.n_removed[i] and got.n_units[i] == len(brute.units(t))
-        runs, end = [], None
-        for a, b in spans:
-            assert t[a:b] in brute.units(t)
-            runs = [*runs[:-1], runs[-1] + len(t[a:b].split())] if a == end else [*runs, len(t[a:b].split())]
-            end = b
-        assert got.longest_removed[i] == max(runs, default=0) and got.n_passages[i] == sum(n >= 25 for n in runs)
+    assert (got.n_removed > 0).any() and (got.n_passages > 0).any()
+    for i, pieces in want.items():
+        lost, row = _stretches_of(pieces), got.loc[i]
+        assert row.text == brute.kept_text(pieces) and row.removed == ",".join(f"{a}-{b}" for a, b, _ in lost)
+        assert (row.n_units, row.n_removed) == (len(pieces), sum(gone for _, gone in pieces))
+        assert (row.longest_removed, row.n_passages) == (max((n for *_, n in lost), default=0), sum(n >= 25 for *_, n in lost))
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="aB.!? \t\n\r\u00a0", max_size=40))
-def test_units_hold_every_character(t):
-    spans = list(substring_dedup.units_of(t))
-    assert [t[a:b] for a, b in spans] == brute.units(t) and "".join(brute.units(t)) == t
+def test_pieces_hold_every_character(t):
+    got = [[t[a:b] for a, b in line] for line in substring_dedup.pieces_of(t)]
+    assert got == brute.pieces(t) and "".join(p for line in got for p in line) == t
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a b.", "c. ", "d e f g h! ", "\n", "i", " ", "j k l? ", "A B. "]), max_size=14).map("".join), min_size=1, max_size=5))
+def test_repeats_of_short_sentences(texts):
+    """The operator's units and what is cut, without Spark's part."""
+    places: dict[tuple, tuple] = {}
+    for i, t in enumerate(texts):
+        for place, _, _, words in substring_dedup.hashed_units(t):
+            places.setdefault(tuple(words), (i, place))
+    for i, pieces in brute.without_repeats(list(enumerate(texts))).items():
+        t = texts[i]
+        spans = [{"start": a, "stop": b} for place, a, b, w in substring_dedup.hashed_units(t) if min(places[tuple(w)], (i, place)) < (i, place)]
+        lost, n = substring_dedup._lost([p for line in substring_dedup.pieces_of(t) for p in line], spans)
+        assert lost == [(a, b) for a, b, _ in _stretches_of(pieces)] and n == sum(gone for _, gone in pieces)
 
 
 def _prose(rng, n: int) -> list[str]:
@@ -342,10 +365,11 @@ def test_paragraphs_and_ties(spark):
     assert kept == [("1", "x y z u v w\n\n"), ("2", "short\n\n\n"), ("3", ""), ("3", ""), ("4", None), ("None", "a b c d e")]
 
 
-def test_short_units_and_a_floor(spark):
-    docs = spark.createDataFrame([(1, "Yes. No way at all. Yes."), (2, "no way\nNo way at all.")], DOCS)
-    kept = lambda n: [r["text"] for r in substring_dedup.remove_repeats(docs, min_words=n).orderBy("doc_id").collect()]
-    assert kept(1) == ["Yes. No way at all. ", "no way\n"] and kept(2) == ["Yes. No way at all. Yes.", "no way\n"]
+def test_short_lines_and_short_sentences(spark):
+    docs = spark.createDataFrame([(1, "Yes. No way at all. Yes.\nmenu\n"), (2, "menu\nWell. No way at all. Yes.\nYes.")], DOCS)
+    kept = lambda unit: [r["text"] for r in substring_dedup.remove_repeats(docs, unit).orderBy("doc_id").collect()]
+    assert kept("sentence") == ["Yes. No way at all. Yes.\nmenu\n", "Well. Yes."]
+    assert kept("line") == ["Yes. No way at all. Yes.\nmenu\n", "Well. No way at all. Yes.\nYes."]
 
 
 def test_repeats_of_odd_texts(spark, odd_docs, no_docs):

@@ -117,13 +117,10 @@ def op9_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without sentences and lines that an earlier place has."""
+    """Documents without lines and sentences that an earlier place has."""
     cut = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.transform("removed", lambda s: F.concat(s["start"], F.lit("-"), s["stop"]))
-    lost = F.coalesce(F.size("removed"), F.lit(0))
-    return cut.select(
-        "doc_id", "n_units", F.when(F.col("removed").isNull(), 0).otherwise(lost).cast("long").alias("n_removed"),
-        "longest_removed", "n_passages", F.coalesce(F.array_join(spans, ","), F.lit("")).alias("removed"), "text")
+    return cut.select("doc_id", *substring_dedup.COUNTS, F.array_join(spans, ",").alias("removed"), "text")
 
 
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

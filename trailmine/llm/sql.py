@@ -77,21 +77,38 @@ SELECT o.conv_id, o.turn, o.role, o.own AS text, parent_turn, coalesce(root_turn
        n_quotes::INTEGER AS n_quotes
 FROM o LEFT JOIN links USING (conv_id, turn) LEFT JOIN roots USING (conv_id, turn)"""
 
-_PLAIN = "trim(regexp_replace(lower(line), '\\s+', ' ', 'g'), ' ')"
+_PLAIN = "trim(regexp_replace(lower({}), '\\s+', ' ', 'g'), ' ')"
 _MARK = "chr(57344)"  # of the private use area; behind each unit
+_LINE = "PARTITION BY doc_id, line ORDER BY k ROWS BETWEEN"
+_FIRST = "CASE " + " ".join(f"WHEN list_sum({{0}}[1:{k + 1}]) >= 5 THEN {k}" for k in range(5)) + " END"
 OP10 = f"""
-WITH u AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?][ \\t]+|\\n)', '\\1' || {_MARK}, 'g'), {_MARK}) AS us FROM documents WHERE text IS NOT NULL),
-l AS (SELECT doc_id, unnest(us) AS line, generate_subscripts(us, 1) AS k FROM u),
-p AS (SELECT *, {_PLAIN} AS plain, coalesce(sum(len(line)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-      FROM l WHERE line <> ''),
-r AS (SELECT *, plain <> '' AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, k) > 1 AS gone, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS off FROM p),
-g AS (SELECT *, k - off - row_number() OVER (PARTITION BY doc_id, gone ORDER BY k) AS run FROM r),
-w AS (SELECT doc_id, run, sum(CASE WHEN plain = '' THEN 0 ELSE len(string_split(plain, ' ')) END)::BIGINT AS words FROM g WHERE gone GROUP BY doc_id, run),
-m AS (SELECT doc_id, max(words) AS longest, count(*) FILTER (words >= 25) AS passages FROM w GROUP BY doc_id)
-SELECT doc_id, count(line) AS n_units, count(line) FILTER (gone) AS n_removed,
+WITH u AS (SELECT doc_id, string_split(regexp_replace(text, '\\n', chr(10) || {_MARK}, 'g'), {_MARK}) AS us FROM documents WHERE text IS NOT NULL),
+ln AS (SELECT doc_id, unnest(us) AS body, generate_subscripts(us, 1) AS line FROM u),
+sp AS (SELECT doc_id, line, string_split(regexp_replace(regexp_replace(body, '([.!?][ \\t]+)', '\\1' || {_MARK}, 'g'), {_MARK} || '\\n$', chr(10)), {_MARK}) AS ps
+       FROM ln WHERE body <> ''),
+pc AS (SELECT doc_id, line, unnest(ps) AS piece, generate_subscripts(ps, 1) AS j FROM sp),
+p AS MATERIALIZED (SELECT *, {_PLAIN.format('piece')} AS plain, row_number() OVER (PARTITION BY doc_id ORDER BY line, j) AS k,
+      coalesce(sum(len(piece)) OVER (PARTITION BY doc_id ORDER BY line, j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+      FROM pc WHERE piece <> ''),
+n AS (SELECT *, CASE WHEN plain = '' THEN 0 ELSE len(string_split(plain, ' ')) END AS nw FROM p),
+c AS (SELECT *, list(plain) OVER ({_LINE} CURRENT ROW AND 4 FOLLOWING) AS fp, list(nw) OVER ({_LINE} CURRENT ROW AND 4 FOLLOWING) AS fn,
+      list_reverse(list(plain) OVER ({_LINE} 4 PRECEDING AND CURRENT ROW)) AS bp, list_reverse(list(nw) OVER ({_LINE} 4 PRECEDING AND CURRENT ROW)) AS bn,
+      list_reverse(list(start) OVER ({_LINE} 4 PRECEDING AND CURRENT ROW)) AS bs FROM n),
+e AS (SELECT *, {_FIRST.format('fn')} AS f, {_FIRST.format('bn')} AS b FROM c),
+whole AS (SELECT doc_id, line, trim(regexp_replace(string_agg(plain, ' ' ORDER BY k), ' +', ' ', 'g'), ' ') AS plain, min(start) AS place FROM p GROUP BY doc_id, line),
+h AS (SELECT doc_id, k, w.plain, place FROM p JOIN whole w USING (doc_id, line) WHERE w.plain <> ''
+      UNION ALL SELECT doc_id, k, trim(array_to_string(fp[1:f + 1], ' '), ' '), start FROM e WHERE nw > 0 AND f IS NOT NULL
+      UNION ALL SELECT doc_id, k, trim(array_to_string(list_reverse(bp[1:b + 1]), ' '), ' '), bs[b + 1] FROM e WHERE nw > 0 AND b IS NOT NULL),
+o AS (SELECT plain, min(struct_pack(doc_id := doc_id, place := place)) AS first FROM h GROUP BY plain),
+x AS (SELECT DISTINCT doc_id, k FROM h JOIN o USING (plain) WHERE struct_pack(doc_id := doc_id, place := place) <> first),
+r AS (SELECT n.*, x.k IS NOT NULL AS gone FROM n LEFT JOIN x USING (doc_id, k)),
+g AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id, gone ORDER BY k) AS run FROM r),
+w AS (SELECT doc_id, run, sum(nw)::BIGINT AS words, min(start) || '-' || max(start + len(piece)) AS span, min(start) AS start FROM g WHERE gone GROUP BY doc_id, run),
+m AS (SELECT doc_id, max(words) AS longest, count(*) FILTER (words >= 25) AS passages, string_agg(span, ',' ORDER BY start) AS removed FROM w GROUP BY doc_id)
+SELECT doc_id, count(piece) AS n_units, count(piece) FILTER (gone) AS n_removed,
        coalesce(any_value(longest), 0) AS longest_removed, coalesce(any_value(passages), 0) AS n_passages,
-       coalesce(string_agg(start || '-' || (start + len(line)), ',' ORDER BY k) FILTER (gone), '') AS removed,
-       CASE WHEN any_value(text) IS NOT NULL THEN coalesce(string_agg(line, '' ORDER BY k) FILTER (NOT gone), '') END AS text
+       coalesce(any_value(removed), '') AS removed,
+       CASE WHEN any_value(text) IS NOT NULL THEN coalesce(string_agg(piece, '' ORDER BY k) FILTER (NOT gone), '') END AS text
 FROM documents LEFT JOIN g USING (doc_id) LEFT JOIN m USING (doc_id) GROUP BY doc_id"""
 
 _ASSIGN = """
