@@ -19,12 +19,12 @@ import oracle_queries  # noqa: E402
 from oracle_queries import (  # noqa: E402
     DOC_ROWS_PER_TASK,
     FEW_CLUSTERS,
+    LOG_BLOCKS,
     MANY_CLUSTERS,
     REPEAT_BUCKETS,
     SEEDS,
     SKEWED_SPAN_S,
     SPAN_S,
-    SPLIT_ROWS,
     SUGGESTIONS,
     TOP_DOCS,
     TOP_REFS,
@@ -186,7 +186,7 @@ def q_collapse_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_collapse_repeats_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _repeat_log(spark, sf_dir)
-    return sessions.collapse_repeats(log, split_rows=SPLIT_ROWS).drop("ts")
+    return sessions.collapse_repeats(log, blocks=LOG_BLOCKS).drop("ts")
 
 
 def q_session_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +194,7 @@ def q_session_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_session_starts_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.session_starts(_log(spark, sf_dir), SPAN_S, split_rows=SPLIT_ROWS)
+    return sessions.session_starts(_log(spark, sf_dir), SPAN_S, blocks=LOG_BLOCKS)
 
 
 def q_sessions_default_span(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +217,7 @@ def q_sessions_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sessions_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.build_sessions(_log(spark, sf_dir), SPAN_S, split_rows=SPLIT_ROWS)
+    return sessions.build_sessions(_log(spark, sf_dir), SPAN_S, blocks=LOG_BLOCKS)
 
 
 # Counts --------------------------------------------------------------------------
@@ -229,7 +229,7 @@ def q_distinct_session_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_first_session_refs_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _log(spark, sf_dir)
-    return counts.first_session_refs(sessions.mark_sessions(log, SPAN_S, split_rows=SPLIT_ROWS))
+    return counts.first_session_refs(sessions.mark_sessions(log, SPAN_S, blocks=LOG_BLOCKS))
 
 
 def q_top_refinements(spark: SparkSession, sf_dir: str) -> DataFrame:

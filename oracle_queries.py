@@ -6,7 +6,7 @@ SPAN_S = 86_400
 BUCKETS = 10
 REPEAT_BUCKETS = 2
 SEEDS = ["click_1", "error_7", "view_3"]
-SPLIT_ROWS = 64
+LOG_BLOCKS = 24
 TOP_REFS = 12
 TOP_DOCS = 3
 USER_MIN_COUNT = 50

@@ -64,9 +64,9 @@ def test_events_merge_to_the_minimum(events):
         assert len(own) == min(len(refs), 20)
 
 
-def test_parts_and_split_users_change_nothing(events):
+def test_parts_and_blocks_change_nothing(events):
     expected = tuples(cluster_pipeline(events, Settings(span_s=DAY)))
-    changed = Settings(span_s=DAY, doc_rows_per_task=15, split_rows=60)
+    changed = Settings(span_s=DAY, doc_rows_per_task=15, blocks=25)
     assert tuples(cluster_pipeline(events, changed)) == expected
 
 

@@ -33,14 +33,15 @@ def log(spark):
     return events_as_log(spark.read.parquet(f"{SF_DIR}/events.parquet"))
 
 
-def test_the_log_is_shuffled_by_user_once(log, with_conf):
+def test_the_log_is_put_in_order_once(log, with_conf):
+    """After the ordered pass only records and starts are shuffled, by (user, slot), and nothing is sorted for a window."""
     with_conf(NO_BROADCAST)
-    plan = final_plan(build_sessions(log, 86_400))
-    assert len(re.findall(r"[+:]- Exchange hashpartitioning\(user_id#\d+L, \d+\)", plan)) == 1
-    assert plan.count("ReusedExchange") == 1
-    assert plan.count("FileScan") == 1
-    # Records and starts by (user, slot), and nothing else.
-    assert plan.count("- Exchange ") == 3
+    plan = final_plan(build_sessions(log.filter("user_id < 40"), 86_400, blocks=1))
+    assert len(re.findall(r"[+:]- Exchange hashpartitioning\(user_id#\d+L, slot#\d+L, \d+\)", plan)) == 2
+    assert plan.count("- Exchange ") == 2 and "Window" not in plan
+    # Of several blocks the ordinary users still go without a window.
+    plan = final_plan(build_sessions(log, 86_400, blocks=4))
+    assert plan.count("LeftAnti") >= 1 and "rangepartitioning" not in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 

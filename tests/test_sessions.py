@@ -8,14 +8,17 @@ import twin
 from conftest import tuples
 from pyspark.sql import functions as F
 
+from trailmine.operators import scan
 from trailmine.operators.counts import distinct_session_refs, first_session_refs
 from trailmine.operators.sessions import (
     build_sessions,
     collapse_repeats,
+    deal,
+    expiry_ms,
+    hot_slots,
     mark_sessions,
     session_starts,
 )
-from trailmine.operators.split_users import heavy_users
 
 WORKED = [
     (7, 0, "term1", ""),
@@ -99,16 +102,66 @@ def test_random_logs_agree_with_the_twin(make_log, seed):
     assert tuples(session_starts(log), "user_id", "query", "ts_ms", "seq") == expected
 
 
-@pytest.mark.parametrize("seed, split_rows", [(4, 40), (5, 90)])
-def test_split_users_agree_with_the_twin(make_log, seed, split_rows):
-    # One user holds most of the log; with split_rows=90 the others are not split.
+@pytest.mark.parametrize("seed, blocks, batch", [(4, 25, 10_000), (5, 8, 7), (6, 60, 3)])
+def test_blocks_and_batches_agree_with_the_twin(make_log, with_conf, seed, blocks, batch):
+    # One user holds most of the log; blocks are cut inside users and equal times.
+    with_conf({"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch)})
     records = random_log(seed, users=4, bulk=700)
-    log = make_log(records)
-    heavy = heavy_users(log, split_rows)
-    assert heavy.users.count() == (1 if split_rows == 90 else 4)
-    marked = mark_sessions(log, split_rows=split_rows)
+    marked = mark_sessions(make_log(records), blocks=blocks)
     assert row_columns(marked) == twin.session_rows(records)
     assert tuples(first_session_refs(marked)) == tuples(distinct_session_refs(marked))
+    log = make_log(records).repartition(3)
+    assert tuples(session_starts(log, blocks=blocks), "user_id", "query", "ts_ms", "seq") == sorted(twin.sessions(records))
+    assert tuples(collapse_repeats(log, blocks)) == tuples(collapse_repeats(log, 1))
+    seeded = tuples(session_starts(log, seed_queries=["a", "c"], blocks=blocks))
+    assert seeded == tuples(session_starts(log, seed_queries=["a", "c"], blocks=1)) and seeded
+
+
+def test_what_came_before_a_record(make_log):
+    records = random_log(8, users=3, per_user=50)
+    got = {r["seq"]: r for r in scan.pass_log(make_log(records), expiry_ms(600), blocks=20).records.collect()}
+    before, places = {}, {}
+    for seq, (user, ms, query, doc) in sorted(enumerate(records), key=lambda r: (r[1][0], r[1][1], r[0])):
+        row = got[seq]
+        assert (row["prev_query"], row["prev_doc"]) == before.get(user, ("", ""))
+        assert (row["same_ms"], row["same_seq"]) == places.get((user, query), (None, None))
+        before[user], places[user, query] = (query, doc), (ms, seq)
+
+
+def test_null_users_and_queries(spark, make_log):
+    log = make_log([(1, 0, "a", ""), (1, 1, "b", "d")])
+    odd = spark.createDataFrame([(u, None, ms, ms + 10, q, d) for u, ms, q, d in (
+        (None, 0, "a", ""), (None, 1, "a", ""), (None, 2, None, "x"), (None, 3, None, "x"), (2, 5, None, ""), (2, 6, "b", None))], log.schema)
+    for blocks in (1, 6):
+        rows = tuples(collapse_repeats(log.unionByName(odd), blocks), "seq")
+        assert rows == [(0,), (1,), (10,), (12,), (15,), (16,)]
+        assert tuples(build_sessions(log.unionByName(odd), blocks=blocks), "query", "refinement") == [("a", "b")]
+    assert build_sessions(log.limit(0)).count() == 0 and session_starts(log.limit(0)).count() == 0
+
+
+def test_a_slot_of_many_records_and_few_starts(spark):
+    """The pairs are dealt by rows times starts, so that records are copied a few times at most."""
+    rows = spark.range(40_000).select(
+        F.lit(1).cast("long").alias("user_id"), F.lit(None).cast("timestamp").alias("ts"), F.col("id").alias("ts_ms"), F.col("id").alias("seq"),
+        F.concat(F.lit("q"), (F.col("id") % 4).cast("string")).alias("query"), F.lit("").alias("doc"))
+    mark_sessions(rows.limit(100)).count()
+    begin = time.perf_counter()
+    assert mark_sessions(rows).count() == 4 * 30_000 - 6
+    assert time.perf_counter() - begin < 10
+
+
+def test_copies_of_dealt_rows(spark):
+    slots = spark.createDataFrame([(1, 0, 100_000, 4), (2, 0, 50_000, 50_000), (3, 5, 10, 10), (4, 0, 3_000_000, 2)],
+                                  "user_id long, slot long, n_rows int, n_starts int")
+    hot = hot_slots(slots, 500_000)
+    parts = {(r["user_id"], r["slot"]): (r["row_parts"], r["start_parts"]) for r in hot.collect()}
+    # 400,000 pairs stay together; of many starts both sides are cut alike; few starts are copied instead of rows.
+    assert set(parts) == {(2, 0), (4, 0)}
+    assert parts[4, 0] == (12, 1) and parts[2, 0][0] == parts[2, 0][1] == 71
+    record = spark.range(1000).select(F.lit(4).cast("long").alias("user_id"), F.lit(0).cast("long").alias("slot"), "id")
+    dealt = deal(record, hot, "row_parts", "start_parts", F.xxhash64("id"), 8)
+    assert dealt.count() == 1000 and dealt.rdd.getNumPartitions() == 8
+    assert deal(record, hot, "start_parts", "row_parts", F.xxhash64("id"), 8).count() == 12_000
 
 
 def test_long_open_chains_across_blocks(make_log):
@@ -119,7 +172,7 @@ def test_long_open_chains_across_blocks(make_log):
         ms += rng.randrange(1, 60_000)
         records.append((1, ms, "ab"[i % 2], ""))
     log = make_log(records)
-    starts = tuples(session_starts(log, split_rows=500), "user_id", "query", "ts_ms", "seq")
+    starts = tuples(session_starts(log, blocks=6), "user_id", "query", "ts_ms", "seq")
     assert starts == sorted(twin.sessions(records))
     assert len(starts) > 150
 
@@ -127,8 +180,8 @@ def test_long_open_chains_across_blocks(make_log):
 def test_many_records_at_one_time(make_log):
     records = [(1, 5_000, "abc"[i % 3], "") for i in range(300)]
     log = make_log(records)
-    for split_rows in (50, 10**6):
-        starts = tuples(session_starts(log, split_rows=split_rows), "query", "ts_ms", "seq")
+    for blocks in (7, 1):
+        starts = tuples(session_starts(log, blocks=blocks), "query", "ts_ms", "seq")
         assert starts == [("a", 5_000, 0), ("b", 5_000, 1), ("c", 5_000, 2)]
 
 
@@ -139,7 +192,7 @@ def test_many_starts_of_one_pair_take_linear_time(spark):
             F.lit(1).cast("long").alias("user_id"), F.lit(None).cast("timestamp").alias("ts"), ms.alias("ts_ms"),
             F.col("id").alias("seq"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("query"), F.lit("").alias("doc"))
         begin = time.perf_counter()
-        assert session_starts(rows, split_rows=10**9).count() == 2 * n
+        assert session_starts(rows).count() == 2 * n
         return time.perf_counter() - begin
 
     seconds(1000)

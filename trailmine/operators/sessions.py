@@ -1,44 +1,22 @@
 """Query sessions: anchored at their first record, a fixed span long, per user.
 
-Order inside a user is ``(ts_ms, seq)``. Nearly all users are handled in one
-window partition each. A user with a very large share of the log is handled in
-time-ordered chunks instead (:mod:`trailmine.operators.split_users`), with the
-same result.
+Order inside a user is ``(ts_ms, seq)``. One ordered pass over the log
+(:mod:`trailmine.operators.scan`) tells what came before each record and which records open a
+session; a join inside users and slots of time then finds the refinements.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from typing import NamedTuple
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmine.functions.columns import floor_div, whole_seconds_between
-from trailmine.operators import split_users
-from trailmine.params import PAIRS_PER_TASK, SESSION_SPAN_S, SPLIT_USER_ROWS
-from trailmine.schemas import STARTS
+from trailmine.operators.scan import Passed, pass_log
+from trailmine.params import CELLS_AT_MOST, PAIRS_PER_TASK, SESSION_SPAN_S
 from trailmine.storage import materialise
 
-RUN_KEYS = ("user_id", "query", "block")
-
-
-class _Trails(NamedTuple):
-    """Log rows with what came before them; ``split`` is None without heavy users.
-
-    ``prev_query`` and ``prev_doc`` are of the user's previous record, ``same_ms``
-    and ``same_seq`` the place of the user's previous record with the same query.
-    """
-
-    whole: DataFrame
-    split: DataFrame | None
-    chunks: int = 0
-
-    def all_rows(self) -> DataFrame:
-        return self.whole if self.split is None else self.whole.unionByName(self.split)
-
 
 def expiry_ms(span_s: int) -> int:
     """Distance from its start at which a session is closed.
@@ -49,24 +27,11 @@ def expiry_ms(span_s: int) -> int:
     return (span_s + 1) * 1000
 
 
-def _trails(log: DataFrame, split_rows: int) -> _Trails:
+def _passed(
+    log: DataFrame, span_s: int, seed_queries: Sequence[str] | None = None, blocks: int | None = None
+) -> Passed:
     log = log.select("user_id", "ts", "ts_ms", "seq", "query", "doc")
-    heavy = split_users.heavy_users(log, split_rows)
-    of_user = Window.partitionBy("user_id").orderBy("ts_ms", "seq")
-    of_query = Window.partitionBy("user_id", "query").orderBy("ts_ms", "seq")
-    rest = heavy.without(log) if heavy else log
-    whole = rest.withColumns(
-        {
-            "prev_query": F.lag("query", 1, "").over(of_user),
-            "prev_doc": F.lag("doc", 1, "").over(of_user),
-            "same_ms": F.lag("ts_ms").over(of_query),
-            "same_seq": F.lag("seq").over(of_query),
-        }
-    )
-    if not heavy:
-        return _Trails(whole, None)
-    chunks = -(-heavy.rows // split_rows)
-    return _Trails(whole, split_users.with_previous(log, heavy, chunks), chunks)
+    return pass_log(log, expiry_ms(span_s), seed_queries, blocks)
 
 
 def _without_repeats(trail: DataFrame) -> DataFrame:
@@ -74,125 +39,62 @@ def _without_repeats(trail: DataFrame) -> DataFrame:
     return trail.filter(F.struct("query", "doc") != previous)
 
 
-def _candidates(trail: DataFrame, seed_queries: Sequence[str] | None) -> DataFrame:
-    """Records that open a session unless one of their query is open already."""
-    # A repeat never has another query. Dropping repeats here too makes this branch read
-    # the same columns as the one with all rows, so both share one shuffle of the log.
-    rows = _without_repeats(trail).filter(F.col("query") != F.col("prev_query"))
-    if seed_queries is not None:
-        rows = rows.filter(F.col("query").isin(list(seed_queries)))
-    return rows.select("user_id", "query", "ts_ms", "seq")
-
-
-def _greedy(times: np.ndarray, expiry: int, last: int | None) -> tuple[list[int], int | None]:
-    """Places of the records (in time order) that open a session, and the last start.
-
-    ``last`` is the start of a session that is open before the first record.
-    """
-    places, at = [], 0 if last is None else int(np.searchsorted(times, last + expiry))
-    while at < len(times):
-        places.append(at)
-        last = int(times[at])
-        at = int(np.searchsorted(times, last + expiry))
-    return places, last
-
-
-def _start_finder(expiry: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Keeps the starts of rows sorted by user, query, time and sequence, run after run.
-
-    Only the last start of the current (user, query) is remembered between batches. A
-    column ``open_ms``, constant in a run, tells of a session open before it.
-    """
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, last = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            names = [c for c in RUN_KEYS if c in batch.schema.names]
-            changed = np.zeros(batch.num_rows, bool)
-            for name in names:
-                # Numbers for the values; null is a value of its own.
-                code = np.asarray(batch.column(name).dictionary_encode(null_encoding="encode").indices)
-                changed[1:] |= code[1:] != code[:-1]
-            borders = [0, *np.flatnonzero(changed).tolist(), batch.num_rows]
-            times = np.asarray(batch.column("ts_ms"))
-            kept: list[int] = []
-            for low, high in zip(borders, borders[1:]):
-                own = tuple(batch.column(name)[low].as_py() for name in names)
-                if own != key:
-                    key, last = own, None
-                    if "open_ms" in batch.schema.names:
-                        last = batch.column("open_ms")[low].as_py()
-                places, last = _greedy(times[low:high], expiry, last)
-                kept.extend(low + p for p in places)
-            yield batch.select(STARTS.names).take(pa.array(kept, pa.int64()))
-
-    return find
-
-
-def starts_of_runs(rows: DataFrame, expiry: int) -> DataFrame:
-    """Session starts of rows whose (user, query[, block]) lie in one partition each.
-
-    Linear in the rows, however many one pair has; nothing is collected.
-    """
-    keys = [c for c in RUN_KEYS if c in rows.columns]
-    ordered = rows.sortWithinPartitions(*keys, "ts_ms", "seq")
-    return ordered.mapInArrow(_start_finder(expiry), STARTS)
-
-
-def _starts(trails: _Trails, span_s: int, seed_queries: Sequence[str] | None) -> DataFrame:
-    expiry = expiry_ms(span_s)
-    # The input is clustered by user, so the runs need no further shuffle.
-    starts = starts_of_runs(_candidates(trails.whole, seed_queries), expiry)
-    if trails.split is None:
-        return starts
-    heavy = split_users.starts(_candidates(trails.split, seed_queries), expiry, trails.chunks, starts_of_runs)
-    return starts.unionByName(heavy)
-
-
-def collapse_repeats(log: DataFrame, split_rows: int = SPLIT_USER_ROWS) -> DataFrame:
+def collapse_repeats(log: DataFrame, blocks: int | None = None) -> DataFrame:
     """Drop a record that has the query and document of the user's previous record."""
-    return _without_repeats(_trails(log, split_rows).all_rows()).select(*log.columns)
+    return _without_repeats(_passed(log, SESSION_SPAN_S, blocks=blocks).records).select(*log.columns)
 
 
 def session_starts(
     log: DataFrame,
     span_s: int = SESSION_SPAN_S,
     seed_queries: Sequence[str] | None = None,
-    split_rows: int = SPLIT_USER_ROWS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Records that open a session: ``user_id, query, ts_ms, seq``.
 
     A record opens one if the user's previous record had another query and no
     session of its query is open. ``seed_queries`` limits the queries that may.
-    A start without refinements is listed too.
+    A start without refinements is listed too. ``blocks`` is the number of blocks in
+    which the log is read; it changes no result.
     """
-    return _starts(_trails(log, split_rows), span_s, seed_queries)
+    return _passed(log, span_s, seed_queries, blocks).starts
 
 
-def _hot_slots(log: DataFrame, span_s: int, pairs_per_task: int) -> DataFrame | None:
-    """``user_id, slot, parts`` of the slots that may make more pairs than one task should.
+def hot_slots(slots: DataFrame, pairs_per_task: int) -> DataFrame | None:
+    """``user_id, slot, row_parts, start_parts`` of the slots of more pairs than one task should make.
 
-    A slot has at most as many starts as records, so the square of its records bounds
-    its pairs. None if there are no such slots.
+    The pairs of a slot, its rows times the starts of itself and the slot before, are cut
+    on a grid, with as few copies as possible: a row is copied once for each part of the
+    starts, a start once for each part of the rows. None if there are no such slots.
     """
-    slot = floor_div(F.col("ts_ms"), expiry_ms(span_s)).alias("slot")
-    pairs = F.col("count").cast("double") * F.col("count")
-    counts = log.groupBy("user_id", slot).count().filter(pairs > pairs_per_task)
-    parts = F.least(F.ceil(pairs / pairs_per_task), F.col("count"))
-    hot = materialise(counts.select("user_id", "slot", parts.alias("parts")), "hot-slots")
+    met = slots.select("user_id", "slot", "n_rows", "n_starts").unionByName(
+        slots.select("user_id", F.col("slot") + 1, F.lit(0).cast("int"), "n_starts").toDF("user_id", "slot", "n_rows", "n_starts"))
+    counts = met.groupBy("user_id", "slot").agg(
+        F.sum("n_rows").cast("double").alias("rows"), F.sum("n_starts").cast("double").alias("starts"))
+    cells = F.ceil(F.col("rows") * F.col("starts") / pairs_per_task)
+    start_parts = F.least(F.greatest(F.round(F.sqrt(cells * F.col("starts") / F.col("rows"))), F.lit(1)), F.col("starts"))
+    hot = counts.filter(F.col("rows") * F.col("starts") > pairs_per_task).withColumn("start_parts", start_parts.cast("bigint"))
+    row_parts = F.least(F.ceil(cells / F.col("start_parts")), F.col("rows"))
+    hot = materialise(hot.select("user_id", "slot", row_parts.cast("bigint").alias("row_parts"), "start_parts"), "hot-slots")
     return None if hot.isEmpty() else hot
 
 
+def deal(rows: DataFrame, hot: DataFrame, own: str, other: str, key: Column, n: int) -> DataFrame:
+    """Rows of hot slots, each in one of the ``own`` parts of its slot and copied to all ``other`` parts."""
+    keys = ["user_id", "slot"]
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1))
+    dealt = rows.join(hot, keys).withColumns({f"{own}_no": F.pmod(key, F.col(own)), f"{other}_no": every})
+    # By number, as these few bytes would otherwise be joined to one task again.
+    return dealt.drop(own, other).repartition(n, *keys, "row_parts_no", "start_parts_no")
+
+
 def _attach_refinements(
     rows: DataFrame, starts: DataFrame, span_s: int, hot: DataFrame | None
 ) -> DataFrame:
     """Join starts to the later records of the user inside the span.
 
     The span covers at most two slots of its own length, so an equi-join on
-    (user, slot) finds all partners. The starts of a ``hot`` slot are dealt to parts by
-    hash, and its records copied to all parts.
+    (user, slot) finds all partners. The pairs of a ``hot`` slot are dealt on a grid.
     """
     expiry = expiry_ms(span_s)
     slot = floor_div(F.col("ts_ms"), expiry)
@@ -217,16 +119,14 @@ def _attach_refinements(
     if hot is None:
         pairs = records.join(openings, keys)
     else:
-        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
-        own = F.pmod(F.xxhash64("start_seq", "query"), F.col("parts"))
-        # By number, as these few bytes would otherwise be joined to one task again.
-        n = max(1, hot.agg(F.sum("parts")).first()[0])
-        dealt = [
-            df.join(hot, keys).withColumn("part", part).drop("parts").repartition(n, *keys, "part")
-            for df, part in ((records, every), (openings, own))
-        ]
-        cold = records.join(hot, keys, "left_anti").join(openings, keys).withColumn("part", F.lit(0).cast("bigint"))
-        pairs = cold.unionByName(dealt[0].join(dealt[1], [*keys, "part"]))
+        # Cells beyond this number share partitions.
+        n = min(hot.agg(F.sum(F.col("row_parts") * F.col("start_parts"))).first()[0], CELLS_AT_MOST)
+        cold = records.join(hot, keys, "left_anti").join(openings, keys)
+        record_key, start_key = F.xxhash64("ts_ms", "seq"), F.xxhash64("start_seq", "query")
+        grid = [*keys, "row_parts_no", "start_parts_no"]
+        dealt = deal(records, hot, "row_parts", "start_parts", record_key, n).join(
+            deal(openings, hot, "start_parts", "row_parts", start_key, n), grid)
+        pairs = cold.unionByName(dealt.drop(*grid[2:]))
 
     def after_start(ms: str, seq: str) -> Column:
         return (F.col(ms) > F.col("start_ms")) | (
@@ -269,7 +169,7 @@ def mark_sessions(
     span_s: int = SESSION_SPAN_S,
     seed_queries: Sequence[str] | None = None,
     strict: bool = False,
-    split_rows: int = SPLIT_USER_ROWS,
+    blocks: int | None = None,
     pairs_per_task: int = PAIRS_PER_TASK,
 ) -> DataFrame:
     """The rows of :func:`build_sessions` with ``is_first``.
@@ -277,13 +177,9 @@ def mark_sessions(
     It marks the first row of each refinement in its session, which makes the
     distinct refinements of all sessions a filter instead of a shuffle.
     """
-    # Stated here, as the join does not tell the branch of the starts, and both branches
-    # must be equal to share one shuffle of the log.
-    log = log.filter(F.col("user_id").isNotNull())
-    trails = _trails(log, split_rows)
-    rows = _without_repeats(trails.all_rows())
-    hot = _hot_slots(log, span_s, pairs_per_task)
-    sessions = _attach_refinements(rows, _starts(trails, span_s, seed_queries), span_s, hot)
+    passed = _passed(log.filter(F.col("user_id").isNotNull()), span_s, seed_queries, blocks)
+    hot = hot_slots(passed.slots, pairs_per_task)
+    sessions = _attach_refinements(_without_repeats(passed.records), passed.starts, span_s, hot)
     return drop_single_unclicked(sessions) if strict else sessions
 
 
@@ -292,11 +188,11 @@ def build_sessions(
     span_s: int = SESSION_SPAN_S,
     seed_queries: Sequence[str] | None = None,
     strict: bool = False,
-    split_rows: int = SPLIT_USER_ROWS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Session rows: each later record with another query inside the span of a start.
 
     A session needs at least one refinement. ``strict`` also drops sessions of a
     single refinement without a document.
     """
-    return mark_sessions(log, span_s, seed_queries, strict, split_rows).drop("is_first")
+    return mark_sessions(log, span_s, seed_queries, strict, blocks).drop("is_first")

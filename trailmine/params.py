@@ -17,11 +17,10 @@ DOUBLINGS = 4
 MIN_FIELD_COUNT = 1000
 SUGGESTION_LIMIT = 1000
 
-# A user with more log rows than this is handled in time-ordered chunks of about
-# this many rows instead of as one window partition.
-SPLIT_USER_ROWS = 500_000
 # Pairs of a record and a session start that one task makes for one user and slot.
 PAIRS_PER_TASK = 500_000
+# Shuffle partitions of the hot slots; more parts of slots share them.
+CELLS_AT_MOST = 4_000
 # Refinements of one query that are handled as a full matrix; more are refused.
 MAX_REFINEMENTS = 2000
 # Document rows of one query handled by one clustering task.

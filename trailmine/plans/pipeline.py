@@ -36,7 +36,6 @@ from trailmine.params import (
     EPSILON,
     MIN_CLUSTERS,
     SESSION_SPAN_S,
-    SPLIT_USER_ROWS,
     TOP_REFINEMENTS,
 )
 from trailmine.storage import materialise, materialise_together
@@ -55,14 +54,14 @@ class Settings:
     doublings: int = DOUBLINGS
     mode: str = "max_product"
     min_clusters: int = MIN_CLUSTERS
-    split_rows: int = SPLIT_USER_ROWS
+    blocks: int | None = None
     doc_rows_per_task: int = DOC_ROWS_PER_TASK
 
 
 def sessions_of(log: DataFrame, settings: Settings) -> DataFrame:
     """Marked session rows."""
     return mark_sessions(
-        log, settings.span_s, settings.seed_queries, settings.strict, settings.split_rows
+        log, settings.span_s, settings.seed_queries, settings.strict, settings.blocks
     )
 
 
