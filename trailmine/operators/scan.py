@@ -7,10 +7,11 @@ of each of the user's queries, and the sessions that are open. So the pass knows
 before each record and which records open a session.
 
 Only a user whose records go on in the next block needs more, and a border between blocks
-cuts one user at most. For these users what was carried is handed on from block to block:
-the last record, the last place of each query, and the open sessions. Of the latter a block
-is a function from "open since" to "last start", given by a short table; chaining the tables
-of a (user, query) gives what is open when a block begins. The blocks are then independent.
+cuts one user at most. A user of two blocks has less records than these, and is read once more
+as a whole. A user that fills whole blocks is not: what was carried is handed on from block to
+block, the last record, the last place of each query, and the open sessions. Of the latter a
+block is a function from "open since" to "last start", given by a short table; chaining the
+tables of a (user, query) gives what is open when a block begins. The blocks are then independent.
 
 Nothing depends on the number of blocks but the work of a task.
 """
@@ -173,25 +174,37 @@ def pass_log(log: DataFrame, expiry: int, seed_queries: Sequence[str] | None = N
     """
     order = ["user_id", "ts_ms", "seq"]
     placed = log.repartitionByRange(blocks, *order) if blocks else log.repartitionByRange(*order)
-    # The block is not a function of the record, so it is fixed by writing it down.
-    placed = placed.sortWithinPartitions(*order).withColumn("block", F.spark_partition_id())
     schema = StructType([*log.schema.fields, *StructType.fromDDL(_PASSED).fields])
-    seeds = None if seed_queries is None else set(seed_queries)
-    passed = materialise(placed.mapInArrow(_pass_over(expiry, seeds), schema), "passed-log")
+    in_order = _pass_over(expiry, None if seed_queries is None else set(seed_queries))
+
+    def read(rows: DataFrame) -> DataFrame:
+        ordered = rows.sortWithinPartitions(*order).withColumn("block", F.spark_partition_id())
+        return ordered.mapInArrow(in_order, schema)
+
+    # The block is not a function of the record, so it is fixed by writing it down.
+    passed = materialise(read(placed), "passed-log")
     slots = passed.filter("slot_rows is not null").select(
         "user_id", F.expr(f"(ts_ms - pmod(ts_ms, {expiry})) div {expiry}").alias("slot"),
         F.col("slot_rows").alias("n_rows"), F.col("slot_starts").alias("n_starts"))
-    cut = _cut_users(passed)
     trail = [*log.columns, "prev_query", "prev_doc", "same_ms", "same_seq"]
-    if cut is None:
-        return Passed(passed.select(*trail), passed.filter("opens").select(*STARTS.names), slots)
-    of_cut = F.col("user_id").eqNullSafe(F.col("cut_user"))
-    whole = passed.join(cut, of_cut, "left_anti")
-    handed = _hand_on(passed.join(cut, of_cut, "left_semi"))
-    starts = _cut_starts(handed.filter(_may_open(seed_queries)).select(*STARTS.names, "block"), expiry)
-    return Passed(
-        whole.select(*trail).unionByName(handed.select(*trail)),
-        whole.filter("opens").select(*STARTS.names).unionByName(starts), slots)
+    twice, often = _cut_users(passed)
+    whole = passed.filter(~_is_one_of(twice + often))
+    if twice:
+        again = read(passed.filter(_is_one_of(twice)).select(*log.columns).repartition("user_id"))
+        whole = whole.unionByName(again)
+    records, starts = whole.select(*trail), whole.filter("opens").select(*STARTS.names)
+    if often:
+        handed = _hand_on(passed.filter(_is_one_of(often)))
+        records = records.unionByName(handed.select(*trail))
+        starts = starts.unionByName(_cut_starts(handed.filter(_may_open(seed_queries)).select(*STARTS.names, "block"), expiry))
+    return Passed(records, starts, slots)
+
+
+def _is_one_of(users: list[int | None]) -> Column:
+    """Whether the user is one of a few, of which there are fewer than blocks."""
+    known = F.col("user_id").isin([u for u in users if u is not None])
+    known = F.coalesce(known, F.lit(False))
+    return known | F.col("user_id").isNull() if None in users else known
 
 
 def _may_open(seed_queries: Sequence[str] | None) -> Column:
@@ -199,13 +212,16 @@ def _may_open(seed_queries: Sequence[str] | None) -> Column:
     return other if seed_queries is None else other & F.col("query").isin(list(seed_queries))
 
 
-def _cut_users(passed: DataFrame) -> DataFrame | None:
-    """The users of several blocks; None if there are none. Less than there are blocks, so they are broadcast."""
-    ends = passed.groupBy("block").agg(
-        F.min(F.struct("user_id", "ts_ms", "seq")).alias("low"), F.max(F.struct("user_id", "ts_ms", "seq")).alias("high"))
-    rows = ends.orderBy("block").select("low.user_id", "high.user_id").collect()
-    cut = {(a[1],) for a, b in zip(rows, rows[1:]) if a[1] == b[0]}
-    return F.broadcast(passed.sparkSession.createDataFrame(list(cut), "cut_user bigint")) if cut else None
+def _cut_users(passed: DataFrame) -> tuple[list[int | None], list[int | None]]:
+    """The users of two blocks, and those of more."""
+    place = F.struct("user_id", "ts_ms", "seq")
+    ends = passed.groupBy("block").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+    rows = [(r["low"]["user_id"], r["high"]["user_id"]) for r in ends.orderBy("block").collect()]
+    count: dict[int | None, int] = {}
+    for (_, before), (after, _) in zip(rows, rows[1:]):
+        if before == after:
+            count[after] = count.get(after, 0) + 1
+    return [u for u, n in count.items() if n == 1], [u for u, n in count.items() if n > 1]
 
 
 def _hand_on(rows: DataFrame) -> DataFrame:

@@ -75,8 +75,8 @@ def hot_slots(slots: DataFrame, pairs_per_task: int) -> DataFrame | None:
     start_parts = F.least(F.greatest(F.round(F.sqrt(cells * F.col("starts") / F.col("rows"))), F.lit(1)), F.col("starts"))
     hot = counts.filter(F.col("rows") * F.col("starts") > pairs_per_task).withColumn("start_parts", start_parts.cast("bigint"))
     row_parts = F.least(F.ceil(cells / F.col("start_parts")), F.col("rows"))
-    hot = materialise(hot.select("user_id", "slot", row_parts.cast("bigint").alias("row_parts"), "start_parts"), "hot-slots")
-    return None if hot.isEmpty() else hot
+    hot = hot.select("user_id", "slot", row_parts.cast("bigint").alias("row_parts"), "start_parts")
+    return None if hot.isEmpty() else materialise(hot, "hot-slots")
 
 
 def deal(rows: DataFrame, hot: DataFrame, own: str, other: str, key: Column, n: int) -> DataFrame:
