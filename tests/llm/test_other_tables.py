@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 
 import numpy as np
 import pandas as pd
 from inputs import SF_DIR
+from pyspark.sql import functions as F
 
 from trailmine.llm import exact_search, queries, quotations, warc
 
@@ -90,6 +92,33 @@ def test_quotations_lead_to_their_originals(spark):
     assert quotations.link_quotations(frame).count() == len(MAIL)
 
 
+def _plain_line(line: str) -> tuple[int, str]:
+    """Level and rest of a line, sign by sign."""
+    level, at = 0, 0
+    while line[at : at + 1] == ">" or (line[at : at + 1] in (" ", "\t") and line[at + 1 : at + 2] == ">"):
+        at += 1 + (line[at] != ">")
+        level += 1
+    return level, line if not level else line[at + (line[at : at + 1] == " ") :]
+
+
+def test_signs_of_lines(spark):
+    rng = random.Random(3)
+    lines = ["".join(rng.choice(" \t>>ab") for _ in range(rng.randint(0, 9))) for _ in range(3000)]
+    df = spark.createDataFrame([(x,) for x in lines], "line string").select(
+        "line", quotations._level(F.col("line")).alias("level"), quotations._unmarked(F.col("line")).alias("rest"))
+    assert all((r["level"], r["rest"]) == _plain_line(r["line"]) for r in df.collect())
+
+
+def test_a_line_of_a_million_signs(spark):
+    signs = ">" * 1_000_000
+    rows = [("c", 0, "hello there friend"), ("c", 1, signs), ("c", 2, "> " * 500_000 + "x\n> hello there friend"), ("c", 3, "> hello there friend\nok " + signs)]
+    messages = spark.createDataFrame([(*r, "mine", 1) for r in rows], "conv_id string, turn int, text string, __own string, __turn int")
+    got = {r["turn"]: r for r in quotations.link_quotations(messages).collect()}
+    assert (got[1]["n_quotes"], got[1]["parent_turn"], got[1]["text"]) == (1, None, "")
+    assert got[2]["parent_turn"] == got[3]["parent_turn"] == 0 and got[3]["text"] == "ok " + signs
+    assert "__own" not in got[1] and "__turn" not in got[1]
+
+
 def test_deeper_quotations_lead_on_where_the_first_level_does_not(spark):
     rows = [
         (1, 0, "u", "The budget is ready for review.\nPlease read it today."),

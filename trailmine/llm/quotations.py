@@ -31,13 +31,29 @@ from trailmine.functions.columns import once
 from trailmine.storage import materialise
 
 MIN_LINE_WORDS = 3  # of a line cut out of a longer quoted passage
-_SIGNS = r"^((?:[ \t]?>)+)"
+_LEADING = r"^[ \t>]*+"
+# Two blanks end the signs. Only single classes are repeated: a repeated group would recurse for
+# each sign of a line of thousands.
+_BEHIND_SIGNS = r"(^|>)[ \t][ \t].*$"
+_RESERVED = ("__passages", "__own", "__lines", "__starts", "__conv", "__turn")
 _MARKED = r"(^|[\r\n])[ \t]?>"
 _ATTRIBUTION = r"^[ \t]*(On|Am|Le|El)\b.*(wrote|schrieb|écrit|escribió)[ \t]*:[ \t]*$"
 
 
+def _signs(line: Column) -> Column:
+    """The signs of quotation at the beginning of a line, each with a blank before it or none."""
+    leading = F.regexp_replace(F.regexp_extract(line, _LEADING, 0), _BEHIND_SIGNS, "$1")
+    return F.rtrim(leading, F.lit(" \t"))
+
+
+def _unmarked(line: Column) -> Column:
+    """A line without its signs and one space behind them."""
+    size = F.length(_signs(line))
+    return F.when(size > 0, F.regexp_replace(F.substr(line, size + 1), "^ ", "")).otherwise(line)
+
+
 def _level(line: Column) -> Column:
-    return F.length(F.regexp_replace(F.regexp_extract(line, _SIGNS, 1), "[^>]", ""))
+    return F.length(F.translate(_signs(line), " \t", ""))
 
 
 def _normal(text: Column) -> Column:
@@ -55,7 +71,7 @@ def parse_quotations(messages: DataFrame) -> DataFrame:
     """
     lines = F.split(F.regexp_replace("text", "\r\n?", "\n"), "\n", -1)
     parsed = messages.withColumn("__lines", once(F.transform(lines, lambda x: F.struct(
-        _level(x).alias("level"), F.regexp_replace(x, _SIGNS + "[ ]?", "").alias("text"), x.rlike(_ATTRIBUTION).alias("said")))))
+        _level(x).alias("level"), _unmarked(x).alias("text"), x.rlike(_ATTRIBUTION).alias("said")))))
     # Attribution lines take the level of the quotation they stand before.
     parsed = parsed.withColumn("__lines", F.expr("""
         transform(__lines, (x, i) -> named_struct(
@@ -91,9 +107,10 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     """``messages`` without quotations, with ``parent_turn``, ``root_turn``, ``depth`` and ``n_quotes``.
 
     Needs ``conv_id``, ``turn`` and ``text``. ``text`` becomes the unquoted text, and
-    ``n_quotes`` counts quoted passages. Columns of the added names are replaced.
+    ``n_quotes`` counts quoted passages. Columns of the added names are replaced, and those
+    of the names in ``_RESERVED`` are left out.
     """
-    messages = messages.drop("parent_turn", "root_turn", "depth", "n_quotes")
+    messages = messages.drop("parent_turn", "root_turn", "depth", "n_quotes", *_RESERVED)
     bare = messages.select("conv_id", "turn", "text")
     marked = F.coalesce(F.col("text").rlike(_MARKED), F.lit(False))
     quoting = parse_quotations(bare.filter(marked)).filter("conv_id is not null and turn is not null")
