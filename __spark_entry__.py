@@ -40,7 +40,12 @@ from trailmine.operators import (  # noqa: E402
 )
 from trailmine.plans import pipeline  # noqa: E402
 from trailmine.plans.adapters import events_as_lines, events_as_log  # noqa: E402
-from trailmine.sinks import write_field_counts, write_level, write_suggestions  # noqa: E402
+from trailmine.sinks import (  # noqa: E402
+    replace_suggestions,
+    write_field_counts,
+    write_level,
+    write_suggestions,
+)
 from trailmine.sources import (  # noqa: E402
     parse_log_lines,
     read_clusters,
@@ -444,6 +449,17 @@ def q_suggestions_in_two_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_suggestions(spark, path)
 
 
+def q_suggestions_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A suggestion table in which a second run, done twice, replaces the rows of some queries."""
+    path = scratch_path(spark, "suggestions")
+    clusters = materialise(q_clusters_singletons(spark, sf_dir), "clusters")
+    replace_suggestions(clusters, path)
+    again = clusters.filter(F.col("query").startswith("click")).withColumn("ref_count", F.col("ref_count") * 10)
+    for _ in range(2):
+        replace_suggestions(again, path)
+    return read_suggestions(spark, path)
+
+
 def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
     """The whole chain: log, sessions, refinements, random walk, clusters with counts."""
     return q_clusters(spark, sf_dir)
@@ -525,6 +541,7 @@ def _own_queries() -> dict[str, Query]:
         "roundtrip_parquet": q_roundtrip_parquet,
         "roundtrip_suggestions": q_roundtrip_suggestions,
         "suggestions_in_two_steps": q_suggestions_in_two_steps,
+        "suggestions_replaced": q_suggestions_replaced,
     }
 
 

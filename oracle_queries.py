@@ -459,5 +459,9 @@ def all_queries() -> dict[str, str]:
         "roundtrip_clusters": _with(_singletons(), f"SELECT {cluster_columns} FROM clusters"),
         "roundtrip_parquet": _with(_counts(), "SELECT * FROM top_refs"),
         "roundtrip_suggestions": _with(_singletons(), f"SELECT {cluster_columns} FROM clusters"),
+        "suggestions_replaced": _with(
+            _singletons(),
+            "SELECT query, cluster_id, refinement, CASE WHEN starts_with(query, 'click') THEN ref_count * 10 ELSE ref_count END AS ref_count FROM clusters",
+        ),
         "suggestions_in_two_steps": _with(_singletons(), f"SELECT {cluster_columns} FROM clusters"),
     }

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,40 @@ def test_merging_equals_the_search(seed):
         assert [max(c) for c in clusters] == sorted(max(c) for c in clusters)
 
 
+def _search_all(similarity, min_clusters):
+    """Merges by a search over the whole matrix."""
+    n = len(similarity)
+    link = {(i, j): max(similarity[i][j], similarity[j][i]) for i in range(n) for j in range(i)}
+    clusters = {i: [i] for i in range(n)}
+    while len(clusters) > min_clusters:
+        value, high, low = max(((v, *pair) for pair, v in link.items()), default=(0, 0, 0))
+        if value <= 0:
+            break
+        pair = lambda x, y: (max(x, y), min(x, y))
+        for other in clusters:
+            if other not in (high, low):
+                link[pair(other, high)] = min(link[pair(other, high)], link[pair(other, low)])
+        clusters[high] = clusters[high] + clusters.pop(low)
+        link = {p: v for p, v in link.items() if low not in p}
+    return [clusters[i] for i in sorted(clusters)]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_kept_maxima_equal_a_search_of_the_matrix(seed):
+    rng = np.random.default_rng(seed)
+    n, levels = int(rng.integers(2, 45)), int(rng.choice([2, 4, 1000]))
+    similarity = np.triu(rng.integers(0, levels, (n, n)) / levels, 1)
+    for least in (1, n // 3, n):
+        assert complete_link(similarity + similarity.T, least) == _search_all(similarity, least)
+
+
+def test_two_thousand_refinements_are_merged_in_time():
+    rng = np.random.default_rng(0)
+    begin = time.perf_counter()
+    assert len(complete_link(rng.random((2000, 2000)), 20)) == 20
+    assert time.perf_counter() - begin < 20
+
+
 def test_nothing_similar_stays_apart():
     assert complete_link(np.zeros((5, 5)), 1) == [[i] for i in range(5)]
 

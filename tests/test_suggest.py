@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+import pytest
 from conftest import tuples
 
 from trailmine import schemas
 from trailmine.operators.suggest import headline_suggestions, nest_suggestions, suggest
-from trailmine.sinks import write_suggestions
+from trailmine.sinks import replace_suggestions, write_suggestions
 from trailmine.sources import read_suggestions
 
 CLUSTERS = [
@@ -44,3 +45,36 @@ def test_suggestion_table_is_replaced(spark, tmp_path):
     write_suggestions(clusters, path)
     write_suggestions(clusters.filter("query = 'q'"), path)
     assert tuples(read_suggestions(spark, path)) == sorted(CLUSTERS[:4])
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 50])
+def test_queries_of_a_table_are_replaced(spark, tmp_path, buckets):
+    clusters, _ = frames(spark)
+    path = str(tmp_path / "table")
+    for _ in range(2):
+        replace_suggestions(clusters, path, buckets)
+        assert tuples(read_suggestions(spark, path)) == sorted(CLUSTERS)
+    new = spark.createDataFrame([("q", 0, "z", 1), ("more", 0, "y", 2)], schemas.CLUSTERS)
+    for _ in range(2):
+        replace_suggestions(new, path, 7)
+        assert tuples(read_suggestions(spark, path)) == sorted(CLUSTERS[4:] + [("q", 0, "z", 1), ("more", 0, "y", 2)])
+    replace_suggestions(new.limit(0), path)
+    assert read_suggestions(spark, path).count() == 4
+
+
+def test_only_buckets_of_new_queries_are_written(spark, tmp_path):
+    rows = spark.createDataFrame([(f"query {i}", 0, "r", i) for i in range(200)], schemas.CLUSTERS)
+    path = str(tmp_path / "table")
+    replace_suggestions(rows, path, 20)
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "table").rglob("*.parquet")}
+    replace_suggestions(rows.filter("query = 'query 7'"), path)
+    after = {f: f.stat().st_mtime_ns for f in (tmp_path / "table").rglob("*.parquet")}
+    assert len({f.parent for f in set(before) ^ set(after)}) == 1
+    assert read_suggestions(spark, path).count() == 200
+
+
+def test_a_table_without_buckets_is_not_replaced(spark, tmp_path):
+    clusters, _ = frames(spark)
+    write_suggestions(clusters, str(tmp_path / "table"))
+    with pytest.raises(ValueError):
+        replace_suggestions(clusters, str(tmp_path / "table"))

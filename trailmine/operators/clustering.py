@@ -28,17 +28,31 @@ def complete_link(similarity: np.ndarray, min_clusters: int) -> list[list[int]]:
     n = len(similarity)
     link = np.tril(np.maximum(similarity, similarity.T), -1)
     clusters = [[i] for i in range(n)]
+    # The greatest link of each cluster to an earlier one, and the latest that has it. A merge
+    # only lowers links to the two clusters, so only rows that point to these change.
+    best, partner = np.zeros(n), np.zeros(n, np.int64)
+
+    def look_again(rows: np.ndarray) -> None:
+        backwards = link[rows, ::-1]
+        partner[rows] = n - 1 - np.argmax(backwards, axis=1)
+        best[rows] = link[rows, partner[rows]]
+
+    for begin in range(0, n, 256):
+        look_again(np.arange(begin, min(begin + 256, n)))
     for _ in range(n - min_clusters):
         # Searched from the end, so that the latest of equal pairs comes first.
-        backwards = int(np.argmax(link[::-1, ::-1]))
-        high, low = n - 1 - backwards // n, n - 1 - backwards % n
-        if not link[high, low] > 0:
+        high = n - 1 - int(np.argmax(best[::-1]))
+        low = int(partner[high])
+        if not best[high] > 0:
             break
         merged = np.minimum(link[high] + link[:, high], link[low] + link[:, low])
         merged[[high, low]] = 0
         link[low] = link[:, low] = 0
         link[high, :high] = merged[:high]
         link[high + 1 :, high] = merged[high + 1 :]
+        stale = (partner == low) | (partner == high)
+        stale[[low, high]] = True
+        look_again(np.flatnonzero(stale & ((best > 0) | (np.arange(n) == high))))
         clusters[high] += clusters[low]
         clusters[low] = []
     return [cluster for cluster in clusters if cluster]

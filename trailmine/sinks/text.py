@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmine.functions.columns import tab_line
+from trailmine.params import SUGGESTION_BUCKETS
+from trailmine.storage import materialise
 
 # Columns of each text layout, in output order.
 LAYOUTS = {
@@ -89,3 +92,38 @@ def write_suggestions(df: DataFrame, path: str, mode: str = "overwrite") -> None
     one of them by its statistics.
     """
     df.repartitionByRange("query").sortWithinPartitions("query").write.mode(mode).parquet(path)
+
+
+def _buckets_of(spark: SparkSession, path: str) -> int | None:
+    """The number of buckets of the table at ``path``; None without a table."""
+    try:
+        row = spark.read.parquet(path).select("bucket").first()
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise ValueError(f"{path} is no suggestion table in buckets") from error
+        return None
+    return int(row["bucket"].rpartition("-")[2]) if row else None
+
+
+def replace_suggestions(df: DataFrame, path: str, buckets: int = SUGGESTION_BUCKETS) -> None:
+    """Put the queries of ``df`` into the suggestion table at ``path`` in place of their old rows.
+
+    The table lies in folders, one for each bucket of queries by hash. Only buckets that hold
+    one of the queries are read and written again; their other queries are kept. So doing it
+    twice leaves the table as doing it once, and a job that failed can be repeated. The first
+    writing decides the number of buckets. A query without new rows keeps its old ones. One
+    writer at a time may change a table.
+    """
+    spark = df.sparkSession
+    n = _buckets_of(spark, path)
+    number = F.pmod(F.xxhash64("query"), F.lit(n or buckets))
+    new = df.withColumn("bucket", F.concat(F.lpad(number.cast("string"), 6, "0"), F.lit(f"-of-{n or buckets}")))
+    if n:
+        # Written down first, as these folders are replaced below.
+        new = materialise(new, "new-suggestions")
+        touched = spark.read.parquet(path).join(new.select("bucket").distinct(), "bucket", "left_semi")
+        known = new.select(F.col("query").alias("new_query")).distinct()
+        kept = touched.join(known, F.col("query").eqNullSafe(F.col("new_query")), "left_anti")
+        new = new.unionByName(materialise(kept.select(*new.columns), "kept-suggestions"))
+    rows = new.repartition("bucket", "query").sortWithinPartitions("bucket", "query")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)

@@ -37,5 +37,5 @@ def read_clusters(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_suggestions(spark: SparkSession, path: str) -> DataFrame:
-    """The table written by ``write_suggestions``."""
-    return spark.read.parquet(path)
+    """The table written by ``write_suggestions`` or ``replace_suggestions``."""
+    return spark.read.parquet(path).drop("bucket")
