@@ -163,9 +163,9 @@ def remove_repeats(docs: DataFrame, unit: str = "sentence") -> DataFrame:
     hashed = own.select(F.col("__doc").alias("doc_id"), F.col("__hash").alias("text_hash"), "text")
     units = materialise(hashed.mapInArrow(_digests(unit), UNITS), "units")
     place = F.struct("doc_id", "text_hash", "place")
-    counted = units.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    counted = units.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     # Written down, so that the join of a frequent line can be split.
-    repeated = materialise(counted.filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last"), "repeated-units")
+    repeated = materialise(counted.filter("n > 1").drop("n"), "repeated-units")
     later = units.join(repeated, "digest").filter(~place.eqNullSafe(F.col("first")))
     removed = later.groupBy(F.col("doc_id").alias("__of"), F.col("text_hash").alias("__text")).agg(
         F.collect_set(F.struct("start", "stop")).alias("removed"))
