@@ -9,7 +9,9 @@ out; ``"paragraph"`` cuts behind empty lines instead.
 A unit is normalised by lower case and single blanks, and known by a 128-bit digest of that.
 Sentences of one or two words repeat by chance, so one of fewer than ``SENTENCE_WORDS`` words is
 hashed together with the sentences behind it in its line, as many as hold that many words, and
-once more with those before it; it is repeated if either stretch is. Lines have no such rule.
+once more with those before it; it is repeated if either stretch is. Lines have no such rule,
+and are hashed as a whole only where their sentences do not stand for them already. (Sentences
+end before blanks and TABs alone; a line with other blanks there is one piece, and known as such.)
 
 For each digest that occurs more than once, the occurrence of the smallest
 ``(doc_id, text hash, place)`` stays and all others go. The digests are counted with a combined
@@ -60,11 +62,8 @@ def hashed_units(text: str, unit: str = "sentence") -> Iterator[tuple[int, int,
     """Units of a text: where the hashed stretch begins, what goes if it is a repeat, its words."""
     for pieces in pieces_of(text, unit):
         words = [text[a:b].lower().split() for a, b in pieces]
-        if any(words):
-            yield pieces[0][0], pieces[0][0], pieces[-1][1], [w for own in words for w in own]
-        if len(pieces) == 1:
-            continue
-        for k, (start, stop) in enumerate(pieces):
+        alone = [False] * len(pieces)  # hashed as a sentence, with neighbours or without
+        for k, (start, stop) in enumerate(pieces if len(pieces) > 1 else ()):
             if not words[k]:
                 continue
             ahead, last = list(words[k]), k
@@ -72,13 +71,19 @@ def hashed_units(text: str, unit: str = "sentence") -> Iterator[tuple[int, int,
                 last += 1
                 ahead += words[last]
             if len(ahead) >= SENTENCE_WORDS:
+                alone[k] = True
                 yield start, start, stop, ahead
             back, first = list(words[k]), k
             while len(back) < SENTENCE_WORDS and first > 0:
                 first -= 1
                 back = words[first] + back
             if first < k and len(back) >= SENTENCE_WORDS:
+                alone[k] = True
                 yield pieces[first][0], start, stop, back
+        # All stretches of a repeated line are repeats themselves, so if they leave none of
+        # its pieces out, the line as a whole adds nothing.
+        if any(words) and not all(alone):
+            yield pieces[0][0], pieces[0][0], pieces[-1][1], [w for own in words for w in own]
 
 
 def _digests(unit: str):
