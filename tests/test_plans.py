@@ -12,7 +12,7 @@ from trailmine import schemas
 from trailmine.operators.cooccurrence import co_occurrences
 from trailmine.operators.counts import count_refinements, first_session_refs, top_refinements
 from trailmine.operators.sessions import build_sessions, mark_sessions
-from trailmine.operators.walk import steps_of, transition_table, vector_products
+from trailmine.operators.walk import absorption_vectors, products_of_vectors, steps_of, transition_table, vector_products
 from trailmine.plans.adapters import events_as_log
 from trailmine.plans.pipeline import Settings, co_occ_of, docs_of, top_of
 from trailmine.storage import materialise
@@ -104,6 +104,22 @@ def test_document_parts_of_a_query_go_to_several_tasks(spark, log, with_conf):
     assert len(re.findall(r"- Exchange hashpartitioning\(query#\d+, part#\d+L, \d+\)", plan)) == 2
 
 
+def test_entries_of_vectors_are_never_shuffled_by_document(spark, with_conf):
+    """One query with 30 refinements and 400 documents; between stages go matrices, steps and pairs."""
+    with_conf(NO_BROADCAST)
+    co = [("q", f"r{i}", f"r{i + 1}", 1) for i in range(29)]
+    clicks = [("q", f"r{d % 30}", f"d{d}", 1) for d in range(400)]
+    steps = materialise(transition_table(spark.createDataFrame(co, schemas.CO_OCC), spark.createDataFrame(clicks, schemas.DOC_COUNTS)), "steps")
+    vectors = absorption_vectors(steps)
+    plan = final_plan(vectors)
+    assert len(re.findall(r"- Exchange hashpartitioning\(query#\d+, part#\d+L, \d+\)", plan)) == 2
+    assert "Aggregate" not in plan and not re.search(r"Exchange hashpartitioning\([^)]*refinement", plan)
+    products = products_of_vectors(materialise(vectors, "vectors"), rows_per_task=2_000)
+    plan = final_plan(products)
+    assert "collect_list" not in plan and "Generate" not in plan
+    assert products.count() == 30 * 31 // 2
+
+
 def test_schemas(spark, log):
     assert log.columns == schemas.LOG.fieldNames()
     assert build_sessions(log).columns == schemas.SESSIONS.fieldNames()

@@ -9,8 +9,10 @@ from conftest import tuples
 
 from trailmine import schemas
 from trailmine.operators.walk import (
+    absorption_factors,
     absorption_vectors,
     doc_steps,
+    pair_products,
     ref_similarity,
     ref_steps,
     reference_rows,
@@ -18,6 +20,7 @@ from trailmine.operators.walk import (
     similarity_from_products,
     transition_table,
     vector_products,
+    vectors_of_factors,
 )
 
 
@@ -81,8 +84,9 @@ def test_queries_need_pairs_and_clicks(spark):
     assert rows == [("both", "a", 2, 0), ("both", "b", 2, 0)]
 
 
-def test_vectors_equal_the_squared_matrix(spark, queries):
-    vectors = absorption_vectors(transition_table(*frames(spark, queries)))
+@pytest.mark.parametrize("entries", [10**6, 20])
+def test_vectors_equal_the_squared_matrix(spark, queries, entries):
+    vectors = vectors_of_factors(*absorption_factors(transition_table(*frames(spark, queries))), entries)
     got = {(r.query, r.refinement, r.doc): r.p for r in vectors.collect()}
     expected = {}
     for query, (co, clicks) in queries.items():
@@ -114,3 +118,29 @@ def test_similarity_forms_agree(spark, queries, mode):
         fused = similarity_from_products(products, mode).collect()
         got = {(r.query, r.refinement, r.co_refinement): r.similarity for r in fused}
         assert got == pytest.approx(expected)
+    parts = ref_similarity(absorption_vectors(transition_table(co, docs)), mode, rows_per_task=7).collect()
+    assert {(r.query, r.refinement, r.co_refinement): r.similarity for r in parts} == pytest.approx(expected)
+
+
+def test_vectors_keep_the_weakest_entries(spark):
+    steps = [("q", "a", "b", "ref", 1e-200), ("q", "b", "d", "doc", 1e-200), ("other", "x", "y", "ref", 0.5)]
+    transitions = spark.createDataFrame(steps, "query string, src string, dst string, kind string, p double")
+    assert tuples(absorption_vectors(transitions)) == [("q", "a", "d", 0.0), ("q", "b", "d", 1e-200)]
+    assert absorption_vectors(transitions.limit(0)).count() == ref_similarity(absorption_vectors(transitions.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 3, 12])
+def test_products_of_documents_of_any_size(n):
+    """Documents of one entry up to all refinements, so both ways are taken for n = 12."""
+    rng = np.random.default_rng(n)
+    cells = [(r, d) for d in range(40) for r in rng.permutation(n)[: 1 + d % n]]
+    ref, doc = np.array(cells)[rng.permutation(len(cells))].T
+    p = rng.random(len(ref))
+    p[0] = 1e-300
+    largest, total = pair_products(ref, doc, p, n)
+    entry = {(r, d): v for r, d, v in zip(ref, doc, p)}
+    for i in range(n):
+        for j in range(i, n):
+            met = [entry[i, d] * entry[j, d] for d in range(40) if (i, d) in entry and (j, d) in entry]
+            assert largest[i, j] == max(met, default=-1)
+            assert total[i, j] == pytest.approx(sum(met))

@@ -20,17 +20,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmine.operators.cooccurrence import symmetric_co_occ
-from trailmine.params import DOC_ROWS_PER_TASK, DOUBLINGS, EPSILON, MAX_REFINEMENTS
+from trailmine.params import (
+    DOC_ROWS_PER_TASK,
+    DOUBLINGS,
+    ENTRIES_PER_TASK,
+    EPSILON,
+    MAX_REFINEMENTS,
+    VECTOR_ROWS_PER_TASK,
+)
 from trailmine.storage import materialise
 
 # Destination name of the topic change.
 TOPIC = ""
-_REACH = "query string, refinement string, via string, weight double"
+_FACTOR = "query string, refinements array<string>, reach array<double>"
+_VECTORS = "query string, refinement string, doc string, p double"
 _PRODUCTS = "query string, refinement string, co_refinement string, largest double, total double"
 # Which entry product a similarity mode divides by the norms.
 PRODUCT_OF_MODE = {"max_product": "largest", "cosine": "total"}
 # Document columns multiplied at a time inside a task.
 _COLUMN_BATCH = 4096
+# Work on a pair of entries by index, over that on a cell of a column.
+_PAIR_COST = 8
 
 
 def row_normalise(df: DataFrame, row_keys: Sequence[str], value: str) -> DataFrame:
@@ -173,26 +183,68 @@ def reach_matrix(steps: pd.DataFrame, doublings: int) -> tuple[pd.Index, np.ndar
     return names, reach
 
 
-def reach_weights(steps: DataFrame, doublings: int = DOUBLINGS) -> DataFrame:
-    """How often a walk from ``refinement`` leaves for a document from ``via``.
+def absorption_factors(
+    transitions: DataFrame, doublings: int = DOUBLINGS
+) -> tuple[DataFrame, DataFrame]:
+    """The absorption vectors as a product: reach matrices, and steps to documents.
 
-    That is the sum over walks of fewer than 2**doublings refinement steps, the
-    effect of squaring the full step matrix ``doublings`` times.
+    The first table has one row per query, ``query, refinements, reach``; ``reach`` holds
+    the matrix of :func:`reach_matrix` row by row. The second is ``query, src, dst, p``.
     """
 
-    def reach(pdf: pd.DataFrame) -> pd.DataFrame:
-        names, weights = reach_matrix(pdf, doublings)
-        i, j = np.nonzero(weights)
+    def packed(steps: pd.DataFrame) -> pd.DataFrame:
+        names, reach = reach_matrix(steps, doublings)
+        return pd.DataFrame(
+            {"query": steps["query"].iloc[:1], "refinements": [list(names)], "reach": [reach.ravel()]}
+        )
+
+    to_refs = steps_of(transitions, "ref")
+    return to_refs.groupBy("query").applyInPandas(packed, _FACTOR), steps_of(transitions, "doc")
+
+
+def vectors_of_factors(
+    reach: DataFrame, to_docs: DataFrame, entries_per_task: int = ENTRIES_PER_TASK
+) -> DataFrame:
+    """``query, refinement, doc, p`` from the tables of :func:`absorption_factors`.
+
+    The documents of a query are dealt to tasks by hash, as many parts as keep the
+    entries of one below ``entries_per_task``; each part multiplies its steps by the whole
+    reach matrix. So an entry is complete where it is formed, and is never shuffled.
+    """
+    counted = to_docs.groupBy("query").agg(F.count("*").alias("n"))
+    entries = F.col("n") * F.size("refinements")
+    last_part = F.call_function("div", entries, F.lit(entries_per_task))
+    # Read three times: counted, dealt, and copied to all parts of its query.
+    reach = materialise(reach, "reach")
+    parts = materialise(counted.join(reach, "query").select("query", last_part.alias("last_part")), "walk-parts")
+    dealt, every_part = _dealt(to_docs, parts, "dst"), _copied(reach, parts)
+
+    def entries_of(factor: pd.DataFrame, clicks: pd.DataFrame) -> pd.DataFrame:
+        if factor.empty or clicks.empty:
+            none = np.array([], object)
+            return pd.DataFrame({"query": none, "refinement": none, "doc": none, "p": np.zeros(0)})
+        names = pd.Index(factor["refinements"].iloc[0], dtype=object)
+        weights = np.asarray(factor["reach"].iloc[0], float).reshape(len(names), len(names))
+        column, docs = pd.factorize(clicks["dst"].to_numpy(object))
+        row = names.get_indexer(clicks["src"])
+        steps, present = np.zeros((2, len(names), len(docs)))
+        steps[row, column], present[row, column] = clicks["p"], 1
+        # However small an entry, it has a row if there is a path.
+        i, j = np.nonzero((weights > 0) @ present)
         return pd.DataFrame(
             {
-                "query": pdf["query"].iloc[0],
-                "refinement": names[i],
-                "via": names[j],
-                "weight": weights[i, j],
+                "query": np.repeat(factor["query"].to_numpy(object)[:1], len(i)),
+                "refinement": names.to_numpy()[i],
+                "doc": docs[j],
+                "p": (weights @ steps)[i, j],
             }
         )
 
-    return steps.groupBy("query").applyInPandas(reach, _REACH)
+    return (
+        every_part.groupBy("query", "part")
+        .cogroup(dealt.groupBy("query", "part"))
+        .applyInPandas(entries_of, _VECTORS)
+    )
 
 
 def absorption_vectors(transitions: DataFrame, doublings: int = DOUBLINGS) -> DataFrame:
@@ -200,60 +252,114 @@ def absorption_vectors(transitions: DataFrame, doublings: int = DOUBLINGS) -> Da
 
     A refinement without a path to a document has no rows.
     """
-    docs = steps_of(transitions, "doc").select(
-        "query", F.col("src").alias("via"), F.col("dst").alias("doc"), "p"
-    )
+    return vectors_of_factors(*absorption_factors(transitions, doublings))
+
+
+def _dealt(rows: DataFrame, parts: DataFrame, doc: str) -> DataFrame:
+    """``rows`` with the ``part`` of their document, of the parts 0 to ``last_part`` of the query.
+
+    The join is on the query alone. Without the explicit repartitioning Spark would leave all
+    parts of a query in one task.
+    """
+    part = F.pmod(F.xxhash64(doc), F.col("last_part") + 1)
+    return renewed(rows.join(parts, "query").withColumn("part", part)).repartition("query", "part")
+
+
+def _copied(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """``rows`` once for each part of their query."""
+    every_part = F.explode(F.sequence(F.lit(0).cast("bigint"), "last_part"))
+    return rows.join(parts, "query").withColumn("part", every_part).repartition("query", "part")
+
+
+def pair_products(
+    ref: np.ndarray, doc: np.ndarray, p: np.ndarray, n: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Largest and summed products of the entries of all pairs of ``n`` refinements.
+
+    An entry ``p`` has the place ``ref`` of its refinement and the number ``doc`` of its
+    document. Only the pairs above the diagonal and on it are filled; a pair without a
+    common document has -1 as its largest product. Documents of few entries, usually nearly
+    all, are paired entry by entry; for the others whole columns are multiplied in batches.
+    """
+    order = np.lexsort((ref, doc))
+    ref, doc, p = ref[order], doc[order], p[order]
+    largest, total = np.full(n * n, -1.0), np.zeros(n * n)
+
+    def add(a: np.ndarray, b: np.ndarray) -> None:
+        pair, product = ref[a] * n + ref[b], p[a] * p[b]
+        np.maximum.at(largest, pair.ravel(), product.ravel())
+        np.add.at(total, pair.ravel(), product.ravel())
+
+    add(np.arange(len(ref)), np.arange(len(ref)))
+    starts = np.flatnonzero(np.diff(doc, prepend=-1))
+    sizes = np.diff(starts, append=len(doc))
+    light = _PAIR_COST * sizes**2 < n**2
+    for size in np.unique(sizes[light & (sizes > 1)]):
+        places = starts[light & (sizes == size), None] + np.arange(size)
+        for apart in range(1, size):
+            add(places[:, :-apart], places[:, apart:])
+
+    largest, total = largest.reshape(n, n), total.reshape(n, n)
+    heavy = np.flatnonzero(~light & (sizes > 1))
+    for low in range(0, len(heavy), _COLUMN_BATCH):
+        own = heavy[low : low + _COLUMN_BATCH]
+        column = np.repeat(np.arange(len(own)), sizes[own])
+        place = np.repeat(starts[own] - np.cumsum(sizes[own]) + sizes[own], sizes[own]) + np.arange(len(column))
+        vectors = np.full((n, len(own)), np.nan)
+        vectors[ref[place], column] = p[place]
+        filled = np.nan_to_num(vectors, nan=0.0)
+        total += np.triu(filled @ filled.T, 1)  # the diagonal is complete already
+        for i in range(n - 1):
+            products = np.fmax.reduce(vectors[i + 1 :] * vectors[i], axis=1, initial=-1)
+            largest[i, i + 1 :] = np.maximum(largest[i, i + 1 :], products)
+    return largest, total
+
+
+def products_of_vectors(vectors: DataFrame, rows_per_task: int = VECTOR_ROWS_PER_TASK) -> DataFrame:
+    """The result of :func:`vector_products` from written-down vectors.
+
+    The documents of a query are dealt to tasks by hash in parts of about ``rows_per_task``
+    entries. A task writes one row per pair of refinements, however many documents they share.
+    """
+    entries = vectors.filter(F.col("p") > 0).select("query", "refinement", "doc", "p")
+    last_part = F.call_function("div", F.count("*"), F.lit(rows_per_task))
+    parts = materialise(entries.groupBy("query").agg(last_part.alias("last_part")), "vector-parts")
+
+    def products(own: pd.DataFrame) -> pd.DataFrame:
+        names, ref = np.unique(own["refinement"].to_numpy(object), return_inverse=True)
+        check_size(len(names))
+        largest, total = pair_products(ref, pd.factorize(own["doc"])[0], own["p"].to_numpy(), len(names))
+        i, j = np.nonzero(largest >= 0)
+        return pd.DataFrame(
+            {
+                "query": own["query"].iloc[0],
+                "refinement": names[i],
+                "co_refinement": names[j],
+                "largest": largest[i, j],
+                "total": total[i, j],
+            }
+        )
+
     return (
-        reach_weights(steps_of(transitions, "ref"), doublings)
-        .join(docs, ["query", "via"])
-        .groupBy("query", "refinement", "doc")
-        .agg(F.sum(F.col("weight") * F.col("p")).alias("p"))
+        _dealt(entries, parts, "doc")
+        .groupBy("query", "part")
+        .applyInPandas(products, _PRODUCTS)
+        .groupBy("query", "refinement", "co_refinement")
+        .agg(F.max("largest").alias("largest"), F.sum("total").alias("total"))
     )
 
 
-def ref_similarity(vectors: DataFrame, mode: str = "max_product") -> DataFrame:
+def ref_similarity(
+    vectors: DataFrame, mode: str = "max_product", rows_per_task: int = VECTOR_ROWS_PER_TASK
+) -> DataFrame:
     """Similarity of two refinements of a query by their absorption vectors.
 
     ``max_product`` is the largest product of two entries over the product of the
     norms, ``cosine`` the sum of the products over it. Pairs without a common
     document are absent. The smaller refinement comes first.
     """
-    combine = {"largest": F.max, "total": F.sum}[PRODUCT_OF_MODE[mode]]
-    norms = vectors.groupBy("query", "refinement").agg(
-        F.sqrt(F.sum(F.col("p") * F.col("p"))).alias("norm")
-    )
-    # The entries of one document are bounded by the number of top refinements.
-    entries = F.array_sort(F.collect_list(F.struct("refinement", "p")))
-    products = (
-        vectors.filter(F.col("p") > 0)
-        .groupBy("query", "doc")
-        .agg(entries.alias("entries"))
-        .select("query", "entries", F.posexplode("entries").alias("pos", "a"))
-        .select(
-            "query",
-            "a",
-            F.explode(F.slice("entries", F.col("pos") + 2, F.size("entries"))).alias("b"),
-        )
-        .groupBy(
-            "query",
-            F.col("a.refinement").alias("refinement"),
-            F.col("b.refinement").alias("co_refinement"),
-        )
-        .agg(combine(F.col("a.p") * F.col("b.p")).alias("product"))
-    )
-    co_norms = norms.select(
-        "query", F.col("refinement").alias("co_refinement"), F.col("norm").alias("co_norm")
-    )
-    return (
-        products.join(norms, ["query", "refinement"])
-        .join(co_norms, ["query", "co_refinement"])
-        .select(
-            "query",
-            "refinement",
-            "co_refinement",
-            (F.col("product") / (F.col("norm") * F.col("co_norm"))).alias("similarity"),
-        )
-    )
+    products = products_of_vectors(vectors, rows_per_task)
+    return similarity_from_products(materialise(products, "products"), mode)
 
 
 def entry_products(
@@ -312,13 +418,8 @@ def vector_products(
     """
     last_part = F.call_function("div", F.count("*"), F.lit(doc_rows_per_task))
     parts = materialise(to_docs.groupBy("query").agg(last_part.alias("last_part")), "walk-parts")
-    doc_part = F.pmod(F.xxhash64("dst"), F.col("last_part") + 1)
-    every_part = F.explode(F.sequence(F.lit(0).cast("bigint"), "last_part"))
-    # The joins are on the query alone. Without the explicit repartitioning Spark would
-    # leave all parts of a query in one task.
     keys = ["query", "part"]
-    dealt = renewed(to_docs.join(parts, "query").withColumn("part", doc_part)).repartition(*keys)
-    copied = to_refs.join(parts, "query").withColumn("part", every_part).repartition(*keys)
+    dealt, copied = _dealt(to_docs, parts, "dst"), _copied(to_refs, parts)
 
     def products(steps: pd.DataFrame, clicks: pd.DataFrame) -> pd.DataFrame:
         names, reach = reach_matrix(steps, doublings)

@@ -25,6 +25,9 @@ CELLS_AT_MOST = 4_000
 MAX_REFINEMENTS = 2000
 # Document rows of one query handled by one clustering task.
 DOC_ROWS_PER_TASK = 50_000
+# Entries of absorption vectors that one task forms, and that one task multiplies.
+ENTRIES_PER_TASK = 1_000_000
+VECTOR_ROWS_PER_TASK = 200_000
 # Folders of a suggestion table that is replaced by query.
 SUGGESTION_BUCKETS = 256
 # Similarities that agree to this many significant digits count as equal.
