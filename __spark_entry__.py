@@ -40,6 +40,7 @@ from trailmine.operators import (  # noqa: E402
 )
 from trailmine.plans import pipeline  # noqa: E402
 from trailmine.plans.adapters import events_as_lines, events_as_log  # noqa: E402
+from trailmine.plans.lookup import look_up  # noqa: E402
 from trailmine.sinks import (  # noqa: E402
     replace_suggestions,
     write_field_counts,
@@ -50,6 +51,7 @@ from trailmine.sources import (  # noqa: E402
     parse_log_lines,
     read_clusters,
     read_log_fields,
+    read_log_files,
     read_query_log,
     read_sessions,
     read_suggestions,
@@ -158,6 +160,18 @@ def q_read_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected_rows(spark, _text_log(spark, sf_dir))
 
 
+def q_log_files_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The malformed lines, from the pass that reads the log rows."""
+    return read_log_files(spark, _text_log(spark, sf_dir)).rejected
+
+
+def q_parse_log_lines_bot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user whose number ends in 7 is a bot, by a table of users."""
+    events = _events(spark, sf_dir)
+    bots = events.filter("user_id % 10 = 7").select("user_id")
+    return parse_log_lines(events_as_lines(events), bots, seq="seq").drop("ts")
+
+
 def q_field_counts_event_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.field_counts(_events(spark, sf_dir), "event_type")
 
@@ -210,6 +224,12 @@ def q_sessions_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.build_sessions(_log(spark, sf_dir), SPAN_S, seed_queries=SEEDS)
 
 
+def q_sessions_seed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a table of seeds."""
+    log = _log(spark, sf_dir)
+    return sessions.build_sessions(log, SPAN_S, seed_queries=log.filter(F.col("query").isin(SEEDS)).select("query"))
+
+
 def q_sessions_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One user holds a third of the log."""
     log = _log(spark, sf_dir)
@@ -449,6 +469,13 @@ def q_suggestions_in_two_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_suggestions(spark, path)
 
 
+def q_suggestions_looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best rows of each requested query, from a written table."""
+    path = scratch_path(spark, "suggestions")
+    replace_suggestions(q_clusters(spark, sf_dir), path)
+    return look_up(path, _requests(spark, sf_dir), SUGGESTIONS)
+
+
 def q_suggestions_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A suggestion table in which a second run, done twice, replaces the rows of some queries."""
     path = scratch_path(spark, "suggestions")
@@ -480,6 +507,8 @@ def _own_queries() -> dict[str, Query]:
         "rejected_rows": q_rejected_rows,
         "read_query_log": q_read_query_log,
         "read_rejected_rows": q_read_rejected_rows,
+        "log_files_rejected": q_log_files_rejected,
+        "parse_log_lines_bot_table": q_parse_log_lines_bot_table,
         "field_counts_event_type": q_field_counts_event_type,
         "field_counts_user": q_field_counts_user,
         "field_counts_url": q_field_counts_url,
@@ -492,6 +521,7 @@ def _own_queries() -> dict[str, Query]:
         "sessions": _sessions,
         "sessions_default_span": q_sessions_default_span,
         "sessions_seeded": q_sessions_seeded,
+        "sessions_seed_table": q_sessions_seed_table,
         "sessions_skewed": q_sessions_skewed,
         "sessions_strict": q_sessions_strict,
         "sessions_split": q_sessions_split,
@@ -542,6 +572,7 @@ def _own_queries() -> dict[str, Query]:
         "roundtrip_suggestions": q_roundtrip_suggestions,
         "suggestions_in_two_steps": q_suggestions_in_two_steps,
         "suggestions_replaced": q_suggestions_replaced,
+        "suggestions_looked_up": q_suggestions_looked_up,
     }
 
 

@@ -352,6 +352,14 @@ def all_queries() -> dict[str, str]:
         "rejected_rows": _with(_lines(), "SELECT * FROM rejected"),
         "read_query_log": _with(_lines(), "SELECT user_id, ts_ms, query, doc FROM parsed"),
         "read_rejected_rows": _with(_lines(), "SELECT * FROM rejected"),
+        "log_files_rejected": _with(_lines(), "SELECT * FROM rejected"),
+        "parse_log_lines_bot_table": _with(
+            _lines(),
+            """
+            SELECT user_id, epoch_us(ts) // 1000 AS ts_ms, seq, query, doc FROM typed
+            WHERE query <> '-' AND user_id IS NOT NULL AND ts IS NOT NULL
+              AND user_id NOT IN (SELECT user_id FROM events WHERE user_id % 10 = 7)""",
+        ),
         "field_counts_event_type": counted("events", "event_type", 1000),
         "field_counts_user": counted("events", "user_id::VARCHAR", USER_MIN_COUNT),
         "field_counts_url": _with(_lines(), counted("fields", "f[5]", 0, not_empty)),
@@ -366,6 +374,7 @@ def all_queries() -> dict[str, str]:
         "sessions": _with(_sessions(), sessions),
         "sessions_default_span": _with(_sessions(DEFAULT_SPAN_S), sessions),
         "sessions_seeded": _with(_sessions(seeds=SEEDS), sessions),
+        "sessions_seed_table": _with(_sessions(seeds=SEEDS), sessions),
         "sessions_skewed": _with(_skewed(), sessions),
         "sessions_strict": _with(
             _sessions(), f"SELECT * FROM sessions WHERE session_id NOT IN ({invalid})"
@@ -414,6 +423,7 @@ def all_queries() -> dict[str, str]:
             _clusters("sum", TOP_DOCS), f"SELECT {cluster_columns} FROM clusters"
         ),
         "suggestion_rows": _with(_suggestions(), f"SELECT {cluster_columns}, rank FROM ranked"),
+        "suggestions_looked_up": _with(_suggestions(), f"SELECT {cluster_columns}, rank FROM ranked"),
         "suggestions": _with(
             _suggestions(),
             """SELECT query, string_agg(members, ';' ORDER BY best) AS suggestions

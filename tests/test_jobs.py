@@ -46,6 +46,19 @@ def test_cluster_job(spark, log_path, tmp_path, level, n, first):
     assert set(Path(scratch_root(spark)).glob("scope-*")) == before
 
 
+def test_cluster_job_with_options(spark, log_path, tmp_path):
+    (tmp_path / "seeds.txt").write_text("term1\nterm3\n")
+    (tmp_path / "bots.txt").write_text(" 9 \nnobody\n")
+    main(["cluster", log_path, str(tmp_path / "a"), "countRef", "--seeds", str(tmp_path / "seeds.txt")])
+    assert [x.split("\t")[0] for x in _lines(tmp_path / "a")] == ["q: term1"] * 3 + ["q: term3"]
+    main(["cluster", log_path, str(tmp_path / "b"), "countRef", "--span", "80"])
+    assert len(_lines(tmp_path / "b")) == 3
+    main(["cluster", log_path, str(tmp_path / "c"), "topCountRef", "--refs-per-query", "1"])
+    assert len(_lines(tmp_path / "c")) == 3
+    main(["cluster", log_path, str(tmp_path / "d"), "logMap", "--bots", str(tmp_path / "bots.txt")])
+    assert _lines(tmp_path / "d") == []
+
+
 def test_field_count_job(spark, log_path, tmp_path):
     main(["field-counts", log_path, str(tmp_path / "a"), "0", "--min-count", "1"])
     main(["field-counts", log_path, str(tmp_path / "b"), "query", "--min-count", "0"])

@@ -115,6 +115,10 @@ def test_blocks_and_batches_agree_with_the_twin(make_log, with_conf, seed, block
     assert tuples(collapse_repeats(log, blocks)) == tuples(collapse_repeats(log, 1))
     seeded = tuples(session_starts(log, seed_queries=["a", "c"], blocks=blocks))
     assert seeded == tuples(session_starts(log, seed_queries=["a", "c"], blocks=1)) and seeded
+    table = log.select("query").filter("query in ('a', 'c')").unionByName(log.selectExpr("'unknown' as query").limit(1))
+    assert seeded == tuples(session_starts(log, seed_queries=table, blocks=blocks))
+    rows = tuples(build_sessions(log, seed_queries=["a", "c"], blocks=blocks))
+    assert rows == tuples(build_sessions(log, seed_queries=table, blocks=blocks)) and rows
 
 
 def test_what_came_before_a_record(make_log):

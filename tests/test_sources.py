@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import pytest
 from conftest import tuples
+from pyspark.sql import functions as F
 
 from trailmine.operators.counts import field_counts
 from trailmine.sources import (
     parse_log_lines,
     read_clusters,
     read_log_fields,
+    read_log_files,
     read_query_log,
     read_sessions,
     rejected_rows,
@@ -79,6 +81,33 @@ def test_other_bots(spark, log_path):
     assert read_query_log(spark, log_path, bot_users=[]).count() == 8
 
 
+@pytest.mark.parametrize("bots", [[7], [71845], [], [7, 71845]])
+def test_a_table_of_bots_equals_a_list(spark, log_path, bots):
+    """Repeated, unknown and null users in the table change nothing; one pass gives rows and rejected lines."""
+    table = spark.createDataFrame([(b,) for b in [*bots, *bots, 123456, None]], "user_id long")
+    lines = spark.createDataFrame([(x,) for x in LINES], "value string")
+    assert tuples(rejected_rows(spark, log_path, table)) == tuples(rejected_rows(spark, log_path, bots))
+    columns = ("user_id", "query", "ts_ms", "doc")
+    assert tuples(parse_log_lines(lines, table), *columns) == tuples(parse_log_lines(lines, bots), *columns)
+    for given in (table, bots):
+        files = read_log_files(spark, log_path, given)
+        assert tuples(files.rows) == tuples(read_query_log(spark, log_path, bots))
+        assert tuples(files.rejected) == tuples(rejected_rows(spark, log_path, bots))
+
+
+def test_a_large_table_of_bots(spark, log_path):
+    bots = spark.range(1_000_000).select((F.col("id") + 8).alias("user_id"))
+    assert read_query_log(spark, log_path, bots).count() == 7
+
+
+def test_rows_and_rejected_lines_are_read_from_one_pass(spark, log_path):
+    """Neither frame reads the text again, and each only its own columns."""
+    files = read_log_files(spark, log_path)
+    for frame, content in ((files.rows, "row:struct<user_id"), (files.rejected, "bad:struct<value")):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan text" not in plan and content in plan.replace(" ", "")
+
+
 def test_own_sequence(spark):
     lines = spark.createDataFrame([("1\tq\t2006-01-01 00:00:00", 42)], "value string, n int")
     assert parse_log_lines(lines, seq="n").first().seq == 42

@@ -6,7 +6,7 @@ import argparse
 from collections.abc import Sequence
 
 from trailmine.operators.counts import field_counts
-from trailmine.params import MIN_FIELD_COUNT
+from trailmine.params import BOT_USERS, MIN_CLUSTERS, MIN_FIELD_COUNT, SESSION_SPAN_S, TOP_REFINEMENTS
 from trailmine.plans.pipeline import Settings, run_level
 from trailmine.session import build_spark
 from trailmine.sinks import write_field_counts, write_level
@@ -25,6 +25,12 @@ def _arguments(args: Sequence[str] | None) -> argparse.Namespace:
     cluster.add_argument("output")
     cluster.add_argument("level", nargs="?", default="", help=f"one of {sorted(LEVEL_LAYOUT)}; any other runs the whole pipeline")
     cluster.add_argument("--format", default="text", help="text or a format that Spark writes")
+    cluster.add_argument("--span", type=int, default=SESSION_SPAN_S, help="seconds of a session")
+    cluster.add_argument("--refs-per-query", type=int, default=TOP_REFINEMENTS)
+    cluster.add_argument("--docs-per-ref", type=int, default=None, help="all by default")
+    cluster.add_argument("--min-clusters", type=int, default=MIN_CLUSTERS)
+    cluster.add_argument("--bots", help="text files with a user number in each line, in place of the known bots")
+    cluster.add_argument("--seeds", help="text files with a query in each line; only these open sessions")
     counts = jobs.add_parser("field-counts", help="frequent values of a field")
     counts.add_argument("input")
     counts.add_argument("output")
@@ -39,8 +45,13 @@ def main(args: Sequence[str] | None = None) -> None:
     with scratch_scope(spark):
         if asked.job == "cluster":
             level = asked.level if asked.level in LEVEL_LAYOUT else ""
-            log = read_query_log(spark, asked.input)
-            write_level(run_level(log, level, Settings()), level, asked.output, asked.format)
+            bots = spark.read.text(asked.bots).selectExpr("try_cast(trim(value) as bigint) as user_id") if asked.bots else BOT_USERS
+            seeds = spark.read.text(asked.seeds).withColumnRenamed("value", "query") if asked.seeds else None
+            settings = Settings(
+                span_s=asked.span, seed_queries=seeds, refs_per_query=asked.refs_per_query,
+                docs_per_ref=asked.docs_per_ref, min_clusters=asked.min_clusters)
+            log = read_query_log(spark, asked.input, bots)
+            write_level(run_level(log, level, settings), level, asked.output, asked.format)
         else:
             field = FIELDS[int(asked.field)] if asked.field.isdigit() else asked.field
             write_field_counts(field_counts(read_log_fields(spark, asked.input), field, asked.min_count), asked.output)

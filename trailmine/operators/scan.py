@@ -166,12 +166,21 @@ def _pass_over(expiry: int, seeds: set[str] | None) -> Callable[[Iterator[pa.Rec
     return pass_over
 
 
-def pass_log(log: DataFrame, expiry: int, seed_queries: Sequence[str] | None = None, blocks: int | None = None) -> Passed:
+def pass_log(
+    log: DataFrame, expiry: int, seed_queries: Sequence[str] | DataFrame | None = None, blocks: int | None = None
+) -> Passed:
     """Read ``log`` once in order; ``blocks`` is left to adaptive execution by default.
 
     A record opens a session if the user's previous record had another query and no session
-    of its query is open; ``seed_queries`` limits the queries that may.
+    of its query is open; ``seed_queries`` limits the queries that may, a few names or the
+    column ``query`` of a table of any size. The sessions of a query do not depend on those of
+    others, so the starts are met with a table afterwards; ``slots`` counts them all.
     """
+    if isinstance(seed_queries, DataFrame):
+        passed = pass_log(log, expiry, None, blocks)
+        seeds = seed_queries.select(F.col("query").alias("seed"))
+        starts = passed.starts.join(seeds, F.col("query") == F.col("seed"), "left_semi")
+        return passed._replace(starts=starts)
     order = ["user_id", "ts_ms", "seq"]
     placed = log.repartitionByRange(blocks, *order) if blocks else log.repartitionByRange(*order)
     schema = StructType([*log.schema.fields, *StructType.fromDDL(_PASSED).fields])

@@ -28,7 +28,7 @@ def expiry_ms(span_s: int) -> int:
 
 
 def _passed(
-    log: DataFrame, span_s: int, seed_queries: Sequence[str] | None = None, blocks: int | None = None
+    log: DataFrame, span_s: int, seed_queries: Sequence[str] | DataFrame | None = None, blocks: int | None = None
 ) -> Passed:
     log = log.select("user_id", "ts", "ts_ms", "seq", "query", "doc")
     return pass_log(log, expiry_ms(span_s), seed_queries, blocks)
@@ -47,13 +47,14 @@ def collapse_repeats(log: DataFrame, blocks: int | None = None) -> DataFrame:
 def session_starts(
     log: DataFrame,
     span_s: int = SESSION_SPAN_S,
-    seed_queries: Sequence[str] | None = None,
+    seed_queries: Sequence[str] | DataFrame | None = None,
     blocks: int | None = None,
 ) -> DataFrame:
     """Records that open a session: ``user_id, query, ts_ms, seq``.
 
     A record opens one if the user's previous record had another query and no
-    session of its query is open. ``seed_queries`` limits the queries that may.
+    session of its query is open. ``seed_queries`` limits the queries that may: a few names,
+    or a table with the column ``query``.
     A start without refinements is listed too. ``blocks`` is the number of blocks in
     which the log is read; it changes no result.
     """
@@ -167,7 +168,7 @@ def drop_single_unclicked(sessions: DataFrame) -> DataFrame:
 def mark_sessions(
     log: DataFrame,
     span_s: int = SESSION_SPAN_S,
-    seed_queries: Sequence[str] | None = None,
+    seed_queries: Sequence[str] | DataFrame | None = None,
     strict: bool = False,
     blocks: int | None = None,
     pairs_per_task: int = PAIRS_PER_TASK,
@@ -186,7 +187,7 @@ def mark_sessions(
 def build_sessions(
     log: DataFrame,
     span_s: int = SESSION_SPAN_S,
-    seed_queries: Sequence[str] | None = None,
+    seed_queries: Sequence[str] | DataFrame | None = None,
     strict: bool = False,
     blocks: int | None = None,
 ) -> DataFrame:

@@ -11,13 +11,18 @@ from trailmine.params import SUGGESTION_LIMIT
 CONTROL_OR_BLANK = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
+def wanted_queries(requests: DataFrame) -> DataFrame:
+    """The different queries of requests, without blanks and control characters at their ends."""
+    return requests.select(F.regexp_replace("query", CONTROL_OR_BLANK, "").alias("query")).distinct()
+
+
 def suggest(clusters: DataFrame, requests: DataFrame, limit: int = SUGGESTION_LIMIT) -> DataFrame:
     """The ``limit`` best cluster rows of each requested query, with their ``rank`` from 1.
 
     Rows are ranked by count, then cluster id, then name. Blanks and control characters
     at the ends of requests are cut off; asking twice gives one answer.
     """
-    wanted = requests.select(F.regexp_replace("query", CONTROL_OR_BLANK, "").alias("query")).distinct()
+    wanted = wanted_queries(requests)
     order = Window.partitionBy("query").orderBy(F.desc("ref_count"), "cluster_id", "refinement")
     return (
         clusters.join(wanted, "query", "left_semi")

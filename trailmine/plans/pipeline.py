@@ -46,7 +46,7 @@ class Settings:
     """Parameters of the pipeline. ``docs_per_ref=None`` keeps all documents of a refinement."""
 
     span_s: int = SESSION_SPAN_S
-    seed_queries: Sequence[str] | None = None
+    seed_queries: Sequence[str] | DataFrame | None = None
     strict: bool = False
     refs_per_query: int = TOP_REFINEMENTS
     docs_per_ref: int | None = None

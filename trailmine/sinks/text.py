@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmine.functions.columns import tab_line
 from trailmine.params import SUGGESTION_BUCKETS
+from trailmine.sources.tables import bucket_count, bucket_of
 from trailmine.storage import materialise
 
 # Columns of each text layout, in output order.
@@ -94,17 +94,6 @@ def write_suggestions(df: DataFrame, path: str, mode: str = "overwrite") -> None
     df.repartitionByRange("query").sortWithinPartitions("query").write.mode(mode).parquet(path)
 
 
-def _buckets_of(spark: SparkSession, path: str) -> int | None:
-    """The number of buckets of the table at ``path``; None without a table."""
-    try:
-        row = spark.read.parquet(path).select("bucket").first()
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise ValueError(f"{path} is no suggestion table in buckets") from error
-        return None
-    return int(row["bucket"].rpartition("-")[2]) if row else None
-
-
 def replace_suggestions(df: DataFrame, path: str, buckets: int = SUGGESTION_BUCKETS) -> None:
     """Put the queries of ``df`` into the suggestion table at ``path`` in place of their old rows.
 
@@ -115,9 +104,8 @@ def replace_suggestions(df: DataFrame, path: str, buckets: int = SUGGESTION_BUCK
     writer at a time may change a table.
     """
     spark = df.sparkSession
-    n = _buckets_of(spark, path)
-    number = F.pmod(F.xxhash64("query"), F.lit(n or buckets))
-    new = df.withColumn("bucket", F.concat(F.lpad(number.cast("string"), 6, "0"), F.lit(f"-of-{n or buckets}")))
+    n = bucket_count(spark, path)
+    new = df.withColumn("bucket", bucket_of(F.col("query"), n or buckets))
     if n:
         # Written down first, as these folders are replaced below.
         new = materialise(new, "new-suggestions")

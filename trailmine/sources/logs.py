@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,47 +35,72 @@ def _typed(lines: DataFrame) -> DataFrame:
     )
 
 
+class LogFiles(NamedTuple):
+    """What text files hold: log rows, and the malformed lines (``value``)."""
+
+    rows: DataFrame
+    rejected: DataFrame
+
+
+def _without_bots(rows: DataFrame, bot_users: Sequence[int] | DataFrame) -> DataFrame:
+    """Rows of other users than bots, and all without a user or without a query.
+
+    A table of bots may have any size: Spark picks the join by it.
+    """
+    has_query = F.col("query").isNotNull()
+    if isinstance(bot_users, DataFrame):
+        bots = bot_users.select(F.col("user_id").cast("bigint").alias("bot"))
+        return rows.join(bots, (F.col("user_id") == F.col("bot")) & has_query, "left_anti")
+    return rows.filter(~(has_query & _is_bot(bot_users)))
+
+
 def _is_bot(bot_users: Sequence[int]) -> Column:
-    return F.col("user_id").isin(list(bot_users)) if bot_users else F.lit(False)
+    return F.coalesce(F.col("user_id").isin(list(bot_users)), F.lit(False)) if bot_users else F.lit(False)
+
+
+def _is_malformed() -> Column:
+    """Of typed lines; bots with a malformed time are malformed here too."""
+    incomplete = F.col("user_id").isNull() | F.col("ts").isNull()
+    return F.col("query").isNull() | ((F.col("query") != EMPTY_QUERY) & incomplete)
 
 
 def parse_log_lines(
-    lines: DataFrame, bot_users: Sequence[int] = BOT_USERS, seq: str | None = None
+    lines: DataFrame, bot_users: Sequence[int] | DataFrame = BOT_USERS, seq: str | None = None
 ) -> DataFrame:
     """Log rows from a ``value`` column of lines.
 
-    Empty queries (``-``), bot users and malformed lines are left out. ``seq``
+    Empty queries (``-``), bot users and malformed lines are left out. Bot users are a few
+    numbers, or the column ``user_id`` of a table, here and in the readers of files. ``seq``
     names a column that orders the lines; without it their place in the frame is used.
     :func:`read_query_log` orders the lines of files.
     """
     position = F.col(seq).cast("bigint") if seq else F.monotonically_increasing_id()
-    return (
+    typed = (
         _typed(lines.withColumn("seq", position))
         .filter(F.col("query") != EMPTY_QUERY)
-        .filter(F.col("user_id").isNotNull() & ~_is_bot(bot_users))
-        .filter(F.col("ts").isNotNull())
-        .select("user_id", "ts", epoch_ms(F.col("ts")).alias("ts_ms"), "seq", "query", "doc")
+        .filter(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
+    )
+    return _without_bots(typed, bot_users).select(
+        "user_id", "ts", epoch_ms(F.col("ts")).alias("ts_ms"), "seq", "query", "doc"
     )
 
 
-def rejected_lines(lines: DataFrame, bot_users: Sequence[int] = BOT_USERS) -> DataFrame:
+def rejected_lines(lines: DataFrame, bot_users: Sequence[int] | DataFrame = BOT_USERS) -> DataFrame:
     """The malformed lines: no query field, user not a number, or time missing or malformed.
 
     Lines that are left out on purpose (empty query, bot user) are not malformed.
     """
-    no_query = F.col("query").isNull()
-    bad_user = F.col("user_id").isNull()
-    bad_time = F.col("ts").isNull() & ~_is_bot(bot_users)
-    malformed = no_query | ((F.col("query") != EMPTY_QUERY) & (bad_user | bad_time))
-    return _typed(lines).filter(malformed).select(*lines.columns)
+    return _without_bots(_typed(lines).filter(_is_malformed()), bot_users).select(*lines.columns)
 
 
-def read_query_log(spark: SparkSession, path: str, bot_users: Sequence[int] = BOT_USERS) -> DataFrame:
-    """Log rows of text files; times are read in the session time zone.
+def read_log_files(
+    spark: SparkSession, path: str, bot_users: Sequence[int] | DataFrame = BOT_USERS
+) -> LogFiles:
+    """Log rows and malformed lines of text files; times are read in the session time zone.
 
-    The text is read and parsed once, and the rows are written to the shared folder.
-    ``seq`` numbers all lines by the name of their file and their place in it, however
-    the files are cut into splits.
+    The text is read and parsed once for both, and what it holds is written to the shared
+    folder. ``seq`` numbers all lines by the name of their file and their place in it,
+    however the files are cut into splits.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -83,24 +109,36 @@ def read_query_log(spark: SparkSession, path: str, bot_users: Sequence[int] = BO
         F.monotonically_increasing_id().alias("place"),
     )
     typed = _typed(lines)
-    kept = (F.col("query") != EMPTY_QUERY) & F.col("user_id").isNotNull() & ~_is_bot(bot_users) & F.col("ts").isNotNull()
+    kept = (F.col("query") != EMPTY_QUERY) & F.col("user_id").isNotNull() & F.col("ts").isNotNull()
     # Lines that are left out keep their place, so they are written too, without content.
     row = F.when(kept, F.struct("user_id", "ts", epoch_ms(F.col("ts")).alias("ts_ms"), "query", "doc"))
-    rows = materialise(typed.select("file", "block", "place", row.alias("row")), "log-rows")
+    bad = F.when(_is_malformed(), F.struct("value", "user_id", "query"))
+    rows = materialise(typed.select("file", "block", "place", row.alias("row"), bad.alias("bad")), "log-rows")
     of_split = rows.groupBy("file", "block").agg(F.min("place").alias("first"), F.count("*").alias("lines"))
     # One row per split of the files.
     before = F.sum("lines").over(Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1))
     offsets = materialise(of_split.withColumn("offset", F.coalesce(before, F.lit(0))), "log-splits")
     seq = F.col("offset") + F.col("place") - F.col("first")
-    return (
+    numbered = (
         rows.filter(F.col("row").isNotNull())
         .join(offsets, ["file", "block"])
         .select("row.user_id", "row.ts", "row.ts_ms", seq.alias("seq"), "row.query", "row.doc")
     )
+    rejected = _without_bots(rows.filter(F.col("bad").isNotNull()).select("bad.*"), bot_users)
+    return LogFiles(_without_bots(numbered, bot_users), rejected.select("value"))
 
 
-def rejected_rows(spark: SparkSession, path: str, bot_users: Sequence[int] = BOT_USERS) -> DataFrame:
-    """The malformed lines of text files."""
+def read_query_log(
+    spark: SparkSession, path: str, bot_users: Sequence[int] | DataFrame = BOT_USERS
+) -> DataFrame:
+    """The log rows of :func:`read_log_files`."""
+    return read_log_files(spark, path, bot_users).rows
+
+
+def rejected_rows(
+    spark: SparkSession, path: str, bot_users: Sequence[int] | DataFrame = BOT_USERS
+) -> DataFrame:
+    """The malformed lines of text files alone; nothing is written down for them."""
     return rejected_lines(spark.read.text(path), bot_users)
 
 

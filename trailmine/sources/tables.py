@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmine.functions.columns import field, once, tab_fields
@@ -36,6 +37,36 @@ def read_clusters(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_suggestions(spark: SparkSession, path: str) -> DataFrame:
-    """The table written by ``write_suggestions`` or ``replace_suggestions``."""
-    return spark.read.parquet(path).drop("bucket")
+def bucket_of(query: Column, buckets: int) -> Column:
+    """The folder of a query in a suggestion table of so many buckets."""
+    number = F.pmod(F.xxhash64(query), F.lit(buckets))
+    return F.concat(F.lpad(number.cast("string"), 6, "0"), F.lit(f"-of-{buckets}"))
+
+
+def bucket_count(spark: SparkSession, path: str) -> int | None:
+    """The number of buckets of the suggestion table at ``path``; None without a table."""
+    try:
+        row = spark.read.parquet(path).select("bucket").first()
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise ValueError(f"{path} is no suggestion table in buckets") from error
+        return None
+    return int(row["bucket"].rpartition("-")[2]) if row else None
+
+
+def read_suggestions(spark: SparkSession, path: str, queries: DataFrame | None = None) -> DataFrame:
+    """The table written by ``write_suggestions`` or ``replace_suggestions``.
+
+    With ``queries``, only the rows of these. Of a table of ``replace_suggestions`` only the
+    folders that can hold one of them are read; their names, no more than there are folders,
+    pass the driver.
+    """
+    table = spark.read.parquet(path)
+    if queries is None:
+        return table.drop("bucket")
+    wanted = queries.select(F.col("query").alias("wanted"))
+    if "bucket" in table.columns:
+        n = bucket_count(spark, path)
+        folders = [r[0] for r in wanted.select(bucket_of(F.col("wanted"), n)).distinct().collect()] if n else []
+        table = table.filter(F.col("bucket").isin(folders)).drop("bucket")
+    return table.join(wanted, F.col("query") == F.col("wanted"), "left_semi")
