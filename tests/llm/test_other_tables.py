@@ -5,6 +5,9 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import time
+from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import numpy as np
 import pandas as pd
@@ -202,6 +205,84 @@ def test_derived_text_and_fields(spark):
     assert warc.derive_records(frame.limit(0)).count() == 0
 
 
+class _Reader(HTMLParser):
+    """A reader of whole pages that knows nothing of the operator's patterns."""
+
+    HIDDEN = {"script", "style", "noscript", "template"}
+    BLOCKS = set("address article aside blockquote br dd div dl dt figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre "
+                 "section table td th title tr ul".split())
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.text, self.links, self.title, self.language, self.inside = [], [], [], None, []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.HIDDEN or tag == "title":
+            self.inside.append(tag)
+        if tag in self.BLOCKS:
+            self.text.append("\n")
+        attrs = dict(attrs)
+        if tag == "a" and attrs.get("href") and not self.HIDDEN & set(self.inside):
+            self.links.append(attrs["href"].strip())
+        if tag == "html" and self.language is None:
+            self.language = attrs.get("lang")
+
+    def handle_endtag(self, tag):
+        if tag in self.inside:
+            self.inside.remove(tag)
+        if tag in self.BLOCKS:
+            self.text.append("\n")
+        if tag in self.HIDDEN:
+            self.text.append(" ")
+
+    def handle_comment(self, data):
+        self.text.append(" ")
+
+    def handle_data(self, data):
+        if not self.HIDDEN & set(self.inside):
+            self.text.append(data)
+        if "title" in self.inside:
+            self.title.append(data)
+
+
+def test_records_equal_an_html_parser(spark):
+    """Text, title, language and links of every page, read by the parser of the standard library."""
+    pages = pd.read_parquet(f"{SF_DIR}/pages.parquet").set_index("page_id")
+    got = queries.op8_warc_derivatives(spark, SF_DIR).toPandas()
+    blocks = {(r.page_id, r.warc_type): r.block for r in got.itertuples()}
+    assert len(blocks) == 2 * len(pages)
+    for page_id, url, markup in pages[["url", "html"]].itertuples():
+        reader = _Reader()
+        reader.feed(markup or "")
+        reader.close()
+        lines = (" ".join(line.split()) for line in "".join(reader.text).split("\n"))
+        assert blocks[page_id, "conversion"] == "\n".join(line for line in lines if line)
+        fields = [line.split(": ", 1) for line in blocks[page_id, "metadata"].splitlines()]
+        of = lambda name: [value for key, value in fields if key == name]  # noqa: E731, B023
+        assert of("title") == [t for t in [" ".join("".join(reader.title).split())] if t]
+        assert of("language") == [reader.language] * bool(reader.language)
+        links = dict.fromkeys(link for link in reader.links if link and not link.startswith("#"))
+        assert of("outlink") == [" ".join(urljoin(url or "", link).split()) for link in links]
+
+
+def test_open_markup_is_read_in_proportion():
+    """Five million characters of unclosed elements, comments, tags and attributes, of each kind."""
+    for piece in ("<script>", "<!--", "<a ", "<title>", "<html ", "<p ", '<a href="', "</script", "<a href", "<style a>", "<a href='x"):
+        payload = piece * (5_000_000 // len(piece))
+        begin = time.process_time()
+        shown = warc.without_hidden(payload)
+        warc.visible_text(shown)
+        warc.metadata_fields(payload, shown, "http://h.example/", None, "d")
+        assert time.process_time() - begin < 20, piece
+
+
+def test_unclosed_markup_stays():
+    shown = warc.without_hidden("a<!--b--><!--c<SCRIPT>d</script >e<style>f<script>g")
+    assert shown == "a <!--c e<style>f<script>g"
+    assert warc.visible_text("x <p>y</p>z <a href='q") == "x\ny\nz <a href='q"
+    assert list(warc.links_of("<a <a href=one>two<a>href=no <a title='>' href=no2><A HREF='x>y'>")) == ["one", "x>y"]
+
+
 def test_records_in_warc_form(spark, tmp_path):
     frame = spark.createDataFrame([("id1", "http://h.example/", None, None, "<p>é</p>")], warc.RESPONSE)
     records = warc.derive_records(frame).filter("warc_type = 'conversion'").coalesce(1)

@@ -9,7 +9,9 @@ executor. Digests are SHA-256, as ``sha256:<hex>``.
 Text: comments and the contents of script, style, noscript and template go, tags of blocks
 become line ends, other tags go, character references are resolved, blanks are joined,
 empty lines go. A response of null payload counts as an empty one, a null URI or date
-leaves its header out. Repeated responses give repeated records.
+leaves its header out. Repeated responses give repeated records. A comment, element or tag that
+is never closed is text. Work grows in proportion to the payload, also for very long ones with
+many unclosed tags. No responses give no records; columns named like a record's are replaced.
 """
 
 from __future__ import annotations
@@ -33,15 +35,22 @@ RECORD = (
     "content_length long, block_digest string, source_digest string, source_headers string, block string"
 )
 
-_HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|template)\b.*?</\1\s*>")
+# Each pattern is applied so that no stretch of a page is read more than a few times, whatever
+# is left open in it: tags end at the next ">", so none is looked for behind the last one.
+_OPENING = re.compile(r"(?i)<!--|<(script|style|noscript|template)\b")
+_CLOSING = {name: re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style", "noscript", "template")}
+_CLOSING[None] = re.compile("-->")
 _BLOCK = re.compile(
     r"(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|"
     r"section|table|td|th|title|tr|ul)\b[^>]*>")
 _TAG = re.compile(r"<[A-Za-z/!?][^>]*>")
-_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
-_LANGUAGE = re.compile(r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)")
+_TITLE = re.compile(r"(?i)<title\b[^>]*>")
+_TITLE_END = re.compile(r"(?i)</title\s*>")
+_HTML = re.compile(r"(?i)<html\b[^>]*")
+_LANGUAGE = re.compile(r"(?i)\blang\s*=\s*[\"']?([A-Za-z-]+)")
 _CHARSET = re.compile(r"(?i)\bcharset\s*=\s*[\"']?([A-Za-z0-9_-]+)")
-_LINK = re.compile(r"(?i)<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
+_ANCHOR = re.compile(r"(?i)<a\b")
+_HREF = re.compile(r"(?i)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
 
 
 def digest(block: str) -> str:
@@ -53,22 +62,68 @@ def named_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.UUID(hashlib.md5(chr(0).join(parts).encode()).hexdigest())}>"
 
 
-def visible_text(markup: str) -> str:
-    """What a reader sees, one line a block."""
-    text = _HIDDEN.sub(" ", markup)
-    text = html.unescape(_TAG.sub("", _BLOCK.sub("\n", text)))
+def without_hidden(markup: str) -> str:
+    """A blank in place of each comment and each element that is not shown; unclosed ones stay."""
+    out, kept, at, unclosed = [], 0, 0, set()
+    while opening := _OPENING.search(markup, at):
+        name = opening[1] and opening[1].lower().replace("ſ", "s")
+        closing = None if name in unclosed else _CLOSING[name].search(markup, opening.end())
+        if closing:
+            out.append(markup[kept : opening.start()])
+            kept = at = closing.end()
+        else:
+            unclosed.add(name)  # nor is any later one closed
+            at = opening.start() + 1
+    return " ".join([*out, markup[kept:]])
+
+
+def _sub_tags(tag: re.Pattern[str], by: str, markup: str) -> str:
+    end = markup.rfind(">") + 1
+    return tag.sub(by, markup[:end]) + markup[end:]
+
+
+def visible_text(shown: str) -> str:
+    """What a reader sees of markup without hidden elements, one line a block."""
+    text = html.unescape(_sub_tags(_TAG, "", _sub_tags(_BLOCK, "\n", shown)))
     lines = (" ".join(line.split()) for line in text.split("\n"))
     return "\n".join(line for line in lines if line)
 
 
-def metadata_fields(payload: str, uri: str | None, headers: str | None, source_digest: str) -> str:
-    """The block of a metadata record."""
-    first = lambda pattern: (m := pattern.search(payload)) and m[1]
-    title = first(_TITLE)
-    fields = [("title", " ".join(html.unescape(title).split()) if title else ""), ("language", first(_LANGUAGE) or ""),
-              ("charset", first(_CHARSET) or ""), ("source-payload-digest", source_digest)]
+def links_of(shown: str) -> Iterator[str]:
+    """The ``href`` of each anchor that has one, as written."""
+    at, end, href = 0, 0, _HREF.search(shown)
+    while href and (anchor := _ANCHOR.search(shown, at)):
+        if href.start() < anchor.end():
+            href = _HREF.search(shown, anchor.end())
+        if 0 <= end < anchor.end():
+            end = shown.find(">", anchor.end())
+        if href and (end < 0 or href.start() < end):
+            yield href[1] or href[2] or href[3] or ""
+            at = href.end()
+        elif end < 0:
+            return
+        else:
+            at = end
+
+
+def _title(payload: str) -> str:
+    opening = _TITLE.search(payload, 0, payload.rfind(">") + 1)
+    closing = opening and _TITLE_END.search(payload, opening.end())
+    return payload[opening.end() : closing.start()] if closing else ""
+
+
+def _language(payload: str) -> str:
+    found = (_LANGUAGE.search(payload, m.start() + len("<html"), m.end()) for m in _HTML.finditer(payload))
+    return next((m[1] for m in found if m), "")
+
+
+def metadata_fields(payload: str, shown: str, uri: str | None, headers: str | None, source_digest: str) -> str:
+    """The block of a metadata record; ``shown`` is the payload without hidden elements."""
+    charset = _CHARSET.search(payload)
+    fields = [("title", " ".join(html.unescape(_title(payload)).split())), ("language", _language(payload)),
+              ("charset", charset[1] if charset else ""), ("source-payload-digest", source_digest)]
     fields += [("source-header", line) for line in (headers or "").splitlines() if line]
-    seen = dict.fromkeys(html.unescape(a or b or c).strip() for a, b, c in _LINK.findall(_HIDDEN.sub(" ", payload)))
+    seen = dict.fromkeys(html.unescape(link).strip() for link in links_of(shown))
     fields += [("outlink", _resolved(uri, link)) for link in seen if link and not link.startswith("#")]
     return "".join(f"{name}: {' '.join(value.split())}\r\n" for name, value in fields if value)
 
@@ -89,8 +144,9 @@ def _derive(kept: list[str]):
             for row, (source, uri, date, headers, payload) in enumerate(zip(*columns)):
                 payload = payload or ""
                 source_digest = digest(payload)
-                blocks = (("metadata", "application/warc-fields", metadata_fields(payload, uri, headers, source_digest)),
-                          ("conversion", "text/plain; charset=utf-8", visible_text(payload)))
+                shown = without_hidden(payload)
+                blocks = (("metadata", "application/warc-fields", metadata_fields(payload, shown, uri, headers, source_digest)),
+                          ("conversion", "text/plain; charset=utf-8", visible_text(shown)))
                 for kind, content_type, block in blocks:
                     rows.append(row)
                     values = (kind, named_id(kind, source or "", source_digest), source, uri, date, content_type,
