@@ -122,6 +122,15 @@ def test_contamination_by_short_items_in_blocks(spark, monkeypatch, block_bytes)
         assert row["items"] == sorted(found)
 
 
+def test_many_blocks_are_one_python_stage(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)
+    items = [(k, f"item {k} says that {k * 7919} is not {k * 104729} at all") for k in range(40)]
+    docs = spark.createDataFrame([(k, f"so {items[k][1]} and {items[39 - k][1]}") for k in range(40)], DOCS)
+    got = decontaminate.find_contamination(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r["doc_id"]: r["items"] for r in got.collect()} == {k: sorted({str(k), str(39 - k)}) for k in range(40)}
+
+
 def test_contamination_of_odd_texts(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     got = decontaminate.find_contamination(odd_docs, none)

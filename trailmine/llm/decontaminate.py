@@ -8,8 +8,9 @@ of patterns, whose words are then compared, first as hashes, then as bytes. The
 are searched in a single pass; many places of a document move in step as arrays.
 
 Patterns are handled in blocks of bounded size. Only one block is on the driver at a time;
-each is sent to the executors, and a benchmark of more blocks takes further passes over
-the documents, so that no item is left out.
+each is sent to the executors. All blocks are searched in one Python stage: a task holds the
+tables of one block, and searches each slice of its documents block by block, so that no item
+is left out however large the benchmark is.
 
 Null and empty documents have no words. Null and empty items have no windows. Items are
 known by their item_id as a string; a null one counts as an empty string.
@@ -26,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmine.llm.sending import send
-from trailmine.llm.text import ALPHANUMERIC, Words, slices, words_of
+from trailmine.llm.text import ALPHANUMERIC, Words, slices, widened, words_of
 
 WIDTH = 10
 BLOCK_BYTES = 4 << 20  # item text on the driver, and sent to executors, at once
+SLICE_BYTES = 4 << 20  # document text searched at once
+SLICE_BYTES_OF_BLOCKS = 16 << 20  # where each slice has the tables of all blocks loaded anew
 _SHIFT_BITS = 20
 _SEGMENT = 512  # window ends that one cursor passes
 _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -111,51 +114,64 @@ def build_patterns(items: list[tuple[str, str]], width: int) -> tuple[list[Patte
     return [Patterns.of(windows) for windows in by_length.values()], spelled
 
 
+class _Found:
+    """What the patterns searched so far hit in the texts of one batch."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        self.batch = batch
+        self.words = words_of(batch.column("text"), ALPHANUMERIC)
+        self.change = np.zeros(len(self.words.hashes) + 1, np.int64)
+        self.held: list[set[str]] = [set() for _ in range(batch.num_rows)]
+
+    def search(self, group: Patterns, spelled: dict[int, bytes]) -> None:
+        words, length = self.words, group.words.shape[1]
+        ends, pattern = group.occurrences(words)
+        if not len(ends):
+            return
+        near = np.unique(_ranges(ends - length + 1, ends + 1))
+        alike = np.zeros(len(words.hashes), bool)
+        alike[near] = [words.normal(k) == spelled[int(words.hashes[k])] for k in near]
+        sums = np.append(0, np.cumsum(alike))
+        same = sums[ends + 1] - sums[ends + 1 - length] == length
+        ends, pattern = ends[same], pattern[same]
+        np.add.at(self.change, ends - length + 1, 1)
+        np.add.at(self.change, ends + 1, -1)
+        text = np.searchsorted(words.first, ends, "right") - 1
+        for row, k in zip(*np.unique(np.stack([text, pattern]), axis=1)):
+            self.held[row].update(group.items[k])
+
+    def result(self) -> pa.RecordBatch:
+        words, batch = self.words, self.batch
+        hit = np.cumsum(self.change[:-1]) > 0
+        before = np.append(False, hit[:-1])
+        opens = words.first[:-1][words.counts > 0]
+        first_word = np.zeros(len(hit), bool)
+        first_word[opens] = True
+        begin = np.flatnonzero(hit & (~before | first_word))
+        after, last_word = np.append(hit[1:], False), np.append(first_word[1:], True)
+        end = np.flatnonzero(hit & (~after | last_word[: len(hit)])) + 1
+        text = np.searchsorted(words.first, begin, "right") - 1
+        offsets = np.searchsorted(text, np.arange(batch.num_rows + 1))
+        spans = pa.StructArray.from_arrays(
+            [pa.array(begin - words.first[text]), pa.array(end - 1 - words.first[text])], ["first", "last"])
+        made = [
+            pa.array(words.counts),
+            pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), spans),
+            pa.array([sorted(x) for x in self.held], pa.list_(pa.string())),
+        ]
+        return pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "n_words", "hits", "items"])
+
+
 def _search(tables):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns, spelled = tables()
-        for batch in slices(batches, "text"):
-            words = words_of(batch.column("text"), ALPHANUMERIC)
-            n = batch.num_rows
-            change = np.zeros(len(words.hashes) + 1, np.int64)
-            held = [set(x) for x in batch.column("items").to_pylist()]
-            for group in patterns:
-                length = group.words.shape[1]
-                ends, pattern = group.occurrences(words)
-                if len(ends):
-                    near = np.unique(_ranges(ends - length + 1, ends + 1))
-                    alike = np.zeros(len(words.hashes), bool)
-                    alike[near] = [words.normal(k) == spelled[int(words.hashes[k])] for k in near]
-                    sums = np.append(0, np.cumsum(alike))
-                    same = sums[ends + 1] - sums[ends + 1 - length] == length
-                    ends, pattern = ends[same], pattern[same]
-                    np.add.at(change, ends - length + 1, 1)
-                    np.add.at(change, ends + 1, -1)
-                    text = np.searchsorted(words.first, ends, "right") - 1
-                    for row, k in zip(*np.unique(np.stack([text, pattern]), axis=1)):
-                        held[row].update(group.items[k])
-            hit = np.cumsum(change[:-1]) > 0
-            for row, spans in enumerate(batch.column("hits").to_pylist()):
-                for span in spans:  # of patterns of an earlier block
-                    hit[words.first[row] + span["first"] : words.first[row] + span["last"] + 1] = True
-            before = np.append(False, hit[:-1])
-            opens = words.first[:-1][words.counts > 0]
-            first_word = np.zeros(len(hit), bool)
-            first_word[opens] = True
-            begin = np.flatnonzero(hit & (~before | first_word))
-            after, last_word = np.append(hit[1:], False), np.append(first_word[1:], True)
-            end = np.flatnonzero(hit & (~after | last_word[: len(hit)])) + 1
-            text = np.searchsorted(words.first, begin, "right") - 1
-            offsets = np.searchsorted(text, np.arange(n + 1))
-            spans = pa.StructArray.from_arrays(
-                [pa.array(begin - words.first[text]), pa.array(end - 1 - words.first[text])], ["first", "last"])
-            made = {
-                "n_words": pa.array(words.counts),
-                "hits": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), spans),
-                "items": pa.array([sorted(x) for x in held], pa.list_(pa.string())),
-            }
-            names = batch.schema.names
-            yield pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(c) for c in names], names)
+        only = tables[0]() if len(tables) == 1 else None
+        for batch in slices(batches, "text", SLICE_BYTES if only else SLICE_BYTES_OF_BLOCKS):
+            found = _Found(batch)
+            for table in tables:
+                patterns, spelled = only or table()
+                for group in patterns:
+                    found.search(group, spelled)
+            yield found.result()
 
     return search
 
@@ -171,12 +187,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH
     total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = 1 + total * 5 // 4 // BLOCK_BYTES
     items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
-    out = docs.drop("n_words", "hits", "items").select(
-        "*", F.lit(0).cast("long").alias("n_words"),
-        F.expr("cast(array() as array<struct<first: bigint, last: bigint>>)").alias("hits"),
-        F.expr("cast(array() as array<string>)").alias("items"))
+    docs = docs.drop("n_words", "hits", "items")
+    tables = []
     for block in range(blocks):
         own = [(r["item"], r["text"]) for r in items.filter(F.col("block") == block).select("item", "text").collect()]
-        tables = send(spark, build_patterns(own, width))
-        out = out.mapInArrow(_search(tables), out.schema)
-    return out
+        tables.append(send(spark, build_patterns(own, width), keep=False))
+    made = "n_words long, hits array<struct<first: bigint, last: bigint>>, items array<string>"
+    return docs.mapInArrow(_search(tables), widened(docs, made))
