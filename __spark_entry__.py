@@ -25,9 +25,12 @@ from oracle_queries import (  # noqa: E402
     SEEDS,
     SKEWED_SPAN_S,
     SPAN_S,
+    STREAM_DELAY_S,
     SUGGESTIONS,
     TOP_DOCS,
     TOP_REFS,
+    URL_BUCKETS,
+    URL_MIN_COUNT,
     USER_MIN_COUNT,
 )
 from trailmine.operators import (  # noqa: E402
@@ -59,6 +62,7 @@ from trailmine.sources import (  # noqa: E402
     rejected_rows,
     split_log_fields,
 )
+from trailmine.streaming.starts import stream_session_starts  # noqa: E402
 from trailmine.storage import materialise, materialise_together, scratch_path  # noqa: E402
 
 try:
@@ -185,6 +189,11 @@ def q_field_counts_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.field_counts(fields, "url", min_count=0)
 
 
+def q_field_counts_frequent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = split_log_fields(events_as_lines(_events(spark, sf_dir)))
+    return counts.field_counts(fields, "url", URL_MIN_COUNT, buckets=URL_BUCKETS)
+
+
 def q_field_count_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = read_log_fields(spark, _text_log(spark, sf_dir))
     path = scratch_path(spark, "field-counts")
@@ -212,6 +221,17 @@ def q_session_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_starts(_log(spark, sf_dir), SPAN_S)
 
 
+def q_session_starts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the records that the watermark has passed when all files are read (a stream takes a pattern or a folder)."""
+    schema = _events(spark, sf_dir).schema
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(f"{sf_dir}/events*.parquet")
+    starts = stream_session_starts(events_as_log(events), SPAN_S, delay=f"{STREAM_DELAY_S} seconds")
+    path = scratch_path(spark, "streamed-starts")
+    place = scratch_path(spark, "stream")
+    starts.writeStream.option("checkpointLocation", place).trigger(availableNow=True).start(path, "parquet", "append").awaitTermination()
+    return spark.read.parquet(path)
+
+
 def q_session_starts_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_starts(_log(spark, sf_dir), SPAN_S, blocks=LOG_BLOCKS)
 
@@ -512,12 +532,14 @@ def _own_queries() -> dict[str, Query]:
         "field_counts_event_type": q_field_counts_event_type,
         "field_counts_user": q_field_counts_user,
         "field_counts_url": q_field_counts_url,
+        "field_counts_frequent": q_field_counts_frequent,
         "field_count_report": q_field_count_report,
         "sessions_of_files": q_sessions_of_files,
         "collapse_repeats": q_collapse_repeats,
         "collapse_repeats_split": q_collapse_repeats_split,
         "session_starts": q_session_starts,
         "session_starts_split": q_session_starts_split,
+        "session_starts_stream": q_session_starts_stream,
         "sessions": _sessions,
         "sessions_default_span": q_sessions_default_span,
         "sessions_seeded": q_sessions_seeded,

@@ -10,6 +10,9 @@ LOG_BLOCKS = 24
 TOP_REFS = 12
 TOP_DOCS = 3
 USER_MIN_COUNT = 50
+URL_MIN_COUNT = 40
+URL_BUCKETS = 1 << 16
+STREAM_DELAY_S = 3_600
 MANY_CLUSTERS = 80
 SKEWED_SPAN_S = 3_600
 FEW_CLUSTERS = 5
@@ -363,6 +366,7 @@ def all_queries() -> dict[str, str]:
         "field_counts_event_type": counted("events", "event_type", 1000),
         "field_counts_user": counted("events", "user_id::VARCHAR", USER_MIN_COUNT),
         "field_counts_url": _with(_lines(), counted("fields", "f[5]", 0, not_empty)),
+        "field_counts_frequent": _with(_lines(), counted("fields", "f[5]", URL_MIN_COUNT, not_empty)),
         "field_count_report": _with(
             _lines(), f"SELECT line AS value FROM ({counted('fields', 'f[2]', 0, not_empty)})"
         ),
@@ -371,6 +375,8 @@ def all_queries() -> dict[str, str]:
         "collapse_repeats_split": _with(_trail(REPEAT_BUCKETS), trail),
         "session_starts": _with(_sessions(), starts),
         "session_starts_split": _with(_sessions(), starts),
+        "session_starts_stream": _with(
+            _sessions(), f"{starts} WHERE ts_ms < (SELECT max(ts_ms) FROM log) - {STREAM_DELAY_S * 1000}"),
         "sessions": _with(_sessions(), sessions),
         "sessions_default_span": _with(_sessions(DEFAULT_SPAN_S), sessions),
         "sessions_seeded": _with(_sessions(seeds=SEEDS), sessions),

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from conftest import tuples
 
 from trailmine import schemas
@@ -15,6 +16,8 @@ from trailmine.operators.counts import (
     count_docs,
     count_refinements,
     distinct_session_refs,
+    field_counts,
+    in_frequent_buckets,
     top_docs,
     top_refinements,
 )
@@ -109,3 +112,18 @@ def test_attach_ref_counts(spark):
     clusters = spark.createDataFrame([("q", 0, "a"), ("q", 1, "x")], schemas.CLUSTER_IDS)
     top = spark.createDataFrame([("q", "a", 9)], schemas.REF_COUNTS)
     assert tuples(attach_ref_counts(clusters, top)) == [("q", 0, "a", 9)]
+
+
+@pytest.mark.parametrize("buckets", [1, 64, 1 << 16])
+def test_field_counts_by_buckets_are_the_same(spark, buckets):
+    rows = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN concat('v', id % 7) WHEN id % 50 <> 1 THEN concat('u', id) END AS key")
+    assert tuples(field_counts(rows, "key", 20, buckets)) == tuples(field_counts(rows, "key", 20))
+    assert field_counts(rows.filter("false"), "key", 20, buckets).count() == 0
+
+
+def test_rare_values_are_left_out_before_they_are_counted(spark):
+    keys = spark.range(50_000).selectExpr("if(id % 10 = 0, 'often', concat('u', id)) AS key")
+    left = in_frequent_buckets(keys, 1000, 1 << 12).groupBy("key").count().collect()
+    assert {r["key"]: r["count"] for r in left}["often"] == 5000 and len(left) < 100
+    with pytest.raises(ValueError):
+        field_counts(keys, "key", buckets=0)

@@ -36,6 +36,7 @@ def _arguments(args: Sequence[str] | None) -> argparse.Namespace:
     counts.add_argument("output")
     counts.add_argument("field", nargs="?", default="0", help=f"a name of {FIELDS} or its number")
     counts.add_argument("--min-count", type=int, default=MIN_FIELD_COUNT)
+    counts.add_argument("--buckets", type=int, help="count hash buckets first, for fields of mostly different values")
     return parser.parse_args(args)
 
 
@@ -54,7 +55,8 @@ def main(args: Sequence[str] | None = None) -> None:
             write_level(run_level(log, level, settings), level, asked.output, asked.format)
         else:
             field = FIELDS[int(asked.field)] if asked.field.isdigit() else asked.field
-            write_field_counts(field_counts(read_log_fields(spark, asked.input), field, asked.min_count), asked.output)
+            fields = read_log_fields(spark, asked.input)
+            write_field_counts(field_counts(fields, field, asked.min_count, asked.buckets), asked.output)
 
 
 if __name__ == "__main__":

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailmine.params import MIN_FIELD_COUNT, TOP_DOCS, TOP_REFINEMENTS
+from trailmine.params import FIELD_BUCKETS_AT_MOST, MIN_FIELD_COUNT, TOP_DOCS, TOP_REFINEMENTS
+from trailmine.storage import materialise
 
 _SESSION_REF = ["session_id", "query", "refinement"]
 
@@ -59,17 +60,36 @@ def top_docs(doc_counts: DataFrame, k: int | None = TOP_DOCS) -> DataFrame:
     return doc_counts if k is None else _top(doc_counts, k, ["query", "refinement"], "doc")
 
 
-def field_counts(df: DataFrame, field: str, min_count: int = MIN_FIELD_COUNT) -> DataFrame:
+def in_frequent_buckets(keys: DataFrame, min_count: int, buckets: int) -> DataFrame:
+    """Rows of ``keys`` whose ``key`` falls into a bucket of more than ``min_count`` rows.
+
+    Each value that occurs so often is in such a bucket, so none of them is lost.
+    """
+    if not 0 < buckets <= FIELD_BUCKETS_AT_MOST:
+        raise ValueError(f"buckets must be between 1 and {FIELD_BUCKETS_AT_MOST}")
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")
+    counts = keys.groupBy(bucket).count().filter(F.col("count") > min_count)
+    frequent = materialise(counts.select("bucket"), "frequent-buckets")
+    # At most one number for each bucket.
+    return keys.select("key", bucket).join(F.broadcast(frequent), "bucket", "left_semi").select("key")
+
+
+def field_counts(df: DataFrame, field: str, min_count: int = MIN_FIELD_COUNT, buckets: int | None = None) -> DataFrame:
     """Values of a field that occur more than ``min_count`` times: ``key, count, line``.
 
     ``line`` is the report line: the count right-aligned to six places, a TAB, the
     key. Rows without the field do not count.
+
+    With ``buckets`` the rows are read twice: a first pass counts hash buckets of the values,
+    and only values of frequent buckets are counted themselves. The result is the same, but
+    rare values are hardly shuffled. It pays for fields of mostly different values, if
+    ``buckets`` is several times the rows divided by ``min_count``.
     """
-    key = F.col(field).cast("string")
+    keys = df.select(F.col(field).cast("string").alias("key")).filter(F.col("key").isNotNull())
+    if buckets is not None:
+        keys = in_frequent_buckets(keys, min_count, buckets)
     return (
-        df.select(key.alias("key"))
-        .filter(F.col("key").isNotNull())
-        .groupBy("key")
+        keys.groupBy("key")
         .count()
         .filter(F.col("count") > min_count)
         .select("key", "count", F.format_string("%6d\t%s", "count", "key").alias("line"))

@@ -32,3 +32,7 @@ VECTOR_ROWS_PER_TASK = 200_000
 SUGGESTION_BUCKETS = 256
 # Similarities that agree to this many significant digits count as equal.
 SIMILARITY_DIGITS = 12
+# How much later than the latest record of a stream a record may arrive.
+STREAM_DELAY = "1 hour"
+# Most buckets that the first pass of field counts may use; as many numbers are broadcast.
+FIELD_BUCKETS_AT_MOST = 1 << 22
