@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
+from collections import Counter
 
 BLANK_WORD = re.compile("[^\x20\x09-\x0d]+")
 ALNUM_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -122,3 +124,76 @@ def without_repeats(docs: list[tuple[int, str | None]], need: int = 5) -> dict[i
 
 def kept_text(pieces: list[tuple[str, bool]]) -> str:
     return "".join(p for p, gone in pieces if not gone)
+
+
+LETTER_WORD = re.compile("[A-Za-z\x80-\U0010ffff]+")
+
+
+def grams_of(word: str, order: int) -> list[str]:
+    """Character n-grams of a word; beyond single characters its borders count as one."""
+    padded = word if order == 1 else f" {word} "
+    return [padded[k : k + order] for k in range(len(padded) - order + 1)]
+
+
+class Languages:
+    """Words first, then shorter and shorter n-grams, of all that was seen."""
+
+    def __init__(self, rows: list[tuple[str, str]]) -> None:
+        self.names = sorted({lang for _, lang in rows})
+        self.times = {(kind, lang): Counter() for kind in range(6) for lang in self.names}
+        for text, lang in rows:
+            for word in LETTER_WORD.findall(text.lower()):
+                self.times[0, lang][word] += 1
+                for order in range(1, 6):
+                    self.times[order, lang].update(grams_of(word, order))
+        self.known = {kind: set().union(*(self.times[kind, lang] for lang in self.names)) for kind in range(6)}
+
+    def largest_table(self, kind: int) -> int:
+        return max(len(self.times[kind, lang]) for lang in self.names)
+
+    def _log(self, kind: int, key: str, lang: str) -> float:
+        own = self.times[kind, lang]
+        return math.log((own[key] + 0.5) / (own.total() + 0.5 * (len(self.known[kind]) + 1)))
+
+    def _word(self, word: str, lang: str) -> float:
+        if word in self.known[0]:
+            return self._log(0, word, lang)
+        for order in (5, 4, 3, 2, 1):
+            found = [g for g in grams_of(word, order) if g in self.known[order]]
+            if found:
+                return sum(self._log(order, g, lang) for g in found) / len(found)
+        return 0.0
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        if not any(c.isalpha() for c in text or ""):
+            return "und", 0.0
+        words = Counter(LETTER_WORD.findall(text.lower()))
+        scale = min(1.0, 20 / words.total())
+        sums = [scale * sum(n * self._word(w, lang) for w, n in words.items()) for lang in self.names]
+        best = max(sums)
+        return self.names[sums.index(best)], 1 / sum(math.exp(x - best) for x in sums)
+
+
+def grade_chances(weights: dict[str, float], thresholds: list[float], text: str | None) -> list[float]:
+    """P(grade = j) for each grade."""
+    linear = sum(weights[w] * math.log1p(n) for w, n in Counter(alnum_words(text)).items() if w in weights)
+    below = [1 / (1 + math.exp(linear - cut)) for cut in thresholds] + [1.0]
+    return [b - a for a, b in zip([0.0, *below], below)]
+
+
+def telling_words(flagged: list[tuple[str | None, bool]]) -> dict[str, bool]:
+    """Words tied to the flag by a chi-square test, and whether each is telling."""
+    n_bad = sum(flag for _, flag in flagged)
+    n_good = len(flagged) - n_bad
+    bad, good = Counter(), Counter()
+    for text, flag in flagged:
+        (bad if flag else good).update(set(alnum_words(text)))
+    chosen = {}
+    for word in {*bad, *good}:
+        a, b = bad[word], good[word]
+        rest_bad, rest_good, n = n_bad - a, n_good - b, len(flagged)
+        rest = rest_bad + rest_good
+        chi = n * (a * rest_good - b * rest_bad) ** 2 / (n_bad * n_good * (a + b) * rest) if rest else 0.0
+        if a + b >= 4 and chi >= 25:
+            chosen[word] = a / n_bad >= 0.9 * (a / n_bad + b / n_good)
+    return chosen

@@ -400,6 +400,37 @@ def test_held_out_accuracy(spark):
     assert (held.lang_pred == docs.lang[held.index]).mean() > 0.97
 
 
+def test_languages_equal_brute_force(spark, documents):
+    learned = [(t, g) for i, t, g in zip(documents.doc_id, documents.text, documents.lang) if not brute.held_out(i) and t is not None and g is not None]
+    twin = brute.Languages(learned)
+    room = language_id.MAX_WORDS // len(twin.names), language_id.MAX_GRAMS // len(twin.names)
+    assert all(twin.largest_table(kind) <= room[kind > 0] for kind in range(6))
+    got = queries.op4_language_id(spark, SF_DIR).toPandas().set_index("doc_id")
+    for i, t in zip(documents.doc_id, documents.text):
+        name, score = twin.predict(t)
+        assert got.lang_pred[i] == name and abs(got.score[i] - score) < 1e-6, i
+
+
+def test_unknown_words_fall_back_as_in_brute_force(spark):
+    rows = [(k, t, g) for k, (t, g) in enumerate([("house hill mouse house", "en"), ("haus hügel maus", "de"), ("maison colline", "fr")])]
+    model = language_id.fit_language_model(spark.createDataFrame(rows, DOCS + ", lang string"))
+    twin = brute.Languages([(t, g) for _, t, g in rows])
+    texts = ["house", "houses", "hous", "hx", "aus", "Ü", "qqq", "мир", "maisonette haus hill", "a", "mous colli ü zz", "s"]
+    got = language_id.identify_languages(spark.createDataFrame(list(enumerate(texts)), DOCS), model).collect()
+    for row in got:
+        name, score = twin.predict(row["text"])
+        assert row["lang_pred"] == name and abs(row["score"] - score) < 1e-9, row
+
+
+def test_a_small_language_keeps_its_words(spark):
+    """The room for words is dealt to the languages, not to the most frequent words of all."""
+    rows = [(k, "alpha beta gamma delta " * 50, "big") for k in range(30)] + [(99, "omega omega omega psi", "small")]
+    model = language_id.fit_language_model(spark.createDataFrame(rows, DOCS + ", lang string"), max_words=4, max_grams=8)
+    assert len(model.words.keys) == 4
+    got = language_id.identify_languages(spark.createDataFrame([(1, "psi omega"), (2, "beta")], DOCS), model).collect()
+    assert len({r["lang_pred"] for r in got}) == 2 and {r["lang_pred"] for r in got if r["doc_id"] == 1} == {"small"}
+
+
 def test_languages_of_odd_texts(spark, odd_docs, no_docs):
     rows = [(k, t, lang) for k in range(20) for t, lang in (("the house is on the hill", "en"), ("das haus ist auf dem berg", "de"))]
     rows += [(99, "x", None), (98, None, "en")]
@@ -426,6 +457,41 @@ def test_toxic_documents_are_found(spark):
     assert got.severity.between(0, 3).all() and own[labels.toxic == 1].grade.nunique() > 1
 
 
+def test_severity_equals_brute_force(spark, documents):
+    """Words, grades and scores by plain rules; the weights are a maximum of the likelihood."""
+    labels = pd.read_parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = pd.read_parquet("/root/testdata/sf0.01/documents.parquet")
+    flag_of = {i: f > 0 for i, f in zip(labels.doc_id, labels.toxic) if not pd.isna(f)}
+    known = [(t, flag_of[i]) for i, t in zip(docs.doc_id, docs.text) if i in flag_of]
+    chosen = brute.telling_words(known)
+    frames = [spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels")]
+    model = toxicity.fit_toxicity(*frames)
+    assert set(model.words.tolist()) == {hash_word(w) for w in chosen}
+    place = {h: k for k, h in enumerate(model.words.tolist())}
+    weights = {w: float(model.weights[place[hash_word(w)]]) for w in chosen}
+    cuts = model.thresholds.tolist()
+    for row in toxicity.score_toxicity(frames[0], model).collect():
+        chances = brute.grade_chances(weights, cuts, row["text"])
+        assert abs(row["severity"] - sum(j * p for j, p in enumerate(chances))) < 1e-6
+        assert chances[row["grade"]] > max(chances) - 1e-9 and abs(row["p_toxic"] - sum(chances[1:])) < 1e-6
+
+    strength = [sum(chosen.get(w, False) for w in brute.alnum_words(t)) for t, _ in known]
+    terciles = np.quantile([s for s, (_, flag) in zip(strength, known) if flag], [1 / 3, 2 / 3])
+    grades = [1 + int((s > terciles).sum()) if flag else 0 for s, (_, flag) in zip(strength, known)]
+    grades = np.unique(grades, return_inverse=True)[1]
+    assert len(cuts) == grades.max() and cuts == sorted(cuts)
+
+    def loss(own_weights, own_cuts):
+        likely = [np.log(max(brute.grade_chances(own_weights, own_cuts, t)[g], 1e-12)) for (t, _), g in zip(known, grades)]
+        return -np.mean(likely) + toxicity.PENALTY / 2 * sum(w * w for w in own_weights.values())
+
+    least = loss(weights, cuts)
+    strongest = sorted(weights, key=lambda w: -abs(weights[w]))[:2]
+    for step in (-0.5, 0.5):
+        assert all(loss(weights | {w: weights[w] + step}, cuts) > least - 1e-4 for w in strongest)
+        assert loss(weights, [c + step for c in cuts]) > least - 1e-4
+
+
 def test_thresholds_are_ordered_and_shared():
     rng = np.random.default_rng(3)
     x = rng.poisson(1.0, (3000, 2)).astype(float)

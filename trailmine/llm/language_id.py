@@ -7,14 +7,15 @@ language with the largest sum wins; ties go to the first name. The score is the
 that language after the sums are brought to ``SCORED_WORDS`` words at most.
 
 The model is fitted on a bounded sample: up to ``rows_per_language`` rows of each language,
-chosen by a hash of doc_id, and keeps the ``max_words`` most frequent words and the
-``max_grams`` most frequent n-grams of each order. Prediction covers every whole text and
-sees the text alone.
+chosen by a hash of doc_id. It has room for ``max_words`` words and for ``max_grams`` n-grams
+of each order, in equal shares: each language puts in its own most frequent ones, down to those
+seen once, so that a small language keeps its words beside large ones. What one language put in
+is known to all. Prediction covers every whole text and sees the text alone.
 
 Texts are lower-cased by Unicode; words are runs of letters, where all characters beyond
 ASCII count as letters. A text that is null or holds no letter is ``und`` with score 0, as
 is every text if there is nothing to learn from. Rows with null language are not learned
-from.
+from. More than ``MAX_LANGUAGES`` languages are refused.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailmine.llm.sending import send
@@ -189,11 +190,12 @@ def fit_language_model(
     counted = rows.filter(drawn).mapInArrow(_counter(languages), "kind int, language int, hash long, times long")
     counted = materialise(counted.groupBy("kind", "language", "hash").agg(F.sum("times").alias("times")), "language-counts")
     sums = {(r["kind"], r["language"]): r["times"] for r in counted.groupBy("kind", "language").agg(F.sum("times").alias("times")).collect()}
+    rank = F.row_number().over(Window.partitionBy("language").orderBy(F.desc("times"), "hash"))
     tables = {}
     for kind in (0, *ORDERS):
         own = counted.filter(F.col("kind") == kind)
-        top = (own.groupBy("hash").agg(F.sum("times").alias("times")).filter("times > 1")
-               .orderBy(F.desc("times"), "hash").limit(max_words if kind == 0 else max_grams).select("hash"))
+        room = max(1, (max_words if kind == 0 else max_grams) // len(languages))
+        top = own.withColumn("rank", rank).filter(F.col("rank") <= room).select("hash").distinct()
         found = own.join(top, "hash").select("hash", "language", "times").toArrow()
         raw = np.asarray(found.column("hash").combine_chunks(), dtype=np.int64).view(np.uint64)
         keys, at = np.unique(raw, return_inverse=True)
