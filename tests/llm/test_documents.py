@@ -24,6 +24,7 @@ from trailmine.llm import (
     text,
     toxicity,
 )
+from trailmine.llm.text import hash_word
 
 WORDS = st.lists(st.sampled_from(["a", "b", "The", "THE", "é", "2", "under", "mit", "\n", "x-y", "  ", "."]), max_size=30).map(" ".join)
 
@@ -401,14 +402,15 @@ def test_held_out_accuracy(spark):
 
 
 def test_languages_equal_brute_force(spark, documents):
-    learned = [(t, g) for i, t, g in zip(documents.doc_id, documents.text, documents.lang) if not brute.held_out(i) and t is not None and g is not None]
-    twin = brute.Languages(learned)
-    room = language_id.MAX_WORDS // len(twin.names), language_id.MAX_GRAMS // len(twin.names)
-    assert all(twin.largest_table(kind) <= room[kind > 0] for kind in range(6))
-    got = queries.op4_language_id(spark, SF_DIR).toPandas().set_index("doc_id")
-    for i, t in zip(documents.doc_id, documents.text):
-        name, score = twin.predict(t)
-        assert got.lang_pred[i] == name and abs(got.score[i] - score) < 1e-6, i
+    """With room for all words and n-grams."""
+    learned = [(int(i), t, g) for i, t, g in zip(documents.doc_id, documents.text, documents.lang) if not brute.held_out(i) and t is not None and g is not None]
+    twin = brute.Languages([(t, g) for _, t, g in learned])
+    model = language_id.fit_language_model(spark.createDataFrame(learned, DOCS + ", lang string"), max_words=10**6, max_grams=10**6)
+    assert [len(model.words.keys)] + [len(model.grams[k].keys) for k in range(1, 6)] == [len(twin.known[k]) for k in range(6)]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    for row in language_id.identify_languages(docs, model).collect():
+        name, score = twin.predict(row["text"])
+        assert row["lang_pred"] == name and abs(row["score"] - score) < 1e-6, row
 
 
 def test_unknown_words_fall_back_as_in_brute_force(spark):
