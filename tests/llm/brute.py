@@ -197,3 +197,68 @@ def telling_words(flagged: list[tuple[str | None, bool]]) -> dict[str, bool]:
         if a + b >= 4 and chi >= 25:
             chosen[word] = a / n_bad >= 0.9 * (a / n_bad + b / n_good)
     return chosen
+
+
+def quote_level(line: str) -> tuple[int, str]:
+    """Signs of a line, each with a blank before it or none, and what follows."""
+    at = level = 0
+    while True:
+        sign = at + 1 if line[at : at + 1] in (" ", "\t") else at
+        if line[sign : sign + 1] != ">":
+            return level, line[at:].removeprefix(" ") if level else line
+        at, level = sign + 1, level + 1
+
+
+def _normal(text: str) -> str:
+    return re.sub("[ \t\r\n\f]+", " ", text.lower()).strip(" ")
+
+
+def _units_of(passages: list[tuple[int, str]], least: int) -> list[tuple[int, int, str]]:
+    """Level, rank and text of passages, paragraphs and lines."""
+    found = []
+    for level, text in passages:
+        found.append((level, 1, text))
+        for rank, border in ((2, "\n[ \t\f]*\n"), (3, "\n")):
+            for part in re.split(border, text):
+                if "\n" in part.strip(" \t\n\f") or len(_normal(part).split(" ")) >= least:
+                    found.append((level, rank, part))
+    return [(level, rank, _normal(text)) for level, rank, text in found if _normal(text)]
+
+
+def _passages(text: str) -> list[tuple[int, str]]:
+    lines = [(*quote_level(x), x) for x in re.split("\r\n|\r|\n", text)]
+    said = re.compile(r"[ \t]*(On|Am|Le|El)\b.*(wrote|schrieb|écrit|escribió)[ \t]*:[ \t]*$")
+    passages: list[tuple[int, list[str]]] = []
+    for k, (level, rest, line) in enumerate(lines):
+        if level == 0 and said.match(line) and k + 1 < len(lines) and lines[k + 1][0] > 0:
+            continue
+        if not passages or passages[-1][0] != level:
+            passages.append((level, []))
+        passages[-1][1].append(rest)
+    return [(level, "\n".join(own)) for level, own in passages]
+
+
+def threads(messages: list[tuple[int, int, str]], least: int) -> list[tuple]:
+    """Conversation, turn, own text, parent, root, depth and number of quotations of each message."""
+    own, said, parent = [], {}, {}
+    for conv, turn, text in messages:
+        passages = _passages(text)
+        plain = [p for p in passages if p[0] == 0]
+        quoted = [p for p in passages if p[0] > 0]
+        kept = "\n".join(t for _, t in plain)
+        kept = re.sub("^\n+|\n+$", "", re.sub("\n{3,}", "\n\n", kept)) if quoted else text
+        own.append((kept, quoted))
+        for key in {u[2] for u in _units_of(plain, 1)} | {_normal(kept)}:
+            said[conv, key] = min(turn, said.get((conv, key), turn))
+    for (conv, turn, _), (_, quoted) in zip(messages, own):
+        for level, rank, key in _units_of(quoted, least):
+            at = said.get((conv, key), turn)
+            if at < turn:
+                parent[conv, turn] = max(parent.get((conv, turn), (-99, 0, 0)), (-level, -rank, at))
+    rows = []
+    for (conv, turn, _), (kept, quoted) in zip(messages, own):
+        root, depth = turn, 0
+        while (conv, root) in parent:
+            root, depth = parent[conv, root][2], depth + 1
+        rows.append((conv, turn, kept, parent[conv, turn][2] if (conv, turn) in parent else None, root, depth, len(quoted)))
+    return rows

@@ -9,6 +9,7 @@ import time
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
+import brute
 import numpy as np
 import pandas as pd
 from inputs import SF_DIR
@@ -122,6 +123,43 @@ def test_a_line_of_a_million_signs(spark):
     assert "__own" not in got[1] and "__turn" not in got[1]
 
 
+def _reply(draw: random.Random, text: str) -> str:
+    """A quotation of a message as people make them: whole, a part, edited, of one more level."""
+    lines = text.split("\n")
+    how = draw.randrange(6)
+    if how == 1:
+        lines = draw.choice(text.split("\n\n")).split("\n")
+    elif how == 2:
+        lines = [draw.choice(lines)]
+    elif how == 3:
+        lines = [*lines, "which nobody said"]
+    elif how == 4:
+        lines = [line.upper().replace(" ", "  ") for line in lines]
+    elif how == 5:
+        lines = [line for line in lines if line.startswith(">")] or lines
+    sign = draw.choice(["> ", ">", " > ", ">  "])
+    before = draw.choice([[], [], ["On Monday Ann wrote:"], ["Am Montag schrieb Ann:", ""]])
+    return "\n".join([*before, *(line if line == "" and draw.random() < 0.3 else sign + line for line in lines)])
+
+
+def test_random_conversations_equal_brute_force(spark):
+    draw = random.Random(11)
+    words = ["yes", "no", "the plan", "see you", "on friday", "a > b", "why not"]
+    say = lambda: "\n".join(draw.choice([" ".join(draw.choices(words, k=draw.randint(1, 3))), ""]) for _ in range(draw.randint(1, 5)))
+    rows = []
+    for conv in range(150):
+        said: list[str] = []
+        for turn in range(8):
+            parts = [_reply(draw, draw.choice(said)) if said and draw.random() < 0.6 else say() for _ in range(draw.randint(1, 3))]
+            said.append(draw.choice(["\n", "\n", "\r\n", "\n\n"]).join(parts))
+            rows.append((conv, turn, said[-1]))
+    linked = quotations.link_quotations(spark.createDataFrame(rows, "conv_id long, turn int, text string").repartition(4))
+    got = sorted(tuple(r) for r in linked.select("conv_id", "turn", "text", "parent_turn", "root_turn", "depth", "n_quotes").collect())
+    want = sorted(brute.threads(rows, quotations.MIN_LINE_WORDS))
+    assert [pair for pair in zip(got, want) if pair[0] != pair[1]][:3] == [] and len(got) == len(want)
+    assert sum(r[3] is not None for r in got) > 300 and max(r[5] for r in got) > 2
+
+
 def test_deeper_quotations_lead_on_where_the_first_level_does_not(spark):
     rows = [
         (1, 0, "u", "The budget is ready for review.\nPlease read it today."),
