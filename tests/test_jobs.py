@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
+from threading import Barrier, Event
 
 import pytest
 from conftest import tuples
@@ -13,7 +15,7 @@ from trailmine.operators.sessions import mark_sessions, session_starts
 from trailmine.operators.suggest import suggest
 from trailmine.sinks import write_level, write_suggestions
 from trailmine.sources import read_query_log, read_suggestions
-from trailmine.storage import materialise, scratch_root, scratch_scope
+from trailmine.storage import materialise, materialise_together, scratch_root, scratch_scope
 
 LINES = [
     "9\tterm1\t2006-03-01 17:24:38",
@@ -108,3 +110,25 @@ def test_a_table_grows_and_requests_are_trimmed(spark, tmp_path):
     table = read_suggestions(spark, str(tmp_path / "t"))
     asked = spark.createDataFrame([("\t a\x01\r\n",), ("b ",)], "query string")
     assert tuples(suggest(table, asked), "query", "refinement") == [("a", "y"), ("b", "x")]
+
+
+def test_scopes_of_threads_are_their_own(spark):
+    """One job that ends leaves the tables of another; frames written together are in the caller's scope."""
+    both = Barrier(2, timeout=120)
+
+    def job(n):
+        with scratch_scope(spark):
+            frames = materialise_together({"a": spark.range(n), "b": spark.range(n)})
+            both.wait()
+            if n == 1:  # ends first
+                return frames[0].count()
+            ended.wait(120)
+            return frames[0].union(frames[1]).count(), [f.inputFiles()[0].split("/")[-3] for f in frames]
+
+    ended = Event()
+    with ThreadPoolExecutor(2) as pool:
+        long, short = pool.submit(job, 5), pool.submit(job, 1)
+        assert short.result() == 1
+        ended.set()
+        count, folders = long.result()
+    assert count == 10 and folders[0] == folders[1] and folders[0].startswith("scope-")

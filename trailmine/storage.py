@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +26,13 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-_SCOPES: list[str] = []
+_SCOPE: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that no frame reads any more."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 @contextmanager
@@ -33,22 +40,20 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Intermediate tables made inside are removed at the end.
 
     Write results before the scope is left: frames that read its tables no longer work
-    afterwards. One job at a time may use scopes in a driver.
+    afterwards. Jobs in several threads of a driver have scopes of their own.
     """
     path = f"{scratch_root(spark)}/scope-{uuid.uuid4().hex}"
-    _SCOPES.append(path)
+    before = _SCOPE.set(path)
     try:
         yield
     finally:
-        _SCOPES.remove(path)
-        hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+        _SCOPE.reset(before)
+        remove_path(spark, path)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the innermost scope, or else below :func:`scratch_root`."""
-    root = _SCOPES[-1] if _SCOPES else scratch_root(spark)
-    return f"{root}/{label}-{uuid.uuid4().hex}"
+    return f"{_SCOPE.get() or scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -64,6 +69,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 
 def materialise_together(frames: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """:func:`materialise` for independent frames, as jobs side by side."""
+    """:func:`materialise` for independent frames, as jobs side by side in the scope of the caller."""
     with ThreadPoolExecutor(len(frames)) as pool:
-        return list(pool.map(materialise, frames.values(), frames))
+        jobs = [pool.submit(copy_context().run, materialise, df, label) for label, df in frames.items()]
+        return [job.result() for job in jobs]
