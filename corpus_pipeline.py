@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailmine.llm import decontaminate, near_dedup, piece_encoding, queries, substring_dedup, toxicity
-from trailmine.storage import scratch_path, scratch_scope
+from trailmine.storage import remove_path, scratch_path, scratch_scope
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -62,12 +62,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; a stage's own intermediate tables go when it is written."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; a stage's input and intermediate tables go when it is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name)
         with scratch_scope(spark):
             kept = stage(spark, docs, sf_dir)
             kept.write.parquet(path)
         docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            remove_path(spark, before)
+        before = path
     return docs
